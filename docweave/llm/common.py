@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import functools
+import gc
 import io
 import os
 import shutil
@@ -91,6 +93,22 @@ def read_file(uri: str) -> memoryview:
         return memoryview(f.read_buffer()).cast("B")
 
 
+def without_gc(f):
+    """For functions that hold many small objects but make no cycles: the collector would walk them all again and again."""
+
+    @functools.wraps(f)
+    def call(*args, **kwargs):
+        was = gc.isenabled()
+        gc.disable()
+        try:
+            return f(*args, **kwargs)
+        finally:
+            if was:
+                gc.enable()
+
+    return call
+
+
 # --- texts ----------------------------------------------------------------------------------------------------------
 
 

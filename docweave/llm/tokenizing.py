@@ -12,8 +12,19 @@ from collections.abc import Iterable
 
 import numpy as np
 
-#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 200 MB.
-MEMO = 700_000
+from .common import without_gc
+
+#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 250 MB.
+MEMO = 1_200_000
+
+
+#: White space besides spaces and line breaks (fixed values); texts with any are encoded whole.
+OTHER_SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def cuts_anywhere(t: str) -> bool:
+    """Whether a text has just lone spaces and line breaks, none at its ends: then each of them parts it for the library too."""
+    return not ("  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0].isspace() or t[-1].isspace() or any(c in t for c in OTHER_SPACES))
 
 
 class PieceEncoder:
@@ -25,88 +36,88 @@ class PieceEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.drops_spaces = drops_spaces
-        self.sep = "\x02" if drops_spaces else "\n"
         # with spaces kept, a lone line break; else a control character between spaces, which are dropped
+        self.sep = "\x02" if drops_spaces else "\n"
         self.mark = f" {self.sep} " if drops_spaces else self.sep
         (self.mark_id,) = self.library.encode(self.sep, add_special_tokens=False).ids
-        self.bare: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = self.bare if drops_spaces else {}
+        self.line_break = np.array([self.mark_id], "<u4").tobytes()
+        self.memo: dict[str, bytes] = {}
+        self.before = "" if drops_spaces else " "
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, memo: dict[str, bytes], pieces: Iterable[str], before: str) -> None:
-        """Put the pieces that the memo lacks into it."""
-        new = [p for p in pieces if p not in memo]
-        derived = []
+    def learn(self, new: Iterable[str]) -> None:
+        """Put pieces that the memo lacks into it. A piece that begins with a line break stands alone, others follow a space."""
+        derived, plain, bare = [], set(), {}
         for p in new:  # a stop or comma after a letter is a token of its own; where case is dropped, so are capitals
+            if p[:1] == "\n":
+                bare[p] = p[1:]
+                continue
             base, end = (p[:-1], p[-1]) if len(p) > 1 and p[-1] in ".,!?" and p[-2].isalpha() else (p, "")
             if self.drops_spaces and base.isascii():
                 base = base.lower()
             if base is not p and base != p:
                 derived.append((p, base, end))
-        if derived:
-            of = {p for p, _, _ in derived}
-            self._encode_new(memo, {*(b for _, b, _ in derived if b not in memo), *(p for p in new if p not in of)}, before)
-            self._encode_new(self.bare, [c for c in ".,!?" if c not in self.bare], "")
-            for p, base, end in derived:
-                memo[p] = memo[base] + self.bare[end] if end else memo[base]
-        else:
-            self._encode_new(memo, new, before)
-
-    def _encode_new(self, memo: dict[str, bytes], pieces: Iterable[str], before: str) -> None:
+                if base not in self.memo:
+                    plain.add(base)
+            else:
+                plain.add(p)
+        memo = self.memo
+        memo.update(self._encoded(list(plain), self.before))
+        ends = self._encoded([*".,!?"], "") if derived else {}
+        for p, base, end in derived:
+            memo[p] = memo[base] + ends[end] if end else memo[base]
+        found = self._encoded(list(bare.values()), "")
+        for p, x in bare.items():
+            memo[p] = self.line_break + found[x]
+
+    def _encoded(self, pieces: list[str], before: str) -> dict[str, bytes]:
         """Encode by the library: many in one text, parted by a mark whose id none of them can yield."""
-        new = list(pieces)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
+        out: dict[str, bytes] = {}
+        for i in range(0, len(pieces), 4096):
+            part = pieces[i : i + 4096]
             joined = self.mark.join([before + p for p in part])
             if joined.count(self.sep) == len(part) - 1:
                 ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
                 at = np.flatnonzero(ids == self.mark_id)
                 if len(at) == len(part) - 1:
                     raw, begins, ends = ids.tobytes(), [0, *((at + 1) * 4).tolist()], [*(at * 4).tolist(), len(ids) * 4]
-                    memo.update(zip(part, [raw[a:b] for a, b in zip(begins, ends)]))
+                    out.update(zip(part, [raw[a:b] for a, b in zip(begins, ends)]))
                     continue
-            memo.update(zip(part, self.whole([before + p for p in part])))
+            out.update(zip(part, self.whole([before + p for p in part])))
+        return out
 
+    @without_gc
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        return self._without_spaces(texts) if self.drops_spaces else self._with_spaces(texts)
-
-    def _without_spaces(self, texts: list[str | None]) -> list[bytes]:
-        cut = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        distinct: set[str] = set()
-        distinct.update(*cut)
-        memo = self.bare
-        self.learn(memo, distinct, "")
-        if len(memo) > MEMO:
-            memo = self.bare = self.spaced = {p: memo[p] for p in distinct}
-        return [b"".join([memo[p] for p in pieces]) for pieces in cut]
-
-    def _with_spaces(self, texts: list[str | None]) -> list[bytes]:
-        lines: list[list[list[str]] | None] = []
-        first: set[str] = set()
-        later: set[str] = set()
+        cut: list[tuple[list[str], list[bytes | None]] | None] = []
         odd: list[str] = []
+        new: set[str] = set()
+        get = self.memo.get
         for t in texts:
             if not t:
-                lines.append([])
-            elif len(t.split()) != t.count(" ") + t.count("\n") + 1:
-                lines.append(None)
+                pieces = []
+            elif self.drops_spaces:
+                pieces = t.replace("\n", " ").split(" ")
+            elif not cuts_anywhere(t):
+                cut.append(None)
                 odd.append(t)
-            else:
-                cut = [x.split(" ") for x in t.split("\n")]
-                for x in cut:
-                    first.add(x[0])
-                    later.update(x[1:])
-                lines.append(cut)
-        self.learn(self.bare, first, "")
-        self.learn(self.spaced, later, " ")
-        if len(self.bare) + len(self.spaced) > MEMO:
-            self.bare, self.spaced = {p: self.bare[p] for p in first}, {p: self.spaced[p] for p in later}
-        bare, spaced = self.bare, self.spaced
-        whole = iter(self.whole(odd))
-        line_break = np.array([self.mark_id], "<u4").tobytes()
-        return [next(whole) if cut is None else line_break.join([bare[x[0]] + b"".join([spaced[p] for p in x[1:]]) for x in cut]) for cut in lines]
+                continue
+            else:  # a line break before the text is put there and taken off again
+                pieces = f"\n{t}".replace("\n", " \n").split(" ")
+                del pieces[0]
+            # one look at the memo per piece: it is too large for the CPU's caches
+            found = list(map(get, pieces))
+            if None in found:
+                new.update([p for p, v in zip(pieces, found) if v is None])
+            cut.append((pieces, found))
+        self.learn(new)
+        memo, whole = self.memo, iter(self.whole(odd))
+        skip = 0 if self.drops_spaces else 4
+        out = [next(whole) if c is None else b"".join([memo[p] if v is None else v for p, v in zip(*c)] if None in c[1] else c[1])[skip:] for c in cut]
+        if len(memo) > MEMO:
+            self.memo = {p: memo[p] for c in cut if c for p in c[0]}
+        return out
 
 
 _encoders: dict[tuple[str, bool], PieceEncoder] = {}
