@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .tokenizing import cuts_anywhere
 
 #: The vocabulary's pre-token pattern (a fixed value of this kind of tokenizer).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -130,6 +131,7 @@ class MergeCounter:
             part = new[i : i + 65536]
             memo.update(zip(part, self.pieces_count([before + p for p in part])))
 
+    @common.without_gc
     def count(self, texts: list[str | None]) -> list[int]:
         """Texts are cut at lone spaces and line breaks, over which pre-tokens never reach; others are counted whole."""
         cut: list = []
@@ -139,7 +141,7 @@ class MergeCounter:
         for t in texts:
             if not t:
                 cut.append(())
-            elif len(t.split()) != t.count(" ") + t.count("\n") + 1:
+            elif not cuts_anywhere(t):
                 cut.append(None)
                 odd.append(t)
             else:

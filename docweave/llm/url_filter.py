@@ -10,8 +10,8 @@ exact, and a URL is judged within its row, without a join.
 Filters are constants in the plan, sized by the listed keys (the first level's error rate is their share of the universe); rule
 tables beyond ``max_keys`` are looked up by an exact hash join instead, with the same result.
 
-Null URLs and those without ``://`` have an empty host and path and fit no rule. The longest key that fits wins; of rules with
-the same key the block stands. Rules with a null host or path don't count.
+Null URLs and those without ``://`` have an empty host and path and fit no rule. The longest key that fits wins, of
+equally long ones that with more labels in its host; of rules with the same key the block stands. Rules with a null host or path don't count.
 """
 
 from __future__ import annotations
@@ -144,5 +144,6 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] | DataFrame, *, url: str
 def _by_join(judged: DataFrame, keys: DataFrame, candidate: Column) -> DataFrame:
     """For rule tables too large for constants: distinct URLs' keys are joined to the rules."""
     hits = judged.select("host", "path").distinct().select("host", "path", F.explode(candidate).alias("key")).join(keys, "key")
-    best = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), "key", "action")).alias("b")).select("host", "path", F.col("b.key").alias("rule"), F.col("b.action").alias("verdict"))
+    labels = F.size(F.split(F.substring_index("key", "/", 1), r"\."))
+    best = hits.groupBy("host", "path").agg(F.max(F.struct(F.length("key").alias("n"), labels.alias("l"), "key", "action")).alias("b")).select("host", "path", F.col("b.key").alias("rule"), F.col("b.action").alias("verdict"))
     return judged.drop("rule", "verdict").join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit("allow")))
