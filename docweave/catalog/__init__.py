@@ -3,6 +3,6 @@
 from __future__ import annotations
 
 from .base import ORACLES, QUERIES
-from . import documents, entities, relational, rules, text, windows  # noqa: F401  they register their queries
+from . import documents, entities, more, relational, rules, text, windows  # noqa: F401  they register their queries
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -202,3 +202,64 @@ def alerts(metrics: DataFrame, key: str, rules: Sequence[Alert]) -> DataFrame:
 
 def health(score: Column, high: Column) -> Column:
     return F.when(score < 70, "DEGRADED").when(high > 5, "WARNING").otherwise("HEALTHY")
+
+
+# --- rules over extraction results -----------------------------------------------------------------------------------
+
+
+def extraction_rules(item: str) -> list[Rule]:
+    """What an extraction of an item should look like before it is stored; issues are warnings but where a value contradicts another."""
+    c = F.col
+    doubt = Rule("low_confidence", "extraction_confidence", c("extraction_confidence") < 0.7, "extraction confidence below 0.7", WARNING, "EXTRACTION")
+    by_item: dict[str, Callable[[], list[Rule]]] = {
+        "item5": lambda: [
+            Rule("zero_fee", "initial_franchise_fee_cents", (c("initial_franchise_fee_cents") == 0) & F.coalesce(c("notes"), F.lit("")).eqNullSafe(""), "zero fee without a note", WARNING, "EXTRACTION"),
+            Rule("discount_over_half", "discounts", F.exists("discounts", lambda d: d["percentage"] > 50), "discount over 50 %", WARNING, "EXTRACTION"),
+            Rule("additional_over_primary", "additional_fees", F.exists("additional_fees", lambda f: f["amount_cents"] > c("initial_franchise_fee_cents")), "additional fee over the primary one", WARNING, "EXTRACTION"),
+        ],
+        "item6": lambda: [
+            Rule("royalty_missing", "royalty_percentage", c("royalty_percentage").isNull() & ~F.coalesce(F.exists("other_fees", lambda f: F.lower(f["fee_name"]).contains("royalty")), F.lit(False)), "no royalty", WARNING, "EXTRACTION"),
+            Rule("royalty_over_limit", "royalty_percentage", c("royalty_percentage") > ROYALTY_LIMIT, "royalty over 50 %", WARNING, "EXTRACTION"),
+            Rule("marketing_over_limit", "marketing_fee_percentage", c("marketing_fee_percentage") > MARKETING_LIMIT, "marketing over 20 %", WARNING, "EXTRACTION"),
+            Rule("fee_over_20", "other_fees", F.exists("other_fees", lambda f: f["amount_percentage"] > 20), "fee over 20 %", WARNING, "EXTRACTION"),
+        ],
+        "item7": lambda: [
+            Rule(f"missing_{'_'.join(name.lower().split())}", "categories", ~F.array_contains("categories", name), f"no {name}", WARNING, "EXTRACTION", F.array_join("categories", ", ")) for name in ("Initial Franchise Fee", "Working Capital")
+        ]
+        + [Rule("total_reversed", "total_high_cents", c("total_high_cents") < c("total_low_cents"), "total high below low", ERROR, "EXTRACTION")],
+        "item19": lambda: [
+            Rule("low_coverage", "units_included", F.try_divide(c("units_included") * 100.0, F.nullif("total_units", F.lit(0))) < 50, "under half of the units", WARNING, "EXTRACTION"),
+            Rule("no_disclaimers", "disclaimers", c("has_fpr") & F.coalesce(c("disclaimers"), F.lit("")).eqNullSafe(""), "no disclaimers", WARNING, "EXTRACTION"),
+            Rule("quartile_order", "median_cents", (c("bottom_quartile_cents") > c("median_cents")) | (c("median_cents") > c("top_quartile_cents")), "quartiles out of order", ERROR, "EXTRACTION"),
+            Rule("figures_without_fpr", "has_fpr", ~c("has_fpr") & c("median_cents").isNotNull(), "figures though there is no representation", WARNING, "EXTRACTION"),
+            Rule("fpr_without_figures", "has_fpr", c("has_fpr") & c("median_cents").isNull() & c("average_cents").isNull(), "representation without figures", WARNING, "EXTRACTION"),
+        ],
+        "item21": lambda: [
+            Rule("going_concern", "going_concern", F.coalesce(c("going_concern"), F.lit(False)), "going concern", WARNING, "EXTRACTION"),
+            Rule("no_figures", "revenue_cents", F.coalesce(c("revenue_cents"), c("assets_cents")).isNull(), "neither revenue nor assets", WARNING, "EXTRACTION"),
+        ],
+    }
+    return [doubt, *by_item[item]()]
+
+
+def documented_rules() -> list[Rule]:
+    """Rules that only the reference's documentation has; their category says so."""
+    c = F.col
+    margin = F.try_divide(c("net_income_cents") * 100.0, F.nullif("revenue_cents", F.lit(0)))
+    return [
+        Rule("royalty_over_15", "royalty_percentage", c("royalty_percentage") > 15, "royalty over 15 %", WARNING, "DOC_RULE"),
+        Rule("stale", "document_age_years", c("document_age_years") > 3, "document over three years old", ERROR, "DOC_RULE"),
+        Rule("ageing", "document_age_years", (c("document_age_years") > 2) & (c("document_age_years") <= 3), "document over two years old", WARNING, "DOC_RULE"),
+        Rule("current_over_total", "current_assets_cents", c("current_assets_cents") > c("assets_cents"), "current assets over all assets", ERROR, "DOC_RULE"),
+        Rule("margin_outside", "net_income_cents", F.abs(margin) > 50, "margin beyond 50 %", WARNING, "DOC_RULE", margin),
+    ]
+
+
+def document_rules() -> list[Rule]:
+    """Bounds, dates and page ranges of documents and sections."""
+    c = F.col
+    return [
+        Rule("amendment_before_issue", "amendment_date", c("amendment_date") < c("issue_date"), "amended before it was issued", ERROR, "CROSS_FIELD"),
+        Rule("page_range", "end_page", c("end_page") < c("start_page"), "ends before it starts", ERROR, "CROSS_FIELD"),
+        *bounds("item_no", 0, 24),
+    ]
