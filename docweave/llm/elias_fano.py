@@ -64,11 +64,12 @@ class EliasFano:
     def _within(word: np.ndarray, r: np.ndarray) -> np.ndarray:
         """The place of the r-th one of each word."""
         parts = np.ascontiguousarray(word).view(np.uint8).reshape(-1, 8)
-        counts = np.bitwise_count(parts).cumsum(1, dtype=np.int64)
-        byte = (counts <= r[:, None]).sum(1)
+        r = r.astype(np.uint8)
+        counts = np.zeros((len(word), 9), np.uint8)  # of ones before each byte
+        np.cumsum(np.bitwise_count(parts), axis=1, out=counts[:, 1:])
+        byte = (counts[:, 1:] <= r[:, None]).sum(1)
         row = np.arange(len(word))
-        before = np.where(byte > 0, counts[row, np.maximum(byte - 1, 0)], 0)
-        return byte * 8 + _PLACE[parts[row, byte], r - before]
+        return byte * 8 + _PLACE[parts[row, byte], r - counts[row, byte]]
 
     def access(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, np.int64)
