@@ -222,3 +222,25 @@ def json_explode(t):
     k = F.get_json_object("props", "$.k").cast("long")
     made = F.to_json(F.array(k, k + 1))
     return t.events.select("event_id", F.explode(F.from_json(made, "array<bigint>")).alias("v"))
+
+
+@query("t22_begins_item", """
+SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_size = 0 WHEN 1 THEN p_size BETWEEN 1 AND 23 ELSE p_size = 24 END AS hit FROM part""")
+def begins_item(t):
+    k = F.col("p_partkey") % 3
+    heading = F.when(k == 0, "Table  of contents").when(k == 1, F.concat(F.lit("ITEM "), F.col("p_size").cast("string"), F.lit(": fees"))).otherwise("Exhibit A")
+    return t.part.select("p_partkey", T.begins_item(heading, F.col("p_size")).alias("hit"))
+
+
+@query("x7_outlet_math", "SELECT l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) + l_linenumber - 1 + 2 - 3 AS count_end FROM lineitem")
+def outlet_math(t):
+    n = S.outlet_math(F.col("l_quantity").cast("long"), F.col("l_linenumber").cast("long"), F.lit(1).cast("long"), F.lit(2).cast("long"), F.lit(3).cast("long"))
+    return t.lineitem.select("l_orderkey", "l_linenumber", n.alias("count_end"))
+
+
+@query("r1_span_text", "SELECT o_orderkey, o_orderpriority || ' ' || o_orderstatus AS text FROM orders")
+def flattened_spans(t):
+    span = lambda c: F.struct(F.concat(F.lit("  "), F.col(c)).alias("content"))
+    line = F.struct(F.array(span("o_orderpriority"), span("o_orderstatus")).alias("spans"))
+    block = F.struct(F.array(line).alias("lines"), F.array().cast("array<struct<lines:array<struct<spans:array<struct<content:string>>>>>>").alias("blocks"))
+    return t.orders.select("o_orderkey", S.span_text(F.array(block)).alias("text"))

@@ -227,6 +227,19 @@ def item_number(c: Column | str) -> Column:
     return F.when(n.between(0, 24), n)
 
 
+# How a document's front matter (item 0) and its appendices (item 24) begin.
+FRONT_WORDS = (r"FRANCHISE\s+DISCLOSURE\s+DOCUMENT", "FDD", r"TABLE\s+OF\s+CONTENTS", "INTRODUCTION", r"COVER\s+PAGE")
+APPENDIX_WORDS = ("APPENDIX", "EXHIBIT", "ATTACHMENT")
+
+
+def begins_item(c: Column | str, item: Column | str) -> Column:
+    """Whether a text begins as its item does: front matter for 0, ``Item n`` for 1 to 23, an appendix for 24."""
+    x, n = F.trim(col(c)), col(item)
+    starts = lambda words: x.rlike("(?i)^(" + "|".join(words) + ")")
+    said = F.regexp_extract(x, r"(?i)^item\s+(\d{1,3})\b", 1).try_cast("int")
+    return F.when(n == 0, starts(FRONT_WORDS)).when(n == 24, starts(APPENDIX_WORDS)).when(n.between(1, 23), F.coalesce(said == n, F.lit(False))).otherwise(F.lit(False))
+
+
 def is_header_like(c: Column | str, phrases=()) -> Column:
     """At most 150 characters, and all capitals, titled words, an ``ITEM n`` or one of the phrases within 100 characters."""
     x = F.trim(col(c))

@@ -129,3 +129,8 @@ def test_similarity():
     assert udfs.similarity("LLC", "Burger King") < 0.95
     assert udfs.partial("initial fees", "item 5: initial fees and more") == 100.0
     assert udfs.partial("", "abc") == 0.0
+
+
+@pytest.mark.parametrize(("text", "item", "want"), [("Item 7: investment", 7, True), ("ITEM 70", 7, False), ("item 7", 8, False), ("Cover  page", 0, True), ("exhibit B", 24, True), ("Item 24", 24, False), ("Item 30", 30, False), (None, 3, False)])
+def test_begins_item(spark, text, item, want):
+    assert bool(of(spark, T.begins_item, text, F.lit(item))) == want
