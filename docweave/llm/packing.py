@@ -5,7 +5,7 @@ a multiset of lengths that fits one sequence. The program: cover every length's
 possible. It is solved by multiplicative weights: a knapsack dynamic program over the capacity finds the configuration
 worth most at the present weights, it enters by as much as its scarcest length allows, and the weights of what it covers fall
 against the others. The fractional solution, scaled to a packing, is rounded down to whole sequences; what is left is
-solved again, and the last few hundred sequences' worth are packed best-fit decreasing.
+solved again, for as long as that shortens the whole; the last rest is packed best-fit decreasing.
 Sequences then are ranges of ranks within a length, so that each piece finds its place by
 its rank alone.
 
@@ -14,6 +14,7 @@ Null texts are empty (the end id alone). Equal rows are packed each. An empty ta
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -84,55 +85,83 @@ def fractional(counts: np.ndarray, capacity: int, steps: int, rate: float = 0.5)
 
 
 def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Best-fit decreasing over a small histogram: longest first, each into the fullest sequence that still takes it."""
-    by_room: list[list[int]] = [[] for _ in range(capacity + 1)]
-    bins: list[dict[int, int]] = []
-    open_rooms: set[int] = set()
+    """Best-fit decreasing over a histogram: longest first, each into the fullest sequence that still takes it.
+
+    Equal sequences are handled as one with a count, so that the work follows the number of lengths, not of pieces.
+    """
+    by_room: dict[int, list[tuple[dict[int, int], int]]] = {}
+    rooms: list[int] = []  # with sequences in them, ascending
+
+    def put(config: dict[int, int], n: int, room: int) -> None:
+        if room not in by_room:
+            by_room[room] = []
+            bisect.insort(rooms, room)
+        by_room[room].append((config, n))
+
     for length in np.flatnonzero(counts)[::-1].tolist():
-        for _ in range(int(counts[length])):
-            room = min((r for r in open_rooms if r >= length), default=None)
-            if room is None:
-                b, room = len(bins), capacity
-                bins.append({})
+        left = int(counts[length])
+        while left:
+            at = bisect.bisect_left(rooms, length)
+            if at == len(rooms):
+                config, n, room = {}, -(-left // (capacity // length)), capacity
             else:
-                b = by_room[room].pop()
+                room = rooms[at]
+                config, n = by_room[room].pop()
                 if not by_room[room]:
-                    open_rooms.discard(room)
-            bins[b][length] = bins[b].get(length, 0) + 1
-            if room > length:
-                by_room[room - length].append(b)
-                open_rooms.add(room - length)
+                    del by_room[room], rooms[at]
+            # a sequence that takes one stays the fullest that takes another, as long as it has room
+            each = room // length
+            full = min(n, left // each)
+            if full:
+                put({**config, length: each}, full, room - each * length)
+                left -= full * each
+            if full < n and 0 < left < each:
+                put({**config, length: left}, 1, room - left * length)
+                full, left = full + 1, 0
+            if full < n and config:
+                put(config, n - full, room)
     made: dict[tuple, int] = {}
-    for b in bins:
-        made[tuple(sorted(b.items()))] = made.get(tuple(sorted(b.items())), 0) + 1
+    for group in by_room.values():
+        for config, n in group:
+            k = tuple(sorted(config.items()))
+            made[k] = made.get(k, 0) + n
     return [(dict(k), n) for k, n in made.items()]
 
 
-def plan_sequences(counts: np.ndarray, capacity: int, *, steps: int = 120, rounds: int = 12, rest: int = 400) -> list[tuple[dict[int, int], int]]:
-    """Configurations with whole numbers of sequences; together they take exactly ``counts`` pieces of each length."""
+def plan_sequences(counts: np.ndarray, capacity: int, *, steps: int = 120, rounds: int = 12, patience: int = 3) -> list[tuple[dict[int, int], int]]:
+    """Configurations with whole numbers of sequences; together they take exactly ``counts`` pieces of each length.
+
+    Rounds of the program take sequences off the histogram. After each the rest is packed best-fit decreasing; the round whose
+    whole comes out shortest ends the plan, and ``patience`` rounds without a shorter one end the search.
+    """
     left = counts.astype(np.int64).copy()
     left[0] = 0
-    plan: list[tuple[dict[int, int], int]] = []
+    taken: list[tuple[dict[int, int], int]] = []
     if left[capacity]:
-        plan.append(({capacity: 1}, int(left[capacity])))
+        taken.append(({capacity: 1}, int(left[capacity])))
         left[capacity] = 0
-    lengths = np.arange(capacity + 1)
+    best, shortest, since, used = [], -1, 0, sum(n for _, n in taken)
     for _ in range(rounds):
-        if int((left * lengths).sum()) <= rest * capacity:
+        if not left.any():
             break
         configs, x = fractional(left, capacity, steps)
-        taken = 0
-        for i in np.argsort(-x):
+        before = used
+        for i in np.argsort(-x, kind="stable"):
             config = configs[i]
             n = min([int(x[i] + 1e-9), *(int(left[length]) // m for length, m in config.items())])
             if n > 0:
-                plan.append((config, n))
-                taken += n
+                taken.append((config, n))
+                used += n
                 for length, m in config.items():
                     left[length] -= n * m
-        if taken * 20 * capacity < int((left * lengths).sum()):
-            break  # what is left is spread too thin for whole configurations
-    return plan + best_fit(left, capacity)
+        rest = best_fit(left, capacity)
+        whole = used + sum(n for _, n in rest)
+        since += 1
+        if shortest < 0 or whole < shortest:
+            best, shortest, since = taken + rest, whole, 0
+        if used == before or since == patience:
+            break  # what is left is spread too thin for whole configurations, or no more comes of it
+    return best if shortest >= 0 else taken
 
 
 def slots(plan: list[tuple[dict[int, int], int]], capacity: int) -> dict[str, np.ndarray]:
