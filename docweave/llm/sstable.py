@@ -201,17 +201,20 @@ def _bounds(docs: DataFrame, key: str, text: str, shard_bytes: int) -> list[int]
     shards = max(1, -(-size // shard_bytes))
     if shards == 1:
         return []
-    cuts = docs.select(F.col(key).cast("long").alias("k")).na.drop().agg(F.percentile_approx("k", [i / shards for i in range(1, shards)], 20 * shards).alias("q")).first()["q"]
+    cuts = docs.select(F.col(key).cast("long").alias("k")).na.drop().agg(F.percentile_approx("k", [i / shards for i in range(1, shards)], min(20 * shards, 500_000)).alias("q")).first()["q"]
     return sorted(set(cuts or []))
 
 
 def _shard_of(key: Column, cuts: list[int]) -> Column:
-    """The number of cuts at or below the key, by a constant array; nulls go first."""
+    """The number of cuts at or below the key, by binary search in a constant array; nulls go first."""
     if not cuts:
         return F.lit(0)
-    # the cuts are constants: a binary search unrolled as nested conditions would grow the plan, an ordered array doesn't
-    below = F.expr(f"from_json('{list(cuts)}', 'array<bigint>')")
-    return F.coalesce(F.size(F.filter(below, lambda c: c <= key)), F.lit(0))
+    table = F.expr(f"from_json('{list(cuts)}', 'array<bigint>')")
+    mid = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+    at_or_below = lambda s: F.get(table, mid(s)) <= key
+    step = lambda s, _: F.when(s["lo"] >= s["hi"], s).when(at_or_below(s), F.struct((mid(s) + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), mid(s).alias("hi")))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(cuts).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi")), step, lambda s: s["lo"])
+    return F.when(key.isNull(), 0).otherwise(found)
 
 
 def write_token_shards(
