@@ -149,18 +149,25 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, label: str,
     return docs.join(F.broadcast(chosen), key)
 
 
-def learn_from(stats: DataFrame, labels: DataFrame, *, key: str = "doc_id", label: str = "quality", max_rows: int = 20_000, min_words: int = 10, repeat_percent: int = 20) -> DecisionList:
-    """Learn the list from labelled rows of a table of statistics."""
-    rows = labelled_sample(stats, labels, key=key, label=label, max_rows=max_rows).where(~base_failed(min_words, repeat_percent)).select(*COUNTS, "__label", "__order").toPandas().sort_values(["__order", *COUNTS])
+def learn_from(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 20_000, min_words: int = 10, repeat_percent: int = 20) -> DecisionList:
+    """Learn the list from the labelled texts; statistics are worked out for these alone."""
+    chosen = labelled_sample(docs.select(key, text), labels, key=key, label=label, max_rows=max_rows)
+    rows = with_statistics(chosen, text=text).select(*COUNTS, "__label", "__order").toPandas().sort_values(["__order", *COUNTS])
+    # a filter on these statistics within the plan would move before the join, and work them out for every text
+    rows = rows[(rows["n_words"] >= min_words) & (100 * rows["n_repeat_words"] <= repeat_percent * rows["n_words"])]
     if not len(rows):
         return DecisionList()
     return learn(features({c: rows[c].to_numpy() for c in COUNTS}), rows["__label"].to_numpy() == 0, rows["__order"].to_numpy() & 0xFFFF)
 
 
+def judge(docs: DataFrame, found: DecisionList, *, text: str = "text", min_words: int = 10, repeat_percent: int = 20) -> DataFrame:
+    """``docs`` with ``COUNTS``, base_failed, rule (the first that fires) and kept; columns of these names are replaced. One pass, no shuffle."""
+    judged = with_statistics(docs, text=text).withColumns({"base_failed": base_failed(min_words, repeat_percent), "rule": found.verdict()})
+    return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
 def apply_rules(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 20_000, min_words: int = 10, repeat_percent: int = 20) -> tuple[DataFrame, DecisionList]:
-    """Statistics and verdicts of every row by its key: ``COUNTS``, base_failed, rule (the first that fires), kept; and the list."""
+    """The list learned from the labels, and every row judged by it: key and what ``judge`` adds."""
     common.ship(docs.sparkSession)
-    stats = common.materialize(with_statistics(docs.select(key, text), text=text).select(key, *COUNTS), "statistics")
-    found = learn_from(stats, labels, key=key, label=label, max_rows=max_rows, min_words=min_words, repeat_percent=repeat_percent)
-    judged = stats.withColumn("base_failed", base_failed(min_words, repeat_percent)).withColumn("rule", found.verdict())
-    return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull()), found
+    found = learn_from(docs, labels, key=key, text=text, label=label, max_rows=max_rows, min_words=min_words, repeat_percent=repeat_percent)
+    return judge(docs.select(key, text), found, text=text, min_words=min_words, repeat_percent=repeat_percent).drop(text), found
