@@ -169,13 +169,8 @@ class MergeCounter:
         return [next(whole) if c is None else sum(map(a, c[0])) + sum(map(b, c[1])) + len(c[0]) - 1 if c else 0 for c in cut]
 
 
-_counters: dict[str, MergeCounter] = {}
-
-
 def counter(path: str) -> MergeCounter:
-    if path not in _counters:
-        _counters[path] = MergeCounter(path)
-    return _counters[path]
+    return common.held(("counter", path), lambda: MergeCounter(path))
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, *, text: str = "text", limit: int = 512, n_bytes: str = "n_bytes", n_tokens: str = "n_tokens", over: str = "over_limit") -> DataFrame:

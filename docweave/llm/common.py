@@ -17,10 +17,13 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _own_dir: list[str] = []
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -34,7 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/docweave/{label}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/docweave/{label}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -45,18 +49,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_dir(spark: SparkSession, path: str) -> None:
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the tables and files that this process has put into the shared folder; for when its results have been written elsewhere."""
     jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, so that a cluster without it installed can run it."""
+    """Send this package to the executors once a session, so that a cluster without it installed can run it; and lower the Arrow batch's rows where they are Spark's default."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
     _shipped.add(app)
+    # whole texts are long rows: Spark's default of 10 000 a batch would hold tens of MB on either side of each worker
+    if spark.conf.get(BATCH_ROWS, "10000") == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
     root = Path(__file__).resolve().parents[1]
     folder = tempfile.mkdtemp(prefix="docweave-code-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -109,6 +118,23 @@ def without_gc(f):
     return call
 
 
+_held: dict[tuple, object] = {}
+_held_by = [None, None]
+
+
+def held(key: tuple, make):
+    """What a worker keeps between tasks under a key, whose first part names the operator. Once a task of another operator asks, it is let go."""
+    context = TaskContext.get()
+    task = context.taskAttemptId() if context else None
+    if task != _held_by[0]:
+        if key[0] != _held_by[1]:
+            _held.clear()
+        _held_by[:] = task, key[0]
+    if key not in _held:
+        _held[key] = make()
+    return _held[key]
+
+
 # --- texts ----------------------------------------------------------------------------------------------------------
 
 

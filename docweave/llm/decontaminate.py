@@ -94,12 +94,9 @@ class Canonicaliser:
         return np.where(kind == LITERAL, hashes, _MARKS[kind]), kind, owner, place, lists
 
 
-_state: dict[str, Canonicaliser] = {}
-
-
 def windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[str]]]:
     """All windows: hash, text's number, place among its template tokens, whether it has two words that aren't placeholders; and a slot reader."""
-    canonicaliser = _state.setdefault("it", Canonicaliser())
+    canonicaliser = common.held(("templates",), Canonicaliser)
     tokens, kind, owner, place, lists = canonicaliser.of(texts)
     sizes = np.bincount(owner, minlength=len(texts))
     begins = np.cumsum(sizes) - sizes

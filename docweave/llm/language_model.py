@@ -318,14 +318,8 @@ class Trie:
         return sizes, total((count > 0).astype(np.int64), begins), total(base, begins), total(score, begins)
 
 
-_tries: dict[str, Trie] = {}
-
-
 def trie(model: LanguageModel) -> Trie:
-    if model.path not in _tries or _tries[model.path].model != model:
-        _tries.clear()
-        _tries[model.path] = Trie(model)
-    return _tries[model.path]
+    return common.held(("trie", model), lambda: Trie(model))
 
 
 def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, shards: int | None = None) -> LanguageModel:
@@ -362,7 +356,7 @@ def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, shards: in
         yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(3)], ["shard", "n", "tokens"])
 
     def by_shard(rows: DataFrame) -> DataFrame:
-        return rows.repartition(shards, "shard").sortWithinPartitions("shard")
+        return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")  # a shard is a task: by hash, some tasks would get several
 
     got = by_shard(docs.mapInArrow(count_words, BLOBS)).mapInArrow(write_words, "shard long, n long, tokens long").collect()
     sizes = np.zeros(shards, np.int64)

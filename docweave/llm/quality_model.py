@@ -75,24 +75,17 @@ class Buckets:
         return np.array(codes, np.int64), np.array(sizes, np.int64), np.array(again, np.float32), np.array(pairs, np.float32)
 
 
-_state: dict[str, object] = {}
-
-
 def _buckets() -> Buckets:
-    return _state.setdefault("buckets", Buckets())
+    return common.held(("quality", "buckets"), Buckets)
 
 
 def _shape_vectors() -> np.ndarray:
-    if "shapes" not in _state:
-        _state["shapes"] = ternary(SHAPES, SHAPE_DIM, 11)
-    return _state["shapes"]
+    return common.held(("quality", "shapes"), lambda: ternary(SHAPES, SHAPE_DIM, 11))
 
 
 def context_sums(texts: list[str | None], sums: np.ndarray) -> None:
     """Add every word's neighbours' index vectors to its bucket's row; whole numbers, so that the order doesn't matter."""
-    if "index" not in _state:
-        _state["index"] = ternary(WORDS, WORD_DIM, 5).astype(np.int32)
-    index = _state["index"]
+    index = common.held(("quality", "index"), lambda: ternary(WORDS, WORD_DIM, 5).astype(np.int32))
     codes, sizes, _, _ = _buckets().of(texts)
     words, owner = codes // SHAPES, np.repeat(np.arange(len(sizes)), sizes)
     for d in range(1, WINDOW + 1):

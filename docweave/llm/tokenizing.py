@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable
+from contextlib import suppress
 
 import numpy as np
 
-from .common import without_gc
+from .common import held, without_gc
 
-#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 250 MB.
-MEMO = 1_200_000
+#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 170 MB.
+MEMO = 800_000
 
 
+#: Signs that may end a piece (fixed values).
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: White space besides spaces and line breaks (fixed values); texts with any are encoded whole.
 OTHER_SPACES = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -40,8 +43,11 @@ class PieceEncoder:
         self.sep = "\x02" if drops_spaces else "\n"
         self.mark = f" {self.sep} " if drops_spaces else self.sep
         (self.mark_id,) = self.library.encode(self.sep, add_special_tokens=False).ids
+        # pieces with a special string, in whatever case, aren't taken apart
+        self.special = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
         self.line_break = np.array([self.mark_id], "<u4").tobytes()
         self.memo: dict[str, bytes] = {}
+        self.ends: dict[str, bytes] = {"": b""}
         self.before = "" if drops_spaces else " "
 
     def whole(self, texts: list[str]) -> list[bytes]:
@@ -49,25 +55,30 @@ class PieceEncoder:
 
     def learn(self, new: Iterable[str]) -> None:
         """Put pieces that the memo lacks into it. A piece that begins with a line break stands alone, others follow a space."""
-        derived, plain, bare = [], set(), {}
-        for p in new:  # a stop or comma after a letter is a token of its own; where case is dropped, so are capitals
-            if p[:1] == "\n":
+        memo, ends = self.memo, self.ends
+        derived, plain, bare, marks = [], [], {}, set()
+        special = self.special
+        for p in new:  # signs after a letter are a token of their own; where case is dropped, so are capitals
+            base = p.rstrip(SIGNS)
+            if base and base[0] == "\n":
                 bare[p] = p[1:]
-                continue
-            base, end = (p[:-1], p[-1]) if len(p) > 1 and p[-1] in ".,!?" and p[-2].isalpha() else (p, "")
-            if self.drops_spaces and base.isascii():
-                base = base.lower()
-            if base is not p and base != p:
-                derived.append((p, base, end))
-                if base not in self.memo:
-                    plain.add(base)
+            elif special and any(x in p.lower() for x in special):
+                plain.append(p)
+            elif len(base) != len(p) and base and base[-1].isalpha():
+                end = p[len(base) :]
+                if end not in ends:
+                    marks.add(end)
+                derived.append((p, base.lower() if self.drops_spaces and base.isascii() else base, end))
+            elif self.drops_spaces and p.isascii() and not p.islower() and (low := p.lower()) != p:
+                derived.append((p, low, ""))
             else:
-                plain.add(p)
-        memo = self.memo
-        memo.update(self._encoded(list(plain), self.before))
-        ends = self._encoded([*".,!?"], "") if derived else {}
+                plain.append(p)
+        plain += {b for _, b, _ in derived if b not in memo}.difference(plain) if derived else ()
+        memo.update(self._encoded(plain, self.before))
+        if marks:
+            ends.update(self._encoded(list(marks), ""))
         for p, base, end in derived:
-            memo[p] = memo[base] + ends[end] if end else memo[base]
+            memo[p] = memo[base] + ends[end]
         found = self._encoded(list(bare.values()), "")
         for p, x in bare.items():
             memo[p] = self.line_break + found[x]
@@ -90,7 +101,7 @@ class PieceEncoder:
 
     @without_gc
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        cut: list[tuple[list[str], list[bytes | None]] | None] = []
+        cut: list[tuple[list[str], list[bytes | None], list[int]] | None] = []
         odd: list[str] = []
         new: set[str] = set()
         get = self.memo.get
@@ -108,21 +119,31 @@ class PieceEncoder:
                 del pieces[0]
             # one look at the memo per piece: it is too large for the CPU's caches
             found = list(map(get, pieces))
-            if None in found:
-                new.update([p for p, v in zip(pieces, found) if v is None])
-            cut.append((pieces, found))
+            holes, at = [], -1
+            with suppress(ValueError):
+                while True:
+                    at = found.index(None, at + 1)
+                    holes.append(at)
+            new.update([pieces[i] for i in holes])
+            cut.append((pieces, found, holes))
         self.learn(new)
-        memo, whole = self.memo, iter(self.whole(odd))
+        memo, whole, out = self.memo, iter(self.whole(odd)), []
         skip = 0 if self.drops_spaces else 4
-        out = [next(whole) if c is None else b"".join([memo[p] if v is None else v for p, v in zip(*c)] if None in c[1] else c[1])[skip:] for c in cut]
+        for c in cut:
+            if c is None:
+                out.append(next(whole))
+                continue
+            pieces, found, holes = c
+            for i in holes:
+                found[i] = memo[pieces[i]]
+            out.append(b"".join(found)[skip:])
+        if len(self.ends) > 10_000:
+            self.ends = {"": b""}
         if len(memo) > MEMO:
             self.memo = {p: memo[p] for c in cut if c for p in c[0]}
         return out
 
 
-_encoders: dict[tuple[str, bool], PieceEncoder] = {}
-
-
 def encoder(path: str, drops_spaces: bool = False) -> PieceEncoder:
     """A worker's encoder for a vocabulary; what it has learned stays for its next tasks."""
-    return _encoders.setdefault((path, drops_spaces), PieceEncoder(path, drops_spaces)) if (path, drops_spaces) not in _encoders else _encoders[path, drops_spaces]
+    return held(("encoder", path, drops_spaces), lambda: PieceEncoder(path, drops_spaces))
