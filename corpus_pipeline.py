@@ -27,18 +27,18 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    with_stats = quality_rules.with_statistics(docs, prefix="")
-    learned = quality_rules.apply_rules(docs, table(spark, sf_dir, "labels"))[1]
-    kept = ~quality_rules.base_failed() & learned.verdict().isNull()
-    return with_stats.where(kept).select(*docs.columns)
+    learned = quality_rules.learn_from(docs, table(spark, sf_dir, "labels"))
+    text = docs.select("*", *[F.col(c).alias(f"__{c}") for c in docs.columns])  # counts may take a column's name
+    return quality_rules.judge(text, learned, text="__text").where("kept").select(*[F.col(f"__{c}").alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: that of the smallest id (of rows that share it, the one of least text)."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__k")
     groups = simhash.near_duplicates(docs.select("doc_id", "text"), shingle=3, distance=3)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    first = W.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
+    kept = docs.select("*", key).join(keep, "__k", "left_semi")
+    first = W.partitionBy("__k").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
     return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
 
 
