@@ -36,7 +36,7 @@ def encode(values: np.ndarray, universe: int) -> bytes:
     packed = np.zeros((n * low + 7) // 8 + 16, np.uint8)
     if low:
         lows = values & _U((1 << low) - 1)
-        part = max(1, 2**20)
+        part = 2**17
         for lo in range(0, n, part):  # a bounded number of bits at a time
             x = lows[lo : lo + part]
             one = ((x[:, None] >> np.arange(low, dtype=_U)) & _U(1)).astype(np.uint8).ravel()

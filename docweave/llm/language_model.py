@@ -1,15 +1,18 @@
-"""A bigram language model in Elias-Fano trie levels, and scores of whole texts under it.
+"""A bigram or trigram language model in Elias-Fano trie levels, and scores of whole texts under it.
 
-Training reads all training texts twice. The first pass counts words; each hash shard of the words becomes a file: its words'
+Training reads all training texts twice, or three times. The first pass counts words; each hash shard of the words becomes a file: its words'
 64-bit hashes, ascending, in Elias-Fano form (a word's number is its place there, after those of the shards before), and
 exact counts, a byte each with the large ones aside. The second pass counts pairs of words that may reach ``min_count``, by number; each
 shard of contexts becomes a file: pointers from a context to its range of successors, monotone and so Elias-Fano coded; the
 successors' numbers, each range raised by the value that ended the one before, so that the level is one ascending sequence;
 and probabilities and back-off weights in 256 quantised steps. A query finds its context's range and base by the pointers,
-then the successor of base plus word; a word found within the range is a pair of the model.
+then the successor of base plus word; a word found within the range is a pair of the model. With ``order`` 3 a third pass
+counts triples, by the number of the pair they begin with; their level has the same form, pairs in the place of words. Its
+shards are ranges of pairs' numbers.
 
 Smoothing is interpolated absolute discounting over add-one unigrams: p(w|h) = max(c(hw) - d, 0) / c(h) + backoff(h) p(w), where the
-back-off takes what discounts and left-out pairs leave. A text is its words and one end; its first word is scored as a unigram.
+back-off takes what discounts and left-out pairs leave; p(w|gh) rests on p(w|h) likewise. A text is its words and one end;
+its first word is scored as a unigram, its second by the first. With ``min_count`` 1 nothing is left out.
 
 Files lie in the shared folder and are mapped where that is a mounted one, so that tasks on one machine share their pages.
 Counts leave a task as sorted, compressed arrays by shard: each distinct word or pair of the task once. Nothing but the
@@ -23,8 +26,8 @@ from __future__ import annotations
 import io
 import struct
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from itertools import chain, repeat
 
 import numpy as np
@@ -190,9 +193,9 @@ class PairLevel:
         self.p_code = np.frombuffer(data, np.uint8, self.n, at)
         self.b_code = np.frombuffer(data, np.uint8, self.words, at + self.n + -self.n % 8)
 
-    def query(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 p(word | context), NaN where the pair isn't there, and the context's log10 back-off."""
-        logp = np.full(len(context), np.nan)
+    def query(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 p(word | context), NaN where the pair isn't there, the context's log10 back-off, and the pair's place (-1: none)."""
+        logp, place = np.full(len(context), np.nan), np.full(len(context), -1, np.int64)
         begin, end = self.pointers.access(context).astype(np.int64), self.pointers.access(context + 1).astype(np.int64)
         going = np.flatnonzero(begin < end)
         b = begin[going]
@@ -202,7 +205,14 @@ class PairLevel:
         inside = np.flatnonzero(at < end[going])
         hit = inside[self.values.access(at[inside]) == want[inside]] if len(inside) else inside
         logp[going[hit]] = self.p_book[self.p_code[at[hit]]]
-        return logp, self.b_book[self.b_code[context]].astype(float)
+        place[going[hit]] = at[hit]
+        return logp, self.b_book[self.b_code[context]].astype(float), place
+
+    def word_at(self, place: np.ndarray) -> np.ndarray:
+        """The words of pairs by place: what their values stand above their range's base."""
+        begin = self.pointers.access(self.pointers.successor(place.astype(_U) + _U(1)) - 1).astype(np.int64)
+        base = np.where(begin > 0, self.values.access(np.maximum(begin - 1, 0)), _U(0))
+        return (self.values.access(place) - base).astype(np.int64) - 1
 
 
 # --- the model ----------------------------------------------------------------------------------------------------------
@@ -218,11 +228,19 @@ class LanguageModel:
     tokens: int
     pairs: int = 0
     min_count: int = 2
+    order: int = 2
+    pair_starts: tuple[int, ...] = ()  # a shard's first pair's number
+    triples: int = 0
 
     @property
     def distinct(self) -> int:
         return self.starts[-1]
 
+    @property
+    def step(self) -> int:
+        """How many pairs a shard of triples begins with."""
+        return max(1, -(-self.pairs // self.shards))
+
 
 class Trie:
     """A worker's view of a model: levels mapped as they are asked for."""
@@ -232,6 +250,7 @@ class Trie:
         self.starts = np.array(model.starts, np.int64)
         self.words: dict[int, WordLevel] = {}
         self.pairs: dict[int, PairLevel] = {}
+        self.triples: dict[int, PairLevel] = {}
         self.memo: dict[bytes, int] = {}
         self.numbers = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
@@ -246,6 +265,11 @@ class Trie:
             self.pairs[s] = PairLevel(common.read_file(f"{self.model.path}/pairs-{s:06d}"))
         return self.pairs[s]
 
+    def triple_level(self, s: int) -> PairLevel:
+        if s not in self.triples:
+            self.triples[s] = PairLevel(common.read_file(f"{self.model.path}/triples-{s:06d}"))
+        return self.triples[s]
+
     def by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = np.argsort(shard, kind="stable")
         s = shard[order]
@@ -273,6 +297,45 @@ class Trie:
             out[i] = self.word_level(s).counts(numbers[i] - self.starts[s])
         return out
 
+    def bigrams(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 p(word | context), NaN where the pair isn't there (-1: no known word), the context's back-off, and the pair's number (-1: none)."""
+        logp, backoff, pair = np.full(len(context), np.nan), np.zeros(len(context)), np.full(len(context), -1, np.int64)
+        for s, i in self.by_shard(np.searchsorted(self.starts, context, "right") - 1):
+            logp[i], backoff[i], place = self.pair_level(s).query(context[i] - self.starts[s], np.maximum(word[i], 0))
+            if self.model.order > 2:
+                pair[i] = np.where(place >= 0, place + self.model.pair_starts[s], -1)
+        logp[word < 0], pair[word < 0] = np.nan, -1
+        return logp, backoff, pair
+
+    def trigrams(self, pair: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 p(word | pair), NaN where the triple isn't there, and the pair's back-off."""
+        logp, backoff = np.full(len(pair), np.nan), np.zeros(len(pair))
+        for s, i in self.by_shard(pair // self.model.step):
+            logp[i], backoff[i], _ = self.triple_level(s).query(pair[i] - s * self.model.step, np.maximum(word[i], 0))
+        logp[word < 0] = np.nan
+        return logp, backoff
+
+    def seconds(self, pair: np.ndarray) -> np.ndarray:
+        """The second words of pairs by number."""
+        out, starts = np.zeros(len(pair), np.int64), np.array(self.model.pair_starts, np.int64)
+        for s, i in self.by_shard(np.searchsorted(starts, pair, "right") - 1):
+            out[i] = self.pair_level(s).word_at(pair[i] - starts[s])
+        return out
+
+    def pairs_of(self, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Where a token follows a known word, and for these the pair's log10 p, back-off and number; each distinct pair is asked for once."""
+        at = np.flatnonzero(~first & (np.concatenate([[-1], number[:-1]]) >= 0))
+        wide = max(self.model.distinct, 1) + 1
+        key, back = np.unique(number[at - 1] * wide + number[at] + 1, return_inverse=True)
+        return at, *(x[back] for x in self.bigrams(key // wide, key % wide - 1))
+
+    def triples_of(self, at: np.ndarray, pair: np.ndarray, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a token follows a pair of the model, and that pair's number, from what ``pairs_of`` found."""
+        pairs = np.full(len(number), -1, np.int64)
+        pairs[at] = pair
+        at = np.flatnonzero(~first & (np.concatenate([[-1], pairs[:-1]]) >= 0))
+        return at, pairs[at - 1]
+
     @common.without_gc
     def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Numbers and counts of all tokens, and how many each text has; a text's last token is the end."""
@@ -301,29 +364,27 @@ class Trie:
         score = base.copy()
         first = np.zeros(len(number), bool)
         first[begins] = True
-        at = np.flatnonzero(~first & (np.concatenate([[-1], number[:-1]]) >= 0))
-        # each distinct pair is asked for once
-        wide = max(model.distinct, 1) + 1
-        pair, back = np.unique(number[at - 1] * wide + number[at] + 1, return_inverse=True)
-        context, word = pair // wide, pair % wide - 1
-        logp, backoff = np.full(len(pair), np.nan), np.zeros(len(pair))
-        shard = np.searchsorted(self.starts, context, "right") - 1
-        for s, i in self.by_shard(shard):
-            logp[i], backoff[i] = self.pair_level(s).query(context[i] - self.starts[s], np.maximum(word[i], 0))
-            unknown = i[word[i] < 0]
-            logp[unknown] = np.nan
-        logp, backoff = logp[back], backoff[back]
+        at, logp, backoff, pair = self.pairs_of(number, first)
         score[at] = np.where(np.isnan(logp), backoff + base[at], logp)
+        if model.order > 2:
+            at, pair = self.triples_of(at, pair, number, first)
+            wide = max(model.distinct, 1) + 1
+            key, back = np.unique(pair.astype(_U) * _U(wide) + (number[at] + 1).astype(_U), return_inverse=True)
+            logp, backoff = (x[back] for x in self.trigrams((key // _U(wide)).astype(np.int64), (key % _U(wide)).astype(np.int64) - 1))
+            score[at] = np.where(np.isnan(logp), backoff + score[at], logp)
         total = np.add.reduceat
         return sizes, total((count > 0).astype(np.int64), begins), total(base, begins), total(score, begins)
 
 
 def trie(model: LanguageModel) -> Trie:
-    return common.held(("trie", model), lambda: Trie(model))
+    """A worker's trie of a model's files; while the model is trained, its manifest grows."""
+    held = common.held(("trie", model.path), lambda: Trie(model))
+    held.model = model
+    return held
 
 
-def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, shards: int | None = None) -> LanguageModel:
-    """Count all of ``docs`` and write the levels; as many shards as the input has partitions unless said otherwise."""
+def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, order: int = 2, shards: int | None = None) -> LanguageModel:
+    """Count all of ``docs`` and write the levels: words and pairs, with ``order`` 3 triples too; ``min_count`` 1 keeps all. As many shards as the input has partitions unless said otherwise."""
     spark = docs.sparkSession
     common.ship(spark)
     docs = docs.select(F.col(text).alias("text"))
@@ -363,44 +424,51 @@ def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, shards: in
     for r in got:
         sizes[r["shard"]] = r["n"]
     starts = (0, *np.cumsum(sizes).tolist())
-    model = LanguageModel(path, shards, starts, sum(r["tokens"] for r in got), min_count=min_count)
+    model = LanguageModel(path, shards, starts, sum(r["tokens"] for r in got), min_count=min_count, order=2)
     wide = max(model.distinct, 1)
     if wide >= 2**32:
         raise ValueError("more distinct words than a pair's key can hold")
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys: list[np.ndarray] = []
-        counts: list[np.ndarray] = []
-        held = last = 0
+    def counter(keys_of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], shard_of_keys: Callable[[np.ndarray], np.ndarray]):
+        """Keys of texts' tokens (numbers, counts, whether a text's first), summed up by a task before they move."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys: list[np.ndarray] = []
+            counts: list[np.ndarray] = []
+            held = last = 0
+
+            def sum_up() -> None:
+                nonlocal keys, counts, held, last
+                k, n = summed(np.concatenate(keys), np.concatenate(counts))
+                keys, counts, held, last = [k], [n], len(k), len(k)
+
+            for b in common.slices(batches, TEXTS):
+                number, count, sizes = trie(model).tokens(b["text"].to_pylist())
+                first = np.zeros(len(number), bool)
+                first[np.cumsum(sizes) - sizes] = True
+                k, n = np.unique(keys_of(number, count, first), return_counts=True)
+                keys.append(k)
+                counts.append(n.astype(_U))
+                held += len(k)
+                if held > last + PAIRS_HELD // 2:
+                    sum_up()
+                    if held > PAIRS_HELD:
+                        yield blobs(keys[0], counts[0], shard_of_keys(keys[0]))
+                        keys, counts, held, last = [], [], 0, 0
+            if held:
+                sum_up()
+                yield blobs(keys[0], counts[0], shard_of_keys(keys[0]))
 
-        def sum_up() -> None:
-            nonlocal keys, counts, held, last
-            k, n = summed(np.concatenate(keys), np.concatenate(counts))
-            keys, counts, held, last = [k], [n], len(k), len(k)
+        return count
 
-        def out() -> pa.RecordBatch:
-            context = (keys[0] // _U(wide)).astype(np.int64)
-            return blobs(keys[0], counts[0], np.searchsorted(np.array(starts), context, "right") - 1)
-
-        for b in common.slices(batches, TEXTS):
-            number, count, sizes = trie(model).tokens(b["text"].to_pylist())
-            first = np.zeros(len(number), bool)
-            first[np.cumsum(sizes) - sizes] = True
-            # a pair can't occur oftener than either of its words
-            often = count >= min_count
-            at = np.flatnonzero(~first & often & np.concatenate([[False], often[:-1]]))
-            k, n = np.unique(number[at - 1].astype(_U) * _U(wide) + number[at].astype(_U), return_counts=True)
-            keys.append(k)
-            counts.append(n.astype(_U))
-            held += len(k)
-            if held > last + PAIRS_HELD // 2:
-                sum_up()
-                if held > PAIRS_HELD:
-                    yield out()
-                    keys, counts, held, last = [], [], 0, 0
-        if held:
-            sum_up()
-            yield out()
+    def pair_keys(number: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
+        # a pair can't occur oftener than either of its words
+        often = count >= min_count
+        at = np.flatnonzero(~first & often & np.concatenate([[False], often[:-1]]))
+        return number[at - 1].astype(_U) * _U(wide) + number[at].astype(_U)
+
+    def pair_shards(keys: np.ndarray) -> np.ndarray:
+        return np.searchsorted(np.array(starts), (keys // _U(wide)).astype(np.int64), "right") - 1
 
     def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
@@ -418,12 +486,53 @@ def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, shards: in
             done.append((s, len(keys)))
         yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(2)], ["shard", "n"])
 
-    got = by_shard(docs.mapInArrow(count_pairs, BLOBS)).mapInArrow(write_pairs, "shard long, n long").collect()
+    got = by_shard(docs.mapInArrow(counter(pair_keys, pair_shards), BLOBS)).mapInArrow(write_pairs, "shard long, n long").collect()
     missing = {*range(shards)} - {r["shard"] for r in got}
     for s in missing:  # shards whose words are no frequent context
         words = starts[s + 1] - starts[s]
         common.write_file(f"{path}/pairs-{s:06d}", encode_pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), words, np.zeros(words)))
-    return LanguageModel(path, shards, starts, model.tokens, sum(r["n"] for r in got), min_count)
+    sizes = np.zeros(shards, np.int64)
+    for r in got:
+        sizes[r["shard"]] = r["n"]
+    model = replace(model, pairs=int(sizes.sum()), order=order, pair_starts=(0, *np.cumsum(sizes).tolist()))
+    if order < 3:
+        return model
+    step = model.step
+    if model.pairs * (wide + 1) >= 2**64:
+        raise ValueError("more distinct pairs than a triple's key can hold")
+
+    def triple_keys(number: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
+        t = trie(model)
+        at, _, _, pair = t.pairs_of(number, first)
+        at, pair = t.triples_of(at, pair, number, first)
+        return pair.astype(_U) * _U(wide) + number[at].astype(_U)
+
+    def triple_shards(keys: np.ndarray) -> np.ndarray:
+        return (keys // _U(wide)).astype(np.int64) // step
+
+    def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = []
+        for s, keys, counts in merged(batches):
+            t, contexts = trie(model), min(step, model.pairs - s * step)
+            # a pair is followed by one token wherever it stands, but for those that end a text
+            of_context = np.maximum(np.bincount((keys // _U(wide)).astype(np.int64) - s * step, counts.astype(float), minlength=contexts), 1)
+            kept = counts >= min_count
+            keys, n = keys[kept], counts[kept].astype(float)
+            place, word = (keys // _U(wide)).astype(np.int64) - s * step, (keys % _U(wide)).astype(np.int64)
+            left = 1 - np.bincount(place, n - DISCOUNT, minlength=contexts) / of_context
+            low, backoff, _ = t.bigrams(t.seconds(np.arange(contexts) + s * step)[place], word)
+            none = np.flatnonzero(np.isnan(low))
+            low[none] = backoff[none] + np.log10((t.counts_of(word[none]) + 1) / (model.tokens + model.distinct + 1))
+            logp = np.log10((n - DISCOUNT) / of_context[place] + left[place] * 10**low)
+            common.write_file(f"{path}/triples-{s:06d}", encode_pairs(place, word, logp, contexts, np.log10(np.maximum(left, 1e-9))))
+            done.append((s, len(keys)))
+        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(2)], ["shard", "n"])
+
+    got = by_shard(docs.mapInArrow(counter(triple_keys, triple_shards), BLOBS)).mapInArrow(write_triples, "shard long, n long").collect()
+    for s in {*range(shards)} - {r["shard"] for r in got}:  # shards whose pairs only end texts
+        contexts = max(0, min(step, model.pairs - s * step))
+        common.write_file(f"{path}/triples-{s:06d}", encode_pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), contexts, np.zeros(contexts)))
+    return replace(model, triples=sum(r["n"] for r in got))
 
 
 def with_lm_score(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:

@@ -120,3 +120,47 @@ def test_query(spark, sf_dir):
         assert r.score == pytest.approx(slow.score(docs[r.doc_id]), rel=0, abs=0.01 * len(w) + 0.02)
     heard = [r for r in rows if r.held_out]
     assert sum(r.score for r in heard) > sum(r.base_score for r in heard)
+
+
+class Whole(Slow):
+    """All pairs and triples, none left out."""
+
+    def __init__(self, texts):
+        super().__init__(texts, least=1)
+        self.third = defaultdict(Counter)
+        for t in texts:
+            for g, h, w in zip(words(t), words(t)[1:], words(t)[2:]):
+                self.third[g, h][w] += 1
+
+    def p3(self, g, h, w):
+        k = self.third.get((g, h))
+        if not k:
+            return self.p(h, w)
+        n = sum(k.values())
+        return (max(k[w] - L.DISCOUNT, 0) + L.DISCOUNT * len(k) * self.p(h, w)) / n
+
+    def score(self, t):
+        w = words(t)
+        return math.log10(self.low(w[0])) + sum(math.log10(self.p(*x)) for x in zip(w[:1], w[1:])) + sum(math.log10(self.p3(*x)) for x in zip(w, w[1:], w[2:]))
+
+
+@pytest.mark.parametrize("shards", [1, 5])
+def test_whole_model(spark, shards):
+    texts = [*TEXTS, "the cat slept here once", "a rare pair stands here once"]
+    model = L.train(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), min_count=1, order=3, shards=shards)
+    slow = Whole(texts)
+    assert model.pairs == sum(len(k) for k in slow.kept.values()) and model.triples == sum(len(k) for k in slow.third.values())
+    asked = [*texts, "unknown words the cat", "MAT THE DOG", "the cat unknown sat on the mat"]
+    score = L.Trie(model).score(asked)[3]
+    for i, t in enumerate(asked):
+        assert score[i] == pytest.approx(slow.score(t), rel=0, abs=0.02 * len(words(t)))
+    assert sum(slow.p3(b"the", b"cat", w) for w in slow.c) + slow.p3(b"the", b"cat", b"nowhere") == pytest.approx(1)
+
+
+def test_query_leaves_nothing_out(spark, sf_dir):
+    from docweave.llm.queries import op9_lm_score
+
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    slow = Whole([t for i, t in docs.items() if zlib.crc32(str(i).encode()) % 7 != 2])
+    for r in op9_lm_score(spark, sf_dir).collect():
+        assert r.score == pytest.approx(slow.score(docs[r.doc_id]), rel=0, abs=0.015 * r.n_tokens + 0.05)
