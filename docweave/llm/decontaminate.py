@@ -7,7 +7,7 @@ of the item's windows; at ``similarity`` or more of them the text holds the item
 the item repeats must stand for one value of the text wherever it recurs. So a copy with other numbers or names is caught, a text
 that happens to share a pattern of placeholders isn't.
 
-Windows need two words that aren't placeholders (unless an item has no such window); items of fewer than five tokens match
+Windows of items need two words that aren't placeholders (unless an item has no such window); items of fewer than five tokens match
 only texts of just these. Texts are read whole; before the join, windows whose hashes no item has are left out, by a
 sorted array where the items' hashes are at most ``max_filter``, else by the join itself.
 
@@ -133,16 +133,18 @@ def windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return hashes, owner[starts], index[starts], (words >= 2) | (length[starts] < WINDOW), slots
 
 
-def _window_rows(rows: DataFrame, key: str, text: str, known=None) -> DataFrame:
-    """key, h, pos, slots, n (usable windows of the text) of ``rows``' windows; of those with known hashes where given."""
+def _window_rows(rows: DataFrame, key: str, text: str, known=None, items: bool = False) -> DataFrame:
+    """key, h, pos, slots, n (usable windows of the text) of ``rows``' windows: of items those that are usable, of texts all, or those with known hashes where given."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches, 512):
             hashes, owner, pos, wordy, slots = windows(b[text].to_pylist())
-            if known is None:
+            if items:
                 # an item without wordy windows keeps those it has
                 any_wordy = np.bincount(owner, wordy, minlength=b.num_rows)
                 keep = wordy | (any_wordy[owner] == 0)
+            elif known is None:
+                keep = np.ones(len(hashes), bool)
             else:
                 array = known.value
                 keep = array[np.minimum(np.searchsorted(array, hashes), len(array) - 1)] == hashes if len(array) else np.zeros(len(hashes), bool)
@@ -170,7 +172,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
     """A row per document and item whose template it holds: key, item, n_windows, n_matched, similarity, n_slots, slot_share, same_slots, first_token, end_token (the span in template tokens)."""
     spark = docs.sparkSession
     common.ship(spark)
-    items = common.materialize(_window_rows(benchmark, item, item_text).dropDuplicates(["key", "pos"]), "item-windows")
+    items = common.materialize(_window_rows(benchmark, item, item_text, items=True).dropDuplicates(["key", "pos"]), "item-windows")
     known = None
     if items.select("h").distinct().limit(max_filter + 1).count() <= max_filter:  # at most 8 bytes each
         found = items.select("h").distinct().toPandas()["h"].to_numpy().view(_U)

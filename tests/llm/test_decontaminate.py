@@ -29,6 +29,12 @@ def test_the_join_alone_finds_the_same(spark):
     assert found(spark, docs, [(1, ITEM)], max_filter=0).keys() == found(spark, docs, [(1, ITEM)]).keys() == {(1, 1), (2, 1)}
 
 
+def test_the_join_alone_finds_items_of_placeholders(spark):
+    sums = "12 13 14 15 apples 16 17 18 19 20"
+    docs = [(1, f"{FILL} {sums} {FILL}"), (2, FILL)]
+    assert found(spark, docs, [(1, sums)], max_filter=0).keys() == found(spark, docs, [(1, sums)]).keys() == {(1, 1)}
+
+
 def test_inconsistent_slots_are_turned_away(spark):
     assert D.consistency([("12", "90"), ("12", "31")]) == 0.5
     assert D.consistency([]) == 1.0
