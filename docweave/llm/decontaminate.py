@@ -7,6 +7,10 @@ of the item's windows; at ``similarity`` or more of them the text holds the item
 the item repeats must stand for one value of the text wherever it recurs. So a copy with other numbers or names is caught, a text
 that happens to share a pattern of placeholders isn't.
 
+A capitalised word at the start of a text or sentence may be a name or not. So texts and items are read twice, with such
+words as words and as names, and each reading is matched with its like; a row comes from the first of them that holds the
+template. Where such words are names, windows always need two words that aren't.
+
 Windows of items need two words that aren't placeholders (unless an item has no such window); items of fewer than five tokens match
 only texts of just these. Texts are read whole; before the join, windows whose hashes no item has are left out, by a
 sorted array where the items' hashes are at most ``max_filter``, else by the join itself.
@@ -64,8 +68,8 @@ class Canonicaliser:
         lower = text.lower().encode("utf-8", "replace")
         return xxhash.xxh64_intdigest(lower), end | (2 if text[0].isupper() else 0) | (4 if lower in UNITS else 0)
 
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
-        """Template tokens of all texts: hash, kind, text's number, place of its (first) piece; and the texts' pieces."""
+    def pieces(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
+        """Pieces of all texts: hash, flags, text's number, place; and by text."""
         lists = [common.words_of(t) for t in texts]
         if len(self.memo) > MEMO:
             self.memo, self.hashes, self.flags = {}, np.zeros(0, _U), np.zeros(0, np.uint8)
@@ -78,26 +82,30 @@ class Canonicaliser:
         rows = np.array([memo[w] for words in lists for w in words], np.int64)
         sizes = np.array([len(w) for w in lists], np.int64)
         owner, place = np.repeat(np.arange(len(lists)), sizes), np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        flags, hashes = self.flags[rows], self.hashes[rows]
-        starts = (place == 0) | np.concatenate([[True], (flags[:-1] & 8) > 0])[: len(rows)]
-        kind = np.zeros(len(rows), np.uint8)
-        kind[(flags & 2 > 0) & ~starts] = NAME
+        return self.hashes[rows], self.flags[rows], owner, place, lists
+
+    @staticmethod
+    def of(hashes: np.ndarray, flags: np.ndarray, owner: np.ndarray, place: np.ndarray, names: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Template tokens of pieces: hash, kind, text's number, place of its (first) piece. ``names``: also where a sentence starts."""
+        starts = (place == 0) | np.concatenate([[True], (flags[:-1] & 8) > 0])[: len(flags)]
+        kind = np.zeros(len(flags), np.uint8)
+        kind[(flags & 2 > 0) & (names | ~starts)] = NAME
         kind[flags & 1 > 0] = NUMBER
         keep = flags & 16 == 0
-        hashes, kind, owner, place, flags = hashes[keep], kind[keep], owner[keep], place[keep], flags[keep]
+        hashes, kind, owner, place, flags, starts = hashes[keep], kind[keep], owner[keep], place[keep], flags[keep], starts[keep]
         follows = np.concatenate([[False], owner[1:] == owner[:-1]])[: len(kind)]
         before = np.concatenate([[0], kind[:-1]])[: len(kind)]
         kind[(flags & 4 > 0) & follows & (before == NUMBER)] = UNIT
         # a name of several words is one slot
-        keep = ~((kind == NAME) & follows & (before == NAME))
+        keep = ~((kind == NAME) & follows & (before == NAME) & ~starts)
         hashes, kind, owner, place = hashes[keep], kind[keep], owner[keep], place[keep]
-        return np.where(kind == LITERAL, hashes, _MARKS[kind]), kind, owner, place, lists
+        return np.where(kind == LITERAL, hashes, _MARKS[kind]), kind, owner, place
 
 
-def windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[str]]]:
-    """All windows: hash, text's number, place among its template tokens, whether it has two words that aren't placeholders; and a slot reader."""
-    canonicaliser = common.held(("templates",), Canonicaliser)
-    tokens, kind, owner, place, lists = canonicaliser.of(texts)
+def windows(texts: list[str | None], names: bool = False, pieces: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[str]]]:
+    """All windows: hash, text's number, place among its template tokens, whether it has two words that aren't placeholders; and a slot reader. Hashes with ``names`` are others than without."""
+    *of, lists = pieces or common.held(("templates",), Canonicaliser).pieces(texts)
+    tokens, kind, owner, place = Canonicaliser.of(*of, names)
     sizes = np.bincount(owner, minlength=len(texts))
     begins = np.cumsum(sizes) - sizes
     n = len(tokens)
@@ -105,14 +113,18 @@ def windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     length = np.minimum(sizes, WINDOW)[owner] if n else index
     starts = np.flatnonzero(index + length <= sizes[owner]) if n else index
     starts = starts[(length[starts] == WINDOW) | (index[starts] == 0)]
-    hashes = length[starts].astype(_U) * _U(0xD6E8FEB86659FD93)
-    words = np.zeros(len(starts), np.int64)
+    # from each token on, by shifted arrays; only those that begin a window are taken
+    hashes = length.astype(_U) * _U(0xD6E8FEB86659FD93) ^ _U(names)
+    words, literal = np.zeros(n, np.int8), kind == LITERAL
     for i in range(WINDOW):
-        at = np.minimum(starts + i, max(n - 1, 0))
-        inside = i < length[starts]
-        x = (tokens[at] + _U(i)) * _FACTORS[i]
-        hashes ^= np.where(inside, x ^ (x >> _U(29)), _U(0))
-        words += inside & (kind[at] == LITERAL)
+        m = max(n - i, 0)
+        x = (tokens[i:] + _U(i)) * _FACTORS[i]
+        x ^= x >> _U(29)
+        outside = length[:m] <= i
+        x[outside] = 0
+        hashes[:m] ^= x
+        words[:m] += literal[i:] & ~outside
+    hashes, words = hashes[starts], words[starts]
     hashes = hashes * _U(0xFF51AFD7ED558CCD)
     hashes ^= hashes >> _U(32)
 
@@ -130,33 +142,35 @@ def windows(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray
             out.append(b" ".join(_EDGE.sub(b"", x) for x in pieces[p:last]).decode("utf-8", "replace").lower())
         return out
 
-    return hashes, owner[starts], index[starts], (words >= 2) | (length[starts] < WINDOW), slots
+    return hashes, owner[starts], index[starts], (words >= 2) | (length[starts] < WINDOW) & (not names), slots
 
 
 def _window_rows(rows: DataFrame, key: str, text: str, known=None, items: bool = False) -> DataFrame:
-    """key, h, pos, slots, n (usable windows of the text) of ``rows``' windows: of items those that are usable, of texts all, or those with known hashes where given."""
+    """key, names (the reading), h, pos, slots, n (usable windows of the text) of ``rows``' windows: of items those that are usable, of texts all, or those with known hashes where given."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches, 512):
-            hashes, owner, pos, wordy, slots = windows(b[text].to_pylist())
-            if items:
-                # an item without wordy windows keeps those it has
-                any_wordy = np.bincount(owner, wordy, minlength=b.num_rows)
-                keep = wordy | (any_wordy[owner] == 0)
-            elif known is None:
-                keep = np.ones(len(hashes), bool)
-            else:
-                array = known.value
-                keep = array[np.minimum(np.searchsorted(array, hashes), len(array) - 1)] == hashes if len(array) else np.zeros(len(hashes), bool)
-            at = np.flatnonzero(keep)
-            n = np.bincount(owner[at], minlength=b.num_rows)
-            keys = b[key].to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([keys[o] for o in owner[at]], pa.int64()), pa.array(hashes[at].view(np.int64)), pa.array(pos[at], pa.int32()), pa.array([slots(int(w)) for w in at], pa.list_(pa.string())), pa.array(n[owner[at]], pa.int32())],
-                ["key", "h", "pos", "slots", "n"],
-            )
-
-    return rows.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(scan, "key long, h long, pos int, slots array<string>, n int")
+            texts, keys = b[text].to_pylist(), b[key].to_pylist()
+            pieces = common.held(("templates",), Canonicaliser).pieces(texts)
+            for names in (False, True):
+                hashes, owner, pos, wordy, slots = windows(texts, names, pieces)
+                if items:
+                    # an item without wordy windows keeps those it has
+                    any_wordy = np.bincount(owner, wordy, minlength=b.num_rows)
+                    keep = wordy | (any_wordy[owner] == 0) & (not names)
+                elif known is None:
+                    keep = np.ones(len(hashes), bool)
+                else:
+                    array = known.value
+                    keep = array[np.minimum(np.searchsorted(array, hashes), len(array) - 1)] == hashes if len(array) else np.zeros(len(hashes), bool)
+                at = np.flatnonzero(keep)
+                n = np.bincount(owner[at], minlength=b.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([keys[o] for o in owner[at]], pa.int64()), pa.array([names] * len(at), pa.bool_()), pa.array(hashes[at].view(np.int64)), pa.array(pos[at], pa.int32()), pa.array([slots(int(w)) for w in at], pa.list_(pa.string())), pa.array(n[owner[at]], pa.int32())],
+                    ["key", "names", "h", "pos", "slots", "n"],
+                )
+
+    return rows.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(scan, "key long, names boolean, h long, pos int, slots array<string>, n int")
 
 
 def consistency(pairs: list[tuple[str, str]]) -> float:
@@ -172,20 +186,24 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
     """A row per document and item whose template it holds: key, item, n_windows, n_matched, similarity, n_slots, slot_share, same_slots, first_token, end_token (the span in template tokens)."""
     spark = docs.sparkSession
     common.ship(spark)
-    items = common.materialize(_window_rows(benchmark, item, item_text, items=True).dropDuplicates(["key", "pos"]), "item-windows")
+    items = common.materialize(_window_rows(benchmark, item, item_text, items=True).dropDuplicates(["key", "names", "pos"]), "item-windows")
     known = None
     if items.select("h").distinct().limit(max_filter + 1).count() <= max_filter:  # at most 8 bytes each
         found = items.select("h").distinct().toPandas()["h"].to_numpy().view(_U)
         known = spark.sparkContext.broadcast(np.sort(found))
-    left = _window_rows(docs, key, text, known).select("key", "h", "pos", "slots")
-    right = items.select(F.col("key").alias("item"), "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("n_windows"))
-    matches = left.join(right, "h").select("key", "item", "pos", "item_pos", "slots", "item_slots", "n_windows")
+    left = _window_rows(docs, key, text, known).select("key", "names", "h", "pos", "slots")
+    right = items.select(F.col("key").alias("item"), "names", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("n_windows"))
+    matches = left.join(right, ["h", "names"]).select("key", "item", "names", "pos", "item_pos", "slots", "item_slots", "n_windows")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
         done: list[tuple] = []
+        last = None  # the pair that has a row already
 
         def close() -> None:
+            nonlocal last
+            if (held[0]["key"], held[0]["item"]) == last:
+                return
             diagonal = np.array([r["pos"] - r["item_pos"] for r in held])
             # the alignment with most matches within the slack
             values, counts = np.unique(diagonal, return_counts=True)
@@ -202,6 +220,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
                         slots[r["item_pos"] + i, r["pos"] + i] = (a, b)
             agree = consistency(list(slots.values()))
             if share >= similarity and agree >= slot_share:
+                last = held[0]["key"], held[0]["item"]
                 lo, hi = min(r["pos"] for r in on), max(r["pos"] for r in on) + WINDOW
                 done.append((held[0]["key"], held[0]["item"], held[0]["n_windows"], len(places), share, len(slots), agree, all(a == b for a, b in slots.values()), lo, hi))
 
@@ -211,7 +230,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
 
         for b in batches:
             for r in b.to_pylist():
-                if held and (r["key"], r["item"]) != (held[0]["key"], held[0]["item"]):
+                if held and (r["key"], r["item"], r["names"]) != (held[0]["key"], held[0]["item"], held[0]["names"]):
                     close()
                     held = []
                 held.append(r)
@@ -221,7 +240,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
             close()
         yield batch()
 
-    sorted_ = matches.repartition("key", "item").sortWithinPartitions("key", "item", "pos", "item_pos")
+    sorted_ = matches.repartition("key", "item").sortWithinPartitions("key", "item", "names", "pos", "item_pos")
     schema = f"`{key}` long, `{item}` long, n_windows int, n_matched int, similarity double, n_slots int, slot_share double, same_slots boolean, first_token int, end_token int"
     NAMES = [key, item, "n_windows", "n_matched", "similarity", "n_slots", "slot_share", "same_slots", "first_token", "end_token"]
     return sorted_.mapInArrow(verify, schema)

@@ -29,6 +29,19 @@ def test_the_join_alone_finds_the_same(spark):
     assert found(spark, docs, [(1, ITEM)], max_filter=0).keys() == found(spark, docs, [(1, ITEM)]).keys() == {(1, 1), (2, 1)}
 
 
+SENTENCES = "Anna buys 12 apples. Peter takes 4 apples from her. Anna then sells 3 apples for 2 dollars each. How many apples does Anna keep?"
+
+
+def test_names_that_start_sentences(spark):
+    copy = SENTENCES.replace("Anna", "Maria").replace("Peter", "John Smith").replace("12", "90")
+    mixed = copy.replace("Maria then", "Ruth then").replace("does Maria", "does Eve")
+    docs = [(1, copy), (2, f"{FILL}. {copy} {FILL}"), (3, f"{FILL} {copy} {FILL}"), (4, SENTENCES), (5, FILL.capitalize()), (6, mixed)]
+    got = found(spark, docs, [(1, SENTENCES)], slot_share=0.95)
+    assert got.keys() == {(1, 1), (2, 1), (3, 1), (4, 1)}
+    assert got[4, 1].same_slots and not got[1, 1].same_slots
+    assert found(spark, docs, [(1, SENTENCES)], slot_share=0.95, max_filter=0) == got
+
+
 def test_the_join_alone_finds_items_of_placeholders(spark):
     sums = "12 13 14 15 apples 16 17 18 19 20"
     docs = [(1, f"{FILL} {sums} {FILL}"), (2, FILL)]
