@@ -7,14 +7,13 @@
     best-fit packing      the rest is cut and packed into sequences: the pieces with their places
 
 All but the last return the columns of documents. Models are fitted on each stage's own input and the labels table.
-Rows with a null id are judged like others; of near copies they stay only where no row with an id does. Rows that share a
-smallest id and a group all but one go.
+Rows with a null id are judged like others; of near copies one stays only where no row with an id is. Rows that share
+an id or have none are documents of their own: of each group of near copies just one row stays, and a contaminated row goes alone.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from docweave.llm import common, decontaminate, packing, quality_model, quality_rules, simhash
@@ -33,13 +32,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each component: that of the smallest id (of rows that share it, the one of least text)."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).alias("__k")
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"), shingle=3, distance=3)
-    keep = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key).distinct()
-    kept = docs.select("*", key).join(keep, "__k", "left_semi")
-    first = W.partitionBy("__k").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*docs.columns)
+    """One row of each component: that of the smallest id, nulls last."""
+    return simhash.one_of_each(docs, shingle=3, distance=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

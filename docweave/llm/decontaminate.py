@@ -15,7 +15,7 @@ Windows of items need two words that aren't placeholders (unless an item has no
 only texts of just these. Texts are read whole; before the join, windows whose hashes no item has are left out, by a
 sorted array where the items' hashes are at most ``max_filter``, else by the join itself.
 
-Null texts and texts without words match nothing. Rows that share an id count as one document; null ids form one.
+Null texts and texts without words match nothing. Each row is a document, also where ids repeat or are null. Rows of items that share an id count as one item.
 """
 
 from __future__ import annotations
@@ -146,11 +146,11 @@ def windows(texts: list[str | None], names: bool = False, pieces: tuple | None =
 
 
 def _window_rows(rows: DataFrame, key: str, text: str, known=None, items: bool = False) -> DataFrame:
-    """key, names (the reading), h, pos, slots, n (usable windows of the text) of ``rows``' windows: of items those that are usable, of texts all, or those with known hashes where given."""
+    """key, row, names (the reading), h, pos, slots, n (usable windows of the text) of ``rows``' windows: of items those that are usable, of texts all, or those with known hashes where given."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches, 512):
-            texts, keys = b[text].to_pylist(), b[key].to_pylist()
+            texts, keys, numbers = b[text].to_pylist(), b[key].to_pylist(), b["__row"].to_numpy()
             pieces = common.held(("templates",), Canonicaliser).pieces(texts)
             for names in (False, True):
                 hashes, owner, pos, wordy, slots = windows(texts, names, pieces)
@@ -166,11 +166,11 @@ def _window_rows(rows: DataFrame, key: str, text: str, known=None, items: bool =
                 at = np.flatnonzero(keep)
                 n = np.bincount(owner[at], minlength=b.num_rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[o] for o in owner[at]], pa.int64()), pa.array([names] * len(at), pa.bool_()), pa.array(hashes[at].view(np.int64)), pa.array(pos[at], pa.int32()), pa.array([slots(int(w)) for w in at], pa.list_(pa.string())), pa.array(n[owner[at]], pa.int32())],
-                    ["key", "names", "h", "pos", "slots", "n"],
+                    [pa.array([keys[o] for o in owner[at]], pa.int64()), pa.array(numbers[owner[at]], pa.int64()), pa.array([names] * len(at), pa.bool_()), pa.array(hashes[at].view(np.int64)), pa.array(pos[at], pa.int32()), pa.array([slots(int(w)) for w in at], pa.list_(pa.string())), pa.array(n[owner[at]], pa.int32())],
+                    ["key", "row", "names", "h", "pos", "slots", "n"],
                 )
 
-    return rows.select(F.col(key).cast("long").alias(key), F.col(text)).mapInArrow(scan, "key long, names boolean, h long, pos int, slots array<string>, n int")
+    return rows.select(F.col(key).cast("long").alias(key), F.col(text), F.monotonically_increasing_id().alias("__row")).mapInArrow(scan, "key long, row long, names boolean, h long, pos int, slots array<string>, n int")
 
 
 def consistency(pairs: list[tuple[str, str]]) -> float:
@@ -183,7 +183,7 @@ def consistency(pairs: list[tuple[str, str]]) -> float:
 
 
 def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = 0.8, slot_share: float = 0.8, max_filter: int = 5_000_000) -> DataFrame:
-    """A row per document and item whose template it holds: key, item, n_windows, n_matched, similarity, n_slots, slot_share, same_slots, first_token, end_token (the span in template tokens)."""
+    """A row per document (row of ``docs``) and item whose template it holds: key, item, n_windows, n_matched, similarity, n_slots, slot_share, same_slots, first_token, end_token (the span in template tokens)."""
     spark = docs.sparkSession
     common.ship(spark)
     items = common.materialize(_window_rows(benchmark, item, item_text, items=True).dropDuplicates(["key", "names", "pos"]), "item-windows")
@@ -191,9 +191,9 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
     if items.select("h").distinct().limit(max_filter + 1).count() <= max_filter:  # at most 8 bytes each
         found = items.select("h").distinct().toPandas()["h"].to_numpy().view(_U)
         known = spark.sparkContext.broadcast(np.sort(found))
-    left = _window_rows(docs, key, text, known).select("key", "names", "h", "pos", "slots")
+    left = _window_rows(docs, key, text, known).select("key", "row", "names", "h", "pos", "slots")
     right = items.select(F.col("key").alias("item"), "names", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("n_windows"))
-    matches = left.join(right, ["h", "names"]).select("key", "item", "names", "pos", "item_pos", "slots", "item_slots", "n_windows")
+    matches = left.join(right, ["h", "names"]).select("key", "row", "item", "names", "pos", "item_pos", "slots", "item_slots", "n_windows")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -202,7 +202,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
 
         def close() -> None:
             nonlocal last
-            if (held[0]["key"], held[0]["item"]) == last:
+            if (held[0]["row"], held[0]["item"]) == last:
                 return
             diagonal = np.array([r["pos"] - r["item_pos"] for r in held])
             # the alignment with most matches within the slack
@@ -220,7 +220,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
                         slots[r["item_pos"] + i, r["pos"] + i] = (a, b)
             agree = consistency(list(slots.values()))
             if share >= similarity and agree >= slot_share:
-                last = held[0]["key"], held[0]["item"]
+                last = held[0]["row"], held[0]["item"]
                 lo, hi = min(r["pos"] for r in on), max(r["pos"] for r in on) + WINDOW
                 done.append((held[0]["key"], held[0]["item"], held[0]["n_windows"], len(places), share, len(slots), agree, all(a == b for a, b in slots.values()), lo, hi))
 
@@ -230,7 +230,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
 
         for b in batches:
             for r in b.to_pylist():
-                if held and (r["key"], r["item"], r["names"]) != (held[0]["key"], held[0]["item"], held[0]["names"]):
+                if held and (r["row"], r["item"], r["names"]) != (held[0]["row"], held[0]["item"], held[0]["names"]):
                     close()
                     held = []
                 held.append(r)
@@ -240,13 +240,14 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
             close()
         yield batch()
 
-    sorted_ = matches.repartition("key", "item").sortWithinPartitions("key", "item", "names", "pos", "item_pos")
+    sorted_ = matches.repartition("row", "item").sortWithinPartitions("row", "item", "names", "pos", "item_pos")
     schema = f"`{key}` long, `{item}` long, n_windows int, n_matched int, similarity double, n_slots int, slot_share double, same_slots boolean, first_token int, end_token int"
     NAMES = [key, item, "n_windows", "n_matched", "similarity", "n_slots", "slot_share", "same_slots", "first_token", "end_token"]
     return sorted_.mapInArrow(verify, schema)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that hold an item's template."""
-    found = find_contaminated(docs, benchmark, key=key, **options).select(F.col(key).alias("__bad")).distinct()
-    return docs.join(found, F.col(key).eqNullSafe(F.col("__bad")), "left_anti")
+    """``docs`` without the rows that hold an item's template, whatever their ``key``; ``docs`` is written once, so that rows keep their numbers."""
+    numbered = common.materialize(docs.withColumn("__doc", F.monotonically_increasing_id()), "numbered")
+    found = find_contaminated(numbered, benchmark, key="__doc", **options).select("__doc").distinct()
+    return numbered.join(found, "__doc", "left_anti").select(*docs.columns)

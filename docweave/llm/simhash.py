@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
@@ -195,14 +196,29 @@ def near_links(nodes: DataFrame, fp: str, distance: int, n: int) -> DataFrame:
     return rows.repartition(F.col("t"), F.col("k"), F.col("i"), F.col("j")).sortWithinPartitions("t", "k", "i", "j").mapInArrow(compare, "a long, b long")
 
 
+def roots(nodes: DataFrame, distance: int) -> DataFrame:
+    """``nodes``, a row per distinct ``fp``, with ``root``: a fingerprint that stands for its component."""
+    links = near_links(nodes, "fp", distance, nodes.count())
+    found = connected_components(links)
+    return nodes.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """A row per row of ``docs``: key, fp (signed), fingerprint (16 hex digits), component_id (the component's smallest key)."""
     prints = common.materialize(with_fingerprint(docs.select(F.col(key), F.col(text)), text=text, out="fp", shingle=shingle).select(key, "fp"), "prints")
     nodes = common.materialize(prints.groupBy("fp").agg(F.min(key).alias("least")), "nodes")
-    links = near_links(nodes, "fp", distance, nodes.count())
-    roots = connected_components(links)
-    grouped = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    grouped = roots(nodes, distance)
     of_root = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     of_print = grouped.select("fp", "root").join(of_root, "root").select("fp", "component_id")
     return prints.join(of_print, "fp").select(key, "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
+
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
+    """Of each component one row of ``docs``: that of the smallest key, nulls last; of several, that of the smallest fingerprint, then the least text and other columns."""
+    marked = common.materialize(with_fingerprint(docs, text=text, out="__fp", shingle=shingle), "prints")
+    nodes = common.materialize(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(key).alias("least")), "nodes")
+    best = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("best")
+    kept = roots(nodes, distance).groupBy("root").agg(best).select(F.col("best.fp").alias("__fp"))
+    # of copies all but one go before they move
+    first = W.partitionBy("__fp").orderBy(F.col(key).asc_nulls_last(), text, *[c for c in docs.columns if c not in (key, text)])
+    return marked.withColumn("__n", F.row_number().over(first)).where("__n = 1").join(kept, "__fp", "left_semi").select(*docs.columns)

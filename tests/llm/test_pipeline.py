@@ -40,6 +40,25 @@ def test_stages_one_by_one(spark, tmp_path):
     assert left[4] == left[3]
 
 
+def test_rows_that_share_an_id_or_have_none(spark, tmp_path):
+    rng = random.Random(1)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdfgh" for b in "aeiou" for c in "lmnrst"]
+    t = [" ".join(rng.choices(vocabulary, k=60)) for _ in range(9)]
+    rows = [(None, t[0]), (None, t[1]), (None, t[2]), (None, t[2]), (1, t[3]), (None, t[3]), (2, t[4]), (2, t[5]), (3, t[6]), (3, t[4]), (4, t[7]), (4, t[7]), (None, None)]
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x or "")) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(None, t[0]), (None, t[1]), (None, t[2]), (1, t[3]), (2, t[4]), (2, t[5]), (3, t[6]), (4, t[7]), (None, None)]))
+    # of null ids, and of repeated ones, the row that holds the item goes, and no two halves make one
+    item = " ".join(t[8].split()[:30])
+    half = t[8].split()
+    docs = spark.createDataFrame([(i, x, "en", "s", len(x)) for i, x in [(None, t[0]), (None, item), (None, t[1]), (5, item), (5, t[2]), (6, " ".join(half[:16])), (6, " ".join(half[12:30]))]], docs.schema)
+    spark.createDataFrame([(0, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    assert got.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(None, t[0]), (None, t[1]), (5, t[2]), (6, " ".join(half[:16])), (6, " ".join(half[12:30]))]))
+
+
 def test_run(spark, sf_dir):
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert rows
