@@ -8,6 +8,7 @@ white space, or two of these in a row, go to the library whole.
 from __future__ import annotations
 
 import os
+import unicodedata
 from collections.abc import Iterable
 from contextlib import suppress
 
@@ -30,6 +31,12 @@ def cuts_anywhere(t: str) -> bool:
     return not ("  " in t or "\n\n" in t or " \n" in t or "\n " in t or t[0].isspace() or t[-1].isspace() or any(c in t for c in OTHER_SPACES))
 
 
+def ends_in_letter(base: str) -> bool:
+    """Whether a letter ends a piece before and after normalisation, so that signs behind it are tokens of their own. Some letters turn into a letter and a mark, which signs would join."""
+    last = base[-1]
+    return last.isalpha() and (last.isascii() or unicodedata.normalize("NFC", last).lower()[-1].isalpha())
+
+
 class PieceEncoder:
     """``encode(texts)`` gives for each text its ids as little-endian unsigned 32-bit bytes; null counts as empty."""
 
@@ -64,7 +71,7 @@ class PieceEncoder:
                 bare[p] = p[1:]
             elif special and any(x in p.lower() for x in special):
                 plain.append(p)
-            elif len(base) != len(p) and base and base[-1].isalpha():
+            elif len(base) != len(p) and base and ends_in_letter(base):
                 end = p[len(base) :]
                 if end not in ends:
                     marks.add(end)

@@ -1,5 +1,6 @@
 """Token files, packing and token counts against the tokenizers library."""
 
+import unicodedata
 import zlib
 
 import numpy as np
@@ -34,6 +35,40 @@ def test_pieces_give_the_librarys_ids(byte_bpe, word_bpe, drops):
     assert e.encode([None]) == [b""]
 
 
+def test_signs_beside_every_letter(byte_bpe, word_bpe):
+    """Some letters turn into a letter and a mark, which the library joins with signs behind it."""
+    signs = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    letters = [c for c in map(chr, [*range(128, 0xD800), *range(0xE000, 0x32000)]) if c.isalpha() or unicodedata.category(c)[0] in "MN"]
+    values = [f"x {c}{signs[i % 32]} a{c}{signs[i % 32]}{signs[i * 7 % 32]} {signs[i * 7 % 32]}{c} {c}b{signs[i % 32]}" for i, c in enumerate(letters)]
+    assert len(values) > 100_000 and "\u0130" in letters and "\u095c" in letters
+    for path, drops in ((byte_bpe, False), (word_bpe, True)):
+        e, lib = PieceEncoder(path, drops), Tokenizer.from_file(path)
+        for i in range(0, len(values), 5000):
+            want = [np.array(x.ids, "<u4").tobytes() for x in lib.encode_batch(values[i : i + 5000], add_special_tokens=False)]
+            assert e.encode(values[i : i + 5000]) == want
+
+
+def test_queries_give_the_librarys_ids(spark, sf_dir, byte_bpe, word_bpe):
+    from docweave.llm import queries as Q
+
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect())
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    ids, start, want = [[*x, 0] for x in library(byte_bpe, [t for _, t in docs])], 0, []
+    for (i, _), x in zip(docs, ids):
+        want.append((i, start, len(x), crc(x)))
+        start += len(x)
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in Q.op1_sstable_tokens(spark, sf_dir).collect()) == want
+    assert sorted((r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in Q.op10_token_counts(spark, sf_dir).collect()) == [(i, len(t.encode()), len(x) - 1, len(x) > 513) for (i, t), x in zip(docs, ids)]
+    want = [(i, k, at, len(x[at : at + 2048]), crc(x[at : at + 2048])) for (i, _), y in zip(docs, library(word_bpe, [t for _, t in docs])) for x in [[*y, 0]] for k, at in enumerate(range(0, len(x), 2048))]
+    rows = Q.op3_best_fit_packing(spark, sf_dir).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == ends.get(r.sequence_id, 0)
+        ends[r.sequence_id] = r.offset + r.length
+    assert max(ends.values()) <= 2048 and len(ends) <= 1.02 * sum(r.length for r in rows) / 2048 + 1
+
+
 def test_memo_keeps_its_bound(byte_bpe, monkeypatch):
     from docweave.llm import tokenizing
 
