@@ -47,69 +47,100 @@ def encode(values: np.ndarray, universe: int) -> bytes:
     return _HEAD.pack(n, low, words, len(packed)) + body + b"\0" * (-len(body) % 8)
 
 
+_ONES, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+
+
+def select(word: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """The place of the r-th one of each 64-bit word, by sums of its bytes' ones within one multiplication."""
+    x = word - ((word >> _U(1)) & _U(0x5555555555555555))
+    x = (x & _U(0x3333333333333333)) + ((x >> _U(2)) & _U(0x3333333333333333))
+    sums = (((x + (x >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _ONES)  # a byte: the ones up to its end
+    r = r.astype(_U)
+    # the top bit stays in bytes whose sum is at most r
+    shift = np.bitwise_count(((r * _ONES | _TOPS) - sums) & _TOPS).astype(_U) << _U(3)
+    before = (sums << _U(8)) >> shift & _U(255)
+    return shift.astype(np.int64) + _PLACE[(word >> shift & _U(255)).astype(np.int64), (r - before).astype(np.int64)]
+
+
 class EliasFano:
     def __init__(self, data: memoryview, at: int = 0):
         self.n, self.low, words, packed = _HEAD.unpack_from(data, at)
         at += _HEAD.size
-        self.bytes = np.frombuffer(data, np.uint8, words * 8, at)
+        self.bits = np.frombuffer(data, np.uint8, words * 8, at)
         self.words = np.frombuffer(data, _U, words, at)
         at += words * 8
         self.ones = np.frombuffer(data, _U, words + 1, at)
         at += (words + 1) * 8
-        self.packed = np.frombuffer(data, np.uint8, packed, at)
+        # eight bytes from every byte on
+        self.packed = np.ndarray((packed - 8,), "<u8", data, at, (1,))
         self.zeros = None
+        self.last = int(self.access(np.array([self.n - 1]))[0]) >> self.low if self.n else -1
         self.end = at + packed + -(words * 8 + (words + 1) * 8 + packed) % 8
 
-    @staticmethod
-    def _within(word: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """The place of the r-th one of each word."""
-        parts = np.ascontiguousarray(word).view(np.uint8).reshape(-1, 8)
-        r = r.astype(np.uint8)
-        counts = np.zeros((len(word), 9), np.uint8)  # of ones before each byte
-        np.cumsum(np.bitwise_count(parts), axis=1, out=counts[:, 1:])
-        byte = (counts[:, 1:] <= r[:, None]).sum(1)
-        row = np.arange(len(word))
-        return byte * 8 + _PLACE[parts[row, byte], r - counts[row, byte]]
-
     def access(self, i: np.ndarray) -> np.ndarray:
         i = np.asarray(i, np.int64)
         word = np.searchsorted(self.ones, i.astype(_U), "right") - 1
-        place = word * 64 + self._within(self.words[word], i - self.ones[word].astype(np.int64))
+        place = word * 64 + select(self.words[word], i - self.ones[word].astype(np.int64))
         return (place - i).astype(_U) << _U(self.low) | self._lows(i)
 
+    def all(self) -> np.ndarray:
+        """All values, from one walk over the bits."""
+        i = np.arange(self.n)
+        return (np.flatnonzero(np.unpackbits(self.bits, bitorder="little")) - i).astype(_U) << _U(self.low) | self._lows(i)
+
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low:
             return np.zeros(len(i), _U)
         bit = i * self.low
-        eight = self.packed[(bit >> 3)[:, None] + np.arange(8)]
-        return (np.ascontiguousarray(eight).view(_U).ravel() >> (bit & 7).astype(_U)) & _U((1 << self.low) - 1)
+        return (self.packed[bit >> 3] >> (bit & 7).astype(_U)) & _U((1 << self.low) - 1)
 
-    def _rank_of_step(self, h: np.ndarray) -> np.ndarray:
-        """How many values have an upper part below ``h``: the ones before the h-th zero."""
+    def _step(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many values have an upper part below ``h``, and up to ``h``: the ones before the h-th zero, and those right behind it."""
         if self.zeros is None:
             self.zeros = np.arange(len(self.ones), dtype=np.int64) * 64 - self.ones.astype(np.int64)
         k = np.maximum(h - 1, 0)
         word = np.minimum(np.searchsorted(self.zeros, k, "right") - 1, len(self.words) - 1)
-        place = word * 64 + self._within(~self.words[word], k - self.zeros[word])
-        return np.where(h > 0, place - k, 0)
+        place = np.where(h > 0, word * 64 + select(~self.words[word], k - self.zeros[word]) + 1, 0)
+        end = place.copy()
+        going = None  # all
+        while True:
+            at = end if going is None else end[going]
+            word, bit = at >> 6, (at & 63).astype(_U)
+            gap = ~(self.words[word] >> bit)
+            run = np.bitwise_count((gap & (~gap + _U(1))) - _U(1)).astype(np.int64)
+            run = np.minimum(run, 64 - bit.astype(np.int64))
+            if going is None:
+                end += run
+                going = np.flatnonzero(bit.astype(np.int64) + run == 64)
+            else:
+                end[going] += run
+                going = going[bit.astype(np.int64) + run == 64]
+            if not len(going):
+                return place - h, end - h
 
-    def successor(self, v: np.ndarray) -> np.ndarray:
-        """The first index whose value is at least ``v``, else n."""
+    def find(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first index whose value is at least ``v``, else n, and whether it is ``v``."""
         v = np.asarray(v, _U)
         if not self.n:
-            return np.zeros(len(v), np.int64)
+            return np.zeros(len(v), np.int64), np.zeros(len(v), bool)
         h = (v >> _U(self.low)).astype(np.int64)
-        last = int(self.access(np.array([self.n - 1]))[0]) >> self.low
-        beyond = h > last
-        h = np.minimum(h, last)
-        lo, hi = self._rank_of_step(h), self._rank_of_step(h + 1)
+        beyond = h > self.last
+        lo, end = self._step(np.minimum(h, self.last))
+        hi = end.copy()
         want = v & _U((1 << self.low) - 1)
-        while True:
-            going = np.flatnonzero(lo < hi)
-            if not len(going):
-                break
-            mid = (lo[going] + hi[going]) >> 1
+        going = np.flatnonzero(lo < hi)
+        while len(going):
+            a, b = lo[going], hi[going]
+            mid = (a + b) >> 1
             less = self._lows(mid) < want[going]
-            lo[going[less]] = mid[less] + 1
-            hi[going[~less]] = mid[~less]
-        return np.where(beyond, self.n, lo)
+            a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+            lo[going], hi[going] = a, b
+            going = going[a < b]
+        hit = (lo < end) & ~beyond
+        there = np.flatnonzero(hit)
+        hit[there] = self._lows(lo[there]) == want[there]
+        return np.where(beyond, self.n, lo), hit
+
+    def successor(self, v: np.ndarray) -> np.ndarray:
+        """The first index whose value is at least ``v``, else n."""
+        return self.find(v)[0]

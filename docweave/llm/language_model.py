@@ -1,22 +1,25 @@
 """A bigram or trigram language model in Elias-Fano trie levels, and scores of whole texts under it.
 
-Training reads all training texts twice, or three times. The first pass counts words; each hash shard of the words becomes a file: its words'
+Texts are cut into words once: a task numbers its words in the order it meets them, writes each text as these numbers, and its
+dictionaries (hashes and training counts of so many words) as files. The dictionaries' counts, by hash shard, become the first level: each shard's words'
 64-bit hashes, ascending, in Elias-Fano form (a word's number is its place there, after those of the shards before), and
-exact counts, a byte each with the large ones aside. The second pass counts pairs of words that may reach ``min_count``, by number; each
+exact counts, a byte each with the large ones aside. A dictionary's words are looked up there once; from then on a text's words are an array's look away from the
+model's numbers. The next pass counts pairs of words; each
 shard of contexts becomes a file: pointers from a context to its range of successors, monotone and so Elias-Fano coded; the
 successors' numbers, each range raised by the value that ended the one before, so that the level is one ascending sequence;
 and probabilities and back-off weights in 256 quantised steps. A query finds its context's range and base by the pointers,
-then the successor of base plus word; a word found within the range is a pair of the model. With ``order`` 3 a third pass
-counts triples, by the number of the pair they begin with; their level has the same form, pairs in the place of words. Its
-shards are ranges of pairs' numbers.
+then the successor of base plus word; a word found within the range is a pair of the model. With ``order`` 3 a further pass
+counts triples. Their level has the same form, with pairs in the place of contexts, and successors numbered relative to
+their context: a word by its rank among the words that follow the pair's second word, so that ranges are short and dense. Its shards
+are ranges of pairs' numbers.
 
 Smoothing is interpolated absolute discounting over add-one unigrams: p(w|h) = max(c(hw) - d, 0) / c(h) + backoff(h) p(w), where the
 back-off takes what discounts and left-out pairs leave; p(w|gh) rests on p(w|h) likewise. A text is its words and one end;
 its first word is scored as a unigram, its second by the first. With ``min_count`` 1 nothing is left out.
 
 Files lie in the shared folder and are mapped where that is a mounted one, so that tasks on one machine share their pages.
-Counts leave a task as sorted, compressed arrays by shard: each distinct word or pair of the task once. Nothing but the
-manifest (a row a shard) reaches the driver. Words are told apart by 64-bit hashes; among ten million that two share one has a chance of 3 in a million.
+Counts leave a task as sorted, compressed arrays by shard. Nothing but the
+manifest (a row a shard) and the dictionaries' names reaches the driver. Words are told apart by 64-bit hashes; among ten million that two share one has a chance of 3 in a million.
 
 Null texts are empty: one end token. Repeated rows and ids count each. Without training texts all counts are zero.
 """
@@ -25,10 +28,11 @@ from __future__ import annotations
 
 import io
 import struct
-from collections import Counter
+import uuid
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
-from itertools import chain, repeat
+from itertools import chain, count, repeat
 
 import numpy as np
 import pandas as pd
@@ -44,8 +48,8 @@ from .elias_fano import EliasFano, encode
 _U = np.uint64
 #: The end of a text; no word is empty.
 END = xxhash.xxh64_intdigest(b"")
-#: Distinct words held by a task or worker, and pairs before a task sums them up.
-WORDS_HELD, PAIRS_HELD = 500_000, 3_000_000
+#: Distinct words held by a task or worker, and tokens whose pairs are sorted at once.
+WORDS_HELD, PAIRS_HELD = 500_000, 4_000_000
 #: Texts looked up at once: queries are dealt to shards, so more of them cost fewer calls.
 TEXTS = 2048
 DISCOUNT = 0.75
@@ -74,6 +78,21 @@ def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[begins], np.add.reduceat(counts, begins)
 
 
+def runs(a: np.ndarray) -> np.ndarray:
+    """Where runs of equal neighbours begin."""
+    return np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
+
+
+def grouped(context: np.ndarray) -> np.ndarray:
+    """An order that brings contexts together, ascending: one sort of numbers that carry their places, where both fit 64 bits."""
+    bits = max(1, len(context).bit_length())
+    if len(context) and int(context.max()) < 1 << 63 - bits:
+        packed = context.astype(np.int64) << bits | np.arange(len(context))
+        packed.sort()
+        return packed & (1 << bits) - 1
+    return np.argsort(context, kind="stable")
+
+
 def blobs(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
     """Ascending keys by shard, as differences."""
     order = np.argsort(shard, kind="stable")
@@ -161,11 +180,11 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes and the codebook: the means of bins of equal width, so that no value is off by more than a bin."""
     if not len(x):
         return np.zeros(0, np.uint8), np.zeros(STEPS, np.float32)
-    edges = np.linspace(x.min(), x.max(), STEPS + 1)[1:-1]
-    code = np.searchsorted(edges, x, "right")
+    low, width = x.min(), max(float(x.max() - x.min()), 1e-9) / STEPS
+    code = np.minimum((x - low) / width, STEPS - 1).astype(np.uint8)
     n = np.bincount(code, minlength=STEPS)
     book = np.bincount(code, x, minlength=STEPS) / np.maximum(n, 1)
-    return code.astype(np.uint8), book.astype(np.float32)
+    return code, book.astype(np.float32)
 
 
 def encode_pairs(context: np.ndarray, word: np.ndarray, logp: np.ndarray, words: int, backoff: np.ndarray) -> bytes:
@@ -193,26 +212,33 @@ class PairLevel:
         self.p_code = np.frombuffer(data, np.uint8, self.n, at)
         self.b_code = np.frombuffer(data, np.uint8, self.words, at + self.n + -self.n % 8)
 
-    def query(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 p(word | context), NaN where the pair isn't there, the context's log10 back-off, and the pair's place (-1: none)."""
-        logp, place = np.full(len(context), np.nan), np.full(len(context), -1, np.int64)
-        begin, end = self.pointers.access(context).astype(np.int64), self.pointers.access(context + 1).astype(np.int64)
-        going = np.flatnonzero(begin < end)
-        b = begin[going]
-        base = np.where(b > 0, self.values.access(np.maximum(b - 1, 0)), _U(0)) if len(going) else np.zeros(0, _U)
-        want = base + word[going].astype(_U) + _U(1)
-        at = self.values.successor(want)
-        inside = np.flatnonzero(at < end[going])
-        hit = inside[self.values.access(at[inside]) == want[inside]] if len(inside) else inside
-        logp[going[hit]] = self.p_book[self.p_code[at[hit]]]
-        place[going[hit]] = at[hit]
-        return logp, self.b_book[self.b_code[context]].astype(float), place
-
-    def word_at(self, place: np.ndarray) -> np.ndarray:
-        """The words of pairs by place: what their values stand above their range's base."""
-        begin = self.pointers.access(self.pointers.successor(place.astype(_U) + _U(1)) - 1).astype(np.int64)
-        base = np.where(begin > 0, self.values.access(np.maximum(begin - 1, 0)), _U(0))
-        return (self.values.access(place) - base).astype(np.int64) - 1
+    def query(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For contexts in ascending order: log10 p(word | context), NaN where the pair isn't there (-1: no word), the context's log10 back-off, the pair's place (-1: none) and its rank in the context's range."""
+        begins = runs(context)
+        of = context[begins]
+        owner = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(context))))
+        ends = self.pointers.access(np.stack([of, of + 1], axis=1).ravel()).astype(np.int64).reshape(-1, 2)
+        base = np.zeros(len(of), _U)
+        later = np.flatnonzero((ends[:, 0] > 0) & (ends[:, 0] < ends[:, 1]))
+        base[later] = self.values.access(ends[later, 0] - 1)
+        backoff = self.b_book[self.b_code[of]].astype(float)[owner]
+        logp, place, rank = np.full(len(context), np.nan), np.full(len(context), -1, np.int64), np.full(len(context), -1, np.int64)
+        going = np.flatnonzero((word >= 0) & (ends[:, 0] < ends[:, 1])[owner])
+        mine = owner[going]
+        at, hit = self.values.find(base[mine] + word[going].astype(_U) + _U(1))
+        hit &= at < ends[mine, 1]
+        going, mine, at = going[hit], mine[hit], at[hit]
+        logp[going] = self.p_book[self.p_code[at]]
+        place[going], rank[going] = at, at - ends[mine, 0]
+        return logp, backoff, place, rank
+
+    def successors(self) -> np.ndarray:
+        """The successors of all pairs: what their values stand above their range's base."""
+        pointers, values = self.pointers.all().astype(np.int64), self.values.all().astype(np.int64)
+        sizes = np.diff(pointers)
+        full = np.flatnonzero(sizes)
+        base = np.where(pointers[full] > 0, values[np.maximum(pointers[full] - 1, 0)], 0)
+        return values - np.repeat(base, sizes[full]) - 1
 
 
 # --- the model ----------------------------------------------------------------------------------------------------------
@@ -247,95 +273,94 @@ class Trie:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.starts = np.array(model.starts, np.int64)
-        self.words: dict[int, WordLevel] = {}
-        self.pairs: dict[int, PairLevel] = {}
-        self.triples: dict[int, PairLevel] = {}
+        self.levels: dict[tuple[str, int], WordLevel | PairLevel] = {}
         self.memo: dict[bytes, int] = {}
         self.numbers = np.zeros(0, np.int64)
         self.counts = np.zeros(0, np.int64)
 
-    def word_level(self, s: int) -> WordLevel:
-        if s not in self.words:
-            self.words[s] = WordLevel(common.read_file(f"{self.model.path}/words-{s:06d}"))
-        return self.words[s]
-
-    def pair_level(self, s: int) -> PairLevel:
-        if s not in self.pairs:
-            self.pairs[s] = PairLevel(common.read_file(f"{self.model.path}/pairs-{s:06d}"))
-        return self.pairs[s]
-
-    def triple_level(self, s: int) -> PairLevel:
-        if s not in self.triples:
-            self.triples[s] = PairLevel(common.read_file(f"{self.model.path}/triples-{s:06d}"))
-        return self.triples[s]
+    def level(self, kind: str, s: int) -> WordLevel | PairLevel:
+        if (kind, s) not in self.levels:
+            self.levels[kind, s] = (WordLevel if kind == "words" else PairLevel)(common.read_file(f"{self.model.path}/{kind}-{s:06d}"))
+        return self.levels[kind, s]
 
     def by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(shard, kind="stable")
+        order = grouped(shard)
         s = shard[order]
-        begins = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]])) if len(s) else []
+        begins = runs(s)
         for a, b in zip(begins, [*begins[1:], len(s)]):
             yield int(s[a]), order[a:b]
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers (-1: unknown) and counts of words by hash."""
-        number, count = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
+        number, count, starts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64), self.model.starts
         for s, i in self.by_shard(shard_of(hashes, self.model.shards)):
-            if self.starts[s + 1] == self.starts[s]:
+            if starts[s + 1] == starts[s]:
                 continue
-            level = self.word_level(s)
+            level = self.level("words", s)
             at = level.find(hashes[i])
             hit = at >= 0
-            number[i[hit]] = at[hit] + self.starts[s]
+            number[i[hit]] = at[hit] + starts[s]
             count[i[hit]] = level.counts(at[hit])
         return number, count
 
     def counts_of(self, numbers: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(numbers), np.int64)
-        shard = np.searchsorted(self.starts, numbers, "right") - 1
-        for s, i in self.by_shard(shard):
-            out[i] = self.word_level(s).counts(numbers[i] - self.starts[s])
+        out, starts = np.zeros(len(numbers), np.int64), np.array(self.model.starts, np.int64)
+        for s, i in self.by_shard(np.searchsorted(starts, numbers, "right") - 1):
+            out[i] = self.level("words", s).counts(numbers[i] - starts[s])
         return out
 
-    def bigrams(self, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """log10 p(word | context), NaN where the pair isn't there (-1: no known word), the context's back-off, and the pair's number (-1: none)."""
-        logp, backoff, pair = np.full(len(context), np.nan), np.zeros(len(context)), np.full(len(context), -1, np.int64)
-        for s, i in self.by_shard(np.searchsorted(self.starts, context, "right") - 1):
-            logp[i], backoff[i], place = self.pair_level(s).query(context[i] - self.starts[s], np.maximum(word[i], 0))
+    def pairs_of(self, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Where a token follows a known word, grouped by that; and for these log10 p (NaN where the pair isn't there), the word's back-off, the pair's number and its rank among the word's successors (-1: none)."""
+        at = np.flatnonzero(~first & (np.concatenate([[-1], number[:-1]]) >= 0))
+        at = at[grouped(number[at - 1])]
+        context, word, starts = number[at - 1], number[at], self.model.starts
+        logp, backoff, pair, rank = np.empty(len(at)), np.empty(len(at)), np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+        cuts = np.searchsorted(context, np.array(starts))
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            i = slice(cuts[s], cuts[s + 1])
+            logp[i], backoff[i], place, rank[i] = self.level("pairs", s).query(context[i] - starts[s], word[i])
             if self.model.order > 2:
                 pair[i] = np.where(place >= 0, place + self.model.pair_starts[s], -1)
-        logp[word < 0], pair[word < 0] = np.nan, -1
-        return logp, backoff, pair
-
-    def trigrams(self, pair: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 p(word | pair), NaN where the triple isn't there, and the pair's back-off."""
-        logp, backoff = np.full(len(pair), np.nan), np.zeros(len(pair))
-        for s, i in self.by_shard(pair // self.model.step):
-            logp[i], backoff[i], _ = self.triple_level(s).query(pair[i] - s * self.model.step, np.maximum(word[i], 0))
-        logp[word < 0] = np.nan
+        return at, logp, backoff, pair, rank
+
+    def after_pairs(self, at: np.ndarray, pair: np.ndarray, rank: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where a token follows a pair of the model, grouped by that; the pair's number, and the token's rank among its second word's successors (-1: none)."""
+        pairs, ranks = np.full(len(first), -1, np.int64), np.full(len(first), -1, np.int64)
+        pairs[at], ranks[at] = pair, rank
+        at = np.flatnonzero(~first & (np.concatenate([[-1], pairs[:-1]]) >= 0))
+        at = at[grouped(pairs[at - 1])]
+        return at, pairs[at - 1], ranks[at]
+
+    def trigrams(self, pair: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For pairs in ascending order: log10 p of the word of that rank, NaN where the triple isn't there, and the pair's back-off."""
+        logp, backoff, step = np.empty(len(pair)), np.empty(len(pair)), self.model.step
+        cuts = np.searchsorted(pair, np.arange(self.model.shards + 1) * step)
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            i = slice(cuts[s], cuts[s + 1])
+            logp[i], backoff[i], _, _ = self.level("triples", s).query(pair[i] - s * step, rank[i])
         return logp, backoff
 
-    def seconds(self, pair: np.ndarray) -> np.ndarray:
-        """The second words of pairs by number."""
-        out, starts = np.zeros(len(pair), np.int64), np.array(self.model.pair_starts, np.int64)
-        for s, i in self.by_shard(np.searchsorted(starts, pair, "right") - 1):
-            out[i] = self.pair_level(s).word_at(pair[i] - starts[s])
+    def contexts_of(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """The second words of the pairs numbered from ``lo`` to ``hi``."""
+        starts = self.model.pair_starts
+        shards = [s for s in range(self.model.shards) if starts[s] < hi and starts[s + 1] > lo]
+        found = [self.level("pairs", s).successors()[max(lo - starts[s], 0) : hi - starts[s]] for s in shards]
+        return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+    def log_of(self, word: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """log10 p of the pair of a word and its successor of that rank."""
+        out, starts = np.empty(len(word)), self.model.starts
+        order = grouped(word)
+        word, rank = word[order], rank[order]
+        cuts = np.searchsorted(word, np.array(starts))
+        for s in np.flatnonzero(np.diff(cuts)).tolist():
+            i = slice(cuts[s], cuts[s + 1])
+            level, own = self.level("pairs", s), word[i] - starts[s]
+            begins = runs(own)
+            begin = np.repeat(level.pointers.access(own[begins]).astype(np.int64), np.diff(np.append(begins, len(own))))
+            out[order[i]] = level.p_book[level.p_code[begin + rank[i]]]
         return out
 
-    def pairs_of(self, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Where a token follows a known word, and for these the pair's log10 p, back-off and number; each distinct pair is asked for once."""
-        at = np.flatnonzero(~first & (np.concatenate([[-1], number[:-1]]) >= 0))
-        wide = max(self.model.distinct, 1) + 1
-        key, back = np.unique(number[at - 1] * wide + number[at] + 1, return_inverse=True)
-        return at, *(x[back] for x in self.bigrams(key // wide, key % wide - 1))
-
-    def triples_of(self, at: np.ndarray, pair: np.ndarray, number: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where a token follows a pair of the model, and that pair's number, from what ``pairs_of`` found."""
-        pairs = np.full(len(number), -1, np.int64)
-        pairs[at] = pair
-        at = np.flatnonzero(~first & (np.concatenate([[-1], pairs[:-1]]) >= 0))
-        return at, pairs[at - 1]
-
     @common.without_gc
     def tokens(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Numbers and counts of all tokens, and how many each text has; a text's last token is the end."""
@@ -357,20 +382,21 @@ class Trie:
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
         """For each text: tokens, known tokens, base score, the model's score."""
+        return self.score_tokens(*self.tokens(texts))
+
+    def score_tokens(self, number: np.ndarray, count: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The same of texts given as numbers (-1: unknown), counts and how many tokens each has."""
         model = self.model
-        number, count, sizes = self.tokens(texts)
         begins = np.cumsum(sizes) - sizes
         base = np.log10((count + 1) / (model.tokens + model.distinct + 1))
         score = base.copy()
         first = np.zeros(len(number), bool)
         first[begins] = True
-        at, logp, backoff, pair = self.pairs_of(number, first)
+        at, logp, backoff, pair, rank = self.pairs_of(number, first)
         score[at] = np.where(np.isnan(logp), backoff + base[at], logp)
         if model.order > 2:
-            at, pair = self.triples_of(at, pair, number, first)
-            wide = max(model.distinct, 1) + 1
-            key, back = np.unique(pair.astype(_U) * _U(wide) + (number[at] + 1).astype(_U), return_inverse=True)
-            logp, backoff = (x[back] for x in self.trigrams((key // _U(wide)).astype(np.int64), (key % _U(wide)).astype(np.int64) - 1))
+            at, pair, rank = self.after_pairs(at, pair, rank, first)
+            logp, backoff = self.trigrams(pair, rank)
             score[at] = np.where(np.isnan(logp), backoff + score[at], logp)
         total = np.add.reduceat
         return sizes, total((count > 0).astype(np.int64), begins), total(base, begins), total(score, begins)
@@ -383,81 +409,177 @@ def trie(model: LanguageModel) -> Trie:
     return held
 
 
-def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, order: int = 2, shards: int | None = None) -> LanguageModel:
-    """Count all of ``docs`` and write the levels: words and pairs, with ``order`` 3 triples too; ``min_count`` 1 keeps all. As many shards as the input has partitions unless said otherwise."""
+# --- texts as numbers ---------------------------------------------------------------------------------------------------
+
+
+class Dictionary:
+    """Words in the order they come, with what they occur in training texts."""
+
+    def __init__(self, folder: str):
+        self.uri = f"{folder}/{uuid.uuid4().hex}"
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.counts = np.zeros(0, np.int64)
+
+    @common.without_gc
+    def tokens(self, texts: list[str | None], train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All tokens' numbers, and how many each text has; a text's last token is the end."""
+        lists = [common.lower_words_of(t) for t in texts]
+        for words in lists:
+            words.append(b"")
+        sizes = np.array([len(w) for w in lists], np.int64)
+        flat = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.uint32, int(sizes.sum()))
+        counts = np.bincount(flat[np.repeat(train, sizes)], minlength=len(self.numbers))
+        counts[: len(self.counts)] += self.counts
+        self.counts = counts
+        return flat, sizes
+
+    def write(self) -> None:
+        hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.numbers], "<u8")
+        common.write_file(self.uri, np.stack([hashes, self.counts.astype("<u8")]).tobytes())
+
+
+def read_dictionary(uri: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and training counts; after ``number_words``, under the file's name with ``.numbers``: the model's numbers and counts."""
+    both = np.frombuffer(common.read_file(uri), "<u8").reshape(2, -1)
+    return both[0], both[1]
+
+
+def tokenize(docs: DataFrame, *, text: str = "text", train: Column | None = None) -> tuple[DataFrame, str]:
+    """``docs`` without ``text``, and with ``__tokens`` (numbers, 32 bits each, in the dictionary ``__dictionary``) and ``__train``, whether a row teaches (all do unless ``train`` says); written once."""
     spark = docs.sparkSession
     common.ship(spark)
-    docs = docs.select(F.col(text).alias("text"))
-    shards = shards or max(1, docs.rdd.getNumPartitions())
     path = common.fresh_dir(spark, "lm")
+    folder = f"{path}/dictionaries"
+    rest = [c for c in docs.columns if c != text]
+    rows = docs.select(*rest, F.col(text).cast("string").alias("__text"), (F.lit(True) if train is None else F.coalesce(train, F.lit(False))).alias("__train"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Dictionary(folder)
+        for b in common.slices(batches, TEXTS):
+            if len(held.numbers) > WORDS_HELD:
+                held.write()
+                held = Dictionary(folder)
+            flat, sizes = held.tokens(b["__text"].to_pylist(), b["__train"].to_numpy(zero_copy_only=False))
+            ends = np.concatenate([[0], np.cumsum(sizes)]) * 4
+            tokens = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
+            yield pa.RecordBatch.from_arrays([*(b[c] for c in rest), b["__train"], tokens, pa.array([held.uri] * len(sizes))], [*rest, "__train", "__tokens", "__dictionary"])
+        if len(held.numbers):
+            held.write()
+
+    made = rows.mapInArrow(number, f"{schema}{', ' if schema else ''}__train boolean, __tokens binary, __dictionary string")
+    made.write.option("compression", "zstd").parquet(f"{path}/tokens")
+    return spark.read.schema(made.schema).parquet(f"{path}/tokens"), path
+
+
+def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches of ``tokenize``'s rows, a dictionary each, with their tokens' numbers in the model, counts, and how many each text has."""
+    uri, numbers, counts = None, None, None
+    for b in common.slices(batches, TEXTS):
+        for a, e in _stretches(b["__dictionary"].to_pylist()):
+            part = b.slice(a, e - a)
+            if (now := part["__dictionary"][0].as_py()) != uri:
+                uri = now
+                numbers, counts = (x.astype(np.int64) for x in read_dictionary(f"{uri}.numbers"))
+            tokens = part["__tokens"]
+            offsets = np.frombuffer(tokens.buffers()[1], np.int32, len(tokens) + 1, tokens.offset * 4)
+            flat = np.frombuffer(tokens.buffers()[2], np.uint32)[offsets[0] // 4 : offsets[-1] // 4]
+            yield part, numbers[flat], counts[flat], np.diff(offsets).astype(np.int64) // 4
+
+
+def _stretches(values: list) -> Iterator[tuple[int, int]]:
+    begin = 0
+    for i in range(1, len(values) + 1):
+        if i == len(values) or values[i] != values[begin]:
+            yield begin, i
+            begin = i
+
+
+# --- training -----------------------------------------------------------------------------------------------------------
+
+
+def by_shard(rows: DataFrame, shards: int) -> DataFrame:
+    return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")  # a shard is a task: by hash, some tasks would get several
+
+
+def sizes_of(rows: list, shards: int) -> np.ndarray:
+    sizes = np.zeros(shards, np.int64)
+    for r in rows:
+        sizes[r["shard"]] = r["n"]
+    return sizes
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[bytes] = Counter()
 
-        def out() -> pa.RecordBatch:
-            hashes = np.array([xxhash.xxh64_intdigest(w) for w in held], _U)
-            keys, counts = summed(hashes, np.array(list(held.values()), _U))
-            return blobs(keys, counts, shard_of(keys, shards))
+def done_batch(done: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(3)], ["shard", "n", "tokens"])
 
+
+DONE = "shard long, n long, tokens long"
+
+
+def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, shards: int | None = None) -> LanguageModel:
+    """Write the levels for ``tokenize``'s rows that teach: words and pairs, with ``order`` 3 triples too; ``min_count`` 1 keeps all. As many shards as the rows have partitions unless said otherwise."""
+    spark = tokens.sparkSession
+    common.ship(spark)
+    shards = shards or max(1, tokens.rdd.getNumPartitions())
+    names = [r[0] for r in tokens.select("__dictionary").distinct().collect()]  # one per task and so many words of it
+    files = spark.createDataFrame([(n,) for n in names], "uri string").repartition(max(1, min(len(names), shards)))
+    taught = tokens.where("__train").select("__tokens", "__dictionary")
+
+    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for t in b["text"].to_pylist():
-                held.update(common.lower_words_of(t))
-            held[b""] += b.num_rows
-            if len(held) > WORDS_HELD:
-                yield out()
-                held.clear()
-        if held:
-            yield out()
+            for uri in b["uri"].to_pylist():
+                hashes, counts = read_dictionary(uri)
+                keys, counts = summed(hashes[counts > 0], counts[counts > 0])
+                if len(keys):
+                    yield blobs(keys, counts, shard_of(keys, shards))
 
     def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
         for s, keys, counts in merged(batches):
             common.write_file(f"{path}/words-{s:06d}", encode_words(keys, counts))
             done.append((s, len(keys), int(counts.sum())))
-        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(3)], ["shard", "n", "tokens"])
+        yield done_batch(done)
 
-    def by_shard(rows: DataFrame) -> DataFrame:
-        return rows.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")  # a shard is a task: by hash, some tasks would get several
-
-    got = by_shard(docs.mapInArrow(count_words, BLOBS)).mapInArrow(write_words, "shard long, n long, tokens long").collect()
-    sizes = np.zeros(shards, np.int64)
-    for r in got:
-        sizes[r["shard"]] = r["n"]
-    starts = (0, *np.cumsum(sizes).tolist())
+    got = by_shard(files.mapInArrow(count_words, BLOBS), shards).mapInArrow(write_words, DONE).collect()
+    starts = (0, *np.cumsum(sizes_of(got, shards)).tolist())
     model = LanguageModel(path, shards, starts, sum(r["tokens"] for r in got), min_count=min_count, order=2)
     wide = max(model.distinct, 1)
     if wide >= 2**32:
         raise ValueError("more distinct words than a pair's key can hold")
 
-    def counter(keys_of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], shard_of_keys: Callable[[np.ndarray], np.ndarray]):
-        """Keys of texts' tokens (numbers, counts, whether a text's first), summed up by a task before they move."""
+    def number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = []
+        for b in batches:
+            for uri in b["uri"].to_pylist():
+                numbers, counts = trie(model).find(read_dictionary(uri)[0])
+                common.write_file(f"{uri}.numbers", np.stack([numbers, counts]).astype("<i8").tobytes())
+                done.append((0, len(numbers), 0))
+        yield done_batch(done)
 
-        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys: list[np.ndarray] = []
-            counts: list[np.ndarray] = []
-            held = last = 0
+    files.mapInArrow(number_words, DONE).collect()
+
+    def counter(keys_of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], shard_of_keys: Callable[[np.ndarray], np.ndarray]):
+        """Keys of texts' tokens (numbers, counts, whether a text's first), sorted and summed by a task before they move."""
 
-            def sum_up() -> None:
-                nonlocal keys, counts, held, last
-                k, n = summed(np.concatenate(keys), np.concatenate(counts))
-                keys, counts, held, last = [k], [n], len(k), len(k)
+        def sum_up(keys: list[np.ndarray]) -> pa.RecordBatch:
+            all_ = np.concatenate(keys)
+            all_.sort()
+            begins = runs(all_)
+            distinct = all_[begins]
+            return blobs(distinct, np.diff(np.append(begins, len(all_))).astype(_U), shard_of_keys(distinct))
 
-            for b in common.slices(batches, TEXTS):
-                number, count, sizes = trie(model).tokens(b["text"].to_pylist())
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, held = [], 0
+            for _, number, counts, sizes in numbered(batches):
                 first = np.zeros(len(number), bool)
                 first[np.cumsum(sizes) - sizes] = True
-                k, n = np.unique(keys_of(number, count, first), return_counts=True)
-                keys.append(k)
-                counts.append(n.astype(_U))
-                held += len(k)
-                if held > last + PAIRS_HELD // 2:
-                    sum_up()
-                    if held > PAIRS_HELD:
-                        yield blobs(keys[0], counts[0], shard_of_keys(keys[0]))
-                        keys, counts, held, last = [], [], 0, 0
+                keys.append(keys_of(number, counts, first))
+                held += len(keys[-1])
+                if held > PAIRS_HELD:
+                    yield sum_up(keys)
+                    keys, held = [], 0
             if held:
-                sum_up()
-                yield blobs(keys[0], counts[0], shard_of_keys(keys[0]))
+                yield sum_up(keys)
 
         return count
 
@@ -478,78 +600,98 @@ def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, order: int
             context, word = (keys // _U(wide)).astype(np.int64), (keys % _U(wide)).astype(np.int64)
             place, words = context - starts[s], starts[s + 1] - starts[s]
             t = trie(model)
-            of_context = t.word_level(s).counts(np.arange(words)).astype(float)
+            of_context = t.level("words", s).counts(np.arange(words)).astype(float)
             left = 1 - np.bincount(place, n - DISCOUNT, minlength=words) / of_context
             low = (t.counts_of(word) + 1) / (model.tokens + model.distinct + 1)
             logp = np.log10((n - DISCOUNT) / of_context[place] + left[place] * low)
             common.write_file(f"{path}/pairs-{s:06d}", encode_pairs(place, word, logp, words, np.log10(np.maximum(left, 1e-9))))
-            done.append((s, len(keys)))
-        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(2)], ["shard", "n"])
+            most = int(np.diff(np.append(runs(place), len(place))).max(initial=0))
+            done.append((s, len(keys), most))
+        yield done_batch(done)
 
-    got = by_shard(docs.mapInArrow(counter(pair_keys, pair_shards), BLOBS)).mapInArrow(write_pairs, "shard long, n long").collect()
-    missing = {*range(shards)} - {r["shard"] for r in got}
-    for s in missing:  # shards whose words are no frequent context
+    got = by_shard(taught.mapInArrow(counter(pair_keys, pair_shards), BLOBS), shards).mapInArrow(write_pairs, DONE).collect()
+    for s in {*range(shards)} - {r["shard"] for r in got}:  # shards whose words are no frequent context
         words = starts[s + 1] - starts[s]
         common.write_file(f"{path}/pairs-{s:06d}", encode_pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), words, np.zeros(words)))
-    sizes = np.zeros(shards, np.int64)
-    for r in got:
-        sizes[r["shard"]] = r["n"]
+    sizes = sizes_of(got, shards)
     model = replace(model, pairs=int(sizes.sum()), order=order, pair_starts=(0, *np.cumsum(sizes).tolist()))
     if order < 3:
         return model
     step = model.step
-    if model.pairs * (wide + 1) >= 2**64:
+    # ranks stay below the most successors that a word has; the one after them stands for words left out
+    ranks = max((r["tokens"] for r in got), default=0) + 1
+    if model.pairs * ranks >= 2**64:
         raise ValueError("more distinct pairs than a triple's key can hold")
 
     def triple_keys(number: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
         t = trie(model)
-        at, _, _, pair = t.pairs_of(number, first)
-        at, pair = t.triples_of(at, pair, number, first)
-        return pair.astype(_U) * _U(wide) + number[at].astype(_U)
+        at, _, _, pair, rank = t.pairs_of(number, first)
+        _, pair, rank = t.after_pairs(at, pair, rank, first)
+        return pair.astype(_U) * _U(ranks) + np.where(rank < 0, ranks - 1, rank).astype(_U)
 
     def triple_shards(keys: np.ndarray) -> np.ndarray:
-        return (keys // _U(wide)).astype(np.int64) // step
+        return (keys // _U(ranks)).astype(np.int64) // step
 
     def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
         for s, keys, counts in merged(batches):
             t, contexts = trie(model), min(step, model.pairs - s * step)
+            place, rank, n = (keys // _U(ranks)).astype(np.int64) - s * step, (keys % _U(ranks)).astype(np.int64), counts.astype(float)
             # a pair is followed by one token wherever it stands, but for those that end a text
-            of_context = np.maximum(np.bincount((keys // _U(wide)).astype(np.int64) - s * step, counts.astype(float), minlength=contexts), 1)
-            kept = counts >= min_count
-            keys, n = keys[kept], counts[kept].astype(float)
-            place, word = (keys // _U(wide)).astype(np.int64) - s * step, (keys % _U(wide)).astype(np.int64)
+            of_context = np.maximum(np.bincount(place, n, minlength=contexts), 1)
+            kept = (counts >= min_count) & (rank < ranks - 1)
+            place, rank, n = place[kept], rank[kept], n[kept]
             left = 1 - np.bincount(place, n - DISCOUNT, minlength=contexts) / of_context
-            low, backoff, _ = t.bigrams(t.seconds(np.arange(contexts) + s * step)[place], word)
-            none = np.flatnonzero(np.isnan(low))
-            low[none] = backoff[none] + np.log10((t.counts_of(word[none]) + 1) / (model.tokens + model.distinct + 1))
+            low = t.log_of(t.contexts_of(s * step, s * step + contexts)[place], rank)
             logp = np.log10((n - DISCOUNT) / of_context[place] + left[place] * 10**low)
-            common.write_file(f"{path}/triples-{s:06d}", encode_pairs(place, word, logp, contexts, np.log10(np.maximum(left, 1e-9))))
-            done.append((s, len(keys)))
-        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.int64()) for i in range(2)], ["shard", "n"])
+            common.write_file(f"{path}/triples-{s:06d}", encode_pairs(place, rank, logp, contexts, np.log10(np.maximum(left, 1e-9))))
+            done.append((s, len(place), 0))
+        yield done_batch(done)
 
-    got = by_shard(docs.mapInArrow(counter(triple_keys, triple_shards), BLOBS)).mapInArrow(write_triples, "shard long, n long").collect()
+    got = by_shard(taught.mapInArrow(counter(triple_keys, triple_shards), BLOBS), shards).mapInArrow(write_triples, DONE).collect()
     for s in {*range(shards)} - {r["shard"] for r in got}:  # shards whose pairs only end texts
         contexts = max(0, min(step, model.pairs - s * step))
         common.write_file(f"{path}/triples-{s:06d}", encode_pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), contexts, np.zeros(contexts)))
     return replace(model, triples=sum(r["n"] for r in got))
 
 
-def with_lm_score(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:
-    """``docs`` with n_tokens, n_known, base_score and score; columns of these names are replaced. One pass, no shuffle."""
+def train(docs: DataFrame, *, text: str = "text", min_count: int = 2, order: int = 2, shards: int | None = None) -> LanguageModel:
+    """The model of all of ``docs``; see ``learn``."""
+    tokens, path = tokenize(docs.select(text), text=text)
+    return learn(tokens, path, min_count=min_count, order=order, shards=shards)
+
 
+# --- scores -------------------------------------------------------------------------------------------------------------
 
+SCORES = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
+
+
+def with_lm_score(docs: DataFrame, model: LanguageModel, *, text: str = "text") -> DataFrame:
+    """``docs`` with n_tokens, n_known, base_score and score; columns of these names are replaced. One pass, no shuffle."""
     common.ship(docs.sparkSession)
-    names = ("n_tokens", "n_known", "base_score", "score")
 
-    @F.pandas_udf("n_tokens long, n_known long, base_score double, score double")
+    @F.pandas_udf(", ".join(f"{k} {v}" for k, v in SCORES.items()))
     def scores(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in texts:
             values = s.tolist()
-            parts = [pd.DataFrame(dict(zip(names, trie(model).score(values[i : i + TEXTS])))) for i in range(0, len(values), TEXTS)]
-            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({n: [] for n in names})
+            parts = [pd.DataFrame(dict(zip(SCORES, trie(model).score(values[i : i + TEXTS])))) for i in range(0, len(values), TEXTS)]
+            yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({n: [] for n in SCORES})
+
+    return docs.withColumn("__lm", scores(F.col(text))).withColumns({n: F.col("__lm")[n] for n in SCORES}).drop("__lm")
+
+
+def scored_tokens(tokens: DataFrame, model: LanguageModel) -> DataFrame:
+    """The same of ``tokenize``'s rows, after ``learn``: their columns besides the tokens, and the scores."""
+    common.ship(tokens.sparkSession)
+    rest = [f for f in tokens.schema if f.name not in ("__tokens", "__dictionary", *SCORES)]
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, number, counts, sizes in numbered(batches):
+            made = trie(model).score_tokens(number, counts, sizes)
+            yield pa.RecordBatch.from_arrays([*(part[f.name] for f in rest), *(pa.array(x) for x in made)], [*(f.name for f in rest), *SCORES])
 
-    return docs.withColumn("__lm", scores(F.col(text))).withColumns({n: F.col("__lm")[n] for n in names}).drop("__lm")
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rest] + [f"{k} {v}" for k, v in SCORES.items()])
+    return tokens.mapInArrow(scores, schema)
 
 
 def training_rows(key: str = "doc_id", held: int = 2, folds: int = 7) -> Column:

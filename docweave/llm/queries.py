@@ -77,10 +77,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = language_model.train(docs.where(language_model.training_rows()), min_count=1, order=3)
-    scored = language_model.with_lm_score(docs, model)
-    return scored.select("doc_id", (~language_model.training_rows()).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    tokens, path = language_model.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), train=language_model.training_rows())
+    model = language_model.learn(tokens, path, min_count=1, order=3)
+    scored = language_model.scored_tokens(tokens, model)
+    return scored.select("doc_id", (~F.col("__train")).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -104,24 +104,6 @@ def test_edge_cases(spark, docs, empty, small):
     assert {r.n_tokens for r in L.with_lm_score(docs, model).where("doc_id < 4").collect()} == {1}
 
 
-def test_query(spark, sf_dir):
-    from docweave.llm.queries import op9_lm_score
-
-    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    held = {i for i in docs if zlib.crc32(str(i).encode()) % 7 == 2}
-    slow = Slow([t for i, t in docs.items() if i not in held])
-    rows = op9_lm_score(spark, sf_dir).collect()
-    assert len(rows) == len(docs)
-    for r in rows:
-        w = words(docs[r.doc_id])
-        assert r.held_out == (r.doc_id in held) and r.train_tokens == slow.n and r.n_tokens == len(w)
-        assert r.n_known == sum(slow.c[x] > 0 for x in w)
-        assert r.base_score == pytest.approx(sum(math.log10(slow.low(x)) for x in w))
-        assert r.score == pytest.approx(slow.score(docs[r.doc_id]), rel=0, abs=0.01 * len(w) + 0.02)
-    heard = [r for r in rows if r.held_out]
-    assert sum(r.score for r in heard) > sum(r.base_score for r in heard)
-
-
 class Whole(Slow):
     """All pairs and triples, none left out."""
 
@@ -157,10 +139,53 @@ def test_whole_model(spark, shards):
     assert sum(slow.p3(b"the", b"cat", w) for w in slow.c) + slow.p3(b"the", b"cat", b"nowhere") == pytest.approx(1)
 
 
-def test_query_leaves_nothing_out(spark, sf_dir):
+def test_query(spark, sf_dir):
     from docweave.llm.queries import op9_lm_score
 
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
-    slow = Whole([t for i, t in docs.items() if zlib.crc32(str(i).encode()) % 7 != 2])
-    for r in op9_lm_score(spark, sf_dir).collect():
-        assert r.score == pytest.approx(slow.score(docs[r.doc_id]), rel=0, abs=0.015 * r.n_tokens + 0.05)
+    held = {i for i in docs if zlib.crc32(str(i).encode()) % 7 == 2}
+    slow = Whole([t for i, t in docs.items() if i not in held])
+    rows = op9_lm_score(spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        w = words(docs[r.doc_id])
+        assert r.held_out == (r.doc_id in held) and r.train_tokens == slow.n and r.n_tokens == len(w)
+        assert r.n_known == sum(slow.c[x] > 0 for x in w)
+        assert r.base_score == pytest.approx(sum(math.log10(slow.low(x)) for x in w))
+        assert r.score == pytest.approx(slow.score(docs[r.doc_id]), rel=0, abs=0.015 * len(w) + 0.05)
+    heard = [r for r in rows if r.held_out]
+    assert sum(r.score for r in heard) > sum(r.base_score for r in heard)
+
+
+def test_texts_as_numbers_score_alike(spark, docs, small, monkeypatch):
+    """Over several dictionaries a task, with rows that don't teach, and with extra columns."""
+    monkeypatch.setattr(L, "TEXTS", 2)
+    monkeypatch.setattr(L, "WORDS_HELD", 5)
+    from pyspark.sql import functions as F
+
+    tokens, path = L.tokenize(docs, train=F.col("doc_id") != 4)
+    model = L.learn(tokens, path)
+    got = L.scored_tokens(tokens, model)
+    assert {"lang", "source", "rule", "fp"} <= set(got.columns)
+    other = L.train(docs.where("doc_id <> 4"), min_count=1, order=3)
+    key = lambda rows: sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in rows)
+    assert key(got.collect()) == key(L.with_lm_score(docs, other).collect())
+    assert (model.tokens, model.distinct, model.pairs, model.triples) == (other.tokens, other.distinct, other.pairs, other.triples)
+    nothing, path = L.tokenize(docs, train=F.lit(False))
+    assert {(r.n_known, r.score) for r in L.scored_tokens(nothing, L.learn(nothing, path)).collect()} == {(0, 0.0)}
+    tokens, path = L.tokenize(docs.limit(0))
+    assert L.scored_tokens(tokens, L.learn(tokens, path)).count() == 0
+
+
+def test_left_out_pairs_keep_their_weight(spark):
+    """With a least count, triples that end in a pair left out still count towards their context."""
+    texts = ["a b c", "a b c", "a b d", "a b c d", "x a b c"]
+    model = L.train(spark.createDataFrame([(t,) for t in texts], "text string"), min_count=2, order=3)
+    t = L.Trie(model)
+    number, _, _ = t.tokens(["a b c"])
+    at, _, _, pair, rank = t.pairs_of(number, np.array([True, False, False, False]))
+    at, pair, rank = t.after_pairs(at, pair, rank, np.array([True, False, False, False]))
+    logp, backoff = t.trigrams(pair, rank)
+    # after "a b": c four times, d once
+    low = (4 - 0.75) / 5 + (1 - (4 - 0.75) / 5) * (5 / (model.tokens + model.distinct + 1))
+    assert 10 ** logp[at == 2][0] == pytest.approx((4 - 0.75) / 5 + (1 - (4 - 0.75) / 5) * low, rel=0.02)
