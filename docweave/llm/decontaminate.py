@@ -15,18 +15,23 @@ Windows of items need two words that aren't placeholders (unless an item has no
 only texts of just these. Texts are read whole; before the join, windows whose hashes no item has are left out, by a
 sorted array where the items' hashes are at most ``max_filter``, else by the join itself.
 
-Null texts and texts without words match nothing. Each row is a document, also where ids repeat or are null. Rows of items that share an id count as one item.
+Null texts and texts without words match nothing. Each row is a document, also where ids repeat or are null. Rows of items that share an id are
+versions of one item: a document has a row for the first of them that it holds. Empty tables give an empty result; columns besides key and text aren't read, so
+that their names don't matter.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
@@ -39,7 +44,8 @@ MEMO = 500_000
 #: Units that turn into a placeholder after a number (fixed values).
 UNITS = frozenset(b"% $ km m cm mm mi miles mile kg g mg lb lbs pounds l ml s sec seconds second min minutes minute h hours hour days day weeks week months month years year dollars dollar euros euro cents cent percent degrees kph mph".split())
 
-_EDGE = re.compile(rb"^[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+|[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+$")
+#: What is no letter, digit or byte of a longer character.
+_EDGE = bytes(b for b in range(128) if not chr(b).isalnum())
 _NUMBER = re.compile(rb"[$\x80-\xff]{0,3}\d[\d.,:/]*(?:[A-Za-z%]{1,3})?")
 LITERAL, NUMBER, NAME, UNIT = range(4)
 _U = np.uint64
@@ -51,14 +57,17 @@ class Canonicaliser:
     """Pieces of text to template tokens, each distinct piece worked out once: hash, flags."""
 
     def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
         self.hashes = np.zeros(0, _U)
         self.flags = np.zeros(0, np.uint8)
 
     @staticmethod
     def of_piece(piece: bytes) -> tuple[int, int]:
         """Flags: 1 number, 2 capitalised, 4 unit, 8 ends a sentence, 16 nothing but punctuation."""
-        word = _EDGE.sub(b"", piece)
+        if piece.isalpha():
+            lower = piece.lower()
+            return xxhash.xxh64_intdigest(lower), (2 if piece[0] < 97 else 0) | (4 if lower in UNITS else 0)
+        word = piece.strip(_EDGE)
         end = 8 if piece.rstrip(b"\"')]")[-1:] in (b".", b"!", b"?", b":") else 0
         if not word:
             return 0, 16 | end
@@ -68,19 +77,19 @@ class Canonicaliser:
         lower = text.lower().encode("utf-8", "replace")
         return xxhash.xxh64_intdigest(lower), end | (2 if text[0].isupper() else 0) | (4 if lower in UNITS else 0)
 
+    @common.without_gc
     def pieces(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[list[bytes]]]:
         """Pieces of all texts: hash, flags, text's number, place; and by text."""
         lists = [common.words_of(t) for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo, self.hashes, self.flags = {}, np.zeros(0, _U), np.zeros(0, np.uint8)
-        memo = self.memo
-        new = list({w for words in lists for w in words if w not in memo})
+        if len(self.numbers) > MEMO:
+            self.__init__()
+        sizes = np.array([len(w) for w in lists], np.int64)
+        # one look at the memo per piece: it is too large for the CPU's caches
+        rows = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.hashes)))[::-1]
         made = [self.of_piece(w) for w in new]
-        memo.update(zip(new, range(len(memo), len(memo) + len(new))))
         self.hashes = np.concatenate([self.hashes, np.array([m[0] for m in made], _U)])
         self.flags = np.concatenate([self.flags, np.array([m[1] for m in made], np.uint8)])
-        rows = np.array([memo[w] for words in lists for w in words], np.int64)
-        sizes = np.array([len(w) for w in lists], np.int64)
         owner, place = np.repeat(np.arange(len(lists)), sizes), np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         return self.hashes[rows], self.flags[rows], owner, place, lists
 
@@ -139,12 +148,28 @@ def windows(texts: list[str | None], names: bool = False, pieces: tuple | None =
             last = p + 1
             if kind[j] == NAME:  # the words up to the next token
                 last = int(place[j + 1]) if j + 1 < n and owner[j + 1] == owner[j] else p + 1
-            out.append(b" ".join(_EDGE.sub(b"", x) for x in pieces[p:last]).decode("utf-8", "replace").lower())
+            out.append(b" ".join(x.strip(_EDGE) for x in pieces[p:last]).decode("utf-8", "replace").lower())
         return out
 
     return hashes, owner[starts], index[starts], (words >= 2) | (length[starts] < WINDOW) & (not names), slots
 
 
+def sieve(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes, and which upper 20 bits occur among them."""
+    upper = np.zeros(1 << 20, bool)
+    upper[(hashes >> _U(44)).astype(np.int64)] = True
+    return np.sort(hashes), upper
+
+
+def known_of(array: np.ndarray, upper: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of ``hashes`` the sorted ``array`` holds; most fall through the sieve at once."""
+    keep = upper[(hashes >> _U(44)).astype(np.int64)]
+    at = np.flatnonzero(keep)
+    if len(at):
+        keep[at] = array[np.minimum(np.searchsorted(array, hashes[at]), len(array) - 1)] == hashes[at]
+    return keep
+
+
 def _window_rows(rows: DataFrame, key: str, text: str, known=None, items: bool = False) -> DataFrame:
     """key, row, names (the reading), h, pos, slots, n (usable windows of the text) of ``rows``' windows: of items those that are usable, of texts all, or those with known hashes where given."""
 
@@ -161,8 +186,7 @@ def _window_rows(rows: DataFrame, key: str, text: str, known=None, items: bool =
                 elif known is None:
                     keep = np.ones(len(hashes), bool)
                 else:
-                    array = known.value
-                    keep = array[np.minimum(np.searchsorted(array, hashes), len(array) - 1)] == hashes if len(array) else np.zeros(len(hashes), bool)
+                    keep = known_of(*known.value, hashes)
                 at = np.flatnonzero(keep)
                 n = np.bincount(owner[at], minlength=b.num_rows)
                 yield pa.RecordBatch.from_arrays(
@@ -182,65 +206,84 @@ def consistency(pairs: list[tuple[str, str]]) -> float:
     return sum(max(v.values()) for v in votes.values()) / len(pairs) if pairs else 1.0
 
 
+def _groups(batches: Iterator[pa.RecordBatch], by: list[str]) -> Iterator[pa.Table]:
+    """The rows of each group, from batches sorted by ``by``."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        codes = [b[c].to_numpy(zero_copy_only=False) for c in by]
+        cuts = [0, *(np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in codes])) + 1).tolist(), b.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            now = tuple(x[lo] for x in codes)
+            if now != last and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(lo, hi - lo))
+            last = now
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", similarity: float = 0.8, slot_share: float = 0.8, max_filter: int = 5_000_000) -> DataFrame:
     """A row per document (row of ``docs``) and item whose template it holds: key, item, n_windows, n_matched, similarity, n_slots, slot_share, same_slots, first_token, end_token (the span in template tokens)."""
     spark = docs.sparkSession
     common.ship(spark)
-    items = common.materialize(_window_rows(benchmark, item, item_text, items=True).dropDuplicates(["key", "names", "pos"]), "item-windows")
+    items = common.materialize(_window_rows(benchmark, item, item_text, items=True), "item-windows")
     known = None
     if items.select("h").distinct().limit(max_filter + 1).count() <= max_filter:  # at most 8 bytes each
         found = items.select("h").distinct().toPandas()["h"].to_numpy().view(_U)
-        known = spark.sparkContext.broadcast(np.sort(found))
-    left = _window_rows(docs, key, text, known).select("key", "row", "names", "h", "pos", "slots")
-    right = items.select(F.col("key").alias("item"), "names", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("n_windows"))
-    matches = left.join(right, ["h", "names"]).select("key", "row", "item", "names", "pos", "item_pos", "slots", "item_slots", "n_windows")
+        known = spark.sparkContext.broadcast(sieve(found))
+    left = common.materialize(_window_rows(docs, key, text, known).select("key", "row", "names", "h", "pos", "slots"), "windows")
+    right = items.select(F.col("key").alias("item"), F.col("row").alias("item_row"), "names", "h", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), F.col("n").alias("n_windows"))
+    # a text that holds enough of an item's windows holds one of any that are more than it may lack: of each item the rarest are these,
+    # so that a pattern which many items share pairs texts with none of them
+    rarity = items.groupBy("names", "h").agg(F.count(F.lit(1)).alias("rarity"))
+    rank = F.row_number().over(W.partitionBy("item_row", "names").orderBy("rarity", "item_pos"))
+    seeds = right.join(rarity, ["names", "h"]).withColumn("rank", rank).where(F.col("rank") <= F.col("n_windows") - F.ceil(F.col("n_windows") * similarity - 1e-9) + 1)
+    pairs = left.select("row", "names", "h").join(seeds.select("item_row", "names", "h"), ["names", "h"]).select("row", "item_row", "names").distinct()
+    matches = left.join(pairs, ["row", "names"]).join(right, ["item_row", "names", "h"]).select("key", "row", "item", "item_row", "names", "pos", "item_pos", "slots", "item_slots", "n_windows")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
         done: list[tuple] = []
         last = None  # the pair that has a row already
 
-        def close() -> None:
-            nonlocal last
-            if (held[0]["row"], held[0]["item"]) == last:
-                return
-            diagonal = np.array([r["pos"] - r["item_pos"] for r in held])
+        def batch() -> pa.RecordBatch:
+            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.bool_(), pa.int32(), pa.int32())
+            return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate(types)], NAMES)
+
+        for group in _groups(batches, ["row", "item_row", "names"]):
+            row, of_item, n = (group[c][0].as_py() for c in ("row", "item", "n_windows"))
+            if (row, of_item) == last:
+                continue
+            pos, item_pos = group["pos"].to_numpy().astype(np.int64), group["item_pos"].to_numpy().astype(np.int64)
+            diagonal = pos - item_pos
             # the alignment with most matches within the slack
             values, counts = np.unique(diagonal, return_counts=True)
-            sums = np.array([counts[(values >= v) & (values <= v + SLACK)].sum() for v in values])
-            best = values[int(sums.argmax())]
-            on = [r for r, d in zip(held, diagonal) if best <= d <= best + SLACK]
-            places = {r["item_pos"] for r in on}
-            share = len(places) / held[0]["n_windows"]
+            up_to = np.concatenate([[0], np.cumsum(counts)])
+            best = values[int((up_to[np.searchsorted(values, values + SLACK, "right")] - up_to[:-1]).argmax())]
+            on = np.flatnonzero((diagonal >= best) & (diagonal <= best + SLACK))
+            matched = len(np.unique(item_pos[on]))
+            if matched / n < similarity:
+                continue
             # a slot counts once, however many windows show it
             slots = {}
-            for r in on:
-                for i, (a, b) in enumerate(zip(r["item_slots"], r["slots"])):
-                    if a:
-                        slots[r["item_pos"] + i, r["pos"] + i] = (a, b)
+            part = group.take(on)
+            for p, q, a, b in zip(item_pos[on].tolist(), pos[on].tolist(), part["item_slots"].to_pylist(), part["slots"].to_pylist()):
+                for i, (x, y) in enumerate(zip(a, b)):
+                    if x:
+                        slots[p + i, q + i] = (x, y)
             agree = consistency(list(slots.values()))
-            if share >= similarity and agree >= slot_share:
-                last = held[0]["row"], held[0]["item"]
-                lo, hi = min(r["pos"] for r in on), max(r["pos"] for r in on) + WINDOW
-                done.append((held[0]["key"], held[0]["item"], held[0]["n_windows"], len(places), share, len(slots), agree, all(a == b for a, b in slots.values()), lo, hi))
-
-        def batch() -> pa.RecordBatch:
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.bool_(), pa.int32(), pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate(types)], NAMES)
-
-        for b in batches:
-            for r in b.to_pylist():
-                if held and (r["row"], r["item"], r["names"]) != (held[0]["row"], held[0]["item"], held[0]["names"]):
-                    close()
-                    held = []
-                held.append(r)
-            yield batch()
-            done = []
-        if held:
-            close()
+            if agree >= slot_share:
+                last = row, of_item
+                done.append((group["key"][0].as_py(), of_item, n, matched, matched / n, len(slots), agree, all(x == y for x, y in slots.values()), int(pos[on].min()), int(pos[on].max()) + WINDOW))
+                if len(done) == 4096:
+                    yield batch()
+                    done = []
         yield batch()
 
-    sorted_ = matches.repartition("row", "item").sortWithinPartitions("row", "item", "names", "pos", "item_pos")
+    sorted_ = matches.repartition("row", "item").sortWithinPartitions("row", "item", "names", "item_row", "pos", "item_pos")
     schema = f"`{key}` long, `{item}` long, n_windows int, n_matched int, similarity double, n_slots int, slot_share double, same_slots boolean, first_token int, end_token int"
     NAMES = [key, item, "n_windows", "n_matched", "similarity", "n_slots", "slot_share", "same_slots", "first_token", "end_token"]
     return sorted_.mapInArrow(verify, schema)
