@@ -19,7 +19,7 @@ its first word is scored as a unigram, its second by the first. With ``min_count
 
 Files lie in the shared folder and are mapped where that is a mounted one, so that tasks on one machine share their pages.
 Counts leave a task as sorted, compressed arrays by shard. Nothing but the
-manifest (a row a shard) and the dictionaries' names reaches the driver. Words are told apart by 64-bit hashes; among ten million that two share one has a chance of 3 in a million.
+manifest (a row a shard) reaches the driver. Words are told apart by 64-bit hashes; among ten million that two share one has a chance of 3 in a million.
 
 Null texts are empty: one end token. Repeated rows and ids count each. Without training texts all counts are zero.
 """
@@ -58,7 +58,7 @@ STEPS = 256
 
 def pack(a: np.ndarray) -> bytes:
     """An array by byte planes, compressed: the upper planes of differences and counts are nearly empty."""
-    a = np.ascontiguousarray(a, "<u8")
+    a = np.ascontiguousarray(a).astype("<u8", copy=False)
     return zstandard.ZstdCompressor(1).compress(struct.pack("<Q", len(a)) + np.ascontiguousarray(a.view(np.uint8).reshape(-1, 8).T).tobytes())
 
 
@@ -434,14 +434,19 @@ class Dictionary:
         return flat, sizes
 
     def write(self) -> None:
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.numbers], "<u8")
-        common.write_file(self.uri, np.stack([hashes, self.counts.astype("<u8")]).tobytes())
+        write_columns(self.uri, np.array([xxhash.xxh64_intdigest(w) for w in self.numbers], _U), self.counts)
 
 
-def read_dictionary(uri: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and training counts; after ``number_words``, under the file's name with ``.numbers``: the model's numbers and counts."""
-    both = np.frombuffer(common.read_file(uri), "<u8").reshape(2, -1)
-    return both[0], both[1]
+def write_columns(uri: str, one: np.ndarray, two: np.ndarray) -> None:
+    """Of a dictionary's words: hashes and training counts, or under its name with ``.numbers`` the model's numbers and counts."""
+    parts = pack(one), pack(two)
+    common.write_file(uri, struct.pack("<Q", len(parts[0])) + b"".join(parts))
+
+
+def read_columns(uri: str) -> tuple[np.ndarray, np.ndarray]:
+    data = bytes(common.read_file(uri))
+    (n,) = struct.unpack_from("<Q", data)
+    return unpack(data[8 : 8 + n]), unpack(data[8 + n :])
 
 
 def tokenize(docs: DataFrame, *, text: str = "text", train: Column | None = None) -> tuple[DataFrame, str]:
@@ -480,7 +485,7 @@ def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch
             part = b.slice(a, e - a)
             if (now := part["__dictionary"][0].as_py()) != uri:
                 uri = now
-                numbers, counts = (x.astype(np.int64) for x in read_dictionary(f"{uri}.numbers"))
+                numbers, counts = (x.view(np.int64) for x in read_columns(f"{uri}.numbers"))
             tokens = part["__tokens"]
             offsets = np.frombuffer(tokens.buffers()[1], np.int32, len(tokens) + 1, tokens.offset * 4)
             flat = np.frombuffer(tokens.buffers()[2], np.uint32)[offsets[0] // 4 : offsets[-1] // 4]
@@ -518,17 +523,16 @@ DONE = "shard long, n long, tokens long"
 
 def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, shards: int | None = None) -> LanguageModel:
     """Write the levels for ``tokenize``'s rows that teach: words and pairs, with ``order`` 3 triples too; ``min_count`` 1 keeps all. As many shards as the rows have partitions unless said otherwise."""
-    spark = tokens.sparkSession
-    common.ship(spark)
+    common.ship(tokens.sparkSession)
     shards = shards or max(1, tokens.rdd.getNumPartitions())
-    names = [r[0] for r in tokens.select("__dictionary").distinct().collect()]  # one per task and so many words of it
-    files = spark.createDataFrame([(n,) for n in names], "uri string").repartition(max(1, min(len(names), shards)))
+    # one per task and so many words of it
+    files = common.materialize(tokens.select(F.col("__dictionary").alias("uri")).distinct(), "dictionaries").repartition(shards)
     taught = tokens.where("__train").select("__tokens", "__dictionary")
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for uri in b["uri"].to_pylist():
-                hashes, counts = read_dictionary(uri)
+                hashes, counts = read_columns(uri)
                 keys, counts = summed(hashes[counts > 0], counts[counts > 0])
                 if len(keys):
                     yield blobs(keys, counts, shard_of(keys, shards))
@@ -551,8 +555,8 @@ def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, s
         done = []
         for b in batches:
             for uri in b["uri"].to_pylist():
-                numbers, counts = trie(model).find(read_dictionary(uri)[0])
-                common.write_file(f"{uri}.numbers", np.stack([numbers, counts]).astype("<i8").tobytes())
+                numbers, counts = trie(model).find(read_columns(uri)[0])
+                write_columns(f"{uri}.numbers", numbers, counts)
                 done.append((0, len(numbers), 0))
         yield done_batch(done)
 
