@@ -93,14 +93,10 @@ def grouped(context: np.ndarray) -> np.ndarray:
     return np.argsort(context, kind="stable")
 
 
-def blobs(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
-    """Ascending keys by shard, as differences."""
-    order = np.argsort(shard, kind="stable")
-    keys, counts, shard = keys[order], counts[order], shard[order]
-    begins = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]])) if len(keys) else np.zeros(0, int)
-    ends = np.append(begins[1:], len(keys))
+def blobs(parts: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """Shards with their ascending keys, as differences, and counts."""
     return pa.RecordBatch.from_arrays(
-        [pa.array(shard[begins].astype(np.int32), pa.int32()), pa.array([pack(np.diff(keys[a:b], prepend=_U(0))) for a, b in zip(begins, ends)], pa.binary()), pa.array([pack(counts[a:b]) for a, b in zip(begins, ends)], pa.binary())],
+        [pa.array([s for s, _, _ in parts], pa.int32()), pa.array([pack(np.diff(k, prepend=_U(0))) for _, k, _ in parts], pa.binary()), pa.array([pack(c) for _, _, c in parts], pa.binary())],
         ["shard", "keys", "counts"],
     )
 
@@ -534,8 +530,9 @@ def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, s
             for uri in b["uri"].to_pylist():
                 hashes, counts = read_columns(uri)
                 keys, counts = summed(hashes[counts > 0], counts[counts > 0])
-                if len(keys):
-                    yield blobs(keys, counts, shard_of(keys, shards))
+                shard = shard_of(keys, shards)
+                begins = runs(shard)
+                yield blobs([(int(shard[a]), keys[a:b], counts[a:b]) for a, b in zip(begins, [*begins[1:], len(keys)])])
 
     def write_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
@@ -547,9 +544,10 @@ def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, s
     got = by_shard(files.mapInArrow(count_words, BLOBS), shards).mapInArrow(write_words, DONE).collect()
     starts = (0, *np.cumsum(sizes_of(got, shards)).tolist())
     model = LanguageModel(path, shards, starts, sum(r["tokens"] for r in got), min_count=min_count, order=2)
+    # a key is a context's place within its shard, and a word
     wide = max(model.distinct, 1)
-    if wide >= 2**32:
-        raise ValueError("more distinct words than a pair's key can hold")
+    if max(b - a for a, b in zip(starts, starts[1:])) * wide >= 2**64:
+        raise ValueError("more words in a shard than a pair's key can hold: ask for more shards")
 
     def number_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
@@ -562,47 +560,49 @@ def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, s
 
     files.mapInArrow(number_words, DONE).collect()
 
-    def counter(keys_of: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], shard_of_keys: Callable[[np.ndarray], np.ndarray]):
-        """Keys of texts' tokens (numbers, counts, whether a text's first), sorted and summed by a task before they move."""
+    def counter(keys_of: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]):
+        """Shards and keys of texts' tokens (numbers, counts, whether a text's first), sorted and summed by a task before they move."""
 
-        def sum_up(keys: list[np.ndarray]) -> pa.RecordBatch:
-            all_ = np.concatenate(keys)
-            all_.sort()
-            begins = runs(all_)
-            distinct = all_[begins]
-            return blobs(distinct, np.diff(np.append(begins, len(all_))).astype(_U), shard_of_keys(distinct))
+        def sum_up(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            shard, keys = (np.concatenate(x) for x in zip(*held))
+            order = grouped(shard)
+            shard, keys = shard[order], keys[order]
+            parts, begins = [], runs(shard)
+            for a, b in zip(begins, [*begins[1:], len(keys)]):
+                mine = np.sort(keys[a:b])
+                at = runs(mine)
+                parts.append((int(shard[a]), mine[at], np.diff(np.append(at, len(mine))).astype(_U)))
+            return blobs(parts)
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys, held = [], 0
+            held, n = [], 0
             for _, number, counts, sizes in numbered(batches):
                 first = np.zeros(len(number), bool)
                 first[np.cumsum(sizes) - sizes] = True
-                keys.append(keys_of(number, counts, first))
-                held += len(keys[-1])
-                if held > PAIRS_HELD:
-                    yield sum_up(keys)
-                    keys, held = [], 0
-            if held:
-                yield sum_up(keys)
+                held.append(keys_of(number, counts, first))
+                n += len(held[-1][1])
+                if n > PAIRS_HELD:
+                    yield sum_up(held)
+                    held, n = [], 0
+            if n:
+                yield sum_up(held)
 
         return count
 
-    def pair_keys(number: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def pair_keys(number: np.ndarray, count: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # a pair can't occur oftener than either of its words
         often = count >= min_count
         at = np.flatnonzero(~first & often & np.concatenate([[False], often[:-1]]))
-        return number[at - 1].astype(_U) * _U(wide) + number[at].astype(_U)
-
-    def pair_shards(keys: np.ndarray) -> np.ndarray:
-        return np.searchsorted(np.array(starts), (keys // _U(wide)).astype(np.int64), "right") - 1
+        bounds, context = np.array(starts), number[at - 1]
+        shard = np.searchsorted(bounds, context, "right") - 1
+        return shard.astype(np.int32), (context - bounds[shard]).astype(_U) * _U(wide) + number[at].astype(_U)
 
     def write_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
         for s, keys, counts in merged(batches):
             kept = counts >= min_count
             keys, n = keys[kept], counts[kept].astype(float)
-            context, word = (keys // _U(wide)).astype(np.int64), (keys % _U(wide)).astype(np.int64)
-            place, words = context - starts[s], starts[s + 1] - starts[s]
+            place, word, words = (keys // _U(wide)).astype(np.int64), (keys % _U(wide)).astype(np.int64), starts[s + 1] - starts[s]
             t = trie(model)
             of_context = t.level("words", s).counts(np.arange(words)).astype(float)
             left = 1 - np.bincount(place, n - DISCOUNT, minlength=words) / of_context
@@ -613,7 +613,7 @@ def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, s
             done.append((s, len(keys), most))
         yield done_batch(done)
 
-    got = by_shard(taught.mapInArrow(counter(pair_keys, pair_shards), BLOBS), shards).mapInArrow(write_pairs, DONE).collect()
+    got = by_shard(taught.mapInArrow(counter(pair_keys), BLOBS), shards).mapInArrow(write_pairs, DONE).collect()
     for s in {*range(shards)} - {r["shard"] for r in got}:  # shards whose words are no frequent context
         words = starts[s + 1] - starts[s]
         common.write_file(f"{path}/pairs-{s:06d}", encode_pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), words, np.zeros(words)))
@@ -624,23 +624,21 @@ def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, s
     step = model.step
     # ranks stay below the most successors that a word has; the one after them stands for words left out
     ranks = max((r["tokens"] for r in got), default=0) + 1
-    if model.pairs * ranks >= 2**64:
-        raise ValueError("more distinct pairs than a triple's key can hold")
+    if step * ranks >= 2**64:
+        raise ValueError("more pairs in a shard than a triple's key can hold: ask for more shards")
 
-    def triple_keys(number: np.ndarray, count: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def triple_keys(number: np.ndarray, count: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         t = trie(model)
         at, _, _, pair, rank = t.pairs_of(number, first)
         _, pair, rank = t.after_pairs(at, pair, rank, first)
-        return pair.astype(_U) * _U(ranks) + np.where(rank < 0, ranks - 1, rank).astype(_U)
-
-    def triple_shards(keys: np.ndarray) -> np.ndarray:
-        return (keys // _U(ranks)).astype(np.int64) // step
+        shard = pair // step
+        return shard.astype(np.int32), (pair - shard * step).astype(_U) * _U(ranks) + np.where(rank < 0, ranks - 1, rank).astype(_U)
 
     def write_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = []
         for s, keys, counts in merged(batches):
             t, contexts = trie(model), min(step, model.pairs - s * step)
-            place, rank, n = (keys // _U(ranks)).astype(np.int64) - s * step, (keys % _U(ranks)).astype(np.int64), counts.astype(float)
+            place, rank, n = (keys // _U(ranks)).astype(np.int64), (keys % _U(ranks)).astype(np.int64), counts.astype(float)
             # a pair is followed by one token wherever it stands, but for those that end a text
             of_context = np.maximum(np.bincount(place, n, minlength=contexts), 1)
             kept = (counts >= min_count) & (rank < ranks - 1)
@@ -652,7 +650,7 @@ def learn(tokens: DataFrame, path: str, *, min_count: int = 1, order: int = 3, s
             done.append((s, len(place), 0))
         yield done_batch(done)
 
-    got = by_shard(taught.mapInArrow(counter(triple_keys, triple_shards), BLOBS), shards).mapInArrow(write_triples, DONE).collect()
+    got = by_shard(taught.mapInArrow(counter(triple_keys), BLOBS), shards).mapInArrow(write_triples, DONE).collect()
     for s in {*range(shards)} - {r["shard"] for r in got}:  # shards whose pairs only end texts
         contexts = max(0, min(step, model.pairs - s * step))
         common.write_file(f"{path}/triples-{s:06d}", encode_pairs(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), contexts, np.zeros(contexts)))
