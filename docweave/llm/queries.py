@@ -25,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sstable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = sstable.write_token_shards(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), common.fresh_dir(spark, "sst"))
-    return sstable.digest_token_shards(spark, manifest)
+    return sstable.digest_token_shards(manifest)
 
 
 def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,12 @@ of fixed length. A reader maps the file, asks the filter, searches the index, th
     value   width of an id in bytes (2 or 4), then the ids, little-endian
     footer  <QIQIQQQ8s: filter place and size, index place and size, documents, tokens, filter's hash count, magic
 
-Shards cut the key range at quantiles and are written by tasks of their own into the shared folder, each file put in its
-place at once, so that a task which runs twice leaves the same file. Keys: a flag byte (0: null id, so nulls come first),
+Spark deals rows out by ranges of id and the text's hash, so that an id with many rows is no single task's. A task writes its range
+into the shared folder as one shard after another, each closed at a number of bytes and put in its
+place at once, so that a task which runs twice leaves the same files. The manifest is a table with a row a shard: path, first and last
+id, entries, tokens and the tokens before it; a lookup asks it for the shards whose range holds an id. Keys: a flag byte (0: null id, so nulls come first),
 then the id, big-endian with the sign bit turned, so that byte order is number order. Rows with equal ids all stay, in
-order of their texts. Null texts are empty ones; an empty table gives one shard without entries.
+order of their texts' hashes. Null texts are empty ones; an empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -26,9 +28,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
@@ -39,8 +44,8 @@ FOOTER = struct.Struct("<QIQIQQQ8s")
 BLOCK_BYTES = 64 * 1024
 RESTART = 16
 BITS_PER_KEY = 10
-#: Bytes of text for a shard; a shard is what one task sorts and writes.
-SHARD_BYTES = 24 * 2**20
+#: Bytes of text for a shard, which is what a task holds while it writes; tasks at most, beyond which each writes more shards.
+SHARD_BYTES, TASKS = 24 * 2**20, 20_000
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -185,8 +190,7 @@ class Reader:
         for i in range(bisect.bisect_left(self.last_keys, key), len(self.places)):
             raw = self.block(i)
             points = self.restarts(raw)
-            firsts = [next(self.entries_of(raw, p, len(raw)))[0] for p in points]
-            at = points[max(0, bisect.bisect_left(firsts, key) - 1)]
+            at = points[max(0, bisect.bisect_left(points, key, key=lambda p: next(self.entries_of(raw, p, len(raw)))[0]) - 1)]
             for k, v in self.entries_of(raw, at, len(raw) - 4 - 4 * len(points)):
                 if k > key:
                     return found
@@ -195,80 +199,67 @@ class Reader:
         return found
 
 
-def _bounds(docs: DataFrame, key: str, text: str, shard_bytes: int) -> list[int]:
-    """Keys at which the shards part: quantiles of the ids, as many as the bytes of text ask for."""
-    size = docs.agg(F.sum(F.octet_length(F.col(text)) + 16).alias("n")).first()["n"] or 0
-    shards = max(1, -(-size // shard_bytes))
-    if shards == 1:
-        return []
-    cuts = docs.select(F.col(key).cast("long").alias("k")).na.drop().agg(F.percentile_approx("k", [i / shards for i in range(1, shards)], min(20 * shards, 500_000)).alias("q")).first()["q"]
-    return sorted(set(cuts or []))
-
-
-def _shard_of(key: Column, cuts: list[int]) -> Column:
-    """The number of cuts at or below the key, by binary search in a constant array; nulls go first."""
-    if not cuts:
-        return F.lit(0)
-    table = F.expr(f"from_json('{list(cuts)}', 'array<bigint>')")
-    mid = lambda s: F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-    at_or_below = lambda s: F.get(table, mid(s)) <= key
-    step = lambda s, _: F.when(s["lo"] >= s["hi"], s).when(at_or_below(s), F.struct((mid(s) + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), mid(s).alias("hi")))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(cuts).bit_length())), F.struct(F.lit(0).alias("lo"), F.lit(len(cuts)).alias("hi")), step, lambda s: s["lo"])
-    return F.when(key.isNull(), 0).otherwise(found)
+MANIFEST = "path string, task int, number int, first_id long, last_id long, entries long, tokens long"
 
 
 def write_token_shards(
     docs: DataFrame, tokenizer: str, out: str, *, key: str = "doc_id", text: str = "text", end_id: int | None = 0, shard_bytes: int = SHARD_BYTES
-) -> list[dict]:
-    """Encode ``text`` by the tokenizer file and write shards under ``out``; returns the manifest, a row a shard, in key order.
+) -> DataFrame:
+    """Encode ``text`` by the tokenizer file and write shards under ``out``; returns the manifest, a table with a row a shard: ``MANIFEST`` and start.
 
-    Only the manifest comes to the driver. A document's text goes through one shuffle, to its shard's task.
+    A document's text goes through one shuffle, to its range's task.
     """
     spark = docs.sparkSession
     common.ship(spark)
     docs = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    cuts = _bounds(docs, "key", "text", shard_bytes)
-    n = len(cuts) + 1
+    size = docs.agg(F.sum(F.octet_length("text") + 16).alias("n")).first()["n"] or 0
+    tasks = max(1, min(TASKS, -(-size // shard_bytes)))
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, shard = None, None
-        done: list[tuple[int, int, int]] = []
+        task = TaskContext.get().partitionId()
+        writer, held, first, last = Writer(), 0, None, None
+        done: list[tuple] = []
 
         def close() -> None:
-            common.write_file(f"{out}/shard-{shard:06d}.sst", writer.finish())
-            done.append((shard, writer.entries, writer.tokens))
+            path = f"{out}/shard-{task:06d}-{len(done):06d}.sst"
+            common.write_file(path, writer.finish())
+            done.append((path, task, len(done), first, last, writer.entries, writer.tokens))
 
         encode = encoder(tokenizer).encode
         for b in common.slices(batches):
-            for s, k, ids in zip(b["shard"].to_pylist(), b["key"].to_pylist(), encode(b["text"].to_pylist())):
-                if s != shard:
-                    if writer:
-                        close()
-                    writer, shard = Writer(), s
+            sizes = pa.compute.binary_length(b["text"]).to_pylist()
+            for k, n, ids in zip(b["key"].to_pylist(), sizes, encode(b["text"].to_pylist())):
+                if held and held + n > 1.25 * shard_bytes:  # a range is about a shard; a little more makes no second one
+                    close()
+                    writer, held = Writer(), 0
+                first, last = k if not writer.entries else first, k
                 ids += tail
                 writer.add(key_of(k), pack_ids(ids), len(ids) // 4)
-        if writer:
+                held += n + 16
+        if writer.entries:
             close()
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([d[0] for d in done], pa.int32()), "entries": pa.array([d[1] for d in done], pa.int64()), "tokens": pa.array([d[2] for d in done], pa.int64())})
-
-    rows = (
-        docs.withColumn("shard", _shard_of(F.col("key"), cuts).cast("int"))
-        .repartitionById(n, F.col("shard"))
-        .sortWithinPartitions("shard", F.col("key").asc_nulls_first(), "text")
-        .mapInArrow(write, "shard int, entries long, tokens long")
-        .collect()
-    )
-    manifest, start = [], 0
-    for r in sorted(rows, key=lambda r: r["shard"]):
-        manifest.append({"path": f"{out}/shard-{r['shard']:06d}.sst", "entries": r["entries"], "tokens": r["tokens"], "start": start})
-        start += r["tokens"]
-    return manifest
-
-
-def read_token_shards(spark, manifest: list[dict]) -> DataFrame:
+        types = (pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], t) for i, t in enumerate(types)], [c.split()[0] for c in MANIFEST.split(", ")])
+
+    digest = F.xxhash64("text")
+    order = (F.col("key").asc_nulls_first(), F.col("digest"), F.col("text"))
+    rows = docs.withColumn("digest", digest).repartitionByRange(tasks, *order[:2]).sortWithinPartitions(*order).select("key", "text").mapInArrow(write, MANIFEST)
+    made = common.materialize(rows, "shards")
+    # tokens before a task's first shard: a sum over tasks, of which there are at most TASKS
+    of_task = made.groupBy("task").agg(F.sum("tokens").alias("n")).withColumn("before", F.sum("n").over(W.orderBy("task").rowsBetween(W.unboundedPreceding, -1)))
+    within = F.sum("tokens").over(W.partitionBy("task").orderBy("number").rowsBetween(W.unboundedPreceding, -1))
+    manifest = made.join(F.broadcast(of_task.select("task", "before")), "task").withColumn("start", F.coalesce("before", F.lit(0)) + F.coalesce(within, F.lit(0))).drop("before")
+    return common.materialize(manifest.select(*[c.split()[0] for c in MANIFEST.split(", ")], "start"), "manifest")
+
+
+def _files(manifest: DataFrame) -> DataFrame:
+    return manifest.select("path", "start").repartition(max(1, manifest.sparkSession.sparkContext.defaultParallelism * 4))
+
+
+def read_token_shards(manifest: DataFrame) -> DataFrame:
     """All documents of the shards: doc_id, start (tokens of all documents before it), n_tokens, ids_crc32 and ids."""
-    common.ship(spark)
+    common.ship(manifest.sparkSession)
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long, ids array<long>"
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,13 +283,12 @@ def read_token_shards(spark, manifest: list[dict]) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids).astype(np.int64)))
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(c, pa.int64()), lists], ["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
 
-    files = spark.createDataFrame([(m["path"], m["start"]) for m in manifest], "path string, start long")
-    return files.repartition(max(1, min(len(manifest), spark.sparkContext.defaultParallelism * 4))).mapInArrow(read, schema)
+    return _files(manifest).mapInArrow(read, schema)
 
 
-def digest_token_shards(spark, manifest: list[dict]) -> DataFrame:
+def digest_token_shards(manifest: DataFrame) -> DataFrame:
     """The same without the ids themselves."""
-    common.ship(spark)
+    common.ship(manifest.sparkSession)
 
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -313,11 +303,12 @@ def digest_token_shards(spark, manifest: list[dict]) -> DataFrame:
                     start += len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (keys, starts, lengths, sums)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    files = spark.createDataFrame([(m["path"], m["start"]) for m in manifest], "path string, start long")
-    return files.repartition(max(1, min(len(manifest), spark.sparkContext.defaultParallelism * 4))).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _files(manifest).mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def lookup(manifest: list[dict], doc_id: int | None) -> list[np.ndarray]:
-    """The ids stored under one document id, by filter and binary search in each shard; no scan."""
+def lookup(manifest: DataFrame, doc_id: int | None) -> list[np.ndarray]:
+    """The ids stored under one document id: the manifest's shards whose range holds it, by filter and binary search in each; no scan."""
+    null = F.col("first_id").isNull()
+    inside = null if doc_id is None else (null | (F.col("first_id") <= doc_id)) & (F.col("last_id") >= doc_id)
     key = key_of(doc_id)
-    return [unpack_ids(v) for m in manifest for v in Reader(common.read_file(m["path"])).get(key)]
+    return [unpack_ids(v) for r in manifest.where(inside).orderBy("task", "number").collect() for v in Reader(common.read_file(r["path"])).get(key)]

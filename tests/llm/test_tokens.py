@@ -112,9 +112,9 @@ def test_shards_round_trip(spark, docs, small, byte_bpe, shard_bytes):
         ids = [*library(byte_bpe, [t or ""])[0], 0]
         want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), ids))
         start += len(ids)
-    got = sorted(sstable.read_token_shards(spark, manifest).collect(), key=lambda r: r.start)
+    got = sorted(sstable.read_token_shards(manifest).collect(), key=lambda r: r.start)
     assert [tuple(r) for r in got] == want
-    assert sorted(map(tuple, sstable.digest_token_shards(spark, manifest).collect()), key=lambda r: r[1]) == [w[:4] for w in want]
+    assert sorted(map(tuple, sstable.digest_token_shards(manifest).collect()), key=lambda r: r[1]) == [w[:4] for w in want]
     assert [x.tolist() for x in sstable.lookup(manifest, 8)] == [want[-1][4]]
     assert len(sstable.lookup(manifest, 5)) == 2 and len(sstable.lookup(manifest, None)) == 1
     assert sstable.lookup(manifest, 6) == []
@@ -122,7 +122,24 @@ def test_shards_round_trip(spark, docs, small, byte_bpe, shard_bytes):
 
 def test_shards_of_an_empty_table(spark, empty, byte_bpe):
     manifest = shards(spark, empty, byte_bpe)
-    assert sstable.read_token_shards(spark, manifest).count() == 0 and sstable.lookup(manifest, 1) == []
+    assert sstable.read_token_shards(manifest).count() == 0 and sstable.lookup(manifest, 1) == []
+
+
+def test_an_id_with_many_rows_is_dealt_out(spark, byte_bpe):
+    """A hot id's rows make several shards, no task holds all; a lookup opens just those whose range holds the id."""
+    rows = [(5, f"row {i} of the hot one " + "word " * 50) for i in range(2000)] + [(i, f"text {i}") for i in range(1000)] + [(None, "none"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    manifest = shards(spark, df, byte_bpe, shard_bytes=30_000)
+    made = manifest.orderBy("task", "number").collect()
+    assert sum(r.entries for r in made) == 3002 and max(r.entries for r in made) < 400 and len(made) > 10
+    start = 0
+    for r in made:
+        assert r.start == start
+        start += r.tokens
+    assert len(sstable.lookup(manifest, 5)) == 2001 and len(sstable.lookup(manifest, None)) == 2 and len(sstable.lookup(manifest, 999)) == 1
+    assert sstable.lookup(manifest, 1000) == [] and sstable.lookup(manifest, -1) == []
+    got = sorted((r.start, r.doc_id is not None, r.doc_id or 0) for r in sstable.digest_token_shards(manifest).collect())
+    assert len(got) == 3002 and [g[1:] for g in got] == sorted(g[1:] for g in got)
 
 
 def test_lookup_over_many_blocks():
