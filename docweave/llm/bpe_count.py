@@ -5,7 +5,8 @@ pair and joins all its occurrences there at once; a sequence without a mergeable
 That gives byte-pair encoding's result: a pair made by a merge always ranks after it, so rounds never miss a lower one.
 
 Null texts count as empty: no bytes, no tokens. The special string counts as one token wherever it stands, as the
-library does by default; no text is cut.
+library does by default; no text is cut. Repeated rows and null ids are counted each; an empty table gives an empty result; columns of the results' names are replaced.
+A vocabulary file with another normaliser or pre-tokeniser raises ValueError.
 """
 
 from __future__ import annotations
@@ -43,7 +44,12 @@ class MergeCounter:
     """Counts tokens of pre-tokens for a byte-level vocabulary file of the ``tokenizers`` library."""
 
     def __init__(self, path: str):
-        model = json.load(open(path, encoding="utf-8"))
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)
+        # another normaliser or pre-tokeniser would give other counts
+        steps = model["pre_tokenizer"] or {}
+        if model["normalizer"] or (steps.get("type"), steps.get("add_prefix_space"), steps.get("use_regex", True)) != ("ByteLevel", False, True) or model["model"].get("ignore_merges"):
+            raise ValueError("no plain byte-level vocabulary")
         self.special = [t["content"] for t in model["added_tokens"]]
         vocabulary, letters = model["model"]["vocab"], byte_letters()
         self.symbol_of_byte = np.zeros(256, np.int64)

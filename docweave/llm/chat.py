@@ -15,7 +15,8 @@ signs are per-cent encoded. The loss mask, spans of code points in the rendering
 
 Null texts and roles are empty. Events of a null conversation form one. Null sequence numbers come first; rows that tie on
 a sequence number are ordered by turn, kind, role and text, so that any run gives the same. Unknown kinds raise an error. A null turn is the one
-after the last.
+after the last. A delta, edit or regeneration of a turn that isn't there makes it, with the event's role, or an empty one. Repeated message events put a turn's text again; rows
+of a table that share a turn are turns of their own. Only the columns named are read, so that others may have any name. An empty log gives an empty result.
 """
 
 from __future__ import annotations

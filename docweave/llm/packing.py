@@ -7,9 +7,10 @@ worth most at the present weights, it enters by as much as its scarcest length a
 against the others. The fractional solution, scaled to a packing, is rounded down to whole sequences; what is left is
 solved again, for as long as that shortens the whole; the last rest is packed best-fit decreasing.
 Sequences then are ranges of ranks within a length, so that each piece finds its place by
-its rank alone.
+its rank alone. Pieces that fill a sequence need no rank and stay where they are.
 
-Null texts are empty (the end id alone). Equal rows are packed each. An empty table gives no sequences.
+Null texts are empty (the end id alone). Null and repeated ids and equal rows are packed each. Only key and text are read, so that other columns' names don't
+matter. An empty table gives no sequences.
 """
 
 from __future__ import annotations
@@ -21,13 +22,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from . import common
 from .tokenizing import encoder
 
-#: Ranks within a length are counted in so many buckets, so that a length with a third of all pieces isn't one task's.
-BUCKETS = 64
+#: Ranks within a length are counted in buckets, so that a length with a third of all pieces isn't one task's: so many at least and at most, and pieces for each bucket over all lengths.
+BUCKETS, MOST_BUCKETS, BUCKET_PIECES = 64, 4096, 4_000_000
 
 
 # --- the program, on the driver over the histogram ----------------------------------------------------------------------
@@ -198,7 +200,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", te
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     crc = zlib.crc32(part)
-                    rows.append((k, piece, at // 4, len(part) // 4, crc, zlib.crc32(b"%d/%d" % (-1 if k is None else k, piece)) % BUCKETS, part))
+                    rows.append((k, piece, at // 4, len(part) // 4, crc, zlib.crc32(b"%d/%d" % (-1 if k is None else k, piece)) % MOST_BUCKETS, part))
             columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))]
             names = [key, "piece", "start", "length", "ids_crc32", "salt", "ids"]
             if rows:
@@ -208,27 +210,34 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", te
 
 
 def assign(pieces: DataFrame, capacity: int) -> DataFrame:
-    """``pieces`` (length, salt, ...; a written table) with sequence_id and offset."""
-    from pyspark.sql import Window as W
-
-    cells = {(r["length"], r["salt"]): r["n"] for r in pieces.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most capacity * BUCKETS numbers
+    """``pieces`` (length, salt, ...; a written table) with sequence_id and offset. Pieces that fill a sequence get negative numbers where they stand; only the others move."""
+    columns = [f.name for f in pieces.schema if f.name != "salt"]
+    full = pieces.where(F.col("length") == capacity).select(*columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    pieces = pieces.where(F.col("length") < capacity)
+    buckets = BUCKETS
+    n = pieces.count()
+    while buckets < MOST_BUCKETS and n > buckets * BUCKET_PIECES:
+        buckets *= 2
+    pieces = pieces.withColumn("salt", F.col("salt") % buckets)
+    cells = pieces.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["length", "salt"])  # at most capacity * MOST_BUCKETS numbers
     counts = np.zeros(capacity + 1, np.int64)
-    before = np.zeros((capacity + 1) * BUCKETS, np.int64)
-    for (length, salt), n in sorted(cells.items()):
-        before[length * BUCKETS + salt] = counts[length]
-        counts[length] += n
+    before = np.zeros(capacity * buckets, np.int64)
+    length, n = cells["length"].to_numpy(np.int64), cells["n"].to_numpy(np.int64)
+    np.add.at(counts, length, n)
+    ranks = np.cumsum(n) - n
+    begins = np.searchsorted(length, length)
+    before[length * buckets + cells["salt"].to_numpy(np.int64)] = ranks - ranks[begins] if len(n) else ranks
     table = slots(plan_sequences(counts, capacity), capacity)
     wide = np.int64(1) << 40
     search = table["length"] * wide + table["rank"]
     shared = pieces.sparkSession.sparkContext.broadcast((before, search, table))
-    columns = [f.name for f in pieces.schema if f.name != "salt"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema if f.name != "salt") + ", sequence_id long, offset long"
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before, search, table = shared.value
         for b in batches:
             length, salt, rank = (b[c].to_numpy().astype(np.int64) for c in ("length", "salt", "rank"))
-            rank = before[length * BUCKETS + salt] + rank - 1
+            rank = before[length * buckets + salt] + rank - 1
             at = np.searchsorted(search, length * wide + rank, "right") - 1
             within, times = rank - table["rank"][at], table["times"][at]
             sequence = table["sequence"][at] + within // times
@@ -237,7 +246,7 @@ def assign(pieces: DataFrame, capacity: int) -> DataFrame:
 
     order = [c for c in columns if c not in ("length", "ids")]
     ranked = pieces.withColumn("rank", F.row_number().over(W.partitionBy("length", "salt").orderBy(*order)))
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(place, schema).unionByName(full)
 
 
 def pack(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str = "text", capacity: int = 2048, end_id: int = 0, with_ids: bool = False) -> DataFrame:

@@ -6,8 +6,11 @@ text has pseudo-words for a word that repeats the one before and for a pair of w
 The network's logits are divided by a temperature fitted on rows kept aside, so that scores are probabilities.
 
 Vectors and network are fitted on at most ``max_rows`` labelled rows (those of least hash), outside the held-out fold; scoring reads
-every text whole. Null and empty texts pool to the zero vector and are scored. Without labels of both kinds there is nothing
-to learn and ``fit`` raises ValueError.
+every text whole. Words share 32 768 buckets, which bounds the model whatever the vocabulary: a vector per word of the sample would
+be some hundred MB in every worker. Null and empty texts pool to the zero vector and are scored. Repeated rows are scored each, and count each where they are labelled;
+of a repeated label the least counts, null and other labels than 0 and 1 don't. Columns of ``docs`` besides key and text aren't read. Without labels of both kinds, or texts for them,
+there is nothing to learn: the model then is ``untaught`` and every score is the share of ones among the labelled rows, with one row of
+either kind added (0.5 where there are none). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -144,6 +147,7 @@ class QualityModel:
     w2: np.ndarray
     b2: float
     temperature: float = 1.0
+    untaught: bool = False
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
@@ -155,7 +159,9 @@ class QualityModel:
 def train(x: np.ndarray, y: np.ndarray, aside: np.ndarray, vectors: np.ndarray, *, hidden: int = 32, epochs: int = 40, rate: float = 3e-3, decay: float = 1e-3, seed: int = 1) -> QualityModel:
     """Adam on the cross entropy of the rows not aside; then the temperature that suits the rows aside best."""
     if len(set(y.tolist())) < 2:
-        raise ValueError("labels of both kinds are needed")
+        share = (y.sum() + 1) / (len(y) + 2)
+        zero = np.zeros(DIM, np.float32)
+        return QualityModel(vectors, zero, zero + 1, np.zeros((DIM, 1), np.float32), np.zeros(1, np.float32), np.zeros(1, np.float32), float(np.log(share / (1 - share))), untaught=True)
     rng = np.random.default_rng(seed)
     fit = ~aside if 0 < aside.sum() < len(y) and len(set(y[~aside].tolist())) == 2 else np.ones(len(y), bool)
     mean, scale = x[fit].mean(0), x[fit].std(0) + 1e-3
@@ -192,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     """Fit on labelled rows whose crc32(key as text) mod ``folds`` is not ``held_out``."""
     common.ship(docs.sparkSession)
     inside = F.crc32(F.col(key).cast("string").cast("binary")) % folds != held_out
-    rows = labelled_sample(docs.select(key, text), labels, key=key, label=label, max_rows=max_rows, fold=inside)
+    rows = labelled_sample(docs.select(key, text), labels, key=key, text=text, label=label, max_rows=max_rows, fold=inside)
     rows = common.materialize(rows.select(key, text, "__label", "__order").repartition(8, "__order"), "labelled")
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +220,6 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([b["__label"].cast(pa.int32()), b["__order"], pa.array([r.tobytes() for r in x], pa.binary())], ["label", "order", "x"])
 
     got = rows.mapInArrow(pool, "label int, order long, x binary").toPandas().sort_values(["order", "x"])
-    if not len(got):
-        raise ValueError("no labelled rows")
     x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, DIM)
     order = got["order"].to_numpy()
     return train(x, got["label"].to_numpy(), (order & 0xFFFF) % 7 == 0, vectors)

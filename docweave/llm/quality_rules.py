@@ -6,7 +6,8 @@ The list becomes one Spark expression of ordered conditions over statistics of w
 
 A base rule comes first: too few words, or too much of the text in repeated windows. The list is learned from labelled
 rows that pass it; the number of those is bounded by ``max_rows`` (the rows of least hash), all else reads every text.
-Null texts have no words and fail the base. Null or other labels than 0 and 1 teach nothing. Without any labels the list is empty.
+Null texts have no words and fail the base. Null or other labels than 0 and 1 teach nothing; of a repeated label the least counts. Without any labels, or with those of one kind, the list is empty.
+Repeated rows and null ids are judged each. An empty table gives an empty result. ``judge`` replaces columns that have the names of what it adds.
 """
 
 from __future__ import annotations
@@ -140,18 +141,19 @@ def base_failed(min_words: int = 10, repeat_percent: int = 20) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, label: str, max_rows: int, fold: Column | None = None) -> DataFrame:
-    """Texts with a 0/1 label: those ``max_rows`` labels of least hash. Of repeated ids in ``labels`` the least label counts."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, *, key: str, text: str, label: str, max_rows: int, fold: Column | None = None) -> DataFrame:
+    """key, text, __label, __order of texts with a 0/1 label: those ``max_rows`` labels of least hash. Of repeated ids in ``labels`` the least label counts, in ``docs`` the least text."""
     clean = labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
     clean = clean.where(fold) if fold is not None else clean
+    clean = clean.join(docs.select(key), key, "left_semi")  # labels of texts that aren't here don't use up the bound
     chosen = clean.groupBy(key).agg(F.min(label).alias("__label")).withColumn("__order", F.xxhash64(key)).orderBy("__order", key).limit(max_rows)
-    # at most max_rows ids: this side's size has a fixed bound
-    return docs.join(F.broadcast(chosen), key)
+    # at most max_rows ids: this side's size has a fixed bound, and with one text for each so has the result
+    return docs.join(F.broadcast(chosen), key).groupBy(key, "__label", "__order").agg(F.min(text).alias(text))
 
 
 def learn_from(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 20_000, min_words: int = 10, repeat_percent: int = 20) -> DecisionList:
     """Learn the list from the labelled texts; statistics are worked out for these alone."""
-    chosen = labelled_sample(docs.select(key, text), labels, key=key, label=label, max_rows=max_rows)
+    chosen = labelled_sample(docs.select(key, text), labels, key=key, text=text, label=label, max_rows=max_rows)
     rows = with_statistics(chosen, text=text).select(*COUNTS, "__label", "__order").toPandas().sort_values(["__order", *COUNTS])
     # a filter on these statistics within the plan would move before the join, and work them out for every text
     rows = rows[(rows["n_words"] >= min_words) & (100 * rows["n_repeat_words"] <= repeat_percent * rows["n_words"])]

@@ -12,6 +12,7 @@ tables beyond ``max_keys`` are looked up by an exact hash join instead, with the
 
 Null URLs and those without ``://`` have an empty host and path and fit no rule. The longest key that fits wins, of
 equally long ones that with more labels in its host; of rules with the same key the block stands. Rules with a null host or path don't count.
+Repeated pages are judged each. Without rules every page is allowed; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -71,8 +71,7 @@ def test_edge_cases(spark, docs, empty, small):
     assert got[1].base_failed and got[2].base_failed and got[4].base_failed and got[5].kept
     assert got[8].n_words == 30000 and not got[8].kept  # its windows repeat
     assert quality_rules.apply_rules(empty, none)[0].count() == 0
-    with pytest.raises(ValueError):
-        quality_model.fit(docs, none)
+    assert quality_model.fit(docs, none).untaught  # a defined result where there is nothing to learn
 
 
 def test_model_scores_every_row(spark, docs, empty, small):
@@ -88,11 +87,33 @@ def test_model_scores_every_row(spark, docs, empty, small):
     assert quality_model.with_score(empty, model).count() == 0
 
 
+def test_nothing_to_learn_from(spark, docs, empty, small):
+    """Empty documents, empty labels, one class: a stated score for every row."""
+    schema = "doc_id long, quality int, toxic int"
+    for labels, share in (([], 0.5), ([(5, 1, 0), (5, 1, 0), (7, None, 0)], 2 / 3), ([(99, 0, 0), (99, 1, 0)], 0.5)):
+        model = quality_model.fit(docs, spark.createDataFrame(labels, schema), held_out=-1)
+        assert model.untaught
+        got = quality_model.with_score(docs, model).collect()
+        assert len(got) == len(small) and all(r.score == pytest.approx(share) for r in got)
+    model = quality_model.fit(empty, spark.createDataFrame([(1, 1, 0), (2, 0, 0)], schema))
+    assert model.untaught and quality_model.with_score(empty, model).count() == 0
+    judged, found = quality_rules.apply_rules(docs, spark.createDataFrame([], schema))
+    assert not found.rules and judged.count() == len(small)
+
+
+def test_the_sample_is_bounded(spark):
+    """A labelled id with many rows gives one, and labels of texts that aren't there none."""
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(50)] + [(2, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 100)], "doc_id long, quality int")
+    got = quality_rules.labelled_sample(docs, labels, key="doc_id", text="text", label="quality", max_rows=3).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == [(1, "text 0"), (2, "b"), (3, "c")]
+
+
 def test_labels_outside_the_training_fold_alone_are_read(spark):
     held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 == 2][:40]
     docs = spark.createDataFrame([(i, f"text {i}") for i in held], "doc_id long, text string")
-    with pytest.raises(ValueError):
-        quality_model.fit(docs, labels_for(spark, [(i, i % 2, 0) for i in held]))
+    model = quality_model.fit(docs, labels_for(spark, [(i, i % 2, 0) for i in held]))
+    assert model.untaught and {r.score for r in quality_model.with_score(docs, model).collect()} == {0.5}
 
 
 def test_classifier_query_is_accurate(spark):

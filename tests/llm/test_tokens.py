@@ -99,6 +99,11 @@ def test_count_tokens(docs, empty, small, byte_bpe):
     assert bpe_count.count_tokens(empty, byte_bpe).count() == 0
 
 
+def test_other_vocabularies_are_refused(word_bpe):
+    with pytest.raises(ValueError):
+        bpe_count.MergeCounter(word_bpe)
+
+
 def shards(spark, docs, path, **kw):
     return sstable.write_token_shards(docs, path, common.fresh_dir(spark, "test-sst"), **kw)
 
