@@ -22,6 +22,8 @@ from docweave.llm.queries import WORD_BPE, table, vocabulary
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    if model.untaught:
+        return docs
     return quality_model.with_score(docs, model, out="__score").where("__score >= 0.7").select(*docs.columns)
 
 
