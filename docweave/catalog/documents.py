@@ -5,21 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import segments
-from ..operators.entity import written
-from ..sources import html
+from ..session import scratch_path
+from ..sources import connectors, html, sinks
 from ..streaming import metrics
 from .base import query
 
 
-@query("src6_html_titles", r"SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '\s+', ' ', 'g')) AS title FROM pages WHERE NOT contains(regexp_extract(html, '<title>([^<]*)</title>', 1), '&')")
+@query("src6_html_titles", r"""
+SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages""")
 def html_titles(t):
-    raw = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
-    return t.pages.where(~raw.contains("&")).select("page_id", html.html_parts(F.col("html"))["title"].alias("title"))
+    return t.pages.select("page_id", html.html_parts(F.col("html"))["title"].alias("title"))
 
 
 @query("src7_html_links")
 def html_links(t):
-    return html.links_of(t.pages.select("page_id", "html")).select("page_id", "link_no", "href", "link_text")
+    return html.links_of(t.pages.select("page_id", "html", "url"), base="url").select("page_id", "link_no", "href", "link_text")
 
 
 @query("src6_html_tables")
@@ -29,23 +29,27 @@ def html_tables(t):
 
 
 def _pages(t):
-    """Conversations as documents, turns as pages with a heading each."""
+    """Conversations as documents, turns as pages: each a heading of its own and its whole text."""
     c = t.conversations
     total = c.groupBy(F.col("conv_id").alias("doc_id")).agg((F.max("turn") + 1).cast("int").alias("total_pages"))
-    return c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).cast("int").alias("page"), F.concat(F.lit("ITEM "), (F.col("turn") + 1).cast("string"), F.lit(". "), F.substring("text", 1, 40)).alias("text"), F.when(F.col("role") == "user", "title").otherwise("text").alias("kind")).join(total, "doc_id")
+    page = c.select(F.col("conv_id").alias("doc_id"), (F.col("turn") + 1).cast("int").alias("page"), "role", "text")
+    # what headings read like: numbered, plain, misspelt, or within other words, by page
+    names = F.array(*map(F.lit, segments.HEADINGS))
+    name = F.get(names, F.pmod(F.col("doc_id") + F.col("page"), F.lit(25)).cast("int"))
+    heading = F.when(F.col("page") % 4 == 0, F.concat(F.lit("ITEM "), F.col("page").cast("string"), F.lit(". "), name)).when(F.col("page") % 4 == 1, F.upper(name)).when(F.col("page") % 4 == 2, F.concat(F.regexp_replace(name, "e", "c"))).otherwise(F.concat(F.lit("Notes on the "), F.lower(name), F.lit(" of this company")))
+    blocks = F.array(F.struct(heading.alias("text"), F.when(F.col("role") == "user", "title").otherwise("text").alias("kind")), F.struct(F.col("text"), F.lit("text").alias("kind")))
+    return page.select("doc_id", "page", F.inline(blocks)).join(total, "doc_id")
 
 
 @query("c1_section_candidates")
 def section_candidates(t):
-    headings = t.spark.createDataFrame([(5, "initial fees"), (6, "other fees"), (7, "estimated initial investment")], "item_no int, heading string")
-    return segments.best_per_page(segments.candidates(_pages(t), headings))
+    return segments.best_per_page(segments.candidates(_pages(t)))
 
 
 @query("c2_section_assignment")
 def section_assignment(t):
     p = _pages(t)
-    headings = t.spark.createDataFrame([(5, "initial fees")], "item_no int, heading string")
-    found = segments.best_per_page(segments.candidates(p, headings)).join(p.select("doc_id", "total_pages").distinct(), "doc_id")
+    found = segments.best_per_page(segments.candidates(p)).join(p.select("doc_id", "total_pages").distinct(), "doc_id")
     return segments.assign(found)
 
 
@@ -58,26 +62,52 @@ def even_fallback(t):
 @query("c10_resume", "SELECT doc_id FROM documents WHERE doc_id % 4 <> 0")
 def resume(t):
     """What a checkpointed job still has to do."""
-    done = t.documents.where("doc_id % 4 = 0").select("doc_id")
-    return t.documents.join(done, "doc_id", "left_anti").select("doc_id")
+    return sinks.still_to_do(t.documents.select("doc_id"), t.documents.where("doc_id % 4 = 0"), ["doc_id"])
 
 
-@query("c7_model_routing", "SELECT doc_id, CASE WHEN n_chars > 8000 THEN 'large' WHEN n_chars > 2000 THEN 'medium' ELSE 'small' END AS model, CASE WHEN doc_id % 5 = 0 THEN 'fallback' ELSE 'primary' END AS answer FROM documents")
+@query("c7_model_routing", "SELECT doc_id, CASE WHEN doc_id % 25 IN (19, 20, 21) OR length(text) // 4 > 1000 THEN 'large' ELSE 'small' END AS model, CASE WHEN doc_id % 5 = 0 THEN 'second' ELSE 'first' END AS provider, doc_id % 5 = 0 AS asked_again FROM documents")
 def model_routing(t):
-    """By size to a model; the first provider that answers gives the result."""
-    n = F.col("n_chars")
-    model = F.when(n > 8000, "large").when(n > 2000, "medium").otherwise("small")
-    primary = F.when(F.col("doc_id") % 5 != 0, "primary")
-    return t.documents.select("doc_id", model.alias("model"), F.coalesce(primary, F.lit("fallback")).alias("answer"))
+    """By item and size to a model; the first provider that answers gives the result, and the next is asked for the rest alone."""
+    model = connectors.model_for(F.col("doc_id") % 25, F.floor(F.length("text") / 4), limit=1000)
+    prompts = t.documents.select("doc_id", model.alias("model"), F.col("doc_id").cast("string").alias("prompt"))
+    answered = connectors.first_answer(prompts, "prompt", {"first": connectors.remote(lambda x: None if int(x) % 5 == 0 else "one"), "second": connectors.remote(lambda x: "two")})
+    return answered.select("doc_id", "model", "provider", (F.col("answer") == "two").alias("asked_again"))
 
 
 @query("st1_hourly_stream", "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def hourly_stream(t):
-    """The stream run to its end over the table's file; its table in memory is the result."""
-    import tempfile
-    import uuid
-
-    folder = t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='docweave-')}"
-    events = metrics.event_stream(t.spark, t.folder, t.events.schema, pathGlobFilter="events.parquet", recursiveFileLookup="true")
-    out = metrics.run_to_table(metrics.hourly_counts(events), f"hourly_{uuid.uuid4().hex}", f"{folder}/stream-{uuid.uuid4().hex}", "complete")
-    return written(out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", "n"))
+    """The stream run to its end over the table's file, in append mode into Parquet; a marker at its end closes the last hours."""
+    path, events = _events(t)
+    out = metrics.run_to_files(metrics.hourly_counts(events), path)
+    return out.select(F.col("hour").cast("timestamp_ntz").alias("hour"), "event_type", "n")
+
+
+def _events(t):
+    """A path of their own, and the events as a stream that ends."""
+    path = scratch_path(t.spark, "stream")
+    return path, metrics.event_stream(t.spark, t.folder, t.events.schema, end=f"{path}/end", pathGlobFilter="events.parquet", recursiveFileLookup="true")
+
+
+@query("st2_sliding_means", """
+WITH w AS (SELECT time_bucket(INTERVAL '15 minutes', ts) + k * INTERVAL '15 minutes' + INTERVAL '15 minutes' AS until, event_type, value FROM events, range(4) r(k))
+SELECT until, event_type, round(CAST(avg(value) AS DECIMAL(24,6)), 3) AS mean FROM w GROUP BY 1, 2""")
+def sliding_means(t):
+    path, events = _events(t)
+    out = metrics.run_to_files(metrics.sliding_means(events), path)
+    return out.select(F.col("until").cast("timestamp_ntz").alias("until"), "event_type", F.round(F.col("mean").cast("decimal(24,6)"), 3).alias("mean"))
+
+
+@query("st3_first_of_content", "SELECT DISTINCT sha256(user_id || event_type) AS sha256 FROM events")
+def first_of_content(t):
+    path, events = _events(t)
+    files = events.where("event_id is not null").withColumn("sha256", F.sha2(F.concat(F.col("user_id").cast("string"), "event_type"), 256))
+    return metrics.run_to_files(metrics.first_of_content(files).select("sha256"), path)
+
+
+@query("st4_failure_runs", """
+WITH f AS (SELECT event_type, value > 20 AS failed, row_number() OVER w - row_number() OVER (PARTITION BY event_type, value > 20 ORDER BY ts, event_id) AS run FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id))
+SELECT event_type, 3 AS failures FROM f WHERE failed GROUP BY event_type, run HAVING count(*) >= 3""")
+def failure_runs(t):
+    path, events = _events(t)
+    failed = events.where("event_id is not null").withColumn("failed", F.coalesce(F.col("value") > 20, F.lit(False)))
+    return metrics.run_to_files(metrics.consecutive_failures(failed, "event_type", "failed", 3, order=("ts", "event_id")), path)

@@ -31,8 +31,11 @@ def token_overlap(t):
 
 @query("j7_fuzzy_names")
 def fuzzy_names(t):
-    kinds = t.part.select(F.col("p_type").alias("name")).distinct()
-    return J.ranked_matches(J.fuzzy_names(kinds, kinds, name="name", candidate="name", threshold=0.85).where("name <> candidate"), limit=3)
+    """Nations' names as they may be written: with an ending, a letter less or more, a word before, parted in two."""
+    n, k = F.initcap("n_name"), F.col("n_nationkey") % 3 + 2
+    written = F.array(n, F.concat(n, F.lit(" Holdings Inc.")), F.concat(F.substring(n, F.lit(1), k), F.substring(n, k + 2, F.lit(99))), F.concat(F.substring(n, F.lit(1), k), F.lit("e"), F.substring(n, k + 1, F.lit(99))), F.concat(F.lit("Great "), n), F.concat(F.substring(n, F.lit(1), k), F.lit(" "), F.substring(n, k + 1, F.lit(99))))
+    names = t.nation.select(F.explode(written).alias("name")).distinct()
+    return J.ranked_matches(J.fuzzy_names(names, names, name="name", candidate="name", threshold=0.85).where("name <> candidate"))
 
 
 @query("j13_resolution")

@@ -11,17 +11,13 @@ from ..operators import facts, reports, rules as R, segments, text_match
 from ..operators import windows as Wn
 from ..operators.entity import written
 from ..plans.query import Query
+from ..session import scratch_path
 from ..sources import connectors, html, sinks, tables
 from .base import query
 
 
 def scratch(t) -> str:
-    """A folder of its own in the shared one."""
-    import tempfile
-    import uuid
-
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.mkdtemp(prefix='docweave-')}"
-    return f"{base}/docweave/files-{uuid.uuid4().hex}"
+    return scratch_path(t.spark, "files")
 
 
 @query("src3_fetch_all", "SELECT r_regionkey, r_name FROM region WHERE r_regionkey < 3")
@@ -58,15 +54,15 @@ def csv_export(t):
     return t.spark.read.schema("`File Number` string, `Legal Name` string").option("header", True).csv(path)
 
 
-@query("snk8_upload_new_content", "SELECT doc_id FROM documents d WHERE doc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM documents k WHERE k.doc_id % 2 = 0 AND sha256(k.text) = sha256(d.text))")
+@query("snk8_upload_new_content", "SELECT min(doc_id) AS doc_id FROM documents d WHERE doc_id % 2 = 1 AND NOT EXISTS (SELECT 1 FROM documents k WHERE k.doc_id % 2 = 0 AND sha256(k.text) = sha256(d.text)) GROUP BY sha256(d.text)")
 def upload_new_content(t):
     d = t.documents.select("doc_id", F.sha2("text", 256).alias("digest"))
-    return d.where("doc_id % 2 = 1").join(d.where("doc_id % 2 = 0"), "digest", "left_anti").select("doc_id")
+    return sinks.new_content(d.where("doc_id % 2 = 1"), d.where("doc_id % 2 = 0"), "digest", "doc_id").select("doc_id")
 
 
-@query("snk9_retention", "SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1995-01-01' - INTERVAL 7 DAY")
+@query("snk9_retention", "SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01' - INTERVAL 7 DAY")
 def retention(t):
-    return sinks.expired(t.orders, F.expr("TIMESTAMP_NTZ '1995-01-01 00:00:00'"), at="o_orderdate").select("o_orderkey")
+    return sinks.expired(t.orders, F.expr("TIMESTAMP_NTZ '1996-01-01 00:00:00'"), at="o_orderdate").select("o_orderkey")
 
 
 @query("f6_conjunction", "SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_nationkey = 3 AND c_mktsegment LIKE 'A%'")
@@ -161,7 +157,7 @@ def address(t):
     return t.customer.select("c_custkey", a["street"].alias("street"), a["city"].alias("city"), a["state"].alias("state"), a["zip"].alias("zip"))
 
 
-@query("t14_title_case")
+@query("t14_title_case", "SELECT p_partkey, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS name FROM part")
 def title_case(t):
     return t.part.select("p_partkey", udfs.unicode_title(F.col("p_type")).alias("name"))
 
@@ -174,7 +170,7 @@ def fuzzy_headings(t):
 
 @query("t21_heading_similarity")
 def heading_similarity(t):
-    items = t.benchmark.select("item_id", F.substring("text", 1, 80).alias("heading"))
+    items = t.benchmark.select("item_id", F.col("text").alias("heading"))
     found = text_match.heading_similarity(t.benchmark, items, text_id="item_id", text="text", heading_id="item_id", heading="heading", least=0.5)
     return found.select(F.col("text").alias("item_id"), "heading", F.round(F.col("similarity").cast("decimal(18,8)"), 6).alias("similarity"))
 
@@ -204,11 +200,8 @@ def table_cleaning(t):
 @query("r7_renamed_columns", "SELECT o_orderkey AS file_number, CASE o_orderstatus WHEN 'F' THEN 'Registered' WHEN 'O' THEN 'Pending' ELSE o_orderstatus END AS status FROM orders")
 def renamed_columns(t):
     """Columns are renamed by a part of their names, on the driver; states by a map."""
-    names = {"key": "file_number", "status": "status"}
-    df = t.orders.select("o_orderkey", "o_orderstatus")
-    renamed = df.toDF(*[next((v for k, v in names.items() if k in c.lower()), c) for c in df.columns])
-    states = F.create_map(*[F.lit(x) for kv in {"F": "Registered", "O": "Pending"}.items() for x in kv])
-    return renamed.withColumn("status", F.coalesce(F.try_element_at(states, "status"), "status"))
+    renamed = tables.renamed_by_part(t.orders.select("o_orderkey", "o_orderstatus"), {"key": "file_number", "status": "status"})
+    return tables.mapped(renamed, "status", {"F": "Registered", "O": "Pending"})
 
 
 @query("v2_document_rules", "SELECT conv_id * 1000 + turn AS id, 'page_range' AS rule FROM conversations WHERE length(role) < turn UNION ALL SELECT conv_id * 1000 + turn, 'item_no_max' FROM conversations WHERE turn > 24")
@@ -302,16 +295,36 @@ def financial_health(t):
     return reports.financial_health(rows, "n_nationkey")
 
 
-@query("v23_documented_rules", "SELECT o_orderkey AS id, 'stale' AS rule FROM orders WHERE o_orderkey % 5 = 4 UNION ALL SELECT o_orderkey, 'ageing' FROM orders WHERE o_orderkey % 5 = 3")
+@query("v12_fpr_consistency", """
+WITH r AS (SELECT o_orderkey AS id, o_orderkey % 2 = 0 AS fpr, o_orderkey % 3 = 0 AS tables, o_orderkey % 5 = 0 AS revenue, o_orderkey % 7 = 0 AS profit FROM orders)
+SELECT id, 'tables_without_fpr' AS rule FROM r WHERE NOT fpr AND tables UNION ALL SELECT id, 'metrics_without_fpr' FROM r WHERE NOT fpr AND (revenue OR profit) UNION ALL SELECT id, 'fpr_without_data' FROM r WHERE fpr AND NOT tables AND NOT revenue""")
+def fpr_consistency(t):
+    k, none = F.col("o_orderkey"), F.lit(None).cast("long")
+    money = lambda n: F.when(k % n == 0, 100).when(k % 2 == 0, 0).cast("long")  # noqa: E731  zero counts as none
+    rows = t.orders.select(k.alias("id"), (k % 2 == 0).alias("has_fpr"), F.when(k % 3 == 0, F.array(F.lit("t"))).when(k % 4 == 0, F.expr("cast(array() as array<string>)")).alias("performance_tables"), money(5).alias("average_gross_revenue_cents"), none.alias("median_gross_revenue_cents"), none.alias("average_net_profit_cents"), money(7).alias("median_net_profit_cents"))
+    return R.findings(rows, "id", R.fpr_consistency_rules()).select("id", "rule")
+
+
+@query("v23_documented_rules", """
+WITH r AS (SELECT o_orderkey AS id, o_orderkey AS k FROM orders)
+SELECT id, 'stale' AS rule FROM r WHERE k % 5 = 4 UNION ALL SELECT id, 'ageing' FROM r WHERE k % 5 = 3 UNION ALL SELECT id, 'royalty_over_15' FROM r WHERE k % 20 > 15
+UNION ALL SELECT id, 'current_over_total' FROM r WHERE k % 7 > 3 UNION ALL SELECT id, 'repeated_states' FROM r WHERE k % 6 = 0 UNION ALL SELECT id, 'fiscal_gap' FROM r WHERE k % 4 = 1
+UNION ALL SELECT id, 'no_auditor' FROM r WHERE k % 11 > 5 AND k % 2 = 0 UNION ALL SELECT id, 'margin_outside' FROM r WHERE k % 11 > 0 AND abs((k % 13 - 6) * 1000000000 * 100.0 / (k % 11 * 1000000000)) > 50""")
 def documented_rules(t):
-    none = F.lit(None).cast("long")
-    rows = t.orders.select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 5).alias("document_age_years"), none.alias("royalty_percentage"), none.alias("current_assets_cents"), none.alias("assets_cents"), none.alias("net_income_cents"), none.alias("revenue_cents"))
+    k = F.col("o_orderkey")
+    years = lambda *y: F.array(*map(F.lit, y))
+    rows = t.orders.select(
+        k.alias("id"), (k % 5).alias("document_age_years"), (k % 20).alias("royalty_percentage"), (k % 7).alias("current_assets_cents"), F.lit(3).alias("assets_cents"),
+        F.when(k % 6 == 0, F.array(F.lit("MN"), F.lit("WI"), F.lit("MN"))).otherwise(F.array(F.lit("MN"), F.lit("WI"))).alias("state_codes"),
+        F.when(k % 4 == 0, years(2023, 2021, 2022)).when(k % 4 == 1, years(2024, 2021, 2022)).when(k % 4 == 2, years(2022)).alias("fiscal_years"),
+        F.when(k % 2 == 1, "Auditors LLP").when(k % 4 == 0, " ").alias("auditor_name"), (k % 11 * 1_000_000_000).alias("revenue_cents"), ((k % 13 - 6) * 1_000_000_000).alias("net_income_cents"),
+    )
     return R.findings(rows, "id", R.documented_rules()).select("id", "rule")
 
 
 @query("c3_repaired_sections")
 def repaired_sections(t):
-    c = t.conversations.where("turn < 25").select(F.col("conv_id").alias("doc_id"), F.col("turn").cast("int").alias("item_no"), (F.col("turn") + 1).cast("int").alias("start_page"), F.lit(40).alias("total_pages"))
+    c = t.conversations.select(F.col("conv_id").alias("doc_id"), F.pmod("turn", F.lit(25)).cast("int").alias("item_no"), (F.col("turn") + 1).cast("int").alias("start_page"), F.lit(40).alias("total_pages"))
     return segments.repair(c)
 
 
@@ -344,9 +357,10 @@ def other_fee_facts(t):
 
 @query("c9_isolated_validation", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) IS NULL OR event_id % 50 = 0 AS malformed FROM events")
 def isolated_validation(t):
-    """Malformed rows become rows that say so; none stops the batch."""
+    """Malformed rows become findings that say so; none stops the batch."""
     broken = F.when(F.col("event_id") % 50 == 0, "{oops").otherwise(F.col("props"))
-    return t.events.select("event_id", F.get_json_object(broken, "$.k").try_cast("long").isNull().alias("malformed"))
+    found = R.validated_json(t.events.select("event_id", broken.alias("doc")), "event_id", "doc", "k bigint", [R.required("k")])
+    return found.select("event_id", (F.col("status") == "invalid").alias("malformed"))
 
 
 @query("c11_update_stamp", "SELECT s_suppkey, s_acctbal < 0 AS touched FROM supplier")
@@ -379,14 +393,3 @@ def upload_rules(t):
     odd = F.col("p_partkey") % 2 == 1
     problems = connectors.upload_problems(F.when(odd, "a.txt").otherwise("a.PDF"), F.lit(10), F.when(odd, "CA").otherwise("MN"), F.lit("2024-01-01"))
     return t.part.select("p_partkey", F.size(problems).alias("n"))
-
-
-@query("st2_sliding_means")
-def sliding_means(t):
-    import uuid
-
-    from ..streaming import metrics
-
-    events = metrics.event_stream(t.spark, t.folder, t.events.schema, pathGlobFilter="events.parquet", recursiveFileLookup="true")
-    out = metrics.run_to_table(metrics.sliding_means(events), f"sliding_{uuid.uuid4().hex}", f"{scratch(t)}/checkpoint", "complete")
-    return written(out.select(F.col("until").cast("timestamp_ntz").alias("until"), "event_type", F.round(F.col("mean").cast("decimal(24,6)"), 3).alias("mean")))

@@ -34,13 +34,9 @@ def filing_number(t):
     return t.customer.select("c_custkey", T.extract_filing_number("c_name").alias("number"))
 
 
-_STATES = "', '".join(T.STATES_51)
-
-
-@query("t5_state_code", f"""
-SELECT doc_id, coalesce(list_filter(regexp_extract_all(text, '\\b([A-Z]{{2}})\\b', 1), lambda x: x IN ('{_STATES}'))[1], list_filter(regexp_extract_all(upper(text), '\\b([A-Z]{{2}})\\b', 1), lambda x: x IN ('{_STATES}'))[1]) AS state FROM documents WHERE lang = 'en'""")
+@query("t5_state_code")
 def state_code(t):
-    return t.documents.where("lang = 'en'").select("doc_id", T.extract_state_code("text").alias("state"))
+    return t.documents.select("doc_id", T.extract_state_code("text").alias("state"))
 
 
 @query("t6_year", r"""

@@ -10,8 +10,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import runs_on_executors
 from .text import SUFFIX_GROUPS
 
+runs_on_executors(__name__)
+
 _SUFFIX = re.compile("|".join(rf"\b({g})" for g in SUFFIX_GROUPS), re.I)
 
 

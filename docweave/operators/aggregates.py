@@ -40,14 +40,37 @@ def top_messages(df: DataFrame, message: str, k: int = 10) -> DataFrame:
 PERCENTILES = ((0.50, 1), (0.90, 10), (0.95, 20), (0.99, 100))
 
 
+#: Ranges of values whose counts are summed up for percentiles.
+RANGES = 1024
+
+
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """An inner join on keys that are equal or both null."""
+    other = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    test = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+        test = one if test is None else test & one
+    return left.join(other, test).drop(*[f"__r_{k}" for k in keys])
+
+
 def exclusive_percentiles(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """p50, p90, p95 and p99 at ``(n + 1) p`` with linear interpolation; 0 where there are too few values.
 
-    Distinct values are counted first and ranked by a running sum of their counts, so that no group's values are gathered in an array.
+    Distinct values are counted first, then the counts of ``RANGES`` ranges of values summed up; only ranges that hold a wanted rank are
+    ranked value by value, each by itself. So no group's values are gathered, and no task ranks all of a group.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"))
-    order = W.partitionBy(*keys).orderBy(value)
-    ranked = counts.withColumns({"__to": F.sum("__c").over(order), "__n": F.sum("__c").over(W.partitionBy(*keys))}).withColumn("__from", F.col("__to") - F.col("__c") + 1)
+    x = F.col(value).cast("double")
+    ends = counts.groupBy(*keys).agg(F.min(x).alias("__min"), F.max(F.when(~F.isnan(x), x)).alias("__max"), F.sum("__c").alias("__n"))
+    # grows with the value; not-a-number comes last
+    at = F.when(F.isnan(x), F.lit(RANGES)).when(F.col("__max") > F.col("__min"), F.floor((x - F.col("__min")) / (F.col("__max") - F.col("__min")) * (RANGES - 1))).otherwise(0).cast("int")
+    counts = join_null_safe(counts, ends, keys).withColumn("__b", at).drop("__min", "__max")
+    of_range = counts.groupBy(*keys, "__b").agg(F.sum("__c").alias("__in"), F.max("__n").alias("__n")).withColumn("__before", F.sum("__in").over(W.partitionBy(*keys).orderBy("__b")) - F.col("__in"))
+    ranks = [F.greatest(F.lit(1), F.least(F.floor((F.col("__n") + 1) * p) + k, F.col("__n"))) for p, _ in PERCENTILES for k in (-1, 0, 1)]
+    wanted = of_range.where(F.greatest(*[(r > F.col("__before")) & (r <= F.col("__before") + F.col("__in")) for r in ranks])).drop("__n", "__in")
+    held = join_null_safe(counts, wanted, [*keys, "__b"])
+    ranked = held.withColumn("__to", F.col("__before") + F.sum("__c").over(W.partitionBy(*keys, "__b").orderBy(value))).withColumn("__from", F.col("__to") - F.col("__c") + 1)
     aggs = [F.max("__n").alias("n")]
     for p, _ in PERCENTILES:
         at = F.greatest(F.lit(1), F.least(F.floor((F.col("__n") + 1) * p), F.col("__n") - 1))
@@ -71,10 +94,13 @@ def null_profile(df: DataFrame) -> DataFrame:
     return one.select(F.inline(rows)).withColumn("pct_null", percent(F.col("n_null"), F.col("n_rows")))
 
 
-def table_statistics(df: DataFrame, name: str) -> DataFrame:
-    """A row per column: table, rows, column, type, whether it may be null."""
+def table_statistics(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """A row per column: table, rows, column, type, whether it may be null; and the bytes of the files under ``path``, if it is given."""
     spark = df.sparkSession
     columns = spark.createDataFrame([(name, f.name, f.dataType.simpleString(), f.nullable) for f in df.schema], "table_name string, column_name string, data_type string, nullable boolean")
+    if path is not None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        columns = columns.withColumn("n_bytes", F.lit(at.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(at).getLength()).cast("long"))
     return columns.join(F.broadcast(df.agg(F.count(F.lit(1)).alias("n_rows"))))
 
 

@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def written(df: DataFrame) -> DataFrame:
-    """``df`` written once in the shared folder (spark.checkpoint.dir) where that is set, else kept by checkpoint's own folder: lineage ends here."""
+    """``df`` written once in the shared folder and read again: lineage ends here, and lost executors cost nothing before it."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import atexit
-        import shutil
-        import tempfile
-
-        folder = tempfile.mkdtemp(prefix="docweave-")
-        atexit.register(shutil.rmtree, folder, ignore_errors=True)
-        folder = f"file://{folder}"
-    path = f"{folder}/docweave/step-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "step")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import cosine, jaccard
-from ..functions.udfs import name_similarity
+from .names import fuzzy_names  # noqa: F401  one of the joins
 
 #: A table this large at most is sent to every executor; beyond it the blocked forms join by shuffle.
 SMALL_ROWS = 50_000
@@ -60,20 +60,6 @@ def token_overlap(left: DataFrame, right: DataFrame, *, left_id: str, right_id:
     return full.withColumn("similarity", jaccard("__l", "__r")).where(F.col("similarity") >= threshold).select("left", "right", "similarity")
 
 
-def fuzzy_names(names: DataFrame, candidates: DataFrame, *, name: str, candidate: str, threshold: float = 0.85) -> DataFrame:
-    """Pairs of distinct names at or over the threshold. Names are compared within blocks: those that share a normalised word or its first four letters."""
-    from ..functions.text import normalize_name_suffixes
-
-    def blocks(df: DataFrame, c: str, out: str) -> DataFrame:
-        norm = normalize_name_suffixes(out)
-        words = F.filter(F.split(norm, " "), lambda w: w != "")
-        keys = F.array_distinct(F.concat(words, F.transform(words, lambda w: F.substring(w, 1, 4)), F.array(F.substring(norm, 1, 4))))
-        return df.select(F.col(c).alias(out)).where(F.col(c).isNotNull()).distinct().select(out, F.explode(keys).alias("block"))
-
-    pairs = blocks(names, name, "name").join(blocks(candidates, candidate, "candidate"), "block").select("name", "candidate").distinct()
-    return pairs.withColumn("similarity", name_similarity("name", "candidate")).where(F.col("similarity") >= threshold)
-
-
 def ranked_matches(pairs: DataFrame, by: str = "name", limit: int = 10) -> DataFrame:
     """By the score in three digits, then the candidate's name; the first ``limit`` of each."""
     order = W.partitionBy(by).orderBy(F.round("similarity", 3).desc(), "candidate")

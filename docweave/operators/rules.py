@@ -64,6 +64,14 @@ def validated(df: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
     return counted.withColumn("status", F.when(F.col("errors") > 0, "invalid").when(F.col("warnings") > 0, "needs_review").otherwise("validated"))
 
 
+def validated_json(df: DataFrame, key: str, column: str, schema: str, rules: Sequence[Rule]) -> DataFrame:
+    """``validated`` of JSON texts read by a schema (no field named ``__broken``): a text that can't be read is an error of its own, and stops none of the others."""
+    read = F.from_json(column, f"{schema}, __broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__broken"})
+    rows = df.select(F.col(key), read.alias("__r")).select(key, "__r.*")
+    broken = Rule("malformed", column, F.col("__broken").isNotNull(), f"{column} can't be read", ERROR, "SCHEMA")
+    return validated(rows, key, [broken, *rules])
+
+
 def without_bypassed(found: DataFrame, bypasses: DataFrame, key: str, as_of: Column) -> DataFrame:
     """Findings but those of a rule that an unexpired bypass covers for the entity."""
     live = bypasses.where(F.col("expires_at").isNull() | (F.col("expires_at") > as_of)).select(key, "rule").distinct()
@@ -108,6 +116,7 @@ def from_spec(spec: dict[str, dict]) -> list[Rule]:
 # Limits of the rules below (fixed values), amounts in cents.
 MAX_FEE, BIG_FEE, MAX_INVESTMENT = 10_000_000_00, 1_000_000_00, 100_000_000_00
 ROYALTY_LIMIT, MARKETING_LIMIT = 50.0, 20.0
+AUDIT_REVENUE = 50_000_000_00
 AUDIT_REVENUE, LOW_EQUITY, BALANCE_TOLERANCE = 50_000_000_00, -10_000_000_00, 100
 MIN_SAMPLE, MAX_HISTORY_YEARS = 5, 10
 
@@ -242,6 +251,19 @@ def extraction_rules(item: str) -> list[Rule]:
     return [doubt, *by_item[item]()]
 
 
+def fpr_consistency_rules() -> list[Rule]:
+    """Whether performance figures and tables are there just where a representation is made; zero figures count as none."""
+    c = F.col
+    revenue = [F.coalesce(c(f), F.lit(0)) != 0 for f in ("average_gross_revenue_cents", "median_gross_revenue_cents")]
+    profit = [F.coalesce(c(f), F.lit(0)) != 0 for f in ("average_net_profit_cents", "median_net_profit_cents")]
+    made, tables = F.coalesce(c("has_fpr"), F.lit(False)), F.coalesce(F.size("performance_tables"), F.lit(0)) > 0
+    return [
+        Rule("tables_without_fpr", "performance_tables", ~made & tables, "performance tables though there is no representation", WARNING, "CROSS_FIELD"),
+        Rule("metrics_without_fpr", "has_fpr", ~made & (revenue[0] | revenue[1] | profit[0] | profit[1]), "figures though there is no representation", WARNING, "CROSS_FIELD"),
+        Rule("fpr_without_data", "has_fpr", made & ~tables & ~(revenue[0] | revenue[1]), "representation without tables or figures", WARNING, "CROSS_FIELD"),
+    ]
+
+
 def documented_rules() -> list[Rule]:
     """Rules that only the reference's documentation has; their category says so."""
     c = F.col
@@ -251,6 +273,9 @@ def documented_rules() -> list[Rule]:
         Rule("stale", "document_age_years", c("document_age_years") > 3, "document over three years old", ERROR, "DOC_RULE"),
         Rule("ageing", "document_age_years", (c("document_age_years") > 2) & (c("document_age_years") <= 3), "document over two years old", WARNING, "DOC_RULE"),
         Rule("current_over_total", "current_assets_cents", c("current_assets_cents") > c("assets_cents"), "current assets over all assets", ERROR, "DOC_RULE"),
+        Rule("repeated_states", "state_codes", F.size("state_codes") != F.size(F.array_distinct("state_codes")), "a state stands twice", ERROR, "DOC_RULE"),
+        Rule("fiscal_gap", "fiscal_years", (F.size("fiscal_years") > 0) & (F.array_max("fiscal_years") - F.array_min("fiscal_years") + 1 > F.size(F.array_distinct("fiscal_years"))), "fiscal years leave a gap", WARNING, "DOC_RULE"),
+        Rule("no_auditor", "auditor_name", (c("revenue_cents") > AUDIT_REVENUE) & (F.coalesce(F.trim("auditor_name"), F.lit("")) == ""), "no auditor for revenue over $50M", WARNING, "DOC_RULE"),
         Rule("margin_outside", "net_income_cents", F.abs(margin) > 50, "margin beyond 50 %", WARNING, "DOC_RULE", margin),
     ]
 

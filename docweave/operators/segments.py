@@ -6,13 +6,20 @@ carries a least page from item to item, which no window function expresses.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import item_number
-from ..functions.udfs import partial_ratio
+from ..functions.text import is_header_like, item_number
+from ..functions.udfs import partial
+from ..session import runs_on_executors
+from .entity import written
+from .text_match import heading_similarity
+
+runs_on_executors(__name__)
 
 ITEMS = 25
 #: Phases of the assignment, in order (fixed values), and the confidence a method starts from.
@@ -21,23 +28,108 @@ METHODS = {"title": 0.95, "fuzzy": None, "pattern": 0.8, "cosine": None}
 LEAST_PAGES = {20: 3, 21: 2, 7: 2, 11: 3, 17: 3, 19: 2}
 
 
-def candidates(blocks: DataFrame, headings: DataFrame, *, doc: str = "doc_id", page: str = "page", text: str = "text", kind: str = "kind", total: str = "total_pages", fuzzy_at: float = 80.0, early: float = 0.8) -> DataFrame:
-    """doc, item_no, page, confidence, method from text blocks: titles and patterns by their item number, fuzzy ones by likeness to a heading.
-
-    ``headings`` (item_no, heading) is a lookup of some fifty rows; fuzzy matching looks at the first ``early`` share of the pages.
+#: Headings of items 0 to 24, and other phrasings of some (fixed values).
+HEADINGS = [
+    "Cover/Introduction/Table of Contents",
+    "The Franchisor, and any Parents, Predecessors, and Affiliates",
+    "Business Experience",
+    "Litigation",
+    "Bankruptcy",
+    "Initial Fees",
+    "Other Fees",
+    "Estimated Initial Investment",
+    "Restrictions on Sources of Products and Services",
+    "Franchisee's Obligations",
+    "Financing",
+    "Franchisor's Assistance, Advertising, Computer Systems, and Training",
+    "Territory",
+    "Trademarks",
+    "Patents, Copyrights, and Proprietary Information",
+    "Obligation to Participate in the Actual Operation of the Franchise Business",
+    "Restrictions on What the Franchisee May Sell",
+    "Renewal, Termination, Transfer, and Dispute Resolution",
+    "Public Figures",
+    "Financial Performance Representations",
+    "Outlets and Franchisee Information",
+    "Financial Statements",
+    "Contracts",
+    "Receipts",
+    "Appendix/Exhibits",
+]
+OTHER_HEADINGS = {
+    1: ["The Franchisor", "Franchisor and Parents", "The Franchisor and Any Parents"],
+    5: ["Initial Fees", "Initial Fee", "Franchise Fee"],
+    6: ["Other Fees", "Ongoing Fees", "Additional Fees"],
+    7: ["Estimated Initial Investment", "Initial Investment", "Total Investment"],
+    11: ["Franchisor's Assistance", "Training", "Support"],
+    17: ["Renewal, Termination", "Contract Terms"],
+    19: ["Financial Performance", "Earnings Claims", "Financial Performance Representations"],
+    20: ["Outlets and Franchisee Information", "Outlet Information", "System Information"],
+    21: ["Financial Statements", "Financials"],
+}
+#: Phrases of running text that no heading has (fixed values).
+BOILERPLATE = ["the franchisor is", "this disclosure document", "if we offer you", "if we do not deliver", "receipt (your copy)", "receipt (copy - submit", "list of administrators", "agents for service"]
+#: Headings at most, as every text of a heading's length is compared with each.
+MOST_HEADINGS = 1000
+
+
+def standard_headings(spark: SparkSession) -> DataFrame:
+    """item_no, heading: the standard ones and their other phrasings."""
+    rows = [(i, h) for i, standard in enumerate(HEADINGS) for h in dict.fromkeys([standard, *OTHER_HEADINGS.get(i, [])])]
+    return spark.createDataFrame(rows, "item_no int, heading string")
+
+
+def best_heading(headings: list[tuple[int, str]]):
+    """A function of a text: the heading most alike by partial ratio, as item_no and score; of equal ones the first. Long texts, and those with boilerplate, have none."""
+
+    @F.pandas_udf("item_no int, score double")
+    def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        lower = [(i, h.lower()) for i, h in headings]
+
+        def of(text: str | None) -> tuple[int | None, float | None]:
+            if text is None or len(text) > 200 or not lower:
+                return None, None
+            x = text.lower()
+            if any(p in x for p in BOILERPLATE):
+                return None, None
+            return max(((i, partial(x, h)) for i, h in lower), key=lambda s: s[1])
+
+        for s in batches:
+            yield pd.DataFrame([of(x) for x in s], columns=["item_no", "score"])
+
+    return best
+
+
+def candidates(blocks: DataFrame, headings: DataFrame | None = None, *, doc: str = "doc_id", page: str = "page", text: str = "text", kind: str = "kind", total: str = "total_pages", fuzzy_at: float = 75.0, cosine_at: float = 0.5, early: float = 0.8) -> DataFrame:
+    """doc, item_no, page, confidence, method from text blocks: titles and patterns by their item number, fuzzy and cosine ones by the heading most like them.
+
+    ``headings`` (item_no, heading; the standard ones unless given) is a lookup of at most ``MOST_HEADINGS`` rows, more raise ValueError. Fuzzy and cosine matching
+    look at the first ``early`` share of the pages; fuzzy at texts that look like headings, of 5 to 200 characters; cosine at those of 10 or more.
     """
+    headings = standard_headings(blocks.sparkSession) if headings is None else headings.select("item_no", "heading")
+    known = [(r["item_no"], r["heading"]) for r in headings.where("heading is not null").limit(MOST_HEADINGS + 1).collect()]
+    if len(known) > MOST_HEADINGS:
+        raise ValueError("more headings than a lookup has")
     numbered = blocks.withColumn("item_no", item_number(text)).where("item_no is not null")
-    titles = numbered.where(F.col(kind) == "title").select(doc, "item_no", page, F.lit(0.95).alias("confidence"), F.lit("title").alias("method"))
-    patterns = numbered.where(F.coalesce(F.col(kind), F.lit("")) != "title").select(doc, "item_no", page, F.lit(0.8).alias("confidence"), F.lit("pattern").alias("method"))
-    short = blocks.where((F.length(text) <= 200) & (F.col(page) <= F.col(total) * early))
-    scored = short.join(F.broadcast(headings.limit(200))).withColumn("score", partial_ratio(F.lower(F.col(text)), F.lower(F.col("heading")))).where(F.col("score") >= fuzzy_at)
-    fuzzy = scored.select(doc, "item_no", page, (F.col("score") / 100).alias("confidence"), F.lit("fuzzy").alias("method"))
-    return titles.unionByName(patterns).unionByName(fuzzy)
+    found = lambda df, score, method: df.select(doc, "item_no", page, score.cast("double").alias("confidence"), F.lit(method).alias("method"))
+    titled = F.coalesce(F.col(kind) == "title", F.lit(False))
+    titles, patterns = found(numbered.where(titled), F.lit(0.95), "title"), found(numbered.where(~titled), F.lit(0.8), "pattern")
+    first = blocks.where(F.col(page) <= F.greatest(F.lit(1), F.floor(F.col(total) * early)))
+    short = first.where((F.length(text) >= 5) & (F.length(text) <= 200) & is_header_like(text)).withColumn("__b", best_heading(known)(F.col(text)))
+    fuzzy = found(short.where(F.col("__b.score") >= fuzzy_at).withColumn("item_no", F.col("__b.item_no")), F.col("__b.score") / 100, "fuzzy")
+    # numbers of rows must stay the same on either side of the join: written once
+    long = written(first.where(F.length(text) >= 10).select(doc, page, F.col(text).alias("__text"), F.monotonically_increasing_id().alias("__row")))
+    lookup = blocks.sparkSession.createDataFrame([(n, i, h) for n, (i, h) in enumerate(known)], "n int, item_no int, heading string")
+    alike = heading_similarity(long, lookup, text_id="__row", text="__text", heading_id="n", heading="heading", least=cosine_at)
+    best = alike.groupBy("text").agg(F.max(F.struct("similarity", (-F.col("heading")).alias("first"))).alias("b")).select(F.col("text").alias("__row"), F.col("b.similarity").alias("__s"), (-F.col("b.first")).alias("n"))
+    cosine = found(long.join(best, "__row").join(F.broadcast(lookup.select("n", "item_no")), "n"), F.col("__s"), "cosine")
+    return titles.unionByName(patterns).unionByName(fuzzy).unionByName(cosine)
 
 
 def best_per_page(found: DataFrame, doc: str = "doc_id", page: str = "page") -> DataFrame:
-    """Of the candidates of an item on a page the most confident; ties by method."""
-    return found.withColumn("__n", F.row_number().over(W.partitionBy(doc, "item_no", page).orderBy(F.col("confidence").desc(), "method"))).where("__n = 1").drop("__n")
+    """Of the candidates of an item on a page the most confident; ties in the order in which the methods look."""
+    tie = F.array_position(F.array(*map(F.lit, ("title", "pattern", "fuzzy", "cosine"))), F.col("method"))
+    return found.withColumn("__n", F.row_number().over(W.partitionBy(doc, "item_no", page).orderBy(F.col("confidence").desc(), tie))).where("__n = 1").drop("__n")
 
 
 def assign_pages(rows: pd.DataFrame, total: int, doc_column: str, page: str) -> pd.DataFrame:

@@ -54,10 +54,21 @@ def strictly_increasing(df: DataFrame, doc: str, start: str, order: str) -> Data
     return df.withColumn("__ok", ok).groupBy(doc).agg(F.bool_and("__ok").alias("increasing"))
 
 
+SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
 def trailing_mean(df: DataFrame, keys: list[str], at: str, value: str, interval: str = "1 hour") -> DataFrame:
-    """The mean over the interval that ends at each row."""
-    over = F.expr(f"avg(`{value}`) over (partition by {', '.join(f'`{k}`' for k in keys)} order by `{at}` range between interval {interval} preceding and current row)")
-    return df.withColumn("trailing_mean", over)
+    """The mean over the interval (a number and seconds, minutes, hours, days or weeks) that ends at each row. Rows with a null time have their own mean.
+
+    Time is cut into stretches of the interval's length: a row stands in its own and, for the rows there alone, in the next one. So a key's rows are dealt out by
+    stretch, however many it has.
+    """
+    n, unit = interval.split()
+    seconds = int(n) * SECONDS[unit.rstrip("s")]
+    stretch = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (seconds * 1_000_000))
+    rows = df.withColumn("__s", F.explode(F.when(F.col(at).isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(stretch, stretch + 1)))).withColumn("__own", F.coalesce(F.col("__s") == stretch, F.col("__s").isNull()))
+    over = F.expr(f"avg(`{value}`) over (partition by {', '.join(f'`{k}`' for k in [*keys, '__s'])} order by `{at}` range between interval {interval} preceding and current row)")
+    return rows.withColumn("trailing_mean", over).where("__own").drop("__s", "__own")
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:

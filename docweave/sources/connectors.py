@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import runs_on_executors
+
+runs_on_executors(__name__)
+
 # Dollars per token by model, and models by how complex a section is.
 PRICES = {"large": 0.000125, "small": 0.00003}
 COMPLEX_ITEMS = (19, 20, 21)
@@ -46,14 +50,12 @@ def remote(call: Callable[[str], str | None], attempts: int = 3) -> Callable[[Co
 
 
 def first_answer(df: DataFrame, prompt: str, providers: dict[str, Callable[[Column], Column]]) -> DataFrame:
-    """``df`` with the answer of the first provider that gives one, and that provider's name."""
-    answers = {f"__{name}": f(F.col(prompt)) for name, f in providers.items()}
-    out = df.withColumns(answers)
-    named = None
-    for name in providers:
-        test = F.col(f"__{name}").isNotNull()
-        named = F.when(test, name) if named is None else named.when(test, name)
-    return out.withColumns({"answer": F.coalesce(*[F.col(c) for c in answers]), "provider": named}).drop(*answers)
+    """``df`` with the answer of the first provider that gives one, and that provider's name. A provider is asked only for what those before it left open."""
+    out = df.withColumns({"__ask": F.col(prompt), "answer": F.lit(None).cast("string"), "provider": F.lit(None).cast("string")})
+    for name, f in providers.items():
+        out = out.withColumn("__got", f(F.col("__ask"))).withColumns({"answer": F.coalesce("answer", "__got"), "provider": F.coalesce("provider", F.when(F.col("__got").isNotNull(), name))})
+        out = out.withColumn("__ask", F.when(F.col("answer").isNull(), F.col(prompt)))
+    return out.drop("__ask", "__got")
 
 
 def upload_problems(name: Column, size: Column, source: Column, issued: Column) -> Column:

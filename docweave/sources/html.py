@@ -6,16 +6,23 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import normalize_url
+from ..session import runs_on_executors
+
+runs_on_executors(__name__)
+
 _S = T.StringType()
 SCHEMA = T.StructType(
     [
         T.StructField("title", _S),
         T.StructField("links", T.ArrayType(T.StructType([T.StructField("href", _S), T.StructField("text", _S)]))),
         T.StructField("tables", T.ArrayType(T.StructType([T.StructField("headers", T.ArrayType(_S)), T.StructField("rows", T.ArrayType(T.ArrayType(_S)))]))),
+        # a cell's first link, by table, row and column
+        T.StructField("cell_links", T.ArrayType(T.ArrayType(T.ArrayType(_S)))),
     ]
 )
 
@@ -23,9 +30,10 @@ SCHEMA = T.StructType(
 class _Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.title, self.links, self.tables = None, [], []
+        self.title, self.links, self.tables, self.cell_links = None, [], [], []
         self.stack: list[dict] = []
         self.cell: list[str] | None = None
+        self.cell_link: str | None = None
         self.link: tuple[str, list[str]] | None = None
         self.in_title = False
 
@@ -34,11 +42,13 @@ class _Page(HTMLParser):
             self.in_title = True
         elif tag == "a":
             self.link = (dict(attrs).get("href") or "", [])
+            if self.cell is not None and self.cell_link is None:
+                self.cell_link = self.link[0] or None
         elif tag == "table":
-            self.stack.append({"headers": [], "rows": [], "row": None, "head": False})
+            self.stack.append({"headers": [], "rows": [], "links": [], "row": None, "row_links": [], "head": False})
         elif self.stack and tag == "tr":
             self._end_row()
-            self.stack[-1]["row"], self.stack[-1]["head"] = [], True
+            self.stack[-1]["row"], self.stack[-1]["row_links"], self.stack[-1]["head"] = [], [], True
         elif self.stack and tag in ("td", "th"):
             self._end_cell()
             self.cell = []
@@ -49,7 +59,8 @@ class _Page(HTMLParser):
     def _end_cell(self) -> None:
         if self.cell is not None and self.stack and self.stack[-1]["row"] is not None:
             self.stack[-1]["row"].append(" ".join("".join(self.cell).split()))
-        self.cell = None
+            self.stack[-1]["row_links"].append(self.cell_link)
+        self.cell = self.cell_link = None
 
     def _end_row(self) -> None:
         self._end_cell()
@@ -59,6 +70,7 @@ class _Page(HTMLParser):
                 t["headers"] = t["row"]
             else:
                 t["rows"].append(t["row"])
+                t["links"].append(t["row_links"])
         t["row"] = None
 
     def handle_endtag(self, tag: str) -> None:
@@ -76,7 +88,9 @@ class _Page(HTMLParser):
             t = self.stack.pop()
             width = max([len(t["headers"]), *map(len, t["rows"])], default=0)
             # rows get the table's width
-            self.tables.append({"headers": t["headers"], "rows": [r + [None] * (width - len(r)) for r in t["rows"]]})
+            fill = lambda rows: [r + [None] * (width - len(r)) for r in rows]
+            self.tables.append({"headers": t["headers"], "rows": fill(t["rows"])})
+            self.cell_links.append(fill(t["links"]))
 
     def handle_data(self, data: str) -> None:
         if self.in_title:
@@ -87,31 +101,53 @@ class _Page(HTMLParser):
             self.cell.append(data)
 
 
-def parse_html(text: str | None) -> dict:
-    """title, links and tables of a page; a null page has none."""
+def _parsed(text: str | None) -> _Page:
     page = _Page()
     page.feed(text or "")
     page.close()
-    return {"title": " ".join(page.title.split()) if page.title is not None else None, "links": page.links, "tables": page.tables}
+    page.title = " ".join(page.title.split()) if page.title is not None else None
+    return page
+
+
+def parse_html(text: str | None) -> dict:
+    """title, links and tables of a page; a null page has none."""
+    page = _parsed(text)
+    return {"title": page.title, "links": page.links, "tables": page.tables}
 
 
 @F.pandas_udf(SCHEMA)
 def html_parts(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for s in texts:
-        yield pd.DataFrame([parse_html(t) for t in s], columns=["title", "links", "tables"])
+        pages = [_parsed(t) for t in s]
+        yield pd.DataFrame([(p.title, p.links, p.tables, p.cell_links) for p in pages], columns=["title", "links", "tables", "cell_links"])
 
 
 def tables_of(pages: DataFrame, html: str = "html", first_only: bool = False) -> DataFrame:
     """A row per table: table_no and its headers and rows."""
+    return _tables(pages, html, first_only).drop("cell_links")
+
+
+def _tables(pages: DataFrame, html: str, first_only: bool = False) -> DataFrame:
     found = pages.withColumn("__h", html_parts(F.col(html)))
-    rows = found.select(*[c for c in pages.columns if c != html], F.posexplode("__h.tables").alias("table_no", "__t")).select("*", "__t.headers", "__t.rows").drop("__t")
+    rows = found.select(*[c for c in pages.columns if c != html], "__h", F.posexplode("__h.tables").alias("table_no", "__t")).select("*", "__t.headers", "__t.rows", F.get("__h.cell_links", F.col("table_no")).alias("cell_links")).drop("__h", "__t")
     return rows.where("table_no = 0") if first_only else rows
 
 
-def links_of(pages: DataFrame, html: str = "html") -> DataFrame:
-    """A row per link: link_no, href, text."""
+def links_of(pages: DataFrame, html: str = "html", base: Column | str | None = None) -> DataFrame:
+    """A row per link: link_no, href, text; made absolute against ``base`` where that is given."""
     found = pages.withColumn("__h", html_parts(F.col(html)))
-    return found.select(*[c for c in pages.columns if c != html], F.posexplode("__h.links").alias("link_no", "__l")).select("*", "__l.href", F.col("__l.text").alias("link_text")).drop("__l")
+    href = F.col("__l.href") if base is None else normalize_url(F.col("__l.href"), base)
+    rows = found.select("*", F.posexplode("__h.links").alias("link_no", "__l"))
+    return rows.select(*[c for c in pages.columns if c != html], "link_no", href.alias("href"), F.col("__l.text").alias("link_text"))
+
+
+def linked_tables_of(pages: DataFrame, base: Column | str, html: str = "html", column: int = 1, name: str = "Document Link") -> DataFrame:
+    """``tables_of`` with the ``column``-th heading renamed, and in that column a cell's first link, made absolute, instead of its text where it has one."""
+    found = _tables(pages.withColumn("__base", F.col(base) if isinstance(base, str) else base), html)
+    headers = F.transform("headers", lambda x, i: F.when(i == column, F.lit(name)).otherwise(x))
+    link = lambda k: F.get(F.get("cell_links", k), F.lit(column))
+    rows = F.transform("rows", lambda r, k: F.transform(r, lambda x, i: F.when((i == column) & link(k).isNotNull(), normalize_url(link(k), F.col("__base"))).otherwise(x)))
+    return found.withColumns({"headers": headers, "rows": rows}).drop("__base", "cell_links")
 
 
 def clean_table(df: DataFrame, null_tokens=("", "N/A", "n/a", "null", "None", "-", "--"), numeric_share: float = 0.5) -> DataFrame:

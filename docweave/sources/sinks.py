@@ -14,13 +14,14 @@ def append(df: DataFrame, path: str, partitions: int | None = None) -> None:
 
 
 def upserted(current: DataFrame, changes: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
-    """``current`` with rows of ``changes`` in place of those with their keys; of several changes to a key the last by ``order`` stays.
+    """``current`` with rows of ``changes`` in place of those with their keys; of several changes to a key the last stays: by ``order``, nulls first, and by their place in ``changes`` where that ties or isn't given.
 
-    One shuffle on the keys; write the result to a new path and swap, as a table must not be read and overwritten at once.
+    Rows with a null in their key conflict with none: they are all added. One shuffle on the keys; write the result to a new path and
+    swap, as a table must not be read and overwritten at once.
     """
-    if order:
-        last = W.partitionBy(*keys).orderBy(F.col(order).desc_nulls_last())
-        changes = changes.withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n", order)
+    given = changes.withColumns({"__at": F.monotonically_increasing_id(), "__keyed": ~F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))})
+    last = W.partitionBy(*keys).orderBy(*([F.col(order).desc_nulls_last()] if order else []), F.col("__at").desc())
+    changes = given.where("__keyed").withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n").unionByName(given.where("not __keyed"))
     return current.join(changes.select(*keys), keys, "left_anti").unionByName(changes.select(*current.columns))
 
 
@@ -62,11 +63,51 @@ def content_cache(files: DataFrame, *, digest: str = "sha256", at: str = "cached
     return ranked.where((F.col("__total") <= most_bytes) | (F.col("__sum") <= F.lit(int(most_bytes * keep)))).drop("__day", "__newer", "__sum", "__total")
 
 
+def new_content(rows: DataFrame, known: DataFrame, digest: str = "sha256", at: str | None = None) -> DataFrame:
+    """Uploads whose content isn't there yet, one of each: the first by ``at``, else by place. A null digest is always new."""
+    first = W.partitionBy(digest).orderBy(*([F.col(at).asc_nulls_last()] if at else []), "__at")
+    rows = rows.withColumn("__at", F.monotonically_increasing_id())
+    one = rows.where(F.col(digest).isNotNull()).withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    return one.join(known.select(digest), digest, "left_anti").unionByName(rows.where(F.col(digest).isNull()).select(one.columns)).drop("__at").select(*[c for c in rows.columns if c != "__at"])
+
+
+def orphans(rows: DataFrame, live: DataFrame, key: str) -> DataFrame:
+    """Metadata rows whose file is gone."""
+    return rows.join(live.select(key).distinct(), key, "left_anti").select(*rows.columns)
+
+
+def still_to_do(work: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
+    """What a resumed job has left: work whose keys no finished row has; a null key is never finished."""
+    return work.join(done.select(*keys).distinct(), keys, "left_anti").select(*work.columns)
+
+
 def snapshot(spark: SparkSession, df: DataFrame, folder: str, stamp: str) -> str:
     path = f"{folder}/{stamp}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
 
+def restored(spark: SparkSession, folder: str, stamp: str | None = None) -> DataFrame:
+    """The snapshot of a stamp, else the latest one: stamps sort by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if stamp is None:
+        stamps = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+        if not stamps:
+            raise FileNotFoundError(f"no snapshot in {folder}")
+        stamp = stamps[-1]
+    return spark.read.parquet(f"{folder}/{stamp}")
+
+
+def remove_expired(spark: SparkSession, folder: str, oldest: str) -> list[str]:
+    """Delete snapshots whose stamp is before ``oldest``; their stamps."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory() and s.getPath().getName() < oldest)
+    for stamp in gone:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{stamp}"), True)
+    return gone
+
+
 def expired(snapshots: DataFrame, as_of: Column, days: int = 7, at: str = "created_at") -> DataFrame:
     return snapshots.where(F.col(at) < as_of - F.make_dt_interval(days=F.lit(days)))

@@ -38,6 +38,25 @@ def infer_json_schema(spark: SparkSession, texts: DataFrame, column: str) -> str
     return texts.where(F.col(column).isNotNull()).agg(F.call_function("schema_of_variant_agg", F.try_parse_json(F.col(column))).alias("s")).first()["s"]
 
 
+def required_fields(texts: DataFrame, column: str) -> list[str]:
+    """The top-level fields that every JSON object has; texts that are none don't count. Without any object: none."""
+    objects = texts.select(F.json_object_keys(F.when(F.try_parse_json(F.col(column)).isNotNull(), F.col(column))).alias("k")).where("k is not null")
+    n = objects.count()
+    found = objects.select(F.explode(F.array_distinct("k")).alias("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == n)
+    return sorted(r["k"] for r in found.select("k").collect())
+
+
+def renamed_by_part(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns renamed by the first of ``names`` that is part of theirs, in lower case."""
+    return df.toDF(*[next((new for part, new in names.items() if part in c.lower()), c) for c in df.columns])
+
+
+def mapped(df: DataFrame, column: str, values: dict[str, str]) -> DataFrame:
+    """A column's values by a map; others stay."""
+    table = F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+    return df.withColumn(column, F.coalesce(F.try_element_at(table, column), column))
+
+
 def file_type(content: Column, mime: Column | None = None) -> Column:
     """By MIME type if it says, else by the first bytes."""
     head = F.hex(F.substring(content, 1, 8))

@@ -169,3 +169,85 @@ def test_fallback(spark):
     none = G.even_sections(docs).limit(0)
     got = G.with_fallback(none, docs)
     assert got.count() == 25 and got.agg(F.max("start_page")).first()[0] <= 50
+
+
+def test_fuzzy_names_loses_no_pair(spark):
+    """All pairs of a nested loop, at thresholds on either side of the parts' own values."""
+    import random
+
+    from docweave.functions.udfs import similarity
+
+    rng = random.Random(3)
+    base = ["Burger King", "Subway", "McDonalds", "Homewell Care", "Great American Cookies", "Ace Hardware Stores of America", "Jazz", "Ab", "7 Eleven", "Kumon Math and Reading Centers"]
+    names = {"Mcdonalds", "Macdonalds", "Sub Way", "Homwell Care", "Burgerking", "King", "", "Inc.", "The Burger King Company LLC", "Ace", "Reading and Math Kumon Centers", "a", "É"}
+    for b in base:
+        names.add(b)
+        for _ in range(8):
+            c = list(b)
+            for _ in range(rng.randint(1, 3)):
+                i = rng.randrange(len(c) + 1)
+                if rng.random() < 0.5:
+                    c.insert(i, rng.choice("abc eyx"))
+                elif len(c) > 1:
+                    del c[min(i, len(c) - 1)]
+            names.add("".join(c))
+    names = sorted(names)
+    df = spark.createDataFrame([(n,) for n in [*names, None, names[0]]], "n string")
+    for t in (0.6, 0.85, 0.9, 0.94, 0.95, 0.97, 1.0):
+        got = {(r.name, r.candidate): r.similarity for r in J.fuzzy_names(df, df, name="n", candidate="n", threshold=t).collect()}
+        want = {(a, b): s for a in names for b in names if (s := similarity(a, b)) >= t}
+        assert got.keys() == want.keys(), t
+        assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
+def test_linked_tables(spark):
+    page = "<table><tr><th>Name</th><th>Doc</th><th>Year</th></tr><tr><td>Acme</td><td><a href='../x/1.pdf'>pdf</a></td><td>2024</td></tr><tr><td>Zeta</td><td>none</td></tr></table>"
+    df = spark.createDataFrame([(1, page, "https://h.org/a/b/list"), (2, None, None)], "id int, html string, base string")
+    got = html.linked_tables_of(df, "base").collect()
+    assert [(r.id, r.headers, r.rows) for r in got] == [(1, ["Name", "Document Link", "Year"], [["Acme", "https://h.org/a/x/1.pdf", "2024"], ["Zeta", "none", None]])]
+    links = html.links_of(df, base="base").collect()
+    assert [(r.id, r.href, r.link_text) for r in links] == [(1, "https://h.org/a/x/1.pdf", "pdf")]
+
+
+def test_upsert_keeps_the_last(spark):
+    current = spark.createDataFrame([(1, "a"), (2, "z")], "k int, v string")
+    changes = spark.createDataFrame([(1, "b"), (1, "c"), (None, "x"), (None, "y"), (3, "n")], "k int, v string").coalesce(1)
+    assert rows(sinks.upserted(current, changes, ["k"])) == sorted([(1, "c"), (2, "z"), (3, "n"), (None, "x"), (None, "y")], key=str)
+    timed = spark.createDataFrame([(1, "late", 2), (1, "early", 1), (1, "none", None), (2, "one", 5), (2, "two", 5)], "k int, v string, at int").coalesce(1)
+    assert rows(sinks.upserted(current, timed, ["k"], order="at")) == [(1, "late"), (2, "two")]
+
+
+def test_new_content_orphans_and_resume(spark):
+    up = spark.createDataFrame([(1, "d1"), (2, "d1"), (3, "d2"), (4, None), (5, None)], "id int, sha256 string").coalesce(1)
+    known = spark.createDataFrame([("d2",), (None,)], "sha256 string")
+    assert rows(sinks.new_content(up, known)) == [(1, "d1"), (4, None), (5, None)]
+    assert rows(sinks.orphans(up, spark.createDataFrame([(1,), (3,)], "id int"), "id"), "id") == [(2,), (4,), (5,)]
+    work = spark.createDataFrame([(1,), (2,), (None,)], "id int")
+    assert rows(sinks.still_to_do(work, spark.createDataFrame([(1,), (None,)], "id int"), ["id"])) == [(2,), (None,)]
+
+
+def test_snapshots(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "id int")
+    for stamp in ("2024-01-01", "2024-01-05", "2024-01-09"):
+        sinks.snapshot(spark, df.selectExpr(f"'{stamp}' as stamp"), f"file://{tmp_path}/s", stamp)
+    assert sinks.restored(spark, f"file://{tmp_path}/s").first().stamp == "2024-01-09"
+    assert sinks.restored(spark, f"file://{tmp_path}/s", "2024-01-05").first().stamp == "2024-01-05"
+    assert sinks.remove_expired(spark, f"file://{tmp_path}/s", "2024-01-05") == ["2024-01-01"]
+    assert sorted(p.name for p in (tmp_path / "s").iterdir() if p.is_dir()) == ["2024-01-05", "2024-01-09"]
+
+
+def test_later_providers_are_asked_for_the_rest(spark, tmp_path):
+    from docweave.sources import connectors
+
+    def one(prompt):
+        return prompt.upper() if prompt < "c" else None
+
+    def two(prompt):
+        with open(f"{tmp_path}/asked", "a") as f:
+            f.write(prompt)
+        return "two"
+
+    df = spark.createDataFrame([("a",), ("b",), ("c",), ("d",), (None,)], "p string").coalesce(1)
+    got = connectors.first_answer(df, "p", {"one": connectors.remote(one), "two": connectors.remote(two)})
+    assert rows(got) == sorted([("a", "A", "one"), ("b", "B", "one"), ("c", "two", "two"), ("d", "two", "two"), (None, None, None)], key=str)
+    assert set((tmp_path / "asked").read_text()) == {"c", "d"}
