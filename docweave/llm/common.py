@@ -20,24 +20,16 @@ import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
+
 _shipped: set[str] = set()
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-_own_dir: list[str] = []
 _made: list[str] = []
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a folder of our own only where it is unset, as in tests."""
-    if found := spark.conf.get("spark.checkpoint.dir", None):
-        return found.rstrip("/")
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="docweave-"))
-        atexit.register(shutil.rmtree, _own_dir[0], ignore_errors=True)
-    return f"file://{_own_dir[0]}"
-
-
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    _made.append(f"{shared_dir(spark)}/docweave/{label}-{uuid.uuid4().hex}")
+    """A fresh path in the folder that driver and executors share."""
+    _made.append(scratch_path(spark, label))
     return _made[-1]
 
 
