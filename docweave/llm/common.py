@@ -41,6 +41,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, longer where a column has it already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the tables and files that this process has put into the shared folder; for when its results have been written elsewhere."""
     jvm = spark.sparkContext._jvm

@@ -291,6 +291,7 @@ def find_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the rows that hold an item's template, whatever their ``key``; ``docs`` is written once, so that rows keep their numbers."""
-    numbered = common.materialize(docs.withColumn("__doc", F.monotonically_increasing_id()), "numbered")
-    found = find_contaminated(numbered, benchmark, key="__doc", **options).select("__doc").distinct()
-    return numbered.join(found, "__doc", "left_anti").select(*docs.columns)
+    row = common.unused(docs, "__doc")
+    numbered = common.materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = find_contaminated(numbered, benchmark, key=row, **options).select(row).distinct()
+    return numbered.join(found, row, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -215,10 +215,11 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3) -> DataFrame:
     """Of each component one row of ``docs``: that of the smallest key, nulls last; of several, that of the smallest fingerprint, then the least text and other columns."""
-    marked = common.materialize(with_fingerprint(docs, text=text, out="__fp", shingle=shingle), "prints")
-    nodes = common.materialize(marked.groupBy(F.col("__fp").alias("fp")).agg(F.min(key).alias("least")), "nodes")
+    fp, n = common.unused(docs, "__fp"), common.unused(docs, "__n")
+    marked = common.materialize(with_fingerprint(docs, text=text, out=fp, shingle=shingle), "prints")
+    nodes = common.materialize(marked.groupBy(F.col(fp).alias("fp")).agg(F.min(key).alias("least")), "nodes")
     best = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("best")
-    kept = roots(nodes, distance).groupBy("root").agg(best).select(F.col("best.fp").alias("__fp"))
+    kept = roots(nodes, distance).groupBy("root").agg(best).select(F.col("best.fp").alias(fp))
     # of copies all but one go before they move
-    first = W.partitionBy("__fp").orderBy(F.col(key).asc_nulls_last(), text, *[c for c in docs.columns if c not in (key, text)])
-    return marked.withColumn("__n", F.row_number().over(first)).where("__n = 1").join(kept, "__fp", "left_semi").select(*docs.columns)
+    first = W.partitionBy(fp).orderBy(F.col(key).asc_nulls_last(), text, *[F.col(f"`{c}`") for c in docs.columns if c not in (key, text)])
+    return marked.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).join(kept, fp, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

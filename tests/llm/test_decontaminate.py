@@ -118,8 +118,10 @@ def slow_holds(text, item, similarity=0.8, slot_share=0.8):
         windows = [p for p in range(len(i) - D.WINDOW + 1)]
         wordy = [p for p in windows if sum(x[0][0] != "<" for x in i[p : p + D.WINDOW]) >= 2]
         windows = wordy if names else wordy or windows
-        same = lambda p, q: [x[0] for x in i[p : p + D.WINDOW]] == [x[0] for x in t[q : q + D.WINDOW]]
-        pairs = [(p, q) for p in windows for q in range(len(t) - D.WINDOW + 1) if same(p, q)]
+        places = {}
+        for q in range(len(t) - D.WINDOW + 1):
+            places.setdefault(tuple(x[0] for x in t[q : q + D.WINDOW]), []).append(q)
+        pairs = [(p, q) for p in windows for q in places.get(tuple(x[0] for x in i[p : p + D.WINDOW]), ())]
         if not pairs:
             continue
         lines = sorted({q - p for p, q in pairs})
