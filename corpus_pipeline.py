@@ -24,13 +24,16 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     model = quality_model.fit(docs, table(spark, sf_dir, "labels"))
     if model.untaught:
         return docs
-    return quality_model.with_score(docs, model, out="__score").where("__score >= 0.7").select(*docs.columns)
+    score = common.unused(docs, "__score")
+    return quality_model.with_score(docs, model, out=score).where(F.col(score) >= 0.7).select(*docs.columns)
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     learned = quality_rules.learn_from(docs, table(spark, sf_dir, "labels"))
-    text = docs.select("*", *[F.col(c).alias(f"__{c}") for c in docs.columns])  # counts may take a column's name
-    return quality_rules.judge(text, learned, text="__text").where("kept").select(*[F.col(f"__{c}").alias(c) for c in docs.columns])
+    # counts may take a column's name, so the rows go along as one
+    row, text = common.unused(docs, "__row"), common.unused(docs, "__text")
+    whole = docs.select(F.struct(*docs.columns).alias(row), F.col("text").alias(text))
+    return quality_rules.judge(whole, learned, text=text).where("kept").select(F.inline(F.array(row)))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
