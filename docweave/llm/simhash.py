@@ -3,8 +3,8 @@
 A text's fingerprint has a bit set where over half of its shingles' hashes have it. Two fingerprints that differ in at most
 ``distance`` bits agree in all but ``distance`` of their blocks, so joining on every choice of agreeing blocks finds each
 such pair. Distinct fingerprints are the nodes: copies fall together before any join. Rows that share a block choice are
-sorted side by side and compared by arrays; a key with many rows is cut into chunks whose pairs go to tasks of their own,
-and of the links within a run only a spanning forest goes out, so that no group is emitted as all its pairs and no link
+sorted side by side and compared by arrays; a key with many rows is split by further choices of the bits that it leaves open, and what
+still has many is cut into chunks whose pairs go to tasks of their own; and of the links within a run only a spanning forest goes out, so that no group is emitted as all its pairs and no link
 between components is lost.
 
 Null texts are empty: fingerprint zero, linked like any other. Null ids stay, and count as the largest. Repeated rows stay, each with its component.
@@ -64,6 +64,14 @@ def choices(distance: int, blocks: int) -> list[int]:
     return [sum(block[i] for i in c) for c in combinations(range(blocks), blocks - distance)]
 
 
+def finer_choices(mask: int, distance: int) -> list[int]:
+    """``mask`` with each choice of two of ``distance`` + 2 blocks of its zeros: two fingerprints that agree on the mask and differ in ``distance`` bits agree on one of these."""
+    free = [i for i in range(64) if not mask >> i & 1]
+    n = distance + 2
+    blocks = [sum(1 << i for i in free[len(free) * k // n : len(free) * (k + 1) // n]) for k in range(n)]
+    return [mask | a | b for a, b in combinations(blocks, 2)]
+
+
 def blocks_for(n: int, distance: int) -> int:
     """The least number of blocks whose keys leave some 64 of ``n`` fingerprints together by chance; the result is the same for any."""
     for blocks in range(distance + 1, distance + 5):
@@ -136,13 +144,25 @@ def near_links(nodes: DataFrame, fp: str, distance: int, n: int) -> DataFrame:
     masks = choices(distance, blocks_for(n, distance))
     signed = [m - 2**64 if m >= 2**63 else m for m in masks]
     keyed = nodes.select(F.col(fp).alias("fp"), F.posexplode(F.array(*[F.col(fp).bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("t", "k"))
-    # how many chunks a key needs: counts are summed before they move, and only keys beyond one chunk are joined back
-    sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK).select("t", "k", F.ceil(F.col("n") / CHUNK).cast("int").alias("c"))
-    sizes = common.materialize(sizes, "hot-blocks")
-    if sizes.limit(1).count():
-        keyed = keyed.join(sizes, ["t", "k"], "left").withColumn("c", F.coalesce("c", F.lit(1)))
-    else:
+
+    def hot(keyed: DataFrame) -> DataFrame | None:
+        """Keys of more rows than a chunk, and how many chunks they fill: counts are summed before they move."""
+        sizes = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CHUNK).select("t", "k", F.ceil(F.col("n") / CHUNK).cast("int").alias("c"))
+        sizes = common.materialize(sizes, "hot-blocks")
+        return sizes if sizes.limit(1).count() else None
+
+    if (sizes := hot(keyed)) is None:
         keyed = keyed.withColumn("c", F.lit(1))
+    else:
+        # rows of hot keys agree on finer choices too, of the bits that the key leaves open
+        marked = keyed.join(sizes, ["t", "k"], "left")
+        finer = F.array(*[F.array(*[F.lit(m - 2**64 if m >= 2**63 else m).cast("long") for m in finer_choices(mask, distance)]) for mask in masks])
+        split = marked.where("c is not null").select("fp", "t", F.posexplode(F.transform(F.get(finer, F.col("t")), lambda m: F.col("fp").bitwiseAND(m))).alias("j", "k")).select("fp", ((F.col("t") + 1) * 1000 + F.col("j")).alias("t"), "k")
+        if (sizes := hot(split)) is None:
+            split = split.withColumn("c", F.lit(1))
+        else:
+            split = split.join(sizes, ["t", "k"], "left").withColumn("c", F.coalesce("c", F.lit(1)))
+        keyed = marked.where("c is null").withColumn("c", F.lit(1)).unionByName(split)
     mine = F.pmod(F.xxhash64("fp"), F.col("c")).cast("int")
     # a chunk meets itself and every other one: cells (i, j), i <= j
     cells = F.transform(F.sequence(F.lit(0), F.col("c") - 1), lambda j: F.struct(F.least("m", j).alias("i"), F.greatest("m", j).alias("j")))

@@ -92,6 +92,29 @@ def test_chunks_of_hot_keys_lose_no_link(spark, monkeypatch):
     check_links(spark, family(100, 3), 2**34)  # more blocks, as for many more prints
 
 
+def test_finer_choices_keep_every_close_pair():
+    rng = random.Random(4)
+    for mask in [*simhash.choices(3, 4), *simhash.choices(3, 7)]:
+        finer = simhash.finer_choices(mask, 3)
+        assert all(f & mask == mask and f != mask for f in finer)
+        free = [i for i in range(64) if not mask >> i & 1]
+        for _ in range(200):
+            a = rng.getrandbits(64)
+            b = a
+            for i in rng.sample(free, rng.randint(0, 3)):
+                b ^= 1 << i
+            assert any(a & f == b & f for f in finer)
+
+
+def test_a_hot_block_is_split_by_other_bits(spark, monkeypatch):
+    """Prints that share a block by their nature: runs stay short, no link is lost."""
+    monkeypatch.setattr(simhash, "CHUNK", 64)
+    rng = random.Random(6)
+    prints = [rng.getrandbits(48) for _ in range(1500)]
+    prints += [p ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(48)) for p in prints[:100]]
+    check_links(spark, prints, len(prints))
+
+
 def test_near_duplicates(spark, docs, empty, small):
     got = simhash.near_duplicates(docs).collect()
     assert len(got) == len(small)
