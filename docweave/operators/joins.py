@@ -9,34 +9,45 @@ from pyspark.sql import functions as F
 from ..functions.scalar import cosine, jaccard
 from .names import fuzzy_names  # noqa: F401  one of the joins
 
-#: A table this large at most is sent to every executor; beyond it the blocked forms join by shuffle.
+#: Rows at most of a side that is sent to every executor; a larger one is taken in parts of about so many.
 SMALL_ROWS = 50_000
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """A broadcast hint behind a check of the size."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def parts(df: DataFrame) -> list[DataFrame]:
+    """``df`` in parts small enough to be broadcast, rows dealt out by hash: one part where all of it is. For joins that no equality serves, one pass over the other side a part."""
+    n = -(-df.count() // SMALL_ROWS) or 1
+    if n == 1:
+        return [F.broadcast(df)]
+    part = F.pmod(F.xxhash64(*df.columns), F.lit(n))
+    return [F.broadcast(df.where(part == i)) for i in range(n)]
+
+
+def union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 def first_substring_match(rows: DataFrame, key: Column, candidates: DataFrame, name: str, number: str, position: str, row_id: str) -> DataFrame:
     """For each row the first candidate, by position, whose name is part of ``key`` (any case) or whose number is; empty ones match nothing.
 
-    Candidates are a lookup table: broadcast while ``SMALL_ROWS`` bounds it. Rows without a match stay with nulls.
+    Candidates are a lookup table, broadcast in ``parts``. Rows without a match stay with nulls.
     """
     k = F.lower(key)
     test = ((F.col(name) != "") & k.contains(F.lower(F.col(name)))) | ((F.col(number).cast("string") != "") & key.contains(F.col(number).cast("string")))
-    hits = rows.join(small(candidates), test, "inner").groupBy(row_id).agg(F.min_by(F.struct(*candidates.columns), position).alias("__m"))
+    hits = union([rows.join(c, test, "inner").select(row_id, *candidates.columns) for c in parts(candidates)]).groupBy(row_id).agg(F.min_by(F.struct(*candidates.columns), position).alias("__m"))
     return rows.join(hits, row_id, "left").select(*rows.columns, *[F.col("__m")[c].alias(c) for c in candidates.columns if c not in rows.columns])
 
 
 def nearest_vectors(queries: DataFrame, base: DataFrame, *, query_id: str, base_id: str, vector: str, k: int = 10, threshold: float | None = None) -> DataFrame:
     """query, base id, similarity and rank of the ``k`` nearest by cosine, all rows compared; ties by base id.
 
-    The queries are the stated, bounded side and are broadcast; each partition of the base first keeps its own best ``k``
-    through the partial aggregate, so that only those move.
+    The queries are the stated side and are broadcast in ``parts``, a pass over the base each; each partition of the base first keeps its own best ``k``
+    through a window group limit, so that only those move.
     """
-    q = small(queries.select(F.col(query_id).alias("query"), F.col(vector).alias("__q")))
-    pairs = base.select(F.col(base_id).alias("base"), F.col(vector).alias("__b")).join(q).withColumn("similarity", cosine("__q", "__b"))
+    of = base.select(F.col(base_id).alias("base"), F.col(vector).alias("__b"))
+    pairs = union([of.join(q).withColumn("similarity", cosine("__q", "__b")) for q in parts(queries.select(F.col(query_id).alias("query"), F.col(vector).alias("__q")))])
     if threshold is not None:
         pairs = pairs.where(F.col("similarity") >= threshold)
     ranked = pairs.select("query", "base", "similarity").withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.col("similarity").desc(), "base")))

@@ -63,6 +63,19 @@ def test_first_substring_match(spark):
     assert rows(got, "id", "pos") == [(1, 1), (2, None)]
 
 
+def test_sides_beyond_the_bound_are_taken_in_parts(spark, monkeypatch):
+    import random
+
+    rng = random.Random(0)
+    v = spark.createDataFrame([(i, [rng.random() - 0.5 for _ in range(4)]) for i in range(60)], "id int, e array<double>")
+    names = spark.createDataFrame([(i, f"x {i % 13} y{i % 7}") for i in range(40)], "id int, key string")
+    known = spark.createDataFrame([(i, f"y{i}", str(i * 3)) for i in range(12)], "pos int, name string, number string")
+    ask = lambda: (rows(J.nearest_vectors(v.where("id % 3 = 0"), v, query_id="id", base_id="id", vector="e", k=4), "query", "base", "rank"), rows(J.first_substring_match(names, F.col("key"), known, "name", "number", "pos", "id"), "id", "pos"))
+    whole = ask()
+    monkeypatch.setattr(J, "SMALL_ROWS", 5)
+    assert len(J.parts(known)) == 3 and ask() == whole
+
+
 def test_token_overlap_is_complete(spark):
     import itertools
     import random
