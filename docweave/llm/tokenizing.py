@@ -16,8 +16,9 @@ import numpy as np
 
 from .common import held, without_gc
 
-#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 210 MB. Where case and spaces count there are more of them, and a third more are held.
-MEMO = 1_000_000
+#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 130 MB, as an executor may keep more workers than it runs tasks,
+#: each with its own. Where case and spaces count there are more of them, and a third more are held.
+MEMO = 600_000
 
 
 #: Signs that may end a piece (fixed values).
