@@ -189,3 +189,23 @@ def test_left_out_pairs_keep_their_weight(spark):
     # after "a b": c four times, d once
     low = (4 - 0.75) / 5 + (1 - (4 - 0.75) / 5) * (5 / (model.tokens + model.distinct + 1))
     assert 10 ** logp[at == 2][0] == pytest.approx((4 - 0.75) / 5 + (1 - (4 - 0.75) / 5) * low, rel=0.02)
+
+
+def test_longer_contexts_help_on_unseen_texts(spark):
+    """Texts by a rule of two words' memory, held out: the trigram model tells them better than the bigram model."""
+    import random
+
+    rng = random.Random(0)
+    words = [f"w{i}" for i in range(12)]
+    follow = {(a, b): rng.sample(words, 2) for a in words for b in words}
+
+    def text():
+        t = rng.choices(words, k=2)
+        while len(t) < 60:
+            t.append(rng.choice(follow[t[-2], t[-1]]))
+        return " ".join(t)
+
+    df = spark.createDataFrame([(text(),) for _ in range(300)], "text string")
+    unseen = [text() for _ in range(20)]
+    two, three = (sum(L.Trie(L.train(df, min_count=1, order=n)).score(unseen)[3]) for n in (2, 3))
+    assert three > 0.7 * two

@@ -168,3 +168,16 @@ def test_worker_caches_are_let_go(monkeypatch):
     Task.now = 3
     assert common.held(("b", 1), make) == 3  # the task before was the other's
     assert common.held(("a",), make) == 4
+
+
+def test_rules_hold_on_labels_they_were_not_learned_from(spark):
+    """Learned from two thirds of the labels; of what they reject among the rest, few are good."""
+    from pyspark.sql import functions as F
+
+    folder = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet").withColumn("fold", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3)
+    found = quality_rules.learn_from(docs, labels.where("fold <> 0"))
+    asked = quality_rules.judge(docs.join(labels.where("fold = 0").select("doc_id", "quality"), "doc_id"), found)
+    rejected = [r.quality for r in asked.where("not base_failed and rule is not null").select("quality").collect()]
+    assert found.rules and len(rejected) >= 20 and sum(rejected) <= 0.1 * len(rejected)
