@@ -355,7 +355,7 @@ def rates(t):
 
 @query("a28_table_statistics")
 def table_statistics(t):
-    return A.table_statistics(t.orders, "orders", f"{t.folder}/orders.parquet").drop("n_bytes")
+    return A.table_statistics(t.orders, "orders", f"{t.folder}/orders.parquet")
 
 
 @query("a29_entity_summary", """
