@@ -16,8 +16,10 @@ either kind added (0.5 where there are none). An empty table gives an empty resu
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,8 @@ DIM = WORD_DIM + SHAPE_DIM
 WINDOW = 2
 #: Distinct words whose buckets a worker remembers.
 MEMO = 500_000
+#: Bits for a word's or text's number where a text and a pair of words go into one key.
+BITS = 21
 
 _CLASSES = bytes(ord("X") if 65 <= c < 91 else ord("x") if 97 <= c < 123 or c >= 128 else ord("0") if 48 <= c < 58 else c for c in range(256))
 _RUNS = re.compile(rb"(.)\1+", re.S)
@@ -54,7 +58,8 @@ class Buckets:
     """Words to word and shape buckets, each distinct word worked out once."""
 
     def __init__(self) -> None:
-        self.memo: dict[bytes, int] = {}
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.codes = np.zeros(0, np.int64)
         self.again = self.of_shape(b"<again>")
         self.pair = self.of_shape(b"<pair>")
 
@@ -62,20 +67,31 @@ class Buckets:
     def of_shape(shape: bytes) -> int:
         return xxhash.xxh64_intdigest(shape, 7) % SHAPES
 
+    @common.without_gc
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Codes (word bucket times SHAPES plus shape bucket) of all words, words in each text, and the counts of both pseudo-words."""
-        memo, codes, sizes, again, pairs = self.memo, [], [], [], []
-        if len(memo) > MEMO:
-            memo.clear()
-        for t in texts:
-            words = common.words_of(t)
-            for w in set(words).difference(memo):
-                memo[w] = xxhash.xxh64_intdigest(w.lower(), 3) % WORDS * SHAPES + self.of_shape(_RUNS.sub(rb"\1", w.translate(_CLASSES)))
-            codes += [memo[w] for w in words]
-            sizes.append(len(words))
-            again.append(sum(map(bytes.__eq__, words, words[1:])))
-            pairs.append(max(0, len(words) - 1) - len(set(zip(words, words[1:]))))
-        return np.array(codes, np.int64), np.array(sizes, np.int64), np.array(again, np.float32), np.array(pairs, np.float32)
+        if len(self.numbers) > MEMO:
+            self.__init__()
+        lists = [common.words_of(t) for t in texts]
+        sizes = np.array([len(w) for w in lists], np.int64)
+        # one look at the memo per word: it is too large for the CPU's caches
+        words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
+        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.codes)))[::-1]
+        made = [xxhash.xxh64_intdigest(w.lower(), 3) % WORDS * SHAPES + self.of_shape(_RUNS.sub(rb"\1", w.translate(_CLASSES))) for w in new]
+        self.codes = np.concatenate([self.codes, np.array(made, np.int64)])
+        owner = np.repeat(np.arange(len(lists)), sizes)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        one, two, of = words[inside], words[inside + 1], owner[inside]
+        again = np.bincount(of[one == two], minlength=len(lists))
+        # pairs less the distinct ones of each text
+        if max(len(self.numbers), len(lists)) < 1 << BITS:
+            keys = np.sort(of << 2 * BITS | one << BITS | two)
+            repeated = (keys >> 2 * BITS)[1:][keys[1:] == keys[:-1]]
+        else:
+            order = np.lexsort((two, one, of))
+            one, two, of = one[order], two[order], of[order]
+            repeated = of[1:][(one[1:] == one[:-1]) & (two[1:] == two[:-1]) & (of[1:] == of[:-1])]
+        return self.codes[words], sizes, again.astype(np.float32), np.bincount(repeated, minlength=len(lists)).astype(np.float32)
 
 
 def _buckets() -> Buckets:

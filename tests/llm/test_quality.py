@@ -181,3 +181,19 @@ def test_rules_hold_on_labels_they_were_not_learned_from(spark):
     asked = quality_rules.judge(docs.join(labels.where("fold = 0").select("doc_id", "quality"), "doc_id"), found)
     rejected = [r.quality for r in asked.where("not base_failed and rule is not null").select("quality").collect()]
     assert found.rules and len(rejected) >= 20 and sum(rejected) <= 0.1 * len(rejected)
+
+
+@pytest.mark.parametrize("bits", [21, 0])
+def test_pseudo_words(bits, monkeypatch):
+    """Words like the one before, and pairs seen before in the text, by one key or by three."""
+    monkeypatch.setattr(quality_model, "BITS", bits)
+
+    @settings(max_examples=100, deadline=None)
+    @given(st.lists(st.one_of(st.none(), st.text(alphabet="aAb. \n", max_size=30)), max_size=6))
+    def holds(texts):
+        words = [(t or "").encode().split() for t in texts]
+        want = [(len(w), sum(x == y for x, y in zip(w, w[1:])), max(0, len(w) - 1) - len(set(zip(w, w[1:])))) for w in words]
+        got = quality_model.Buckets().of(texts)
+        assert list(zip(got[1].tolist(), got[2].tolist(), got[3].tolist())) == want
+
+    holds()
