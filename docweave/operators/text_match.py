@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .entity import written
+
 #: Words that don't count (fixed values).
 STOP_WORDS = "a about above after again against all am an and any are as at be because been before being below between both but by can did do does doing down during each few for from further had has have having he her here hers him his how i if in into is it its itself just me more most my no nor not now of off on once only or other our out over own same she so some such than that the their them then there these they this those through to too under until up very was we were what when where which while who whom why will with you your".split()
 
@@ -29,12 +31,13 @@ def heading_similarity(texts: DataFrame, headings: DataFrame, *, text_id: str, t
     h = headings.select(F.col(heading_id).alias("__h"), F.explode(grams(F.col(heading))).alias("gram")).withColumnRenamed("__h", "heading")
     n = headings.agg(F.count(F.lit(1)).alias("n"))
     stats = h.groupBy("gram").agg(F.count(F.lit(1)).alias("total"), F.count_distinct("heading").alias("df")).orderBy(F.col("total").desc(), "gram").limit(features)
-    idf = stats.join(F.broadcast(n)).select("gram", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    # a lookup of at most ``features`` rows, used on both sides: worked out once
+    idf = written(stats.join(F.broadcast(n)).select("gram", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
 
     def weighted(rows: DataFrame, key: str) -> DataFrame:
         w = rows.groupBy(key, "gram").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(idf), "gram").withColumn("w", F.col("tf") * F.col("idf"))
         return w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))).select(key, "gram", "w")
 
     t = weighted(texts.select(F.col(text_id).alias("__t"), F.explode(grams(F.col(text))).alias("gram")).withColumnRenamed("__t", "text"), "text")
-    pairs = t.join(weighted(h, "heading").withColumnRenamed("w", "v"), "gram").groupBy("text", "heading").agg(F.sum(F.col("w") * F.col("v")).alias("similarity"))
+    pairs = t.join(written(weighted(h, "heading")).withColumnRenamed("w", "v"), "gram").groupBy("text", "heading").agg(F.sum(F.col("w") * F.col("v")).alias("similarity"))
     return pairs.where(F.col("similarity") >= least)
