@@ -21,7 +21,8 @@ Files lie in the shared folder and are mapped where that is a mounted one, so th
 Counts leave a task as sorted, compressed arrays by shard. Nothing but the
 manifest (a row a shard) reaches the driver. Words are told apart by 64-bit hashes; among ten million that two share one has a chance of 3 in a million.
 
-Null texts are empty: one end token. Repeated rows and ids count each. Without training texts all counts are zero.
+Null texts are empty: one end token. Repeated rows and ids count each. Without training texts all counts are zero and every score too; an empty table gives an
+empty result. Columns of the scores' names are replaced, others go along.
 """
 
 from __future__ import annotations
