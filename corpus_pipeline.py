@@ -36,9 +36,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.judge(whole, learned, text=text).where("kept").select(F.inline(F.array(row)))
 
 
+#: Bits in which the fingerprints of near copies differ at most. Texts with a five-word-shingle similarity of 0.8 or more differ in some five to ten.
+NEAR_BITS = 5
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each component: that of the smallest id, nulls last."""
-    return simhash.one_of_each(docs, shingle=3, distance=3)
+    return simhash.one_of_each(docs, shingle=3, distance=NEAR_BITS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
