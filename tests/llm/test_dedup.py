@@ -72,11 +72,11 @@ def family(n, seed):
     return out
 
 
-def check_links(spark, prints, n):
+def check_links(spark, prints, n, distance=3):
     distinct = sorted(set(prints))
     nodes = spark.createDataFrame([(p - 2**64 if p >= 2**63 else p,) for p in distinct], "fp long")
-    roots = {r.node % 2**64: r.root for r in connected_components(simhash.near_links(nodes, "fp", 3, n)).collect()}
-    want = slow_components(distinct, 3)
+    roots = {r.node % 2**64: r.root for r in connected_components(simhash.near_links(nodes, "fp", distance, n)).collect()}
+    want = slow_components(distinct, distance)
     got = [roots.get(p, p - 2**64 if p >= 2**63 else p) for p in distinct]
     groups = lambda labels: sorted(sorted(i for i, x in enumerate(labels) if x == v) for v in set(labels))
     assert groups(got) == groups(want)
@@ -90,6 +90,8 @@ def test_chunks_of_hot_keys_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 16)
     check_links(spark, family(200, 2), 200)
     check_links(spark, family(100, 3), 2**34)  # more blocks, as for many more prints
+    check_links(spark, family(150, 5), 150, distance=5)
+    check_links(spark, family(80, 6), 2**26, distance=5)
 
 
 def test_finer_choices_keep_every_close_pair():

@@ -108,7 +108,7 @@ def test_stages_against_plain_versions(spark, sf_dir, tmp_path, word_bpe):
         while front:
             x = front.pop()
             left.discard(x)
-            front += [y for y in left if (prints[x] ^ prints[y]).bit_count() <= 3 and y not in front]
+            front += [y for y in left if (prints[x] ^ prints[y]).bit_count() <= corpus_pipeline.NEAR_BITS and y not in front]
     stage(2)
     assert set(rows(3)) == keep and len(keep) < len(texts)
 
