@@ -53,14 +53,14 @@ class Registry:
 
 def findings(df: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
     """A row per rule that fails: the key and the finding. One projection, no shuffle."""
-    return df.select(F.col(key), F.explode(F.array_compact(F.array(*[r.finding() for r in rules]))).alias("__f")).select(key, "__f.*")
+    # exploded first and filtered then: within generated code, which functions over arrays would leave
+    return df.select(F.col(key), F.explode(F.array(*[r.finding() for r in rules])).alias("__f")).where(F.col("__f").isNotNull()).select(key, "__f.*")
 
 
 def validated(df: DataFrame, key: str, rules: Sequence[Rule]) -> DataFrame:
     """A row per entity: its counts by severity and status (any error: invalid; any warning: needs_review; else validated)."""
-    found = F.array_compact(F.array(*[F.when(r.fails, F.lit(r.severity)) for r in rules]))
-    n = lambda s: F.size(F.filter("__s", lambda x: x == s))
-    counted = df.select(F.col(key), found.alias("__s")).select(key, n(ERROR).alias("errors"), n(WARNING).alias("warnings"), n(INFO).alias("infos"))
+    n = lambda s: sum((F.when(r.fails, 1).otherwise(0) for r in rules if r.severity == s), F.lit(0))
+    counted = df.select(F.col(key), n(ERROR).alias("errors"), n(WARNING).alias("warnings"), n(INFO).alias("infos"))
     return counted.withColumn("status", F.when(F.col("errors") > 0, "invalid").when(F.col("warnings") > 0, "needs_review").otherwise("validated"))
 
 
