@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import gc
 import io
 import os
 import shutil
 import tempfile
+import time
 import uuid
 import zipfile
 import zlib
@@ -17,6 +19,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from py4j.protocol import Py4JError
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +28,7 @@ from ..session import scratch_path
 _shipped: set[str] = set()
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _made: list[str] = []
+_released = [0.0]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -33,11 +37,28 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return _made[-1]
 
 
+def release_native(spark: SparkSession) -> None:
+    """Have the driver's JVM hand freed native memory back, at most every few seconds: the C library keeps it by thread, and a driver of many jobs has hundreds of them. Where the JVM can't, nothing happens."""
+    if time.monotonic() - _released[0] < 5:
+        return
+    _released[0] = time.monotonic()
+    jvm, array = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    with contextlib.suppress(Py4JError):  # by reflection: the server's own class isn't public
+        of = jvm.java.lang.Class.forName
+        kinds, given = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+        for i, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[i] = of(kind)
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        given[2], given[3] = array(jvm.java.lang.Object, 0), array(jvm.java.lang.String, 0)
+        of("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back: it cuts the lineage, and survives lost executors."""
     spark = df.sparkSession
     path = fresh_dir(spark, label)
     df.write.parquet(path)
+    release_native(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
