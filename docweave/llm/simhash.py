@@ -73,10 +73,10 @@ def finer_choices(mask: int, distance: int) -> list[int]:
 
 
 def blocks_for(n: int, distance: int) -> int:
-    """The least number of blocks whose keys leave some 64 of ``n`` fingerprints together by chance; the result is the same for any."""
+    """The least number of blocks whose keys have 16 bits or more and leave some 64 of ``n`` fingerprints together by chance; the result is the same for any."""
     for blocks in range(distance + 1, distance + 5):
         bits = 64 * (blocks - distance) // blocks
-        if n / 2**bits <= 64:
+        if bits >= 16 and n / 2**bits <= 64:
             return blocks
     return distance + 4
 
