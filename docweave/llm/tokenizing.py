@@ -16,9 +16,9 @@ import numpy as np
 
 from .common import held, without_gc
 
-#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 130 MB, as an executor may keep more workers than it runs tasks,
-#: each with its own. Where case and spaces count there are more of them, and two thirds more are held.
-MEMO = 600_000
+#: Distinct pieces held by a worker; beyond this it keeps those of the texts at hand. Some 170 MB, as an executor may keep more workers than it runs tasks,
+#: each with its own. Where case and spaces count there are more of them, and a third more are held.
+MEMO = 800_000
 
 
 #: Signs that may end a piece (fixed values).
@@ -147,7 +147,7 @@ class PieceEncoder:
             out.append(b"".join(found)[skip:])
         if len(self.ends) > 10_000:
             self.ends = {"": b""}
-        if len(memo) > (MEMO if self.drops_spaces else MEMO * 5 // 3):
+        if len(memo) > (MEMO if self.drops_spaces else MEMO * 4 // 3):
             self.memo = {p: memo[p] for c in cut if c for p in c[0]}
         return out
 
