@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, common, decontaminate, language_model, packing, quality_model, quality_rules, simhash, sstable, url_filter
+from . import bpe_count, chat, common, decontaminate, divergence, language_model, packing, quality_model, quality_rules, simhash, sstable, url_filter
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -87,6 +87,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(BYTE_BPE), limit=512).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -94,7 +98,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_tokens, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_chat_format, op6_url_filter, op7_quality_rules, op8_decontamination, op9_lm_score, op10_token_counts, pipeline)}
+    return {f.__name__: f for f in (op1_sstable_tokens, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_chat_format, op6_url_filter, op7_quality_rules, op8_decontamination, op9_lm_score, op10_token_counts, op12_source_divergence, pipeline)}
 
 
 _CHAT = r"""
@@ -130,6 +134,31 @@ SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.n = 1
 """
 
+_DIVERGENCE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), w AS (SELECT id, lang, source, unnest(ts) AS term FROM d
+), vocab AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 3
+), grp AS (SELECT DISTINCT lang, source FROM d
+), counts AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL
+), dense AS (
+  SELECT g.lang, g.source, v.term, v.total, coalesce(c.n, 0) AS n FROM grp g JOIN vocab v USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term
+), shares AS (
+  SELECT *, 1 + 1000000000 * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source)) AS p FROM dense
+), langs AS (
+  SELECT lang, term, 1 + 1000000000 * (total + 1) // (sum(total) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang)) AS q FROM vocab
+), pair_sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT s.lang, s.source, 'term', s.term, (p - q) * (p - q) // q FROM shares s JOIN langs l ON l.lang = s.lang AND l.term = s.term WHERE n > 0 AND p > q
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM found)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INT) AS rank FROM ranked WHERE part = 'pair' OR r <= 200
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": _CHAT, "op6_url_filter": _URLS}
+    return {"op5_chat_format": _CHAT, "op6_url_filter": _URLS, "op12_source_divergence": _DIVERGENCE}
