@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_count, chat, common, decontaminate, divergence, language_model, packing, quality_model, quality_rules, simhash, sstable, url_filter
+from . import bpe_count, chat, common, decontaminate, divergence, language_model, line_dedup, packing, periodic_runs, quality_model, quality_rules, simhash, sstable, url_filter
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -87,10 +87,30 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary(BYTE_BPE), limit=512).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where the crc32 of the id ends in 0, the words from the a-th on repeat the first p of them, both chosen by the same number."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.expr("g % n")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    again = F.expr("array_join(concat(slice(words, 1, cast(a as int)), slice(flatten(array_repeat(slice(words, cast(a + 1 as int), cast(p as int)), cast(1 + (n - a) div p as int))), 1, cast(n - a as int))), ' ')")
+    return rows.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_periods(table(spark, sf_dir, "documents")))
+    return periodic_runs.digests(found)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), least=20, min_docs=3)
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,7 +118,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_tokens, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_chat_format, op6_url_filter, op7_quality_rules, op8_decontamination, op9_lm_score, op10_token_counts, op12_source_divergence, pipeline)}
+    return {f.__name__: f for f in (op1_sstable_tokens, op2_simhash_dedup, op3_best_fit_packing, op4_quality_classifier, op5_chat_format, op6_url_filter, op7_quality_rules, op8_decontamination, op9_lm_score, op10_token_counts, op11_periodic_runs, op12_source_divergence, op13_line_dedup, pipeline)}
 
 
 _CHAT = r"""
@@ -159,6 +179,22 @@ WITH d AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INT) AS rank FROM ranked WHERE part = 'pair' OR r <= 200
 """
 
+_LINES = r"""
+WITH lines AS (
+  SELECT doc_id, row_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM (SELECT *, row_number() OVER () AS row_id FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), many AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT row_id) >= 3
+), marked AS (
+  SELECT k.*, m.key IS NOT NULL AND k.doc_id IS DISTINCT FROM m.last AS dropped FROM keyed k LEFT JOIN many m ON m.key = k.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id, row_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_format": _CHAT, "op6_url_filter": _URLS, "op12_source_divergence": _DIVERGENCE}
+    return {"op5_chat_format": _CHAT, "op6_url_filter": _URLS, "op12_source_divergence": _DIVERGENCE, "op13_line_dedup": _LINES}
