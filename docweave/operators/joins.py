@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.scalar import cosine, jaccard
+from ..functions.scalar import jaccard
+from . import vector_index
 from .names import fuzzy_names  # noqa: F401  one of the joins
 
 #: Rows at most of a side that is sent to every executor; a larger one is taken in parts of about so many.
@@ -41,17 +42,9 @@ def first_substring_match(rows: DataFrame, key: Column, candidates: DataFrame, n
 
 
 def nearest_vectors(queries: DataFrame, base: DataFrame, *, query_id: str, base_id: str, vector: str, k: int = 10, threshold: float | None = None) -> DataFrame:
-    """query, base id, similarity and rank of the ``k`` nearest by cosine, all rows compared; ties by base id.
-
-    The queries are the stated side and are broadcast in ``parts``, a pass over the base each; each partition of the base first keeps its own best ``k``
-    through a window group limit, so that only those move.
-    """
-    of = base.select(F.col(base_id).alias("base"), F.col(vector).alias("__b"))
-    pairs = union([of.join(q).withColumn("similarity", cosine("__q", "__b")) for q in parts(queries.select(F.col(query_id).alias("query"), F.col(vector).alias("__q")))])
-    if threshold is not None:
-        pairs = pairs.where(F.col("similarity") >= threshold)
-    ranked = pairs.select("query", "base", "similarity").withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.col("similarity").desc(), "base")))
-    return ranked.where(F.col("rank") <= k)  # a window group limit prunes before the shuffle
+    """query, base id, similarity and rank of the ``k`` nearest by cosine, as if all rows were compared; ties by base id. By an index of cells built for the call; ``vector_index`` keeps one for many."""
+    index = vector_index.build(base, base_id=base_id, vector=vector, copies=k)
+    return vector_index.nearest(index, queries, query_id=query_id, vector=vector, k=k, threshold=threshold)[0]
 
 
 def token_overlap(left: DataFrame, right: DataFrame, *, left_id: str, right_id: str, left_text: str, right_text: str, threshold: float = 0.5) -> DataFrame:
