@@ -32,6 +32,8 @@ SEGMENTS, SEGMENT_SHIFT = 64, np.uint64(58)
 HASHES = 4
 #: Hashes that a task holds before it gives its filters away and begins new ones.
 HELD = 4_000_000
+#: Lines at most that count as common ones.
+COMMON = 10_000
 
 
 def lines_of(text: str | None) -> list[bytes]:
@@ -203,8 +205,14 @@ def drop_repeated_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "te
     # written once, so that rows have numbers that stay
     marked = common.materialize(docs.withColumns({row: F.monotonically_increasing_id(), asked: suspected(F.col(text)), "n_lines": n_lines(text)}), "lines")
     lines = marked.where(F.col(asked).isNotNull()).select(F.col(row).alias("row"), F.col(key).alias("id"), F.explode(asked).alias("line"))
-    many = lines.groupBy("line").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("last")).where(F.col("docs") >= min_docs)
-    drops = lines.join(many, "line").where(~F.col("id").eqNullSafe(F.col("last"))).groupBy(F.col("row").alias(row)).agg(F.collect_set("line").alias(drop))
+    many = common.materialize(lines.groupBy("line").agg(F.count(F.lit(1)).alias("docs"), F.max("id").alias("last")).where(F.col("docs") >= min_docs), "many")
+    # lines with over a share of all places are fewer than COMMON, so they are sent to all; the others have no hot one among them
+    common_from = F.lit((many.agg(F.sum("docs")).head()[0] or 0) // COMMON)
+    often = F.broadcast(many.where(F.col("docs") > common_from).select("line", F.struct("last").alias("often")))
+    met = lines.join(often, "line", "left")
+    rest = met.where("often is null").join(many.where(F.col("docs") <= common_from), "line").select("row", "id", "line", "last")
+    held = met.where("often is not null").select("row", "id", "line", "often.last").unionByName(rest)
+    drops = held.where(~F.col("id").eqNullSafe(F.col("last"))).groupBy(F.col("row").alias(row)).agg(F.collect_set("line").alias(drop))
 
     columns = [*docs.columns, "n_lines", "n_dropped"]
     clean = marked.where(F.col(asked).isNull()).withColumns({text: F.coalesce(F.col(text), F.lit("")), "n_dropped": F.lit(0).cast("long")})
