@@ -164,8 +164,10 @@ def title_case(t):
 
 @query("t20_fuzzy_headings")
 def fuzzy_headings(t):
-    kinds = t.part.select("p_type").distinct()
-    return kinds.select("p_type", udfs.partial_ratio(F.lower("p_type"), F.lit("brass")).alias("score"))
+    """Every distinct line of the documents that is short enough for a heading, with the heading that it is most like."""
+    lines = t.documents.select(F.explode(F.split("text", "\n")).alias("line")).where(F.length("line").between(5, 200)).distinct()
+    known = [(r["item_no"], r["heading"]) for r in segments.standard_headings(t.spark).collect()]  # a lookup of some fifty rows
+    return lines.withColumn("best", segments.best_heading(known)("line")).where("best.item_no is not null").select("line", "best.item_no", "best.score")
 
 
 @query("t21_heading_similarity")

@@ -23,10 +23,18 @@ def clean(t):
     return t.pages.select("page_id", T.clean_text("html").alias("cleaned"))
 
 
-@query("t3_franchise_name", r"""
-SELECT c_custkey, 'Customer#' || substr(c_name, 10) AS shown FROM customer""")
+#: Names as they may be written, by customer; the same text in both dialects.
+_NAMES = """CASE c_custkey % 10 WHEN 0 THEN upper(c_mktsegment) || ', LLC' WHEN 1 THEN 'élan ' || lower(c_mktsegment) || ' café, inc.' WHEN 2 THEN 'SEÑOR  ' || c_mktsegment || ' (of Ohio)' WHEN 3 THEN 'o''neil fdd llc ' || lower(c_mktsegment)
+ WHEN 4 THEN '  ' WHEN 5 THEN 'ÉLAN ÜBER ' || c_name || ' L.L.C.' WHEN 6 THEN '日a ' || c_mktsegment || ' corporation' WHEN 7 THEN 'жизнь-ΣΟΦΊΑ ' || c_custkey || 'b (x) (y)' WHEN 8 THEN c_name || ', LLC' END"""
+
+
+@query("t3_franchise_name", rf"""
+WITH n AS (SELECT c_custkey, trim(regexp_replace(coalesce({_NAMES}, ''), '\s+', ' ', 'g')) AS x FROM customer),
+y AS (SELECT *, lower(regexp_replace(regexp_replace(x, '(?i)\s*,?\s*(LLC|L\.L\.C\.|Inc\.|INC\.|Corp\.|Corporation)$', ''), '\s*\([^)]*\)$', '')) AS y FROM n),
+z AS (SELECT *, array_to_string(list_transform(regexp_extract_all(y, '[\p{{Lu}}\p{{Ll}}\p{{Lt}}]+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+'), lambda p: upper(p[1]) || p[2:]), '') AS z FROM y)
+SELECT c_custkey, CASE WHEN x = '' THEN 'Unknown Franchise' ELSE regexp_replace(regexp_replace(z, '\bLlc\b', 'LLC', 'g'), '\bFdd\b', 'FDD', 'g') END AS shown FROM z""")
 def franchise_name(t):
-    return t.customer.select("c_custkey", T.format_franchise_name(F.concat("c_name", F.lit(", LLC"))).alias("shown"))
+    return t.customer.select("c_custkey", T.format_franchise_name(F.expr(_NAMES)).alias("shown"))
 
 
 @query("t4_filing_number", r"SELECT c_custkey, CASE WHEN regexp_matches(c_name, '#\s*[0-9]{4,}') THEN regexp_extract(c_name, '#\s*([0-9]{4,})', 1) END AS number FROM customer")
@@ -94,10 +102,17 @@ def item_number(t):
     return t.part.select("p_partkey", T.item_number(F.concat(F.lit("ITEM "), F.col("p_size").cast("string"), F.lit(": fees"))).alias("item_no"))
 
 
-@query("t18_header_like", r"""
-SELECT p_partkey, length(trim(p_type)) <= 150 AND ((regexp_matches(p_type, '[A-Za-z]') AND upper(trim(p_type)) = trim(p_type)) OR regexp_matches(trim(p_type), '^[A-Z][a-z]*(?:[^A-Za-z]+[A-Z][a-z]*)*[^A-Za-z]*$') OR regexp_matches(trim(p_type), '(?i)^item\s+[0-9]+')) AS header FROM part""")
+#: Lines as documents have them, by part; the same text in both dialects.
+_LINES = """CASE p_partkey % 11 WHEN 0 THEN p_type WHEN 1 THEN 'our initial fees and costs for ' || lower(p_type) WHEN 2 THEN 'see item ' || p_size || ' for ' || lower(p_type) WHEN 3 THEN ' ' || p_type WHEN 4 THEN 'Élan Café ' || p_size
+ WHEN 5 THEN p_size || '.' WHEN 6 THEN repeat(p_type || ' ', 8) WHEN 7 THEN repeat('the territory of ' || lower(p_type), 3) WHEN 8 THEN 'Élan café' WHEN 9 THEN 'Notes on ' || lower(p_name) WHEN 10 THEN '' END"""
+
+
+@query("t18_header_like", rf"""
+SELECT p_partkey, length(x) <= 150 AND (upper(trim(x)) = x OR regexp_matches(x, '^[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]*[\p{{Lu}}\p{{Lt}}]\p{{Ll}}*([^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+[\p{{Lu}}\p{{Lt}}]\p{{Ll}}*)*[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]*$')
+  OR (contains(upper(x), 'ITEM ') AND regexp_matches(x, '[0-9]')) OR (length(x) < 100 AND list_bool_or(list_transform([{", ".join("'" + p.replace("'", "''") + "'" for p in T.HEADER_PHRASES)}], lambda p: contains(upper(x), p))))) AS header
+FROM (SELECT p_partkey, {_LINES} AS x FROM part)""")
 def header_like(t):
-    return t.part.select("p_partkey", T.is_header_like("p_type").alias("header"))
+    return t.part.select("p_partkey", T.is_header_like(F.expr(_LINES)).alias("header"))
 
 
 @query("t19_section_keywords", "SELECT p_partkey, (contains(lower(p_type), 'brass') OR contains(lower(p_type), 'steel')) AND NOT contains(lower(p_type), 'economy') AS hit FROM part")

@@ -105,13 +105,18 @@ def clean_text(c: Column | str) -> Column:
 
 
 def title_case(c: Column | str) -> Column:
-    """Each run of letters starts with a capital, the rest is small: ``o'neil`` is ``O'Neil``."""
-    parts = F.regexp_extract_all(F.lower(col(c)), F.lit(r"([a-z]+|[^a-z]+)"), F.lit(1))
-    return F.array_join(F.transform(parts, lambda p: F.concat(F.upper(F.substring(p, 1, 1)), F.substring(p, 2, 2**30))), "")
+    """Each run of letters of either case, of any script, starts with a capital, the rest is small: ``o'neil`` is ``O'Neil``, ``élan`` is ``Élan``, ``ßx`` is ``Ssx``. Letters without case part runs."""
+    parts = F.regexp_extract_all(F.lower(col(c)), F.lit(r"[\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+"), F.lit(0))
+
+    def first_large(p: Column) -> Column:
+        large = F.upper(F.substring(p, 1, 1))
+        return F.concat(F.substring(large, 1, 1), F.lower(F.substring(large, 2, 2**30)), F.substring(p, 2, 2**30))
+
+    return F.array_join(F.transform(parts, first_large), "")
 
 
 def format_franchise_name(c: Column | str) -> Column:
-    """A legal suffix and a parenthesis at the end go, then title case with its usual exceptions; nothing: ``Unknown Franchise``. ASCII letters only."""
+    """A legal suffix and a parenthesis at the end go, then title case with its usual exceptions; nothing: ``Unknown Franchise``."""
     x = clean_text(c)
     y = F.regexp_replace(x, r"(?i)\s*,?\s*(LLC|L\.L\.C\.|Inc\.|INC\.|Corp\.|Corporation)$", "")
     y = title_case(F.regexp_replace(y, r"\s*\([^)]*\)$", ""))
@@ -240,13 +245,26 @@ def begins_item(c: Column | str, item: Column | str) -> Column:
     return F.when(n == 0, starts(FRONT_WORDS)).when(n == 24, starts(APPENDIX_WORDS)).when(n.between(1, 23), F.coalesce(said == n, F.lit(False))).otherwise(F.lit(False))
 
 
-def is_header_like(c: Column | str, phrases=()) -> Column:
-    """At most 150 characters, and all capitals, titled words, an ``ITEM n`` or one of the phrases within 100 characters."""
-    x = F.trim(col(c))
-    letters = x.rlike("[A-Za-z]")
-    titled = x.rlike(r"^[A-Z][a-z]*(?:[^A-Za-z]+[A-Z][a-z]*)*[^A-Za-z]*$")
-    by_phrase = (contains_any(F.lower(x), phrases) & (F.length(x) < 100)) if phrases else F.lit(False)
-    return (F.length(x) <= 150) & ((letters & (F.upper(x) == x)) | titled | x.rlike(r"(?i)^item\s+\d+") | by_phrase)
+#: Phrases that short headers hold (fixed values).
+HEADER_PHRASES = (
+    "INITIAL FEES", "OTHER FEES", "ESTIMATED INITIAL INVESTMENT", "BUSINESS EXPERIENCE", "LITIGATION", "BANKRUPTCY", "FINANCING", "TERRITORY", "TRADEMARKS", "PATENTS", "CONTRACTS", "RECEIPTS", "FRANCHISEE'S OBLIGATIONS",
+    "FINANCIAL PERFORMANCE", "FINANCIAL STATEMENTS", "RESTRICTIONS ON", "FRANCHISOR'S ASSISTANCE", "PUBLIC FIGURES", "OUTLETS AND FRANCHISE",
+)
+
+
+def is_header_like(c: Column | str, phrases=HEADER_PHRASES) -> Column:
+    """At most 150 characters, and all capitals, titled words, ``ITEM`` and a digit, or one of the phrases within less than 100 characters.
+
+    Texts without letters equal their capitals, so they count, unless white space stands at an end. Titled: every run of letters that have case, of any
+    script, begins with a capital and goes on small, and there is one.
+    """
+    x = col(c)
+    large = F.upper(F.trim(x))
+    cased = r"\p{Lu}\p{Ll}\p{Lt}"
+    titled = x.rlike(rf"^[^{cased}]*[\p{{Lu}}\p{{Lt}}]\p{{Ll}}*(?:[^{cased}]+[\p{{Lu}}\p{{Lt}}]\p{{Ll}}*)*[^{cased}]*$")
+    numbered = large.contains("ITEM ") & x.rlike(r"\d")
+    by_phrase = (contains_any(large, phrases) & (F.length(x) < 100)) if phrases else F.lit(False)
+    return (F.length(x) <= 150) & ((large == x) | titled | numbered | by_phrase)
 
 
 def has_keywords(c: Column | str, words, veto=()) -> Column:

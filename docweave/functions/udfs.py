@@ -40,26 +40,6 @@ def name_similarity(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[
         yield pd.Series([None if x is None or y is None else similarity(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
-def partial(one: str, two: str) -> float:
-    """The best ratio, of 100, of the shorter text with any part of the longer of its length that a matching block aligns."""
-    short, long = (one, two) if len(one) <= len(two) else (two, one)
-    if not short:
-        return 0.0
-    best = 0.0
-    for block in SequenceMatcher(None, short, long, False).get_matching_blocks():
-        start = max(0, block.b - block.a)
-        best = max(best, SequenceMatcher(None, short, long[start : start + len(short)], False).ratio())
-        if best > 0.995:
-            return 100.0
-    return 100 * best
-
-
-@F.pandas_udf(T.DoubleType())
-def partial_ratio(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for a, b in batches:
-        yield pd.Series([None if x is None or y is None else partial(x, y) for x, y in zip(a, b)], dtype="float64")
-
-
 @F.pandas_udf(T.StringType())
 def unicode_title(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Title case of any script."""

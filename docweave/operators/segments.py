@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.fuzzy import best_of
 from ..functions.text import is_header_like, item_number
-from ..functions.udfs import partial
 from ..session import runs_on_executors
 from .entity import written
 from .text_match import heading_similarity
@@ -80,22 +80,20 @@ def standard_headings(spark: SparkSession) -> DataFrame:
 
 
 def best_heading(headings: list[tuple[int, str]]):
-    """A function of a text: the heading most alike by partial ratio, as item_no and score; of equal ones the first. Long texts, and those with boilerplate, have none."""
+    """A function of a text: the heading most alike by exact partial ratio, as item_no and score; of equal ones the first. Long texts, and those with boilerplate, have none."""
+
+    lower = [h.lower() for _, h in headings]
 
     @F.pandas_udf("item_no int, score double")
     def best(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        lower = [(i, h.lower()) for i, h in headings]
-
-        def of(text: str | None) -> tuple[int | None, float | None]:
-            if text is None or len(text) > 200 or not lower:
-                return None, None
-            x = text.lower()
-            if any(p in x for p in BOILERPLATE):
-                return None, None
-            return max(((i, partial(x, h)) for i, h in lower), key=lambda s: s[1])
-
         for s in batches:
-            yield pd.DataFrame([of(x) for x in s], columns=["item_no", "score"])
+            texts = [None if x is None or len(x) > 200 else x.lower() for x in s]
+            asked = [i for i, x in enumerate(texts) if x is not None and lower and not any(p in x for p in BOILERPLATE)]
+            number, score = best_of(lower, [texts[i] for i in asked])
+            out = pd.DataFrame({"item_no": [None] * len(texts), "score": [None] * len(texts)}, dtype=object)
+            out.loc[asked, "item_no"] = [headings[n][0] for n in number]
+            out.loc[asked, "score"] = score
+            yield out.astype({"item_no": "Int32", "score": "Float64"})
 
     return best
 

@@ -127,10 +127,23 @@ def test_similarity():
     assert udfs.similarity("Burger King LLC", "burger king") == 1.0
     assert udfs.similarity("Burger King West", "Burger King") == 0.95
     assert udfs.similarity("LLC", "Burger King") < 0.95
-    assert udfs.partial("initial fees", "item 5: initial fees and more") == 100.0
-    assert udfs.partial("", "abc") == 0.0
 
 
 @pytest.mark.parametrize(("text", "item", "want"), [("Item 7: investment", 7, True), ("ITEM 70", 7, False), ("item 7", 8, False), ("Cover  page", 0, True), ("exhibit B", 24, True), ("Item 24", 24, False), ("Item 30", 30, False), (None, 3, False)])
 def test_begins_item(spark, text, item, want):
     assert bool(of(spark, T.begins_item, text, F.lit(item))) == want
+
+
+@pytest.mark.parametrize("text", ["Élan Café Señor LLC", "O'NEIL'S 2nd-hand x1y", "жизнь ΣΟΦΊΑΣ", "日a b", "ßtraße", "e\u0301a", "", "ALL CAPS"])
+def test_titles_of_any_script(spark, text):
+    assert of(spark, T.title_case, text) == text.title()
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("our initial fees and costs", True), ("INITIAL FEES", True), ("Élan Café", True), ("Élan café", False), ("see item 5 of this", True), ("see item five", False), ("running text about the weather", False), ("123.", True), (" PADDED", False), (" Padded", True),
+    ("the territory " * 8, False), ("A" * 151, False), ("A" * 150, True), ("the territory", True), ("O'Neil'S", True), ("O'Neil's", False), ("", True),
+])
+def test_header_like(spark, text, want):
+    assert of(spark, T.is_header_like, text) == want
+    reference = len(text) <= 150 and (text.upper().strip() == text or text.istitle() or ("ITEM " in text.upper().strip() and any(map(str.isdigit, text))) or (len(text) < 100 and any(p in text.upper() for p in T.HEADER_PHRASES)))
+    assert reference == want
