@@ -1,13 +1,14 @@
 """Quality scores: random-indexing word vectors pooled per document, then a two-layer numpy network with calibrated probabilities.
 
-Random indexing: every word bucket owns a sparse ternary index vector, made from its number alone; a word's vector is the
-sum of its neighbours' index vectors over the training texts. Words also carry the index vector of their shape, and a
-text has pseudo-words for a word that repeats the one before and for a pair of words seen before in it. A document is the mean of these.
-The network's logits are divided by a temperature fitted on rows kept aside, so that scores are probabilities.
+Random indexing: every word, and every run of other signs, has a sparse ternary index vector that its hash gives. A word's vector gathers the
+index vectors of the words around it, each rotated by its place (one or two before or after), so that order counts; where the word around it is the
+word itself, that is a context of its own, so that repetition counts whatever the word. What the training texts gathered for their ``max_words`` most
+frequent words (of ``min_count`` places at least), a row for each, is scaled to unit length for frequent ones; what a word gathers in the text at hand is added, as the
+method learns while it reads: words that training never saw have a vector too. A document is the mean of its words' vectors, and these ``DIM`` numbers are
+all the network sees. Its logits are divided by a temperature fitted on rows kept aside, so that scores are probabilities.
 
 Vectors and network are fitted on at most ``max_rows`` labelled rows (those of least hash), outside the held-out fold; scoring reads
-every text whole. Words share 32 768 buckets, which bounds the model whatever the vocabulary: a vector per word of the sample would
-be some hundred MB in every worker. Null and empty texts pool to the zero vector and are scored. Repeated rows are scored each, and count each where they are labelled;
+every text whole. Null and empty texts pool to the zero vector and are scored. Repeated rows are scored each, and count each where they are labelled;
 of a repeated label the least counts, null and other labels than 0 and 1 don't. Columns of ``docs`` besides key and text aren't read. Without labels of both kinds, or texts for them,
 there is nothing to learn: the model then is ``untaught`` and every score is the share of ones among the labelled rows, with one row of
 either kind added (0.5 where there are none). An empty table gives an empty result.
@@ -16,7 +17,7 @@ either kind added (0.5 where there are none). An empty table gives an empty resu
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain, count, islice
@@ -31,100 +32,99 @@ from pyspark.sql import functions as F
 from . import common
 from .quality_rules import labelled_sample
 
-WORDS, WORD_DIM = 1 << 15, 64
-SHAPES, SHAPE_DIM = 1 << 12, 128
-DIM = WORD_DIM + SHAPE_DIM
-WINDOW = 2
-#: Distinct words whose buckets a worker remembers.
+DIM = 64
+#: An index vector's places: the first half count +1, the others -1.
+PLACES = 8
+SIGNS = np.repeat([1, -1], PLACES // 2)
+#: The places around a word that are its contexts, and how far each rotates index vectors.
+CONTEXTS = {1: 11, -1: 23, 2: 37, -2: 51}
+#: Distinct words that a worker remembers.
 MEMO = 500_000
-#: Bits for a word's or text's number where a text and a pair of words go into one key.
-BITS = 21
+#: Places from which on a word's gathered contexts count in full, about.
+FREQUENT = 10
 
-_CLASSES = bytes(ord("X") if 65 <= c < 91 else ord("x") if 97 <= c < 123 or c >= 128 else ord("0") if 48 <= c < 58 else c for c in range(256))
-_RUNS = re.compile(rb"(.)\1+", re.S)
+#: Words are what lies between white space, cut where letters and digits meet other signs. All of UTF-8 beyond ASCII counts as letters.
+_PART = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]+")
 
 
-def ternary(rows: int, dim: int, seed: int, ones: int = 4) -> np.ndarray:
-    """Index vectors: ``ones`` places of +1 and as many of -1, the same in every process."""
-    rng = np.random.Generator(np.random.PCG64(seed))
-    out = np.zeros((rows, dim), np.float32)
-    places = rng.random((rows, dim)).argsort(1)[:, : 2 * ones]
-    np.put_along_axis(out, places[:, :ones], 1.0, 1)
-    np.put_along_axis(out, places[:, ones:], -1.0, 1)
-    return out
+def index_places(word: bytes) -> list[int]:
+    """Where a word's index vector isn't zero; places that coincide add up. The empty word's vector stands for a word met again."""
+    h = xxhash.xxh64_intdigest(word, 5)
+    return [h >> 6 * i & DIM - 1 for i in range(PLACES)]
+
+
+AGAIN = np.array(index_places(b""))
 
 
-class Buckets:
-    """Words to word and shape buckets, each distinct word worked out once."""
+class Words:
+    """Texts to words' numbers; each distinct word's row in the model and index vector is worked out once."""
 
-    def __init__(self) -> None:
-        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.codes = np.zeros(0, np.int64)
-        self.again = self.of_shape(b"<again>")
-        self.pair = self.of_shape(b"<pair>")
+    def __init__(self, vocabulary: list[bytes]):
+        self.rows_of = {w: i for i, w in enumerate(vocabulary)}
+        self.clear()
 
-    @staticmethod
-    def of_shape(shape: bytes) -> int:
-        return xxhash.xxh64_intdigest(shape, 7) % SHAPES
+    def clear(self) -> None:
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)  # of what lies between white space
+        self.begins, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int64)  # its words
+        self.words: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.rows, self.places = np.zeros(0, np.int64), np.zeros((0, PLACES), np.int64)
 
     @common.without_gc
-    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Codes (word bucket times SHAPES plus shape bucket) of all words, words in each text, and the counts of both pseudo-words."""
+    def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words, and how many are each text's."""
         if len(self.numbers) > MEMO:
-            self.__init__()
+            self.clear()
         lists = [common.words_of(t) for t in texts]
-        sizes = np.array([len(w) for w in lists], np.int64)
-        # one look at the memo per word: it is too large for the CPU's caches
-        words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
-        new = list(islice(reversed(self.numbers), len(self.numbers) - len(self.codes)))[::-1]
-        made = [xxhash.xxh64_intdigest(w.lower(), 3) % WORDS * SHAPES + self.of_shape(_RUNS.sub(rb"\1", w.translate(_CLASSES))) for w in new]
-        self.codes = np.concatenate([self.codes, np.array(made, np.int64)])
-        owner = np.repeat(np.arange(len(lists)), sizes)
-        inside = np.flatnonzero(owner[1:] == owner[:-1])
-        one, two, of = words[inside], words[inside + 1], owner[inside]
-        again = np.bincount(of[one == two], minlength=len(lists))
-        # pairs less the distinct ones of each text
-        if max(len(self.numbers), len(lists)) < 1 << BITS:
-            keys = np.sort(of << 2 * BITS | one << BITS | two)
-            repeated = (keys >> 2 * BITS)[1:][keys[1:] == keys[:-1]]
-        else:
-            order = np.lexsort((two, one, of))
-            one, two, of = one[order], two[order], of[order]
-            repeated = of[1:][(one[1:] == one[:-1]) & (two[1:] == two[:-1]) & (of[1:] == of[:-1])]
-        return self.codes[words], sizes, again.astype(np.float32), np.bincount(repeated, minlength=len(lists)).astype(np.float32)
-
-
-def _buckets() -> Buckets:
-    return common.held(("quality", "buckets"), Buckets)
-
-
-def _shape_vectors() -> np.ndarray:
-    return common.held(("quality", "shapes"), lambda: ternary(SHAPES, SHAPE_DIM, 11))
-
-
-def context_sums(texts: list[str | None], sums: np.ndarray) -> None:
-    """Add every word's neighbours' index vectors to its bucket's row; whole numbers, so that the order doesn't matter."""
-    index = common.held(("quality", "index"), lambda: ternary(WORDS, WORD_DIM, 5).astype(np.int32))
-    codes, sizes, _, _ = _buckets().of(texts)
-    words, owner = codes // SHAPES, np.repeat(np.arange(len(sizes)), sizes)
-    for d in range(1, WINDOW + 1):
-        same = owner[d:] == owner[:-d]
-        a, b = words[:-d][same], words[d:][same]
-        for into, of in ((a, b), (b, a)):
-            if not len(into):
-                continue
-            order = np.argsort(into, kind="stable")
-            into, of = into[order], of[order]
-            begins = np.flatnonzero(np.concatenate([[True], into[1:] != into[:-1]]))
-            for lo in range(0, len(begins), 4096):
-                part = begins[lo : lo + 4096]
-                end = begins[lo + 4096] if lo + 4096 < len(begins) else len(into)
-                sums[into[part]] += np.add.reduceat(index[of[part[0] : end]], part - part[0], 0)
-
-
-def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
-    """A row of DIM numbers for each text: the mean of its words' vectors and its pseudo-words' share."""
-    shapes = _shape_vectors()
+        found = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
+        new = list(islice(reversed(self.numbers), len(self.numbers) + 1 - len(self.begins)))[::-1]
+        parts = [_PART.findall(w) for w in new]
+        self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
+        self.flat = np.concatenate([self.flat, np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))])
+        fresh = list(islice(reversed(self.words), len(self.words) - len(self.rows)))[::-1]
+        self.rows = np.concatenate([self.rows, np.fromiter((self.rows_of.get(w, -1) for w in fresh), np.int64, len(fresh))])
+        self.places = np.concatenate([self.places, np.array([index_places(w) for w in fresh], np.int64).reshape(-1, PLACES)])
+        sizes = self.begins[found + 1] - self.begins[found]
+        ends = np.cumsum(sizes)
+        words = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[found] - ends + sizes, sizes)]
+        ends = np.concatenate([[0], ends])
+        return words, np.diff(ends[np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)])
+
+
+def _words(vocabulary: list[bytes], stamp: int) -> Words:
+    return common.held(("quality", "words", stamp), lambda: Words(vocabulary))
+
+
+def stamp_of(vocabulary: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(vocabulary))
+
+
+def contexts(words: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """For each context: places of words, places of the words there, and the rotation."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    for d, turn in CONTEXTS.items():
+        at = np.arange(max(-d, 0), len(words) - max(d, 0))
+        at = at[owner[at] == owner[at + d]]
+        yield at, at + d, turn
+
+
+def gather(texts: list[str | None], known: Words, sums: np.ndarray) -> None:
+    """Add what the model's words gather in the texts to their rows; whole numbers, so that the order doesn't matter."""
+    words, sizes = known.of(texts)
+    for at, near, turn in contexts(words, sizes):
+        rows = known.rows[words[at]]
+        at, near, rows = at[rows >= 0], near[rows >= 0], rows[rows >= 0]
+        places = (known.places[words[near]] + turn) & DIM - 1
+        places[words[at] == words[near]] = AGAIN
+        np.add.at(sums.reshape(-1), (rows[:, None] * DIM + places).reshape(-1), np.tile(SIGNS, len(rows)).astype(sums.dtype))
+
+
+def _summed(places: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Index vectors added up by owner."""
+    return np.bincount((owner[:, None] * DIM + places).reshape(-1), weights=np.tile(SIGNS, len(owner)), minlength=n * DIM).reshape(n, DIM)
+
+
+def pooled(texts: list[str | None], known: Words, vectors: np.ndarray) -> np.ndarray:
+    """A row of DIM numbers for each text: the mean of its words' vectors."""
     out = np.zeros((len(texts), DIM), np.float32)
     lo = 0
     while lo < len(texts):
@@ -132,30 +132,36 @@ def pooled(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
         while hi < len(texts) and (hi == lo or chars < 400_000):
             chars += len(texts[hi] or "")
             hi += 1
-        buckets = _buckets()
-        codes, sizes, again, pairs = buckets.of(texts[lo:hi])
+        words, sizes = known.of(texts[lo:hi])
+        n = len(sizes)
         full = np.flatnonzero(sizes)
         if len(full):
-            begins = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-            n = sizes[full, None].astype(np.float32)
-            out[lo + full, :WORD_DIM] = np.add.reduceat(vectors[codes // SHAPES], begins, 0) / n
-            # few shapes occur: their counts by text, then one product
-            shape = codes % SHAPES
-            present = np.flatnonzero(np.bincount(shape, minlength=SHAPES))
-            place = np.zeros(SHAPES, np.int64)
-            place[present] = np.arange(len(present))
-            owner = np.repeat(np.arange(len(full)) * len(present), sizes[full])
-            counts = np.bincount(owner + place[shape], minlength=len(full) * len(present)).reshape(len(full), -1).astype(np.float32)
-            shape_sums = counts @ shapes[present]
-            shape_sums += again[full, None] * shapes[buckets.again] + pairs[full, None] * shapes[buckets.pair]
-            out[lo + full, WORD_DIM:] = shape_sums / n
+            begins = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            owner = np.repeat(np.arange(n), sizes)
+            places = known.places[words]
+            whole = _summed(places, owner, n)
+            own = np.zeros((n, DIM))
+            # each word is its neighbour's context: all of a text's index vectors, less those over its edge and those met again
+            for d, turn in CONTEXTS.items():
+                rank = np.arange(len(words)) - begins[owner]
+                over = rank < d if d > 0 else rank >= sizes[owner] + d
+                over = np.flatnonzero(over)
+                inside = np.arange(max(-d, 0), len(words) - max(d, 0))
+                again = inside[(words[inside] == words[inside + d]) & (owner[inside] == owner[inside + d])]
+                left_out = np.concatenate([over, again + d])
+                own += np.roll(whole - _summed(places[left_out], owner[left_out], n), turn, 1)
+                own += np.bincount(owner[again], minlength=n)[:, None] * np.bincount(AGAIN, weights=SIGNS, minlength=DIM)
+            rows = known.rows[words]
+            trained = np.add.reduceat(np.where(rows[:, None] >= 0, vectors[rows], np.float32(0)), begins[full], 0) if len(vectors) else 0
+            out[lo + full] = (trained + own[full] / len(CONTEXTS)) / sizes[full, None]
         lo = hi
     return out
 
 
 @dataclass
 class QualityModel:
-    vectors: np.ndarray  # WORDS x WORD_DIM
+    vocabulary: list[bytes]
+    vectors: np.ndarray  # a row of DIM numbers for each
     mean: np.ndarray
     scale: np.ndarray
     w1: np.ndarray
@@ -165,6 +171,9 @@ class QualityModel:
     temperature: float = 1.0
     untaught: bool = False
 
+    def pooled(self, texts: list[str | None]) -> np.ndarray:
+        return pooled(texts, _words(self.vocabulary, stamp_of(self.vocabulary)), self.vectors)
+
     def logits(self, x: np.ndarray) -> np.ndarray:
         return np.tanh((x - self.mean) / self.scale @ self.w1 + self.b1) @ self.w2 + self.b2
 
@@ -172,12 +181,12 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.logits(x).astype(float) / self.temperature, -50, 50)))
 
 
-def train(x: np.ndarray, y: np.ndarray, aside: np.ndarray, vectors: np.ndarray, *, hidden: int = 32, epochs: int = 40, rate: float = 3e-3, decay: float = 1e-3, seed: int = 1) -> QualityModel:
+def train(x: np.ndarray, y: np.ndarray, aside: np.ndarray, vocabulary: list[bytes], vectors: np.ndarray, *, hidden: int = 32, epochs: int = 40, rate: float = 3e-3, decay: float = 1e-3, seed: int = 1) -> QualityModel:
     """Adam on the cross entropy of the rows not aside; then the temperature that suits the rows aside best."""
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 1) / (len(y) + 2)
         zero = np.zeros(DIM, np.float32)
-        return QualityModel(vectors, zero, zero + 1, np.zeros((DIM, 1), np.float32), np.zeros(1, np.float32), np.zeros(1, np.float32), float(np.log(share / (1 - share))), untaught=True)
+        return QualityModel(vocabulary, vectors, zero, zero + 1, np.zeros((DIM, 1), np.float32), np.zeros(1, np.float32), np.zeros(1, np.float32), float(np.log(share / (1 - share))), untaught=True)
     rng = np.random.default_rng(seed)
     fit = ~aside if 0 < aside.sum() < len(y) and len(set(y[~aside].tolist())) == 2 else np.ones(len(y), bool)
     mean, scale = x[fit].mean(0), x[fit].std(0) + 1e-3
@@ -198,7 +207,7 @@ def train(x: np.ndarray, y: np.ndarray, aside: np.ndarray, vectors: np.ndarray,
                 m[k] = 0.9 * m[k] + 0.1 * g
                 v[k] = 0.999 * v[k] + 0.001 * g * g
                 p[k] = (p[k] - lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
-    model = QualityModel(vectors, mean.astype(np.float32), scale.astype(np.float32), p[0], p[1], p[2], float(p[3][0]))
+    model = QualityModel(vocabulary, vectors, mean.astype(np.float32), scale.astype(np.float32), p[0], p[1], p[2], float(p[3][0]))
     if aside.sum() >= 20:
         logit, truth = model.logits(x[aside]).astype(float), y[aside]
 
@@ -210,42 +219,56 @@ def train(x: np.ndarray, y: np.ndarray, aside: np.ndarray, vectors: np.ndarray,
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 20_000, held_out: int = 2, folds: int = 4) -> QualityModel:
-    """Fit on labelled rows whose crc32(key as text) mod ``folds`` is not ``held_out``."""
-    common.ship(docs.sparkSession)
+def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 20_000, max_words: int = 65_536, min_count: int = 3, held_out: int = 2, folds: int = 4) -> QualityModel:
+    """Fit on labelled rows whose crc32(key as text) mod ``folds`` is not ``held_out``. The model has at most ``max_words`` rows, whatever the input."""
+    spark = docs.sparkSession
+    common.ship(spark)
     inside = F.crc32(F.col(key).cast("string").cast("binary")) % folds != held_out
     rows = labelled_sample(docs.select(key, text), labels, key=key, text=text, label=label, max_rows=max_rows, fold=inside)
     rows = common.materialize(rows.select(key, text, "__label", "__order").repartition(8, "__order"), "labelled")
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter[bytes] = Counter()
+        for b in common.slices(batches, 128):
+            for w, n in Counter(chain.from_iterable(map(common.words_of, b[text].to_pylist()))).items():
+                for part in _PART.findall(w):
+                    found[part] += n
+        yield pa.RecordBatch.from_pydict({"word": pa.array(found.keys(), pa.binary()), "n": pa.array(found.values(), pa.int64())})
+
+    counts = rows.select(text).mapInArrow(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    vocabulary = [bytes(r["word"]) for r in counts.orderBy(F.col("n").desc(), "word").limit(max_words).collect()]
+    shape, stamp = (len(vocabulary), DIM), stamp_of(vocabulary)
+    shared_words = spark.sparkContext.broadcast(vocabulary)
+
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((WORDS, WORD_DIM), np.int32)
+        total = np.zeros(shape, np.int32)
         for b in common.slices(batches, 128):
-            context_sums(b[text].to_pylist(), total)
+            gather(b[text].to_pylist(), _words(shared_words.value, stamp), total)
         yield pa.RecordBatch.from_pydict({"sums": pa.array([total.tobytes()], pa.binary())})
 
     def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(WORDS * WORD_DIM, np.int64)
+        total = np.zeros(shape[0] * DIM, np.int64)
         for b in batches:
             for s in b["sums"]:
                 total += np.frombuffer(s.as_buffer(), np.int32)
-        total = total.reshape(WORDS, WORD_DIM)
+        total = total.reshape(shape)
         norm = np.sqrt((total.astype(float) ** 2).sum(1, keepdims=True))
-        yield pa.RecordBatch.from_pydict({"vectors": pa.array([(total / (norm + 10)).astype(np.float32).tobytes()], pa.binary())})
+        yield pa.RecordBatch.from_pydict({"vectors": pa.array([(total / (norm + FREQUENT)).astype(np.float32).tobytes()], pa.binary())})
 
-    # eight rows of 8 MB meet in one task, whatever the input; the driver gets one
+    # eight rows of 16 MB at most meet in one task, whatever the input; the driver gets one
     added = rows.select(text).coalesce(8).mapInArrow(sums, "sums binary").repartition(1).mapInArrow(unit, "vectors binary").collect()
-    vectors = np.frombuffer(added[0]["vectors"], np.float32).reshape(WORDS, WORD_DIM)
-    shared = rows.sparkSession.sparkContext.broadcast(vectors)
+    vectors = np.frombuffer(added[0]["vectors"], np.float32).reshape(shape)
+    shared = spark.sparkContext.broadcast(vectors)
 
     def pool(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.slices(batches, 512):
-            x = pooled(b[text].to_pylist(), shared.value)
+            x = pooled(b[text].to_pylist(), _words(shared_words.value, stamp), shared.value)
             yield pa.RecordBatch.from_arrays([b["__label"].cast(pa.int32()), b["__order"], pa.array([r.tobytes() for r in x], pa.binary())], ["label", "order", "x"])
 
     got = rows.mapInArrow(pool, "label int, order long, x binary").toPandas().sort_values(["order", "x"])
     x = np.frombuffer(b"".join(got["x"]), np.float32).reshape(-1, DIM)
     order = got["order"].to_numpy()
-    return train(x, got["label"].to_numpy(), (order & 0xFFFF) % 7 == 0, vectors)
+    return train(x, got["label"].to_numpy(), (order & 0xFFFF) % 7 == 0, vocabulary, vectors)
 
 
 def with_score(docs: DataFrame, model: QualityModel, *, text: str = "text", out: str = "score") -> DataFrame:
@@ -258,7 +281,7 @@ def with_score(docs: DataFrame, model: QualityModel, *, text: str = "text", out:
         model = shared.value
         for s in texts:
             values = s.tolist()
-            parts = [model.scores(pooled(values[i : i + 1024], model.vectors)) for i in range(0, len(values), 1024)]
+            parts = [model.scores(model.pooled(values[i : i + 1024])) for i in range(0, len(values), 1024)]
             yield pd.Series(np.concatenate(parts) if parts else np.zeros(0))
 
     return docs.withColumn(out, score(F.col(text)))

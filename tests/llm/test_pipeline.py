@@ -82,7 +82,7 @@ def test_stages_against_plain_versions(spark, sf_dir, tmp_path, word_bpe):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     texts = rows(0)
     model = quality_model.fit(now, labels)
-    scores = dict(zip(texts, model.scores(quality_model.pooled(list(texts.values()), model.vectors))))
+    scores = dict(zip(texts, model.scores(model.pooled(list(texts.values())))))
     stage(0)
     got = set(rows(1))
     assert got == {i for i, s in scores.items() if s >= 0.7} and 0 < len(got) < len(texts)
