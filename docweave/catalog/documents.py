@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import segments
 from ..session import scratch_path
-from ..sources import connectors, html, sinks
+from ..sources import connectors, html, pdf, sinks
 from ..streaming import metrics
 from .base import query
 
@@ -28,6 +28,15 @@ def html_tables(t):
     return html.tables_of(made)
 
 
+@query("src8_pdf_pages", r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents)
+SELECT doc_id, CAST(n // 50 + 1 AS INT) AS page_no, string_agg(line, chr(10) ORDER BY n) AS text FROM l GROUP BY doc_id, n // 50""")
+def pdf_pages(t):
+    """Every document as a PDF file of 50 lines a page, and the text of each page read back from it."""
+    files = t.documents.where("text is not null").select("doc_id", pdf.files_of(F.col("text")).alias("content"))
+    return pdf.page_texts(files, keep=("doc_id",)).select("doc_id", "page_no", "text")
+
+
 def _pages(t):
     """Conversations as documents, turns as pages: each a heading of its own and its whole text."""
     c = t.conversations

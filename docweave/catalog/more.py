@@ -213,10 +213,11 @@ def document_rules(t):
 
 
 @query("v3_initial_fee_rules", """
-SELECT o_orderkey AS id, 'refund_conditions' AS rule FROM orders WHERE o_orderkey % 4 = 0 UNION ALL SELECT o_orderkey, 'fee_high' FROM orders WHERE o_totalprice * 1000 > 100000000 AND o_totalprice * 1000 <= 1000000000""")
+WITH f AS (SELECT o_orderkey AS id, o_totalprice * 4000 AS cents FROM orders)
+SELECT id, 'refund_conditions' AS rule FROM f WHERE id % 4 = 0 UNION ALL SELECT id, 'fee_high' FROM f WHERE cents > 100000000 AND cents <= 1000000000 UNION ALL SELECT id, 'fee_too_high' FROM f WHERE cents > 1000000000""")
 def initial_fee_rules(t):
-    rows = t.orders.select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 4 == 0).alias("refundable"), F.lit("").alias("refund_conditions"), (F.col("o_totalprice") * 1000).alias("amount_cents"))
-    return R.findings(rows, "id", R.initial_fee_rules()).where("rule <> 'fee_too_high'").select("id", "rule")
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), (F.col("o_orderkey") % 4 == 0).alias("refundable"), F.lit("").alias("refund_conditions"), (F.col("o_totalprice") * 4000).alias("amount_cents"))
+    return R.findings(rows, "id", R.initial_fee_rules()).select("id", "rule")
 
 
 @query("v4_other_fee_rules", """
