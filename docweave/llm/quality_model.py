@@ -39,7 +39,7 @@ SIGNS = np.repeat([1, -1], PLACES // 2)
 #: The places around a word that are its contexts, and how far each rotates index vectors.
 CONTEXTS = {1: 11, -1: 23, 2: 37, -2: 51}
 #: Distinct words that a worker remembers.
-MEMO = 500_000
+MEMO = 200_000
 #: Places from which on a word's gathered contexts count in full, about.
 FREQUENT = 10
 
@@ -67,7 +67,7 @@ class Words:
         self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)  # of what lies between white space
         self.begins, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int64)  # its words
         self.words: defaultdict[bytes, int] = defaultdict(count().__next__)
-        self.rows, self.places = np.zeros(0, np.int64), np.zeros((0, PLACES), np.int64)
+        self.rows, self.places = np.zeros(0, np.int32), np.zeros((0, PLACES), np.uint8)
 
     @common.without_gc
     def of(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,8 +81,8 @@ class Words:
         self.begins = np.concatenate([self.begins, self.begins[-1] + np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))])
         self.flat = np.concatenate([self.flat, np.fromiter(map(self.words.__getitem__, chain.from_iterable(parts)), np.int64, sum(map(len, parts)))])
         fresh = list(islice(reversed(self.words), len(self.words) - len(self.rows)))[::-1]
-        self.rows = np.concatenate([self.rows, np.fromiter((self.rows_of.get(w, -1) for w in fresh), np.int64, len(fresh))])
-        self.places = np.concatenate([self.places, np.array([index_places(w) for w in fresh], np.int64).reshape(-1, PLACES)])
+        self.rows = np.concatenate([self.rows, np.fromiter((self.rows_of.get(w, -1) for w in fresh), np.int32, len(fresh))])
+        self.places = np.concatenate([self.places, np.array([index_places(w) for w in fresh], np.uint8).reshape(-1, PLACES)])
         sizes = self.begins[found + 1] - self.begins[found]
         ends = np.cumsum(sizes)
         words = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[found] - ends + sizes, sizes)]
@@ -111,16 +111,16 @@ def gather(texts: list[str | None], known: Words, sums: np.ndarray) -> None:
     """Add what the model's words gather in the texts to their rows; whole numbers, so that the order doesn't matter."""
     words, sizes = known.of(texts)
     for at, near, turn in contexts(words, sizes):
-        rows = known.rows[words[at]]
+        rows = known.rows[words[at]].astype(np.int64)
         at, near, rows = at[rows >= 0], near[rows >= 0], rows[rows >= 0]
-        places = (known.places[words[near]] + turn) & DIM - 1
+        places = (known.places[words[near]].astype(np.int64) + turn) & DIM - 1
         places[words[at] == words[near]] = AGAIN
         np.add.at(sums.reshape(-1), (rows[:, None] * DIM + places).reshape(-1), np.tile(SIGNS, len(rows)).astype(sums.dtype))
 
 
 def _summed(places: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     """Index vectors added up by owner."""
-    return np.bincount((owner[:, None] * DIM + places).reshape(-1), weights=np.tile(SIGNS, len(owner)), minlength=n * DIM).reshape(n, DIM)
+    return np.bincount((owner[:, None] * DIM + places).reshape(-1), weights=np.tile(SIGNS.astype(float), len(owner)), minlength=n * DIM).reshape(n, DIM)
 
 
 def pooled(texts: list[str | None], known: Words, vectors: np.ndarray) -> np.ndarray:
@@ -129,7 +129,7 @@ def pooled(texts: list[str | None], known: Words, vectors: np.ndarray) -> np.nda
     lo = 0
     while lo < len(texts):
         hi, chars = lo, 0
-        while hi < len(texts) and (hi == lo or chars < 400_000):
+        while hi < len(texts) and (hi == lo or chars < 200_000):
             chars += len(texts[hi] or "")
             hi += 1
         words, sizes = known.of(texts[lo:hi])
@@ -152,7 +152,7 @@ def pooled(texts: list[str | None], known: Words, vectors: np.ndarray) -> np.nda
                 own += np.roll(whole - _summed(places[left_out], owner[left_out], n), turn, 1)
                 own += np.bincount(owner[again], minlength=n)[:, None] * np.bincount(AGAIN, weights=SIGNS, minlength=DIM)
             rows = known.rows[words]
-            trained = np.add.reduceat(np.where(rows[:, None] >= 0, vectors[rows], np.float32(0)), begins[full], 0) if len(vectors) else 0
+            trained = np.add.reduceat(vectors[rows] * (rows >= 0)[:, None], begins[full], 0) if len(vectors) else 0
             out[lo + full] = (trained + own[full] / len(CONTEXTS)) / sizes[full, None]
         lo = hi
     return out
