@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import segments
 from ..session import scratch_path
 from ..sources import connectors, html, pdf, sinks
-from ..streaming import metrics
+from ..streaming import metrics, monitor
 from .base import query
 
 
@@ -120,3 +120,19 @@ def failure_runs(t):
     path, events = _events(t)
     failed = events.where("event_id is not null").withColumn("failed", F.coalesce(F.col("value") > 20, F.lit(False)))
     return metrics.run_to_files(metrics.consecutive_failures(failed, "event_type", "failed", 3, order=("ts", "event_id")), path)
+
+
+@query("st5_monitoring", """
+WITH e AS (SELECT event_type, ts, event_id, date_trunc('minute', ts) AS minute, coalesce(value > 20, false) AS f FROM events),
+r AS (SELECT *, row_number() OVER w - row_number() OVER (PARTITION BY event_type, f ORDER BY ts, event_id) AS part FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+s AS (SELECT *, CASE WHEN f THEN row_number() OVER (PARTITION BY event_type, f, part ORDER BY ts, event_id) ELSE 0 END AS run FROM r),
+m AS (SELECT event_type, minute, count(*) AS n, count(*) FILTER (f) AS failed, arg_max(run, (ts, event_id)) AS run, max(run) AS most FROM s GROUP BY 1, 2),
+h AS (SELECT *, sum(n) OVER w AS n1, sum(failed) OVER w AS f1, max(most) OVER (PARTITION BY event_type ORDER BY minute) >= 5 AS stopped FROM m WINDOW w AS (PARTITION BY event_type ORDER BY minute RANGE BETWEEN INTERVAL 59 MINUTES PRECEDING AND CURRENT ROW))
+SELECT event_type, minute, n, failed, round(f1 / CAST(n1 AS DOUBLE), 6) AS failed_1h, CAST(run AS INT) AS run, CAST(CASE WHEN run = 0 THEN 0 ELSE least(60 * pow(2, least(run, 10) - 1), 300) END AS INT) AS wait_s, stopped FROM h""")
+def monitoring(t):
+    """Each event type's minutes with failures over the last hour, backoff and stop, as a stream run to its end."""
+    path, events = _events(t)
+    failed = events.withColumn("failed", F.col("value") > 20)
+    with monitor.keyed_state(t.spark):
+        out = metrics.run_to_files(monitor.monitored(failed, key="event_type", at="ts", failed="failed", order="event_id"), path)
+    return out.select("event_type", F.col("minute").cast("timestamp_ntz").alias("minute"), "n", "failed", F.round("failed_1h", 6).alias("failed_1h"), "run", "wait_s", "stopped")

@@ -14,8 +14,8 @@ from ..session import runs_on_executors
 
 runs_on_executors(__name__)
 
-#: The time of an end marker, after which every window of a stream is closed.
-END = datetime.datetime(9999, 1, 1)
+#: The time of an end marker, after which every window of a stream is closed: in the last year that nanoseconds reach, as pandas counts.
+END = datetime.datetime(2262, 1, 1)
 
 
 def event_stream(spark: SparkSession, folder: str, schema, at: str = "ts", lateness: str = "10 minutes", end: str | None = None, **options: str) -> DataFrame:

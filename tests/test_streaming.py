@@ -1,6 +1,8 @@
 """Streams run to their end over small files."""
 
 import datetime
+import os
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -30,3 +32,45 @@ def test_duplicates_within_watermark(spark, tmp_path):
     stream = metrics.event_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema)
     got = metrics.run_to_table(metrics.first_of_content(stream).select("sha256"), "content_test", f"file://{tmp_path}/c")
     assert sorted(r[0] for r in got.collect()) == ["x", "y"]
+
+
+def plain_minutes(rows):
+    """Each key's minutes from all its events at once: n, failed, the hour's share, the run at the end, the wait, stopped."""
+    out = []
+    for key in {k for k, *_ in rows}:
+        events = sorted((at, i, bool(f)) for k, at, i, f in rows if k == key)
+        run, stopped, minutes = 0, False, {}
+        for at, _, f in events:
+            minute = at.replace(second=0, microsecond=0)
+            run = run + 1 if f else 0
+            stopped = stopped or run >= 5
+            n, failed, _, _ = minutes.get(minute, (0, 0, 0, False))
+            minutes[minute] = (n + 1, failed + f, run, stopped)
+        for minute, (n, failed, run, stopped) in minutes.items():
+            near = [v for m, v in minutes.items() if minute - datetime.timedelta(minutes=60) < m <= minute]
+            out.append((key, minute, n, failed, round(sum(v[1] for v in near) / sum(v[0] for v in near), 6), run, 0 if not run else min(60 * 2 ** (run - 1), 300), stopped))
+    return sorted(out)
+
+
+def test_monitoring_over_batches(spark, tmp_path):
+    """Files one after another as batches: late events within the watermark, equal times, nulls, runs across batches; the same as all events at once."""
+    import random
+
+    from docweave.streaming import monitor
+
+    rng, t = random.Random(3), datetime.datetime(2024, 1, 1)
+    rows = [(rng.choice("ab"), t + datetime.timedelta(seconds=rng.randrange(4 * 3600) // 7 * 7), i, rng.choice([True, True, False, None])) for i in range(500)]
+    rows.sort(key=lambda r: r[1] + datetime.timedelta(seconds=rng.randrange(300)))  # up to five minutes late
+    schema = "k string, ts timestamp_ntz, id long, failed boolean"
+    for b in range(4):
+        part = [*rows[b * 125 : (b + 1) * 125], *([(None, t, 1, True)] if b == 0 else [])]
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    spark.createDataFrame([(None, metrics.END, None, None)], schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    files = sorted(Path(f"{tmp_path}/in").glob("*.parquet"), key=lambda p: p.stat().st_mtime_ns)
+    for n, p in enumerate(files):  # the order in which they are taken
+        os.utime(p, (1_700_000_000 + n, 1_700_000_000 + n))
+    events = metrics.event_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, maxFilesPerTrigger="1")
+    with monitor.keyed_state(spark):
+        out = metrics.run_to_files(monitor.monitored(events, key="k", at="ts", failed="failed", order="id"), f"file://{tmp_path}/run")
+    got = sorted((r["k"], r["minute"].replace(tzinfo=None), r["n"], r["failed"], round(r["failed_1h"], 6), r["run"], r["wait_s"], r["stopped"]) for r in out.withColumn("minute", F.col("minute").cast("timestamp_ntz")).collect())
+    assert got == plain_minutes(rows) and any(r[7] for r in got) and {r[6] for r in got} >= {0, 60, 120, 240, 300}
