@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import segments
 from ..session import scratch_path
 from ..sources import connectors, html, pdf, sinks
-from ..streaming import metrics, monitor
+from ..streaming import metrics, monitor, upserts
 from .base import query
 
 
@@ -136,3 +136,16 @@ def monitoring(t):
     with monitor.keyed_state(t.spark):
         out = metrics.run_to_files(monitor.monitored(failed, key="event_type", at="ts", failed="failed", order="event_id"), path)
     return out.select("event_type", F.col("minute").cast("timestamp_ntz").alias("minute"), "n", "failed", F.round("failed_1h", 6).alias("failed_1h"), "run", "wait_s", "stopped")
+
+
+@query("st6_upserted_stream", """
+SELECT user_id, event_type, ts, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS k FROM events) WHERE k = 1""")
+def upserted_stream(t):
+    """Each user's last event of a type, from a stream of three batches into a table of versions, a part an event type."""
+    path = scratch_path(t.spark, "upserts")
+    rows = t.events.select("user_id", "event_type", "ts", "event_id", "value")
+    rows.repartition(3, "event_id").write.parquet(f"{path}/in")
+    table = upserts.VersionedTable(t.spark, f"{path}/table", rows.schema, part="event_type")
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    upserts.start(stream, table, f"{path}/checkpoint", keys=["user_id", "event_type"], order="event_id").awaitTermination()
+    return table.current()
