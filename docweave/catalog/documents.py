@@ -28,6 +28,18 @@ def html_tables(t):
     return html.tables_of(made)
 
 
+@query("src6_page_grids", r"""
+WITH l AS (SELECT page_id, regexp_extract_all(regexp_extract(html, '<nav><ul>(.*?)</ul>', 1), '<li><a [^>]*>([^<]*)</a></li>', 1) AS cells FROM pages)
+SELECT page_id, 0 AS table_no, r.r AS row_no, replace(replace(replace(replace(replace(array_to_string(cells, ' / '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS cells FROM l, (VALUES (0), (1)) r(r) WHERE len(cells) > 0""")
+def page_grids(t):
+    """The pages' lists read as tables: cells that span two rows, that nothing ends, in tables that nothing ends."""
+    changed = F.col("html")
+    for old, new in (("<ul>", "<table><tr>"), ("</ul>", "</tr>"), ("<li>", "<td rowspan='2'>"), ("</li>", "")):
+        changed = F.replace(changed, F.lit(old), F.lit(new))
+    found = html.tables_of(t.pages.select("page_id", changed.alias("html")), first_only=True)
+    return found.select("page_id", "table_no", F.posexplode("rows").alias("row_no", "row")).select("page_id", "table_no", "row_no", F.array_join("row", " / ").alias("cells"))
+
+
 @query("src8_pdf_pages", r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents)
 SELECT doc_id, CAST(n // 50 + 1 AS INT) AS page_no, string_agg(line, chr(10) ORDER BY n) AS text FROM l GROUP BY doc_id, n // 50""")

@@ -27,78 +27,154 @@ SCHEMA = T.StructType(
 )
 
 
+#: Columns or rows that a cell spans at most.
+MOST_SPAN = 1000
+
+
+def _span(value: str | None) -> int:
+    """A span as it is written; what is no number over zero is one."""
+    digits = (value or "").strip()
+    return min(max(int(digits), 1), MOST_SPAN) if digits.isascii() and digits.isdigit() else 1
+
+
+class _Cell:
+    def __init__(self, attrs: dict[str, str | None]):
+        self.columns, self.rows = _span(attrs.get("colspan")), _span(attrs.get("rowspan"))
+        self.parts: list[str] = []
+        self.link: str | None = None
+
+    def text(self) -> str:
+        return " ".join("".join(self.parts).split())
+
+
+class _Table:
+    """Rows of cells as they are written, then placed on a grid."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple[list[_Cell], bool]] = []
+        self.row: list[_Cell] | None = None
+        self.head = self.in_head = False
+        self.cell: _Cell | None = None
+
+    def begin_row(self) -> None:
+        self.end_row()
+        self.row, self.head = [], True
+
+    def begin_cell(self, tag: str, attrs: dict[str, str | None]) -> None:
+        if self.row is None:
+            self.begin_row()
+        self.cell = _Cell(attrs)
+        self.row.append(self.cell)
+        self.head &= tag == "th"
+
+    def end_row(self) -> None:
+        if self.row:
+            self.rows.append((self.row, self.head or self.in_head))
+        self.row = self.cell = None
+
+    def placed(self) -> tuple[dict, list[list[str | None]]]:
+        """headers and rows, every cell's text at each place that it spans, and the cells' links alike. A span beyond the last row makes rows of its own."""
+        grid: list[tuple[list[tuple[str, str | None]], bool]] = []
+        down: dict[int, tuple[tuple[str, str | None], int]] = {}  # what hangs over from the rows above, and for how many rows more
+        cells = iter(self.rows)
+        while True:
+            row, head = next(cells, (None, False))
+            if row is None and not down:
+                break
+            at = {c: value for c, (value, _) in down.items()}
+            down = {c: (value, n - 1) for c, (value, n) in down.items() if n > 1}
+            c = 0
+            for cell in row or ():
+                value = cell.text(), cell.link
+                for _ in range(cell.columns):
+                    while c in at:
+                        c += 1
+                    at[c] = value
+                    if cell.rows > 1:
+                        down[c] = value, cell.rows - 1
+            grid.append(([at.get(i, (None, None)) for i in range(max(at) + 1)], head))
+        width = max((len(row) for row, _ in grid), default=0)
+        headers = []
+        if grid and grid[0][1]:
+            headers = [x for x, _ in grid.pop(0)[0]]
+        fill = [row + [(None, None)] * (width - len(row)) for row, _ in grid]
+        return {"headers": headers, "rows": [[x for x, _ in row] for row in fill]}, [[x for _, x in row] for row in fill]
+
+
 class _Page(HTMLParser):
+    """Title, links and tables. Tables stand in the order in which they begin; cells, rows and tables that have no end end where the next one begins, or what holds them ends. The text of a table within a cell belongs to that cell too."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.title, self.links, self.tables, self.cell_links = None, [], [], []
-        self.stack: list[dict] = []
-        self.cell: list[str] | None = None
-        self.cell_link: str | None = None
+        self.title, self.links = None, []
+        self.found: list[_Table] = []
+        self.stack: list[_Table] = []
         self.link: tuple[str, list[str]] | None = None
         self.in_title = False
 
+    def _open_cells(self) -> Iterator[_Cell]:
+        return (t.cell for t in self.stack if t.cell is not None)
+
     def handle_starttag(self, tag: str, attrs) -> None:
+        attrs = dict(attrs)
         if tag == "title":
             self.in_title = True
         elif tag == "a":
-            self.link = (dict(attrs).get("href") or "", [])
-            if self.cell is not None and self.cell_link is None:
-                self.cell_link = self.link[0] or None
+            self._end_link()
+            self.link = (attrs.get("href") or "", [])
+            for cell in self._open_cells():
+                cell.link = cell.link or self.link[0] or None
         elif tag == "table":
-            self.stack.append({"headers": [], "rows": [], "links": [], "row": None, "row_links": [], "head": False})
+            self.stack.append(_Table())
+            self.found.append(self.stack[-1])
+        elif self.stack and tag in ("thead", "tbody", "tfoot"):
+            self.stack[-1].end_row()
+            self.stack[-1].in_head = tag == "thead"
         elif self.stack and tag == "tr":
-            self._end_row()
-            self.stack[-1]["row"], self.stack[-1]["row_links"], self.stack[-1]["head"] = [], [], True
+            self.stack[-1].begin_row()
         elif self.stack and tag in ("td", "th"):
-            self._end_cell()
-            self.cell = []
-            self.stack[-1]["head"] &= tag == "th"
-        elif tag == "br" and self.cell is not None:
-            self.cell.append(" | ")
-
-    def _end_cell(self) -> None:
-        if self.cell is not None and self.stack and self.stack[-1]["row"] is not None:
-            self.stack[-1]["row"].append(" ".join("".join(self.cell).split()))
-            self.stack[-1]["row_links"].append(self.cell_link)
-        self.cell = self.cell_link = None
-
-    def _end_row(self) -> None:
-        self._end_cell()
-        t = self.stack[-1]
-        if t["row"]:
-            if t["head"] and not t["headers"] and not t["rows"]:
-                t["headers"] = t["row"]
-            else:
-                t["rows"].append(t["row"])
-                t["links"].append(t["row_links"])
-        t["row"] = None
+            for cell in self._open_cells():
+                cell.parts.append(" ")
+            self.stack[-1].begin_cell(tag, attrs)
+        elif tag == "br":
+            for cell in self._open_cells():
+                cell.parts.append(" | ")
+
+    def _end_link(self) -> None:
+        if self.link:
+            self.links.append({"href": self.link[0], "text": " ".join("".join(self.link[1]).split())})
+            self.link = None
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "title":
             self.in_title = False
-        elif tag == "a" and self.link:
-            self.links.append({"href": self.link[0], "text": " ".join("".join(self.link[1]).split())})
-            self.link = None
-        elif self.stack and tag in ("td", "th"):
-            self._end_cell()
-        elif self.stack and tag == "tr":
-            self._end_row()
-        elif self.stack and tag == "table":
-            self._end_row()
-            t = self.stack.pop()
-            width = max([len(t["headers"]), *map(len, t["rows"])], default=0)
-            # rows get the table's width
-            fill = lambda rows: [r + [None] * (width - len(r)) for r in rows]
-            self.tables.append({"headers": t["headers"], "rows": fill(t["rows"])})
-            self.cell_links.append(fill(t["links"]))
+        elif tag == "a":
+            self._end_link()
+        elif not self.stack:
+            return
+        elif tag in ("td", "th"):
+            self.stack[-1].cell = None
+        elif tag in ("tr", "thead", "tbody", "tfoot"):
+            self.stack[-1].end_row()
+            self.stack[-1].in_head &= tag == "tr"
+        elif tag == "table":
+            self.stack.pop().end_row()
 
     def handle_data(self, data: str) -> None:
         if self.in_title:
             self.title = (self.title or "") + data
         if self.link:
             self.link[1].append(data)
-        if self.cell is not None:
-            self.cell.append(data)
+        for cell in self._open_cells():
+            cell.parts.append(data)
+
+    def close(self) -> None:
+        super().close()
+        self._end_link()
+        while self.stack:
+            self.stack.pop().end_row()
+        placed = [t.placed() for t in self.found]
+        self.tables, self.cell_links = [t for t, _ in placed], [links for _, links in placed]
 
 
 def _parsed(text: str | None) -> _Page:
