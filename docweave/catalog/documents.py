@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..operators import segments
 from ..session import scratch_path
-from ..sources import connectors, html, pdf, sinks
+from ..plans import policies
+from ..sources import connectors, html, pdf, sinks, table_functions
 from ..streaming import metrics, monitor, upserts
 from .base import query
 
@@ -161,3 +162,34 @@ def upserted_stream(t):
     stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
     upserts.start(stream, table, f"{path}/checkpoint", keys=["user_id", "event_type"], order="event_id").awaitTermination()
     return table.current()
+
+
+@query("src4_last_of", """
+SELECT user_id, event_type, ts, event_id, n_rows FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k, count(*) OVER (PARTITION BY user_id) AS n_rows FROM events) WHERE k = 1""")
+def last_of(t):
+    """A table function over a table dealt out by user: its schema follows its argument."""
+    table_functions.register(t.spark)
+    t.events.select("user_id", "event_type", "ts", "event_id").createOrReplaceTempView("docweave_events")
+    return t.spark.sql("SELECT * FROM last_of(TABLE(docweave_events) PARTITION BY user_id ORDER BY (ts, event_id))")
+
+
+@query("src4_json_fields", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CAST(NULL AS VARCHAR) AS absent FROM events")
+def json_fields(t):
+    table_functions.register(t.spark)
+    t.events.select("event_id", "props").createOrReplaceTempView("docweave_props")
+    return t.spark.sql("SELECT event_id, f.* FROM docweave_props, LATERAL json_fields(props, 'k long, absent string') f")
+
+
+@query("f10_row_policies", """
+SELECT 'service_role' AS role, o_orderkey, o_orderstatus, o_orderpriority FROM orders UNION ALL SELECT 'authenticated', o_orderkey, o_orderstatus, substr(o_orderpriority, 1, 1) FROM orders UNION ALL SELECT 'anon', o_orderkey, o_orderstatus, NULL FROM orders WHERE o_orderstatus = 'F'""")
+def row_policies(t):
+    """Three roles' rows of one table, with a column masked for two of them; the policies are a table."""
+    rows = [("orders", "service_role", "all", "true", None), ("orders", "authenticated", "select", "true", {"o_orderpriority": "substring(o_orderpriority, 1, 1)"}), ("orders", "anon", "select", "o_orderstatus = 'F'", {"o_orderpriority": "NULL"})]
+    known = policies.read(t.spark.createDataFrame(rows, policies.SCHEMA))
+    policies.secured(t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), "docweave_orders", known, "orders")
+    seen = []
+    for role in ("service_role", "authenticated", "anon"):
+        policies.use_role(t.spark, role)
+        seen.append(t.spark.table("docweave_orders").select(F.lit(role).alias("role"), "*"))
+    policies.use_role(t.spark, policies.NOBODY)
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
