@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import segments
 from ..session import scratch_path
 from ..plans import policies
-from ..sources import connectors, html, pdf, sinks, table_functions
+from ..sources import connectors, html, listing, pdf, sinks, table_functions
 from ..streaming import metrics, monitor, upserts
 from .base import query
 
@@ -193,3 +193,13 @@ def row_policies(t):
         seen.append(t.spark.table("docweave_orders").select(F.lit(role).alias("role"), "*"))
     policies.use_role(t.spark, policies.NOBODY)
     return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
+@query("src16_folder_listing", "SELECT DISTINCT 'lang=' || lang || '/source=' || source AS folder, 'text/csv' AS mime_type FROM documents WHERE lang = 'de'")
+def folder_listing(t):
+    """Documents written a file a language and source, and the files of one language listed: folder and kind are pushed into the listing."""
+    path = scratch_path(t.spark, "listing")
+    d = t.documents.select("lang", "source", "doc_id")
+    d.repartition("lang", "source").write.partitionBy("lang", "source").csv(path)
+    found = listing.scan(t.spark, path).where(F.col("folder").startswith("lang=de/") & (F.col("mime_type") == "text/csv"))
+    return found.select("folder", "mime_type")
