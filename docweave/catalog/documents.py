@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import segments
 from ..session import scratch_path
-from ..plans import policies
+from ..plans import policies, workflow
 from ..sources import connectors, html, listing, pdf, sinks, table_functions
 from ..streaming import metrics, monitor, upserts
 from .base import query
@@ -203,3 +203,33 @@ def folder_listing(t):
     d.repartition("lang", "source").write.partitionBy("lang", "source").csv(path)
     found = listing.scan(t.spark, path).where(F.col("folder").startswith("lang=de/") & (F.col("mime_type") == "text/csv"))
     return found.select("folder", "mime_type")
+
+
+@query("c10_workflow", """
+WITH l AS (SELECT l_orderkey, sum(l_quantity) AS quantity FROM lineitem WHERE l_quantity >= 10 GROUP BY 1)
+SELECT o_custkey, count(*) AS orders, CAST(sum(quantity) AS DOUBLE) AS quantity FROM l JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
+def resumed_workflow(t):
+    """Three stages; the run breaks off in the last one, and the next run does that one alone."""
+    done = []
+
+    def large(lines, least):
+        done.append("large")
+        return lines.where(F.col("l_quantity") >= least)
+
+    def by_order(lines):
+        done.append("by_order")
+        return lines.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))
+
+    def by_customer(totals, orders):
+        done.append("by_customer")
+        if done.count("by_customer") == 1:
+            raise RuntimeError("broken off")
+        return totals.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("quantity").cast("double").alias("quantity"))
+
+    flow = workflow.Workflow(t.spark, scratch_path(t.spark, "workflow"))
+    sources = {name: f"{t.folder}/{name}.parquet" for name in ("lineitem", "orders")}
+    stages = [workflow.Stage("large", large, ("lineitem",), {"least": 10}), workflow.Stage("by_order", by_order, ("large",)), workflow.Stage("by_customer", by_customer, ("by_order", "orders"))]
+    out = flow.run(sources, stages)["by_customer"]
+    if done != ["large", "by_order", "by_customer", "by_customer"]:
+        raise RuntimeError(f"stages ran as {done}")
+    return out
