@@ -109,3 +109,37 @@ def report(t):
     n = F.count(F.lit(1))
     ok = F.count_if(F.col("errors") == 0)
     return v.agg(n.alias("total"), ok.alias("valid"), F.coalesce(F.sum("errors"), F.lit(0)).alias("errors"), F.coalesce(F.sum("warnings"), F.lit(0)).alias("warnings"), percent(ok, F.greatest(n, F.lit(1))).alias("success"))
+
+
+@query("v2_either_or", """
+WITH d AS (SELECT l_orderkey * 10 + l_linenumber AS id, CASE WHEN l_linenumber % 3 <> 0 THEN l_extendedprice END AS a, CASE WHEN l_linenumber % 4 <> 1 THEN l_quantity * 3 END AS p, l_suppkey AS lo, CASE WHEN l_linenumber <> 2 THEN l_partkey END AS hi FROM lineitem),
+e AS (SELECT id, a, p, CASE WHEN id % 7 <> 0 THEN lo END AS lo, hi FROM d)
+SELECT id, 'discount_both' AS rule FROM e WHERE a IS NOT NULL AND p IS NOT NULL UNION ALL SELECT id, 'discount_none' FROM e WHERE a IS NULL AND p IS NULL UNION ALL SELECT id, 'percentage_max' FROM e WHERE p > 100
+UNION ALL SELECT id, 'range_unset' FROM e WHERE lo IS NULL AND hi IS NULL UNION ALL SELECT id, 'range_reversed' FROM e WHERE hi < lo""")
+def either_or(t):
+    """Discounts with an amount or a percentage, ranges with an end at least and in order."""
+    n, key = F.col("l_linenumber"), F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    rows = t.lineitem.select(key.alias("id"), F.when(n % 3 != 0, F.col("l_extendedprice")).alias("amount_cents"), F.when(n % 4 != 1, F.col("l_quantity") * 3).alias("percentage"), F.when(key % 7 != 0, F.col("l_suppkey")).alias("low"), F.when(n != 2, F.col("l_partkey")).alias("high"))
+    return R.findings(rows, "id", [*R.discount_rules(), *R.ordered_range("low", "high", "range")]).select("id", "rule")
+
+
+@query("v8_components", """
+SELECT o_orderkey AS id, 'franchise_revenue_cents_over_revenue_cents' AS rule FROM orders WHERE o_totalprice > 200000 UNION ALL SELECT o_orderkey, 'multi_unit_operators_over_total_franchisees' FROM orders WHERE o_custkey > o_orderkey""")
+def components(t):
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("franchise_revenue_cents"), F.lit(200000).alias("revenue_cents"), F.col("o_custkey").alias("multi_unit_operators"), F.col("o_orderkey").alias("total_franchisees"))
+    return R.findings(rows, "id", R.component_rules()).select("id", "rule")
+
+
+@query("v24_typed_rules", r"""
+WITH e AS (SELECT event_id AS id, CASE event_id % 5 WHEN 0 THEN ' ' || event_id WHEN 1 THEN event_id || '.5' WHEN 2 THEN 'n/a' WHEN 3 THEN NULL ELSE '-3' END AS fee, CASE event_id % 4 WHEN 0 THEN 'true' WHEN 1 THEN 'maybe' WHEN 2 THEN NULL ELSE 'false' END AS refundable FROM events),
+n AS (SELECT *, TRY_CAST(trim(fee) AS DOUBLE) AS number FROM e)
+SELECT id, 'fee_required' AS rule FROM n WHERE fee IS NULL UNION ALL SELECT id, 'fee_type' FROM n WHERE fee IS NOT NULL AND number IS NULL UNION ALL SELECT id, 'fee_min' FROM n WHERE number < 0 UNION ALL SELECT id, 'fee_max' FROM n WHERE number > 500
+UNION ALL SELECT id, 'count_type' FROM n WHERE fee IS NOT NULL AND NOT regexp_matches(trim(fee), '^[+-]?[0-9]+$') UNION ALL SELECT id, 'refundable_type' FROM n WHERE refundable = 'maybe'""")
+def typed_rules(t):
+    """Rules as a prompt file lists them, over texts."""
+    k = F.col("event_id")
+    text = k.cast("string")
+    fee = F.when(k % 5 == 0, F.concat(F.lit(" "), text)).when(k % 5 == 1, F.concat(text, F.lit(".5"))).when(k % 5 == 2, "n/a").when(k % 5 == 4, "-3")
+    rows = t.events.select(k.alias("id"), fee.alias("fee"), fee.alias("count"), F.when(k % 4 == 0, "true").when(k % 4 == 1, "maybe").when(k % 4 == 3, "false").alias("refundable"))
+    listed = [{"field": "fee", "type": "number", "min": 0, "max": 500, "required": True}, {"field": "count", "type": "integer"}, {"field": "refundable", "type": "boolean", "default": False}]
+    return R.findings(rows, "id", R.from_rule_list(listed)).select("id", "rule")

@@ -78,12 +78,12 @@ def without_bypassed(found: DataFrame, bypasses: DataFrame, key: str, as_of: Col
     return found.join(live, [key, "rule"], "left_anti")
 
 
-def bounds(field: str, low: float | None = None, high: float | None = None, severity: str = ERROR) -> list[Rule]:
-    out = []
+def bounds(field: str, low: float | None = None, high: float | None = None, severity: str = ERROR, of: Column | None = None) -> list[Rule]:
+    out, value = [], F.col(field) if of is None else of
     if low is not None:
-        out.append(Rule(f"{field}_min", field, F.col(field) < low, f"{field} is below {low}", severity, "SCHEMA", expected=f">= {low}"))
+        out.append(Rule(f"{field}_min", field, value < low, f"{field} is below {low}", severity, "SCHEMA", expected=f">= {low}"))
     if high is not None:
-        out.append(Rule(f"{field}_max", field, F.col(field) > high, f"{field} is above {high}", severity, "SCHEMA", expected=f"<= {high}"))
+        out.append(Rule(f"{field}_max", field, value > high, f"{field} is above {high}", severity, "SCHEMA", expected=f"<= {high}"))
     return out
 
 
@@ -99,13 +99,71 @@ def pattern(field: str, regex: str) -> Rule:
     return Rule(f"{field}_pattern", field, ~F.col(field).rlike(regex), f"{field} has another form", ERROR, "SCHEMA", expected=regex)
 
 
+#: Spark's types for what rule files call types; texts are of any.
+KINDS = {"number": "double", "integer": "bigint", "boolean": "boolean", "date": "date"}
+
+
+def of_type(field: str, kind: str) -> Rule:
+    """Whether a text reads as a value of a type; ``string`` finds nothing. Whole numbers alone are integers."""
+    if kind == "string":
+        return Rule(f"{field}_type", field, F.lit(False), f"{field} is no string", ERROR, "SCHEMA", expected=kind)
+    text = F.trim(F.col(field).cast("string"))
+    read = text.try_cast(KINDS[kind]).isNotNull()
+    if kind == "integer":
+        read = read & text.rlike(r"^[+-]?\d+$")
+    return Rule(f"{field}_type", field, text.isNotNull() & ~read, f"{field} is no {kind}", ERROR, "SCHEMA", expected=kind)
+
+
+def either(one: str, two: str, name: str, both: str | None = None, none: str | None = None) -> list[Rule]:
+    """Just one of two fields is set."""
+    a, b = F.col(one), F.col(two)
+    return [
+        Rule(f"{name}_both", one, a.isNotNull() & b.isNotNull(), both or f"{one} and {two} are both set", ERROR, "CROSS_FIELD"),
+        Rule(f"{name}_none", one, a.isNull() & b.isNull(), none or f"neither {one} nor {two} is set", ERROR, "CROSS_FIELD"),
+    ]
+
+
+def ordered_range(low: str, high: str, name: str) -> list[Rule]:
+    """At least one end is set, and the high one isn't below the low one."""
+    return [
+        Rule(f"{name}_unset", low, F.col(low).isNull() & F.col(high).isNull(), f"neither {low} nor {high} is set", ERROR, "CROSS_FIELD"),
+        Rule(f"{name}_reversed", high, F.col(high) < F.col(low), f"{high} below {low}", ERROR, "CROSS_FIELD"),
+    ]
+
+
+def within_total(part: str, total: str) -> Rule:
+    """A component is no larger than what it is part of."""
+    return Rule(f"{part}_over_{total}", part, F.col(part) > F.col(total), f"{part} over {total}", ERROR, "CROSS_FIELD")
+
+
+def discount_rules() -> list[Rule]:
+    """Discounts: an amount or a percentage, of 0 to 100."""
+    return [*either("amount_cents", "percentage", "discount"), *bounds("amount_cents", 0), *bounds("percentage", 0, 100)]
+
+
+def component_rules() -> list[Rule]:
+    """Parts of financial statements and of outlets, where those columns are."""
+    return [within_total("franchise_revenue_cents", "revenue_cents"), within_total("multi_unit_operators", "total_franchisees")]
+
+
+def from_rule_list(rules: Sequence[dict]) -> list[Rule]:
+    """Rules as prompt files list them: each with its ``field`` and any of type, required, min, max, enum, pattern; what else they say, such as a default, is no rule."""
+    out: dict[str, dict] = {}
+    for r in rules:
+        out.setdefault(r["field"], {}).update({k: v for k, v in r.items() if k != "field"})
+    return from_spec(out)
+
+
 def from_spec(spec: dict[str, dict]) -> list[Rule]:
-    """Rules from data: by field any of required, min, max, enum, pattern."""
+    """Rules from data: by field any of type, required, min, max, enum, pattern. Bounds of a field that has a numeric type are on its number."""
     out: list[Rule] = []
     for field, s in spec.items():
         if s.get("required"):
             out.append(required(field))
-        out += bounds(field, s.get("min"), s.get("max"))
+        if "type" in s:
+            out.append(of_type(field, s["type"]))
+        number = F.col(field).try_cast("double") if s.get("type") in ("number", "integer") else None
+        out += bounds(field, s.get("min"), s.get("max"), of=number)
         if "enum" in s:
             out.append(one_of(field, s["enum"]))
         if "pattern" in s:
@@ -116,7 +174,6 @@ def from_spec(spec: dict[str, dict]) -> list[Rule]:
 # Limits of the rules below (fixed values), amounts in cents.
 MAX_FEE, BIG_FEE, MAX_INVESTMENT = 10_000_000_00, 1_000_000_00, 100_000_000_00
 ROYALTY_LIMIT, MARKETING_LIMIT = 50.0, 20.0
-AUDIT_REVENUE = 50_000_000_00
 AUDIT_REVENUE, LOW_EQUITY, BALANCE_TOLERANCE = 50_000_000_00, -10_000_000_00, 100
 MIN_SAMPLE, MAX_HISTORY_YEARS = 5, 10
 
