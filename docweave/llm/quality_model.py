@@ -91,7 +91,12 @@ class Words:
 
 
 def _words(vocabulary: list[bytes], stamp: int) -> Words:
-    return common.held(("quality", "words", stamp), lambda: Words(vocabulary))
+    """Of the model at hand; a worker holds one model's words, and lets go of those of the model before."""
+    found = common.held(("quality", "words"), dict)
+    if stamp not in found:
+        found.clear()
+        found[stamp] = Words(vocabulary)
+    return found[stamp]
 
 
 def stamp_of(vocabulary: list[bytes]) -> int:

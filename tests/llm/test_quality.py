@@ -260,3 +260,10 @@ def test_query_against_plain_version(spark, sf_dir):
         x = (plain_pooled(docs[r.doc_id], vocabulary, vectors) - model.mean) / model.scale
         logit = np.tanh(x @ model.w1 + model.b1) @ model.w2 + model.b2
         assert r.score == pytest.approx(1 / (1 + np.exp(-logit / model.temperature)), abs=2e-3)
+
+
+def test_a_worker_holds_one_models_words():
+    one = quality_model._words([b"a"], 1)
+    assert quality_model._words([b"a"], 1) is one
+    quality_model._words([b"b"], 2)
+    assert quality_model._words([b"a"], 1) is not one
