@@ -88,11 +88,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_periods(docs: DataFrame) -> DataFrame:
-    """doc_id and text; where the crc32 of the id ends in 0, the words from the a-th on repeat the first p of them, both chosen by the same number."""
+    """doc_id and text; where the crc32 of the id ends in 0, the words from the a-th on repeat the first p of them, both chosen by the same number. Texts without words stay."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")).cast("binary"))
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
     rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words")).withColumn("n", F.size("words"))
-    rows = rows.withColumn("a", F.expr("g % n")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    rows = rows.withColumn("a", F.expr("g % nullif(n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
     again = F.expr("array_join(concat(slice(words, 1, cast(a as int)), slice(flatten(array_repeat(slice(words, cast(a + 1 as int), cast(p as int)), cast(1 + (n - a) div p as int))), 1, cast(n - a as int))), ' ')")
     return rows.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
 

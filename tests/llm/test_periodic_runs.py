@@ -100,3 +100,12 @@ def test_odd_rows(spark, tmp_path, small):
     found = {r["doc_id"]: r for r in periodic_runs.find_runs(df).collect()}
     assert found[9]["collapsed"] == "a b c" and [tuple(r) for r in found[9]["runs"]] == [(0, 60, 2)]
     assert [tuple(r) for r in found[8]["runs"]] == [(0, 30000, 977)]
+
+
+def test_texts_without_words_that_should_repeat(spark, tmp_path):
+    """Ids whose crc32 ends in 0, with null, empty and blank texts."""
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0][:4]
+    rows = list(zip(ids, (None, "", " \n\t", "a b c d e f g")))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in queries.op11_periodic_runs(spark, str(tmp_path)).collect())
+    assert got == [(i, *plain_row(plain_words(i, t))) for i, t in rows]
