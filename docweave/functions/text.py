@@ -146,10 +146,10 @@ def extract_year(c: Column | str) -> Column:
 
 
 def parse_address(c: Column | str) -> Column:
-    """Struct of full, street, city, state, zip; parts that aren't there are empty."""
+    """Struct of full, street, city, state, zip; parts that aren't there are empty. The zip is the last number of five digits, as a house may have such a number too, and goes from its own place alone."""
     text = F.coalesce(col(c), F.lit(""))
-    zip_ = F.regexp_extract(text, r"\b(\d{5}(?:-\d{4})?)\b", 1)
-    rest = F.when(zip_ != "", F.replace(text, zip_, F.lit(""))).otherwise(text)
+    zip_ = F.regexp_extract(text, r"(?s)^.*\b(\d{5}(?:-\d{4})?)\b", 1)
+    rest = F.regexp_replace(text, r"(?s)^(.*)\b\d{5}(?:-\d{4})?\b", "$1")
     state = F.coalesce(extract_state_code(rest), F.lit(""))
     bare = F.when(state != "", F.regexp_replace(rest, F.concat(F.lit(r"(?i)\b"), state, F.lit(r"\b")), F.lit(""))).otherwise(rest)
     parts = F.transform(F.split(bare, ","), lambda p: F.trim(p))

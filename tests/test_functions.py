@@ -80,6 +80,14 @@ def test_address(spark):
     assert of(spark, T.parse_address, None)["full"] == ""
 
 
+def test_address_with_a_house_number_of_five_digits(spark):
+    for house, code in (("12345", "12345"), ("10086", "55401"), ("123456", "60601-1234")):
+        a = of(spark, T.parse_address, f"{house} Main St, Madison, WI {code}")
+        assert (a["street"], a["city"], a["state"], a["zip"]) == (f"{house} Main St", "Madison", "WI", code)
+    a = of(spark, T.parse_address, "10086 Main St, Madison, WI")
+    assert a["zip"] == "10086"  # the only one there
+
+
 def test_document_filename(spark):
     f = T.document_filename(F.lit("TestFranchise"), F.lit("2024"), F.lit("12345"), F.lit("Amendment"), F.lit("abc123"))
     assert value(spark, f) == "abc123_2024_TestFranchise_Amendment_#12345.pdf"
