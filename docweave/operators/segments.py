@@ -1,7 +1,7 @@
 """Sections of documents: candidates from page text, their sequential assignment, repair and fallback.
 
-A document's candidates are few and bounded by its pages, so a document is one group of a pandas function: the assignment
-carries a least page from item to item, which no window function expresses.
+A document's candidates are few and bounded by its pages, so they meet in one row: the assignment carries a least page from item
+to item, which no window function expresses but a fold over the items does. The repair is a pandas function of a document's sections.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -130,34 +130,30 @@ def best_per_page(found: DataFrame, doc: str = "doc_id", page: str = "page") ->
     return found.withColumn("__n", F.row_number().over(W.partitionBy(doc, "item_no", page).orderBy(F.col("confidence").desc(), tie))).where("__n = 1").drop("__n")
 
 
-def assign_pages(rows: pd.DataFrame, total: int, doc_column: str, page: str) -> pd.DataFrame:
-    """Starts of items 0 to 24 of one document: item 0 on page 1, each next at the earliest candidate not before the one before, by phase; the last page begins nothing."""
-    out, least = [], 1
-    for item in range(ITEMS):
-        start, how = (1, "fixed") if item == 0 else (None, None)
-        if item:
-            mine = rows[(rows["item_no"] == item) & (rows[page] >= least) & (rows[page] < total)]
-            for method in METHODS:
-                part = mine[mine["method"] == method].sort_values(["confidence", page], ascending=[False, True])
-                if len(part):
-                    start, how = int(part.iloc[0][page]), method
-                    break
-        if start is not None:
-            least = max(least, start)
-            out.append((item, start, how))
-    made = pd.DataFrame(out, columns=["item_no", "start_page", "method"])
-    made.insert(0, doc_column, rows[doc_column].iloc[0])
-    return made
-
-
 def assign(found: DataFrame, *, doc: str = "doc_id", page: str = "page", total: str = "total_pages") -> DataFrame:
-    """``found`` with each document's total pages: doc, item_no, start_page, method."""
-    kind = found.schema[doc].dataType.simpleString()
+    """``found`` with each document's total pages: doc, item_no, start_page, method.
 
-    def of_doc(rows: pd.DataFrame) -> pd.DataFrame:
-        return assign_pages(rows, int(rows[total].iloc[0]), doc, page)
-
-    return found.groupBy(doc).applyInPandas(of_doc, f"`{doc}` {kind}, item_no int, start_page int, method string")
+    Item 0 starts on page 1, each next item at the best candidate not before the item before: by phase, then confidence, then the earliest page; the last page
+    begins nothing. An item's candidates are sorted first, so that the fold over a document's items takes the first one that is late enough.
+    """
+    rank = F.array_position(F.array(*map(F.lit, METHODS)), F.col("method"))
+    begins = (rank > 0) & F.col("item_no").between(1, ITEMS - 1) & (F.col(page) < F.col(total))
+    ranked = F.struct(rank.cast("int").alias("rank"), F.coalesce(-F.col("confidence"), F.lit(float("inf"))).alias("less"), F.col(page).cast("int").alias("page"))
+    # the item's name stays apart from the document's, whatever that is called
+    by_item = found.groupBy(F.col(doc).alias("doc"), F.when(begins, F.col("item_no").cast("int")).alias("item")).agg(F.array_sort(F.collect_list(F.when(begins, ranked))).alias("at"))
+    by_doc = by_item.groupBy("doc").agg(F.array_sort(F.collect_list(F.when(F.col("item").isNotNull(), F.struct("item", "at")))).alias("items"))
+    row = lambda item, start, method: F.struct(item.cast("int").alias("item_no"), start.cast("int").alias("start_page"), method.alias("method"))
+
+    def placed(so_far: Column, x: Column) -> Column:
+        best = F.get(F.filter(x["at"], lambda c: c["page"] >= so_far["least"]), F.lit(0))
+        method = F.get(F.array(*map(F.lit, METHODS)), best["rank"] - 1)
+        return F.struct(F.coalesce(best["page"], so_far["least"]).alias("least"), F.concat(so_far["starts"], F.array(row(x["item"], best["page"], method))).alias("starts"))
+
+    first = F.struct(F.lit(1).alias("least"), F.array(row(F.lit(0), F.lit(1), F.lit("fixed"))).alias("starts"))
+    # the same type from the beginning on, as a fold asks for: starts may be null
+    kind = "struct<least:int,starts:array<struct<item_no:int,start_page:int,method:string>>>"
+    starts = F.aggregate("items", first.cast(kind), lambda a, x: placed(a, x).cast(kind), lambda a: F.filter(a["starts"], lambda r: r["start_page"].isNotNull()))
+    return by_doc.select(F.col("doc").alias(doc), F.inline(starts))
 
 
 def repaired_starts(starts: list[int], items: list[int], total: int) -> list[int]:
