@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,3 +64,22 @@ def test_best_of():
     number, score = fuzzy.best_of(needles, texts)
     assert number.tolist() == [max(range(3), key=lambda i: (plain(needles[i], t), -i)) for t in texts]
     assert score.tolist() == pytest.approx([max(plain(n, t) for n in needles) for t in texts])
+
+
+def test_best_needle_by_bounds(monkeypatch):
+    """Needles of every word size, texts shorter and longer than they, parts of one and of many texts: as by each needle on its own."""
+    rng = random.Random(5)
+    needles = ["".join(rng.choices("abcde ", k=k)) for k in (1, 7, 8, 9, 16, 17, 32, 33, 47, 64, 65, 75, 130)] + ["", "abc", "abc"]
+    texts = ["".join(rng.choices("abcdefgh ", k=rng.choice((0, 1, 5, 30, 64, 65, 90, 180)))) for _ in range(60)] + [needles[8], "xx" + needles[10] + "yy", "", "zzzz", "é" * 40, "a" * 2000]
+    scores = np.stack([fuzzy.partial_ratios(n, texts) for n in needles])
+    for part in (1, 500, 65_536):
+        monkeypatch.setattr(fuzzy, "PART", part)
+        worked = []
+        some = fuzzy._longest
+        monkeypatch.setattr(fuzzy, "_longest", lambda masks, m, windows, stride=1: worked.append(m * -(-windows // stride)) or some(masks, m, windows, stride))
+        number, score = fuzzy.best_of(needles, texts)
+        monkeypatch.setattr(fuzzy, "_longest", some)
+        assert number.tolist() == scores.argmax(0).tolist()
+        assert score.tolist() == pytest.approx(scores.max(0).tolist())
+        if part > 1:  # fewer steps than every needle along every window
+            assert sum(worked) < 0.7 * sum(len(n) * sum(len(t) + len(n) for t in texts) for n in needles)
