@@ -15,7 +15,7 @@ from .base import query
 @query("src6_html_titles", r"""
 SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g')) AS title FROM pages""")
 def html_titles(t):
-    return t.pages.select("page_id", html.html_parts(F.col("html"))["title"].alias("title"))
+    return t.pages.select("page_id", html.title_of("html").alias("title"))
 
 
 @query("src7_html_links")

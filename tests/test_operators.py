@@ -288,3 +288,10 @@ def test_sections_assigned_without_python(spark):
     found = segments.assign(spark.createDataFrame(rows, "doc_id long, item_no int, page int, confidence double, method string, total_pages int"))
     assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
     assert "InPandas" not in found._jdf.queryExecution().toString()
+
+
+def test_titles_as_they_are_written(spark):
+    """A named character without its semicolon stays, as at the end of a title that was cut."""
+    pages = ["<title>a &amp;&amp;amp;\n &lt;b&gt; &amp</title>", "<title> x\t y </title><title>z</title>", "<title>a<b></title>", "no title", "", None]
+    got = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string").select("i", html.title_of("html").alias("t")).collect()
+    assert [r["t"] for r in sorted(got)] == ["a &&amp; <b> &amp", "x y", "", "", "", None]
