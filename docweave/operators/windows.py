@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -61,14 +62,28 @@ def trailing_mean(df: DataFrame, keys: list[str], at: str, value: str, interval:
     """The mean over the interval (a number and seconds, minutes, hours, days or weeks) that ends at each row. Rows with a null time have their own mean.
 
     Time is cut into stretches of the interval's length: a row stands in its own and, for the rows there alone, in the next one. So a key's rows are dealt out by
-    stretch, however many it has.
+    stretch, however many it has. The interval that ends at a row is the end of the stretch before and the beginning of its own: one running sum backwards over the
+    former, whose rows are moved on by the interval, and one forwards over the latter, so that each row is added up twice, however many an interval has, and nothing is
+    taken off again.
     """
     n, unit = interval.split()
-    seconds = int(n) * SECONDS[unit.rstrip("s")]
-    stretch = F.floor(F.unix_micros(F.col(at).cast("timestamp")) / (seconds * 1_000_000))
-    rows = df.withColumn("__s", F.explode(F.when(F.col(at).isNull(), F.array(F.lit(None).cast("long"))).otherwise(F.array(stretch, stretch + 1)))).withColumn("__own", F.coalesce(F.col("__s") == stretch, F.col("__s").isNull()))
-    over = F.expr(f"avg(`{value}`) over (partition by {', '.join(f'`{k}`' for k in [*keys, '__s'])} order by `{at}` range between interval {interval} preceding and current row)")
-    return rows.withColumn("trailing_mean", over).where("__own").drop("__s", "__own")
+    length = int(n) * SECONDS[unit.rstrip("s")] * 1_000_000
+    micros = F.unix_micros(F.col(at).cast("timestamp"))
+    stretch = F.floor(micros / length)
+    place = lambda s, own, u: F.struct(s.alias("s"), F.lit(own).alias("own"), u.alias("u"))
+    places = F.when(F.col(at).isNull(), F.array(place(F.lit(None).cast("long"), True, micros))).otherwise(F.array(place(stretch, True, micros), place(stretch + 1, False, micros + length)))
+    rows = df.withColumn("__w", F.explode(places))
+    of_avg = df.select(F.avg(value)).schema[0].dataType
+    x = F.col(value) if isinstance(of_avg, T.DecimalType) else F.col(value).cast("double")
+    own = F.col("__w.own")
+    stretches = W.partitionBy(*keys, "__w.s")
+    # of rows at one place those of the stretch before come first, as they count
+    before = stretches.orderBy(F.col("__w.u").desc(), own).rowsBetween(W.unboundedPreceding, W.currentRow)
+    until = stretches.orderBy("__w.u").rangeBetween(W.unboundedPreceding, W.currentRow)
+    summed = rows.withColumns({"__a": F.sum(F.when(~own, x)).over(before), "__b": F.count(F.when(~own, x)).over(before)}).withColumns({"__c": F.sum(F.when(own, x)).over(until), "__d": F.count(F.when(own, x)).over(until)})
+    total = F.coalesce(F.col("__a") + F.col("__c"), F.col("__a"), F.col("__c"))
+    mean = (total / F.nullif(F.col("__b") + F.col("__d"), F.lit(0))).cast(of_avg)
+    return summed.where(own).withColumn("trailing_mean", mean).drop("__w", "__a", "__b", "__c", "__d")
 
 
 def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -311,3 +311,24 @@ def test_pages_are_read_few_at_a_time(spark, monkeypatch):
     assert html.links_of(df).count() == 1200 and html.tables_of(df).count() == 1200
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= html.PAGES_SENT
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+
+
+def test_trailing_means_of_a_full_hour(spark):
+    """Null times, null values, ties and both ends of the interval, in doubles and decimals; and running sums, not a frame for each row."""
+    import datetime
+    import random
+
+    from docweave.operators import windows
+
+    rng, start = random.Random(2), datetime.datetime(2024, 1, 1)
+    rows = [(rng.choice("ab"), None if i % 50 == 7 else start + datetime.timedelta(minutes=10 * rng.randint(0, 40)), None if i % 11 == 3 else i % 97) for i in range(600)]
+    hour = datetime.timedelta(hours=1)
+    df = spark.createDataFrame([(i, k, t, None if v is None else float(v)) for i, (k, t, v) in enumerate(rows)], "i int, k string, t timestamp_ntz, v double")
+    for kind in ("double", "decimal(10,2)", "int"):
+        found = windows.trailing_mean(df.withColumn("v", F.col("v").cast(kind)), ["k"], "t", "v")
+        got = {r["i"]: r["trailing_mean"] for r in found.collect()}
+        assert len(got) == len(rows)
+        for i, (k, t, _) in enumerate(rows):
+            near = [w for l, u, w in rows if l == k and w is not None and (u is None if t is None else u is not None and t - hour <= u <= t)]
+            assert (got[i] is None) if not near else float(got[i]) == pytest.approx(sum(near) / len(near), abs=1e-5)
+    assert "specifiedwindowframe(RangeFrame, -" not in found._jdf.queryExecution().toString()
