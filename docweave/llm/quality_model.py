@@ -42,6 +42,8 @@ CONTEXTS = {1: 11, -1: 23, 2: 37, -2: 51}
 MEMO = 200_000
 #: Places from which on a word's gathered contexts count in full, about.
 FREQUENT = 10
+#: Steps of training at least: with few rows an epoch is a step or two, and so more of them are taken.
+LEAST_STEPS = 400
 
 #: Words are what lies between white space, cut where letters and digits meet other signs. All of UTF-8 beyond ASCII counts as letters.
 _PART = re.compile(rb"[0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]+")
@@ -198,6 +200,7 @@ def train(x: np.ndarray, y: np.ndarray, aside: np.ndarray, vocabulary: list[byte
     z, t = ((x[fit] - mean) / scale).astype(np.float32), y[fit].astype(np.float32)
     p = [rng.normal(0, x.shape[1] ** -0.5, (x.shape[1], hidden)).astype(np.float32), np.zeros(hidden, np.float32), rng.normal(0, hidden**-0.5, hidden).astype(np.float32), np.zeros(1, np.float32)]
     m, v, step = [np.zeros_like(a) for a in p], [np.zeros_like(a) for a in p], 0
+    epochs = max(epochs, -(-LEAST_STEPS // -(-len(z) // 256)))
     for epoch in range(epochs):
         order = rng.permutation(len(z))
         for i in range(0, len(z), 256):

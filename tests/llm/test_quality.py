@@ -54,6 +54,16 @@ def test_rules_are_learned_and_apply_alike(spark):
     assert by_spark == found.rejects(quality_rules.features({c: v[:200] for c, v in counts.items()})).tolist()
 
 
+def test_few_rows_are_learned():
+    """A hundred rows that one direction parts: an epoch is a single step."""
+    rng = np.random.default_rng(4)
+    y = (np.arange(100) % 3 > 0).astype(int)
+    x = (rng.normal(0, 0.1, (100, quality_model.DIM)) + np.outer(y, np.eye(quality_model.DIM)[5])).astype(np.float32)
+    model = quality_model.train(x, y, np.zeros(100, bool), [], np.zeros((0, quality_model.DIM), np.float32))
+    scores = model.scores(x)
+    assert scores[y == 1].min() > 0.9 and scores[y == 0].max() < 0.1
+
+
 def test_noise_teaches_no_rule():
     rng = np.random.default_rng(1)
     counts = {c: rng.integers(20, 200, 1000) for c in text_stats.COUNTS}
