@@ -48,6 +48,35 @@ def test_signs_beside_every_letter(byte_bpe, word_bpe):
             assert e.encode(values[i : i + 5000]) == want
 
 
+def test_letters_that_go_to_the_model_at_once(word_bpe):
+    """Pieces of letters, alone and beside each other, capitals and signs; what isn't the vocabulary's plain kind goes the long way."""
+    letters = [chr(n) for n in range(0x41, 0x250) if chr(n).isalpha()] + ["\u0301", "\u1e9e", "\u212a", "\u03a3"]
+    values = [f"{a} {a}{b} x{a}{b}y {b}{a}. Q{a}" for a in letters for b in letters[::23]]
+    e, asked = PieceEncoder(word_bpe, True), []
+    long_way = e._encoded
+    e._encoded = lambda pieces, before: asked.extend(pieces) or long_way(pieces, before)
+    assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(values)] == library(word_bpe, values)
+    asked.clear()
+    assert e.encode(["Plain words, Éclair"]) and "plain" in e.memo and not [p for p in asked if p != ","]
+    # a vocabulary whose special strings are letters, or that keeps case, has no such way
+    lib = Tokenizer.from_file(word_bpe)
+    lib.add_special_tokens(["plain"])
+    other = PieceEncoder(word_bpe, True)
+    other.library, other.special = lib, [*other.special, "plain"]
+    assert not other._letters_alone()
+
+
+def test_memo_of_pieces_without_spaces_keeps_its_bound(word_bpe, monkeypatch):
+    from docweave.llm import tokenizing
+
+    monkeypatch.setattr(tokenizing, "MEMO", 100)
+    e = PieceEncoder(word_bpe, True)
+    for i in range(5):
+        values = [" ".join(f"{'abcdefgh'[i]}x{'abcdefgh'[j % 8]}{'stuvw'[j // 8]}" for j in range(40)), None, "", "a\nb"]
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(values)] == library(word_bpe, [v or "" for v in values])
+        assert len(e.memo) <= 50 + 43
+
+
 def test_queries_give_the_librarys_ids(spark, sf_dir, byte_bpe, word_bpe):
     from docweave.llm import queries as Q
 
