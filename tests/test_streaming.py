@@ -74,3 +74,55 @@ def test_monitoring_over_batches(spark, tmp_path):
         out = metrics.run_to_files(monitor.monitored(events, key="k", at="ts", failed="failed", order="id"), f"file://{tmp_path}/run")
     got = sorted((r["k"], r["minute"].replace(tzinfo=None), r["n"], r["failed"], round(r["failed_1h"], 6), r["run"], r["wait_s"], r["stopped"]) for r in out.withColumn("minute", F.col("minute").cast("timestamp_ntz")).collect())
     assert got == plain_minutes(rows) and any(r[7] for r in got) and {r[6] for r in got} >= {0, 60, 120, 240, 300}
+
+
+def test_monitoring_asks_the_state_by_batch(spark, tmp_path):
+    """A key has one timer, whatever the minutes of a batch; days of failures, keys with one minute, and the result of all events at once."""
+    from docweave.streaming import monitor
+
+    t = datetime.datetime(2024, 1, 1)
+    rows = [("long", t + datetime.timedelta(minutes=7 * i), i, i % 3 > 0 or 100 < i < 400) for i in range(450)]
+    rows += [(f"k{i}", t + datetime.timedelta(minutes=i), i, i % 2 == 0) for i in range(20)]
+    schema = "k string, ts timestamp_ntz, id long, failed boolean"
+    spark.createDataFrame(rows[::-1] + [(None, t, 1, True)], schema).repartition(2).write.parquet(f"{tmp_path}/in")
+    events = metrics.event_stream(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, end=f"file://{tmp_path}/end")
+    with monitor.keyed_state(spark):
+        out = monitor.monitored(events, key="k", at="ts", failed="failed", order="id")
+        q = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"file://{tmp_path}/c").trigger(availableNow=True).start()
+        q.awaitTermination()
+    timers = sum(s.customMetrics.get("numRegisteredTimers", 0) for p in q.recentProgress for s in p.stateOperators)
+    assert timers == 21
+    got = sorted((r["k"], r["minute"].replace(tzinfo=None), r["n"], r["failed"], round(r["failed_1h"], 6), r["run"], r["wait_s"], r["stopped"]) for r in spark.read.parquet(f"{tmp_path}/out").withColumn("minute", F.col("minute").cast("timestamp_ntz")).collect())
+    assert got == plain_minutes(rows)
+
+
+def test_walk_in_pieces():
+    """Minutes cut anywhere give what one walk gives, and what each event in turn gives."""
+    import random
+
+    import numpy as np
+
+    from docweave.streaming import monitor
+
+    rng = random.Random(5)
+    for share in (0.5, 0.9, 1.0):
+        minutes, want, run, stopped, minute = [], [], 0, False, 0
+        for _ in range(300):
+            minute += rng.choice([1, 1, 2, 9, 61])
+            fails = [rng.random() < share for _ in range(rng.randrange(1, 5))]
+            lengths = [len(s) for s in "".join("x" if f else " " for f in fails).split(" ")]
+            minutes.append((minute, len(fails), sum(fails), lengths[0], lengths[-1], max(lengths)))
+            for f in fails:
+                run = run + 1 if f else 0
+                stopped = stopped or run >= monitor.STOP
+            near = [m for m in minutes if m[0] > minute - monitor.HOUR]
+            want.append((run, stopped, sum(m[2] for m in near) / sum(m[1] for m in near)))
+        minutes = np.array(minutes, np.int64)
+        for cuts in ([], sorted(rng.sample(range(1, 300), 20))):
+            got, run, stopped = [], 0, False
+            for a, b in zip([0, *cuts], [*cuts, 300]):
+                hour = minutes[:a, :3]
+                out = monitor.walk(run, stopped, hour[hour[:, 0] > minutes[max(a - 1, 0), 0] - monitor.HOUR], minutes[a:b])
+                run, stopped = int(out[0][-1]), bool(out[1][-1])
+                got += zip(*(x.tolist() for x in out))
+            assert got == want
